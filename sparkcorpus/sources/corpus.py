@@ -111,7 +111,7 @@ def assign_shards(
     while known < (size_now := reached.count()):
         known = size_now
         reached = cut_lineage(reached.union(reached.join(jumps, "start").select("next")).distinct())
-        onward = jumps.withColumnRenamed("start", "next").withColumnRenamed("next", "after")
+        onward = jumps.select(F.col("start").alias("next"), F.col("next").alias("after"))
         jumps = cut_lineage(jumps.join(onward, "next").select("start", F.col("after").alias("next")))
 
     marked = blocks.select("block").join(
