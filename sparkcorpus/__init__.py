@@ -1 +1,8 @@
 """Spark jobs for the data work around language models: corpora, tokens, chats, packing, evaluation, runs."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Python helpers travel to the executors by value, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType
 
 from sparkcorpus.functions.chat import chat_fault, render_fault, request_fault
 from sparkcorpus.functions.keys import hex_bucket, shuffle_key, width_bucket
@@ -274,7 +275,7 @@ def _evaluate(expr: str) -> str | None:
         return None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def tool_value(exprs: pd.Series) -> pd.Series:
     codes, distinct = pd.factorize(exprs, use_na_sentinel=True)
     results = [_evaluate(e) for e in distinct]

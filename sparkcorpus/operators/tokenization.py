@@ -82,7 +82,8 @@ def _exact_batch(ranked: list[tuple[str, int]], complete: bool) -> list[str]:
 
 
 def train_bpe(words: DataFrame, vocab_size: int, candidates: int = 64, checkpoint_every: int = 10) -> DataFrame:
-    """Byte-pair vocabulary from (word, n): `rank, token_bytes` for vocab_size minus the specials.
+    """Byte-pair vocabulary from (word, n): `rank, token_bytes` and the merged pair `left_rank, right_rank` (null for
+    bytes), for vocab_size minus the specials.
 
     A symbol is one character, so a word is a short string, a pair is a two-character substring and applying a
     merge is a string replacement: left to right without overlap. Every round is one aggregation over the distinct
@@ -96,6 +97,7 @@ def train_bpe(words: DataFrame, vocab_size: int, candidates: int = 64, checkpoin
     table = words.select(F.decode(F.encode("word", "UTF-8"), "ISO-8859-1").alias("w"), "n").filter(F.length("w") > 1)
     table = cut_lineage(table)
     pieces: list[bytes] = [bytes([b]) for b in range(256)]
+    pairs_of: list[tuple[int | None, int | None]] = [(None, None)] * 256
     ids = {_symbol(i): i for i in range(256)}
     rounds = 0
     while len(pieces) < ordinary:
@@ -116,12 +118,16 @@ def train_bpe(words: DataFrame, vocab_size: int, candidates: int = 64, checkpoin
             new = _symbol(len(pieces))
             ids[new] = len(pieces)
             pieces.append(pieces[ids[a]] + pieces[ids[b]])
+            pairs_of.append((ids[a], ids[b]))
             merged = F.replace(merged, F.lit(pair), F.lit(new))
         table = table.select(merged.alias("w"), "n").filter(F.length("w") > 1)
         rounds += 1
         if rounds % checkpoint_every == 0:
             table = cut_lineage(table)
-    return spark.createDataFrame([(i, bytearray(p)) for i, p in enumerate(pieces)], "rank int, token_bytes binary")
+    return spark.createDataFrame(
+        [(i, bytearray(p), *pair) for i, (p, pair) in enumerate(zip(pieces, pairs_of))],
+        "rank int, token_bytes binary, left_rank int, right_rank int",
+    )
 
 
 def _ranks_on_driver(ranks: DataFrame) -> dict[bytes, int]:

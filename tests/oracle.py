@@ -1,4 +1,4 @@
-"""Compare a registered query with its SQL in DuckDB. Usage: python -m tests.oracle <sf_dir> [name ...]"""
+"""Compare a registered query with its SQL in DuckDB. Usage: python -m tests.oracle <sf_dir> [name | @module ...]"""
 
 from __future__ import annotations
 
@@ -66,7 +66,10 @@ def main() -> int:
     con = duck(args[0])
     queries, oracles = entry.queries(), entry.oracle_sql()
     failed = 0
-    for name in args[1:] or queries:
+    wanted = []
+    for a in args[1:] or list(queries):
+        wanted += [n for n, f in queries.items() if f.__module__.endswith(a[1:])] if a.startswith("@") else [a]
+    for name in wanted:
         started = time.time()
         try:
             ok, message = compare(spark, con, args[0], queries[name], oracles.get(name))
