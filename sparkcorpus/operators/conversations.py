@@ -182,7 +182,7 @@ def validate_requests(df: DataFrame) -> DataFrame:
     )
 
 
-LOG_HEAD = r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2},\d{3}) - (\S+) - (\w+) - (.*)$"
+LOG_HEAD = r"(?s)^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2},\d{3}) - (\S+) - (\w+) - (.*)$"
 
 
 def parse_chat_log(lines: DataFrame, lines_per_bucket: int = 65_536) -> DataFrame:
@@ -222,7 +222,9 @@ def parse_chat_log(lines: DataFrame, lines_per_bucket: int = 65_536) -> DataFram
         (F.count("worker") != 1).alias("interleaved"), F.min("message_no").alias("_first")
     )
     return turns.join(blocks, ["path", "request_no"]).select(
-        "path", "request_no", (F.col("message_no") - F.col("_first")).alias("turn_no"), "role", "worker", "text",
+        "path", "request_no",
+        # the rule line between request and answer is a message of its own
+        (F.col("message_no") - F.col("_first") - F.col("worker").isNotNull().cast("int")).alias("turn_no"), "role", "worker", "text",
         "logged_at", "interleaved",
     )
 

@@ -14,7 +14,7 @@ from sparkcorpus.operators.tokenization import with_specials
 from sparkcorpus.plans.registry import query, table
 
 CAPACITY, DOCS_PER_GROUP, BUFFER = 2049, 256, 32
-CHAT_TOKENS, CHAT_CAPACITY = 1024, 1025
+CHAT_TOKENS, CHAT_CAPACITY = 2048, 4097
 
 
 def lengths(spark, sf_dir):

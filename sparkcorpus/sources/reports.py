@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sparkcorpus.operators.ordering import with_position
+
 ITEM_SCHEMA = (
     "label string, idx int, query string, choices array<string>, gold int, "
     "context string, context_options array<string>, continuation string"
@@ -60,8 +62,13 @@ def read_score_report(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_logs(spark: SparkSession, path: str) -> DataFrame:
-    """(path, line_no, line): one file is one run, so each file is read whole and split."""
-    whole = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(path)
-    return whole.select(
-        F.col("_metadata.file_path").alias("path"), F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line")
+    """(path, line_no, line). Files are read in blocks; inside a block rows keep the file order, and line numbers come
+    from the number of lines in earlier blocks. So a log may be larger than a task."""
+    text = spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(path)
+    lines = text.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+        F.regexp_replace("value", "\r$", "").alias("line"),
     )
+    return with_position(lines, ["block", "row"], F.col("block"), "line_no", ["path"]).select("path", "line_no", "line")
