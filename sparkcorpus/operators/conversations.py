@@ -29,12 +29,13 @@ def message(role, content: Column | None = None, parts: Column | None = None) ->
     )
 
 
-def head_turns(turns: DataFrame, conv: str, turn: str, text: str, max_tokens: int, min_tokens: Column | None = None) -> DataFrame:
-    """Turns that can still contribute to the first max_tokens tokens of their conversation. A turn costs at least
-    two markers, so at most max_tokens/2 turns of a conversation stay, however long it is."""
-    cost = F.lit(2) if min_tokens is None else min_tokens + 2
-    placed = prefix_sums(turns, [turn], width_bucket(F.col(turn), TURNS_PER_BUCKET), {"_before": cost.cast("long")}, [conv])
-    return placed.filter(F.col("_before") < max_tokens + 2).drop("_before")
+def head_turns(turns: DataFrame, conv: str, turn: str, max_tokens: int, text_tokens: Column) -> DataFrame:
+    """Turns that can still contribute to the first max_tokens tokens of their conversation, and always the first two,
+    because a system turn needs the user turn behind it. A turn costs its text and two markers, so at most
+    max_tokens/2 + 2 turns of a conversation stay, however long it is."""
+    costs = {"_before": (text_tokens + 2).cast("long"), "_pos": F.lit(1).cast("long")}
+    placed = prefix_sums(turns, [turn], width_bucket(F.col(turn), TURNS_PER_BUCKET), costs, [conv])
+    return placed.filter((F.col("_before") < max_tokens + 2) | (F.col("_pos") < 2)).drop("_before", "_pos")
 
 
 def assemble_conversations(turns: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
@@ -55,23 +56,43 @@ def split_valid(df: DataFrame, reason: str = "chat_reason") -> tuple[DataFrame,
     return df.filter(F.col(reason).isNull()).drop(reason), df.filter(F.col(reason).isNotNull())
 
 
-def validate_turns(turns: DataFrame, conv: str, turn: str, role: str) -> DataFrame:
-    """The tuning rules of `validate_conversations` on turn rows: one aggregate per conversation, nothing collected,
-    so a conversation may have any number of turns."""
+def validate_turns(turns: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
+    """The rules of `validate_conversations` on turn rows: one aggregate per conversation, nothing collected, so a
+    conversation may have any number of turns."""
     placed = with_position(turns, [turn], width_bucket(F.col(turn), TURNS_PER_BUCKET), "pos", [conv])
     at = F.col("pos")
     expected = lambda p: F.when(p % 2 == 0, F.lit("user")).otherwise(F.lit("assistant"))
     wrong = lambda p: F.when(F.col(role).eqNullSafe(expected(p)), 0).otherwise(1)
+    flag = lambda c: F.max(F.when(c, 1).otherwise(0))
     stats = placed.groupBy(conv).agg(
         F.count("*").alias("n_turns"),
-        F.max(F.when((at == 0) & (F.col(role) == "system"), 1).otherwise(0)).alias("has_system"),
+        flag((at == 0) & (F.col(role) == "system")).alias("has_system"),
+        flag((at == 1) & (F.col(role) == "user")).alias("second_user"),
         F.sum(wrong(at)).alias("wrong_plain"),
         F.sum(F.when(at > 0, wrong(at - 1)).otherwise(0)).alias("wrong_after_system"),
+        flag(F.col(text).isNull() & (F.col(role) != "system")).alias("missing_text"),
+        flag(F.col(text).isNull() & (F.col(role) == "user")).alias("missing_user_text"),
     )
-    body = F.col("n_turns") - F.col("has_system")
-    wrong_roles = F.when(F.col("has_system") == 1, F.col("wrong_after_system")).otherwise(F.col("wrong_plain"))
-    reason = F.when(body < 2, "too_short").when(wrong_roles > 0, "bad_alternation")
-    return stats.select(conv, "n_turns", F.col("has_system").cast("boolean").alias("has_system"), reason.alias("reason"))
+    has_system = F.col("has_system") == 1
+    wrong_roles = F.when(has_system, F.col("wrong_after_system")).otherwise(F.col("wrong_plain")) > 0
+    chat_reason = (
+        F.when(F.col("n_turns") - F.col("has_system") < 2, "too_short").when(wrong_roles, "bad_alternation")
+        .when(F.col("missing_text") == 1, "content_not_text")
+    )
+    render_reason = (
+        F.when(has_system & (F.col("second_user") == 0), "system_without_user").when(wrong_roles, "bad_alternation")
+        .when(F.col("missing_user_text") == 1, "user_content_not_text")
+    )
+    return stats.select(
+        conv, "n_turns", has_system.alias("has_system"), chat_reason.alias("chat_reason"), render_reason.alias("render_reason")
+    )
+
+
+def renderable_heads(turns: DataFrame, conv: str, turn: str, role: str, text: str, max_tokens: int, text_tokens: Column) -> DataFrame:
+    """Conversations ready for truncated rendering: judged on all their turns, assembled from their first ones."""
+    good = validate_turns(turns, conv, turn, role, text).filter("render_reason is null").select(conv)
+    heads = head_turns(turns, conv, turn, max_tokens, text_tokens)
+    return assemble_conversations(heads, conv, turn, role, text).join(good, conv, "left_semi")
 
 
 # --- dataset adapters ---------------------------------------------------------------------------------------------

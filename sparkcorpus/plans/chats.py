@@ -60,9 +60,11 @@ def validate_conversations(spark, sf_dir):
 @query(f"""
 with {NUMBERED}
 select conv_id, n_turns, has_system,
-       case when n_turns - has_system::int < 2 then 'too_short' when not alternates then 'bad_alternation' end as reason from checks""")
+       case when n_turns - has_system::int < 2 then 'too_short' when not alternates then 'bad_alternation' end as chat_reason,
+       case when has_system and coalesce(second_role, '') <> 'user' then 'system_without_user' when not alternates then 'bad_alternation' end as render_reason
+from checks""")
 def validate_turns(spark, sf_dir):
-    return conv.validate_turns(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role")
+    return conv.validate_turns(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
 
 
 @query(f"with {chat_sql(MAX_TOKENS)} select conv_id, p, role, md5(text) as digest from body where conv_id in (select conv_id from renderable)")
@@ -175,7 +177,7 @@ select {MATH_KEY}, string_agg(type || '[' || text || ']', '' order by k) as part
 def parse_tool_parts(spark, sf_dir):
     parts = tx.tool_parts(F.col("answer"))
     shown = F.array_join(F.transform(parts, lambda p: F.concat(p["type"], F.lit("["), p["text"], F.lit("]"))), "")
-    return math_rows(spark, sf_dir).dropDuplicates(MATH_COLUMNS).select(*MATH_COLUMNS, shown.alias("parts"))
+    return math_rows(spark, sf_dir).select(*MATH_COLUMNS, shown.alias("parts"))
 
 
 @query(f"""

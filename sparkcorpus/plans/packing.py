@@ -290,12 +290,10 @@ chats as (
 
 
 def rendered_chats(spark, sf_dir, max_tokens: int = CHAT_TOKENS):
-    turns = conv.head_turns(
-        table(spark, sf_dir, "conversations"), "conv_id", "turn", "text", max_tokens, F.octet_length("text")
-    )
-    chats = conv.validate_conversations(conv.assemble_conversations(turns, "conv_id", "turn", "role", "text"))
+    turns = table(spark, sf_dir, "conversations")
+    chats = conv.renderable_heads(turns, "conv_id", "turn", "role", "text", max_tokens, F.octet_length("text"))
     r = rendered(render_segments(F.col("messages")), max_tokens)
-    return chats.filter("render_reason is null").select("conv_id", r.alias("r")).select("conv_id", "r.*")
+    return chats.select("conv_id", r.alias("r")).select("conv_id", "r.*")
 
 
 def chat_placements(spark, sf_dir):
