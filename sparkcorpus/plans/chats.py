@@ -219,7 +219,7 @@ def render_choices(spark, sf_dir):
 
 @query(f"""
 with {CHOICES_SQL}
-select g, md5({PROMPT_SQL}) as digest, letters[gold + 1] as answer, 'S' || g % 3 as subject, null as fault
+select g, md5({PROMPT_SQL}) as digest, letters[gold + 1] as answer, 'S' || g % 3 as subject, null::varchar as fault
 from (select *, ['A', 'B', 'C', 'D'] as letters from items)""")
 def adapt_indexed_choice(spark, sf_dir):
     rows = choice_items(spark, sf_dir).select(

@@ -373,7 +373,7 @@ def latest_artifacts(spark, sf_dir):
 select 'task' || item_id % 3 as label, count(*) as items, sum(length(text))::bigint as chars,
        max(case item_id % 3 when 0 then 'multiple_choice' when 1 then 'schema' else 'language_modeling' end) as task_type,
        max(case item_id % 3 when 0 then ' ' when 1 then '; ' else ' ' end) as delimiter,
-       max(round((item_id % 3) * 0.125, 6)) as random_baseline from benchmark group by 1""")
+       max(round((item_id % 3) * 0.125::double, 6)) as random_baseline from benchmark group by 1""")
 def read_eval_bundle(spark, sf_dir):
     bench = table(spark, sf_dir, "benchmark").withColumn("t", F.col("item_id") % 3)
     label = F.concat(F.lit("task"), F.col("t").cast("string"))

@@ -13,6 +13,11 @@ TABLES = (
 ).split()
 
 
+TYPES = {
+    "bigint": ("BIGINT",), "int": ("INTEGER",), "double": ("DOUBLE",), "string": ("VARCHAR",), "boolean": ("BOOLEAN",),
+}
+
+
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     con.execute("set timezone='UTC'")
@@ -53,8 +58,9 @@ def compare(spark, con, sf_dir, function, sql):
     different = [(g, w) for g, w in zip(got, want) if g != w]
     if different:
         return False, f"{len(different)} of {len(got)} rows differ; {different[:2]}"
-    types = list(zip(got_cols, [t for _, t in sorted(result.dtypes)], [str(d[1]) for d in sorted(cursor.description)]))
-    return True, f"{len(got)} rows {types if '-v' in sys.argv else ''}"
+    duck_types = {d[0]: str(d[1]).upper() for d in cursor.description}
+    odd = [(c, t, duck_types[c]) for c, t in result.dtypes if duck_types[c] not in TYPES.get(t, (duck_types[c],))]
+    return True, f"{len(got)} rows" + (f" types {odd}" if odd else "")
 
 
 def main() -> int:
