@@ -64,14 +64,21 @@ def _symbol(index: int) -> str:
 
 
 def _exact_batch(ranked: list[tuple[str, int]], complete: bool) -> list[str]:
-    """Merges of one round that equal one-by-one merging. Go down the ranking while symbols are new; a pair of equal
-    symbols ends the list; pairs tied with the first pair left out wait for the next round."""
-    taken, used, left_out = [], set(), None
-    for pair, count in ranked:
-        if left_out is None and not (used & set(pair)) and not (taken and taken[-1][0][0] == taken[-1][0][1]):
-            taken.append((pair, count))
-            used |= set(pair)
-        else:
+    """Merges of one round that equal one-by-one merging.
+
+    Merging (a, b) changes only pairs that end in a or begin with b, and every pair it creates is at most as frequent
+    as one of those. So the ranking is followed until such a pair comes up; what is taken before it, and is strictly
+    more frequent, would have been merged next anyway. A pair of equal symbols also changes itself and ends the list."""
+    taken, firsts, seconds, left_out = [], set(), set(), None
+    for (a, b), count in ranked:
+        if a in seconds or b in firsts or (taken and taken[-1][0][0] == taken[-1][0][1]):
+            left_out = count
+            break
+        taken.append((a + b, count))
+        firsts.add(a)
+        seconds.add(b)
+        if a == b and len(taken) > 1:
+            taken.pop()
             left_out = count
             break
     if left_out is None and not complete:
@@ -81,7 +88,7 @@ def _exact_batch(ranked: list[tuple[str, int]], complete: bool) -> list[str]:
     return [pair for pair, _ in taken]
 
 
-def train_bpe(words: DataFrame, vocab_size: int, candidates: int = 64, checkpoint_every: int = 10) -> DataFrame:
+def train_bpe(words: DataFrame, vocab_size: int, candidates: int = 256, checkpoint_every: int = 8) -> DataFrame:
     """Byte-pair vocabulary from (word, n): `rank, token_bytes` and the merged pair `left_rank, right_rank` (null for
     bytes), for vocab_size minus the specials.
 
@@ -95,19 +102,15 @@ def train_bpe(words: DataFrame, vocab_size: int, candidates: int = 64, checkpoin
     if vocab_size > MAX_VOCABULARY:
         raise ValueError(f"vocabulary above {MAX_VOCABULARY}")
     table = words.select(F.decode(F.encode("word", "UTF-8"), "ISO-8859-1").alias("w"), "n").filter(F.length("w") > 1)
-    table = cut_lineage(table)
+    table = cut_lineage(table.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))))
     pieces: list[bytes] = [bytes([b]) for b in range(256)]
     pairs_of: list[tuple[int | None, int | None]] = [(None, None)] * 256
     ids = {_symbol(i): i for i in range(256)}
     rounds = 0
     while len(pieces) < ordinary:
-        chars = F.split("w", "")
-        pairs = F.zip_with(
-            F.slice(chars, F.lit(1), F.size(chars) - 1), F.slice(chars, F.lit(2), F.size(chars) - 1), lambda a, b: F.concat(a, b)
-        )
         ranked = (
-            table.select(F.explode(pairs).alias("pair"), "n").groupBy("pair").agg(F.sum("n").alias("n"))
-            .orderBy(F.desc("n"), "pair").limit(candidates).collect()
+            table.select(F.explode(F.regexp_extract_all("w", F.lit(r"(?s)(?=(..))"), F.lit(1))).alias("pair"), "n")
+            .groupBy("pair").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "pair").limit(candidates).collect()
         )
         if not ranked:
             break
@@ -120,10 +123,10 @@ def train_bpe(words: DataFrame, vocab_size: int, candidates: int = 64, checkpoin
             pieces.append(pieces[ids[a]] + pieces[ids[b]])
             pairs_of.append((ids[a], ids[b]))
             merged = F.replace(merged, F.lit(pair), F.lit(new))
-        table = table.select(merged.alias("w"), "n").filter(F.length("w") > 1)
+        table = table.select(merged.alias("w"), "n")
         rounds += 1
         if rounds % checkpoint_every == 0:
-            table = cut_lineage(table)
+            table = cut_lineage(table.filter(F.length("w") > 1))
     return spark.createDataFrame(
         [(i, bytearray(p), *pair) for i, (p, pair) in enumerate(zip(pieces, pairs_of))],
         "rank int, token_bytes binary, left_rank int, right_rank int",
