@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from sparkcorpus.functions.text import byte_ids
-
 # The special tokens, in id order after the ordinary vocabulary.
 SPECIAL_TOKENS = [
     "<|bos|>",
@@ -131,20 +129,49 @@ def render_segments(messages: Column, merge: bool = True) -> Column:
     return F.concat(F.array(_segment("bos", None, 0)), F.flatten(F.transform(body, _message_segments)))
 
 
-def segment_ids(segments: Column, text_ids=byte_ids, ordinary_size: int = 256) -> Column:
-    """Token ids of each segment."""
-    def ids(segment: Column) -> Column:
-        special = F.lit(None).cast("int")
-        for name in SPECIAL_TOKENS:
-            special = F.when(segment["special"] == name[2:-2], F.lit(special_id(name[2:-2], ordinary_size))).otherwise(special)
-        return F.when(segment["special"].isNotNull(), F.array(special)).otherwise(text_ids(segment["text"]))
+def segment_ids(segments: Column, encoded: Column, ordinary_size: int = 256) -> Column:
+    """Token ids of each segment. `encoded ARRAY<ARRAY<INT>>` holds the ids of each segment's text."""
+    names = F.array(*[F.lit(name[2:-2]) for name in SPECIAL_TOKENS])
+
+    def ids(segment: Column, text_ids: Column) -> Column:
+        special = (F.array_position(names, segment["special"]) - 1 + ordinary_size).cast("int")
+        return F.when(segment["special"].isNotNull(), F.array(special)).otherwise(text_ids)
+
+    return F.zip_with(segments, encoded, ids)
+
+
+# One character per special token, right behind the 256 byte characters.
+_SPECIAL_CHARACTERS = "".join(chr(256 + i) for i in range(len(SPECIAL_TOKENS)))
+
+
+def _byte_string(segments: Column) -> Column:
+    """All tokens of a chat as one string, a character per token. Long texts stay strings until they are cut."""
+    names = F.array(*[F.lit(name[2:-2]) for name in SPECIAL_TOKENS])
 
-    return F.transform(segments, ids)
+    def characters(segment: Column) -> Column:
+        special = F.substring(F.lit(_SPECIAL_CHARACTERS), F.array_position(names, segment["special"]).cast("int"), F.lit(1))
+        return F.when(segment["special"].isNotNull(), special).otherwise(F.decode(F.encode(segment["text"], "UTF-8"), "ISO-8859-1"))
 
+    return F.array_join(F.transform(segments, characters), "")
 
-def rendered(segments: Column, max_tokens: int, text_ids=byte_ids, ordinary_size: int = 256) -> Column:
-    """STRUCT<ids, mask>, cut to max_tokens."""
-    per_segment = segment_ids(segments, text_ids, ordinary_size)
+
+def _ids_of(byte_string: Column) -> Column:
+    return F.when(byte_string == "", F.array().cast("array<int>")).otherwise(
+        F.transform(F.split(byte_string, ""), lambda c: F.ascii(c))
+    )
+
+
+def rendered(segments: Column, max_tokens: int, encoded: Column | None = None, ordinary_size: int = 256) -> Column:
+    """STRUCT<ids, mask>, cut to max_tokens; byte tokens unless the ids of the texts are given."""
+    if encoded is None:
+        flags = F.transform(
+            segments,
+            lambda s: F.repeat(s["supervised"].cast("string"), F.when(s["special"].isNotNull(), 1).otherwise(F.octet_length(s["text"]))),
+        )
+        ids = _ids_of(F.substring(_byte_string(segments), 1, max_tokens))
+        cut = F.substring(F.array_join(flags, ""), 1, max_tokens)
+        return F.struct(ids.alias("ids"), F.transform(F.split(cut, ""), lambda f: f.cast("int")).alias("mask"))
+    per_segment = segment_ids(segments, encoded, ordinary_size)
     mask = F.zip_with(per_segment, segments, lambda ids, s: F.array_repeat(s["supervised"], F.size(ids)))
     return F.struct(
         F.slice(F.flatten(per_segment), 1, max_tokens).alias("ids"),
@@ -152,14 +179,18 @@ def rendered(segments: Column, max_tokens: int, text_ids=byte_ids, ordinary_size
     )
 
 
-def prompt_ids(messages: Column, max_tokens: int, strict: bool = True, text_ids=byte_ids, ordinary_size: int = 256) -> Column:
-    """Prompt that makes the assistant answer. strict: drop the last (assistant) message, cut, then append
-    assistant_start, so the result may be one longer than max_tokens. Otherwise render all turns uncut."""
-    start = F.array(F.lit(special_id("assistant_start", ordinary_size)))
+def completion_messages(messages: Column) -> Column:
+    """All messages but the last one, which is the assistant's and will be completed."""
+    return F.slice(messages, F.lit(1), F.greatest(F.size(messages) - 1, F.lit(0)))
+
+
+def prompt_ids(messages: Column, max_tokens: int, strict: bool = True) -> Column:
+    """Prompt in byte tokens that makes the assistant answer. strict: drop the last (assistant) message, cut, then
+    append assistant_start, so the result may be one longer than max_tokens. Otherwise render all turns uncut."""
+    start = F.array(F.lit(special_id("assistant_start")))
     if strict:
-        kept = F.slice(messages, F.lit(1), F.greatest(F.size(messages) - 1, F.lit(0)))
-        return F.concat(rendered(render_segments(kept), max_tokens, text_ids, ordinary_size)["ids"], start)
-    return F.concat(F.flatten(segment_ids(render_segments(messages, merge=False), text_ids, ordinary_size)), start)
+        return F.concat(rendered(render_segments(completion_messages(messages)), max_tokens)["ids"], start)
+    return F.concat(_ids_of(_byte_string(render_segments(messages, merge=False))), start)
 
 
 def request_fault(messages: Column, temperature: Column, top_k: Column, max_tokens: Column) -> Column:

@@ -8,11 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sparkcorpus.operators.ordering import join_group_values
-
-
-def _with_center(df: DataFrame, by: Sequence[str], x: Column) -> DataFrame:
-    centers = df.groupBy(*by).agg(F.avg(x).alias("_center"), F.count("*").alias("_rows"))
-    return join_group_values(df, centers, by, "_rows")
+from sparkcorpus.session import cut_lineage
 
 
 def isoflop_optima(
@@ -25,27 +21,37 @@ def isoflop_optima(
         *by, F.log10(F.col(params).cast("double")).alias("x"), F.col(loss).cast("double").alias("y"),
         F.col(params).cast("double").alias("p"), F.col(tokens).cast("double").alias("t"), F.col(ratio).cast("double").alias("r"),
     )
-    u = F.col("x") - F.col("_center")
-    power = lambda k: F.sum(F.pow(u, F.lit(float(k))))
-    sums = _with_center(named, by, F.col("x")).groupBy(*by).agg(
-        F.count("*").cast("double").alias("n"), F.max("_center").alias("center"),
-        power(2).alias("s2"), power(3).alias("s3"), power(4).alias("s4"),
-        F.sum("y").alias("t0"), F.sum(u * F.col("y")).alias("t1"), F.sum(u * u * F.col("y")).alias("t2"),
-        F.approx_count_distinct("x").alias("_sizes"), F.min("x").alias("_lo"), F.max("x").alias("_hi"),
+    # Power sums around one common centre need a single grouped pass; they are then moved to each group's own mean m.
+    common = named.agg(F.avg("x")).scalar()
+    v = F.col("x") - F.col("_common")
+    raw = named.withColumn("_common", common).groupBy(*by).agg(
+        F.count("*").cast("double").alias("n"), F.max("_common").alias("common"),
+        F.sum(v).alias("v1"), F.sum(v * v).alias("v2"), F.sum(v * v * v).alias("v3"), F.sum(v * v * v * v).alias("v4"),
+        F.sum("y").alias("t0"), F.sum(v * F.col("y")).alias("y1"), F.sum(v * v * F.col("y")).alias("y2"),
         F.min_by(F.struct("p", "t", "r", "y"), F.struct("y", "p")).alias("best"),
     )
+    m, n = F.col("m"), F.col("n")
+    sums = raw.withColumn("m", F.col("v1") / n).select(
+        *by, "n", "t0", "best", (F.col("common") + m).alias("center"),
+        (F.col("v2") - n * m * m).alias("s2"),
+        (F.col("v3") - 3 * m * F.col("v2") + 2 * n * m * m * m).alias("s3"),
+        (F.col("v4") - 4 * m * F.col("v3") + 6 * m * m * F.col("v2") - 3 * n * m * m * m * m).alias("s4"),
+        (F.col("y1") - m * F.col("t0")).alias("t1"),
+        (F.col("y2") - 2 * m * F.col("y1") + m * m * F.col("t0")).alias("t2"),
+    )
     c = {k: F.col(k) for k in ("n", "s2", "s3", "s4", "t0", "t1", "t2")}
     det = c["s4"] - c["s3"] * c["s3"] / c["s2"] - c["s2"] * c["s2"] / c["n"]
     a = (c["t2"] - c["s3"] * c["t1"] / c["s2"] - c["s2"] * c["t0"] / c["n"]) / F.col("det")
     fitted = (
-        sums.withColumn("det", F.when(F.col("s2") > 0, det))
+        sums.withColumn("det", F.when(F.col("s2") > 1e-12 * n, det))
         .withColumn("a", F.when(F.col("det") > 1e-12 * F.col("s4"), a))
-        .withColumn("b", F.when(F.col("s2") > 0, (c["t1"] - c["s3"] * F.col("a")) / c["s2"]))
+        .withColumn("b", F.when(F.col("s2") > 1e-12 * n, (c["t1"] - c["s3"] * F.col("a")) / c["s2"]))
         .withColumn("c", (c["t0"] - c["s2"] * F.col("a")) / c["n"])
         .withColumn("u", F.when(F.col("a") > 0, -F.col("b") / (2 * F.col("a"))))
         .withColumn("opt_x", F.col("center") + F.col("u"))
         .withColumn("opt_y", F.col("a") * F.col("u") * F.col("u") + F.col("b") * F.col("u") + F.col("c"))
     )
+    fitted = cut_lineage(fitted)
     at = interp_at(named, fitted.filter("opt_x is not null").select(*by, F.col("opt_x").alias("at")), by, "x", ["t", "r"])
     fit = F.col("opt_x").isNotNull()
     return fitted.join(at, list(by), "left").select(
@@ -61,8 +67,7 @@ def isoflop_optima(
 def interp_at(curve: DataFrame, queries: DataFrame, by: Sequence[str], x: str, values: Sequence[str]) -> DataFrame:
     """Linear interpolation of each group's curve at its one query point `at`, clamped at the ends. The neighbours are
     a maximum below and a minimum above, so the curve is never sorted."""
-    counts = curve.groupBy(*by).agg(F.count("*").alias("_rows"))
-    points = join_group_values(curve, queries.join(counts, list(by)), by, "_rows")
+    points = join_group_values(curve, queries, by)
     row = F.struct(F.col(x).alias("x"), *[F.col(v) for v in values])
     around = points.groupBy(*by, "at").agg(
         F.max(F.when(F.col(x) <= F.col("at"), row)).alias("lo"), F.min(F.when(F.col(x) > F.col("at"), row)).alias("hi")

@@ -11,8 +11,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from sparkcorpus.session import cut_lineage
+
 _BUCKET, _SPAN = "_bucket", "_span"
 _BUCKETS_PER_SPAN = 4096
+MAX_BROADCAST_GROUPS = 50_000
 
 
 def bucket_offsets(df: DataFrame, bucket: Column, measures: Mapping[str, Column], by: Sequence[str] = ()) -> DataFrame:
@@ -160,12 +163,17 @@ def first_n_per_group(df: DataFrame, by: Sequence[str], order: Sequence[str], n:
     )
 
 
-def join_group_values(df: DataFrame, values: DataFrame, by: Sequence[str], rows: str, hot_share: float = 0.001) -> DataFrame:
-    """Attach one row of `values` per group to the rows of `df`. `rows` is the column of `values` with the group's row
-    count. Groups above `hot_share` of all rows number at most 1/hot_share, so those few are broadcast and their
-    rows never shuffled; all other groups take the ordinary join."""
-    total = values.agg(F.sum(rows)).scalar()
-    flagged = values.withColumn("_hot", F.col(rows) >= total * hot_share)
-    hot = F.broadcast(flagged.filter("_hot").drop("_hot", rows))
-    cold = flagged.filter(~F.col("_hot")).drop("_hot", rows)
-    return df.join(hot, list(by)).unionByName(df.join(hot.select(*by), list(by), "left_anti").join(cold, list(by)))
+def join_group_values(df: DataFrame, values: DataFrame, by: Sequence[str], hot_share: float = 0.001) -> DataFrame:
+    """Attach one row of `values` per group to the rows of `df`.
+
+    The group table is written once and counted. A small one is broadcast. Otherwise groups above `hot_share` of all
+    rows, of which there are at most 1/hot_share, are broadcast and their rows never shuffle; the rest takes the
+    ordinary join."""
+    values = cut_lineage(values)
+    if values.count() <= MAX_BROADCAST_GROUPS:
+        return df.join(F.broadcast(values), list(by))
+    sizes = df.groupBy(*by).agg(F.count("*").alias("_rows"))
+    hot_keys = sizes.filter(F.col("_rows") >= df.agg(F.count("*")).scalar() * hot_share).select(*by)
+    hot = F.broadcast(cut_lineage(values.join(F.broadcast(hot_keys), list(by), "left_semi")))
+    cold = df.join(hot.select(*by), list(by), "left_anti").join(values, list(by))
+    return df.join(hot, list(by)).unionByName(cold)

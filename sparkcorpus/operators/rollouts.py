@@ -32,8 +32,8 @@ def pass_at_k(samples: DataFrame, problem: str, sample_no: str, k_max: int, corr
 
 def advantages(samples: DataFrame, by: Sequence[str], reward: str = "reward") -> DataFrame:
     """Reward minus the mean reward of the group, without variance scaling."""
-    means = samples.groupBy(*by).agg(F.avg(reward).alias("mean_reward"), F.count("*").alias("_rows"))
-    return join_group_values(samples, means, by, "_rows").withColumn("advantage", F.col(reward) - F.col("mean_reward"))
+    means = samples.groupBy(*by).agg(F.avg(reward).alias("mean_reward"))
+    return join_group_values(samples, means, by).withColumn("advantage", F.col(reward) - F.col("mean_reward"))
 
 
 def rollout_targets(samples: DataFrame, by: Sequence[str], ids: str, mask: str, pad_id: int) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sparkcorpus.functions.keys import width_bucket
-from sparkcorpus.operators.ordering import join_group_values, prefix_sums, running_min, with_position
+from sparkcorpus.operators.ordering import prefix_sums, running_min, with_position
 
 # What a training log says and where the number stands.
 LOG_RULES = {

@@ -88,7 +88,7 @@ def _exact_batch(ranked: list[tuple[str, int]], complete: bool) -> list[str]:
     return [pair for pair, _ in taken]
 
 
-def train_bpe(words: DataFrame, vocab_size: int, candidates: int = 256, checkpoint_every: int = 8) -> DataFrame:
+def train_bpe(words: DataFrame, vocab_size: int, candidates: int = 256, checkpoint_every: int = 4) -> DataFrame:
     """Byte-pair vocabulary from (word, n): `rank, token_bytes` and the merged pair `left_rank, right_rank` (null for
     bytes), for vocab_size minus the specials.
 
@@ -152,27 +152,40 @@ def _encode_word(raw: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in parts]
 
 
-def encode_corpus(df: DataFrame, ranks: DataFrame, text: str = "text", ids: str = "ids") -> DataFrame:
-    """Ordinary encoding: special strings inside a text stay ordinary text. Pre-tokens are cut in the JVM; the
-    bounded vocabulary is broadcast; a document never leaves its partition. Each batch encodes a distinct word once."""
+def _encoder(df: DataFrame, ranks: DataFrame):
+    """pandas UDF from one list of pre-tokens per text to one list of ids per text. The bounded vocabulary is broadcast;
+    each batch encodes a distinct word once."""
     shared = df.sparkSession.sparkContext.broadcast(_ranks_on_driver(ranks))
 
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf("array<array<int>>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         table = shared.value
-        for words in batches:
+        for rows in batches:
             seen: dict[str, list[int]] = {}
-            encoded = []
-            for row in words:
+
+            def ids_of(words) -> list[int]:
                 out: list[int] = []
-                for word in row:
+                for word in words:
                     if word not in seen:
                         seen[word] = _encode_word(word.encode("utf-8"), table)
                     out.extend(seen[word])
-                encoded.append(out)
-            yield pd.Series(encoded)
+                return out
+
+            yield pd.Series([[ids_of(words) for words in texts] for texts in rows])
+
+    return encode
+
+
+def encode_corpus(df: DataFrame, ranks: DataFrame, text: str = "text", ids: str = "ids") -> DataFrame:
+    """Ordinary encoding: special strings inside a text stay ordinary text. Pre-tokens are cut in the JVM and a
+    document never leaves its partition."""
+    return df.withColumn(ids, F.get(_encoder(df, ranks)(F.array(pretokens(F.col(text)))), F.lit(0)))
+
 
-    return df.withColumn(ids, encode(pretokens(F.col(text))))
+def encode_segments(df: DataFrame, ranks: DataFrame, segments: str = "segments", encoded: str = "encoded") -> DataFrame:
+    """Ids of the text of every chat segment, for `functions.chat.rendered`."""
+    words = F.transform(segments, lambda s: F.coalesce(pretokens(s["text"]), F.array().cast("array<string>")))
+    return df.withColumn(encoded, _encoder(df, ranks)(words))
 
 
 def encode_words(words: DataFrame, ranks: DataFrame) -> DataFrame:

@@ -469,8 +469,8 @@ select conv_id, case when e > 0 then e - 1 else len(ids) end as kept, md5(array_
        case when e > 0 then 'assistant_end' else 'max_new_tokens' end as stop_reason from cut""")
 def truncate_completions(spark, sf_dir):
     good = chats(spark, sf_dir).filter("render_reason is null")
-    ids = F.flatten(chat.segment_ids(chat.render_segments(F.col("messages"))))
-    rows = good.select("conv_id", F.slice(ids, F.lit(2), F.size(ids)).alias("ids"))
+    whole = chat.rendered(chat.render_segments(F.col("messages")), 2**30)["ids"]
+    rows = good.select("conv_id", whole.alias("ids")).withColumn("ids", F.slice("ids", F.lit(2), F.size("ids")))
     out = rollouts.truncate_completions(rows, "ids")
     return out.select("conv_id", F.size("kept").cast("long").alias("kept"), F.md5(F.array_join("kept", ",")).alias("digest"), "stop_reason")
 

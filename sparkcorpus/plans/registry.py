@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,5 +22,19 @@ def query(sql: str | None = None):
     return add
 
 
+SMALL_BYTES_PER_CORE = 4 * 1024 * 1024
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given table. One row group is one task, so a file with few row groups would leave cores idle; a table below
+    4 MB per core is therefore spread over the cores. Larger tables are scanned as they lie, without a shuffle."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    rows = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if 64 * 1024 < _stored_bytes(path) < cores * SMALL_BYTES_PER_CORE else rows
+
+
+@cache
+def _stored_bytes(path: str) -> int:
+    files = SparkSession.active().read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.agg(F.sum("length")).first()[0]
