@@ -222,15 +222,18 @@ def parse_chat_log(lines: DataFrame, lines_per_bucket: int = 65_536) -> DataFram
         parsed, ["line_no"], width_bucket(F.col("line_no"), lines_per_bucket), {"heads": head, "rules": rule}, ["path"]
     )
     placed = placed.withColumn("message_no", F.col("heads") + head).filter("message_no > 0")
-    messages = placed.groupBy("path", "message_no").agg(
+    request = r"(?s)^\[([A-Z]+)\]: (.*)$"
+    answer = r"(?s)^\[ASSISTANT\] \(GPU (\d+)\): (.*)$"
+    # Lines behind rule lines and other log records belong to no turn and are left out before anything is collected.
+    turn_heads = placed.filter(F.col("head") & (F.rlike("body", F.lit(request)) | F.rlike("body", F.lit(answer))))
+    lines_of_turns = placed.join(turn_heads.select("path", "message_no"), ["path", "message_no"], "left_semi")
+    messages = lines_of_turns.groupBy("path", "message_no").agg(
         F.min("rules").alias("rules"),
         F.max("logged_at").alias("logged_at"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "body"))), lambda r: r["body"]), "\n").alias("text"),
     )
-    request = r"(?s)^\[([A-Z]+)\]: (.*)$"
-    answer = r"(?s)^\[ASSISTANT\] \(GPU (\d+)\): (.*)$"
-    is_answer, is_request = F.rlike("text", F.lit(answer)), F.rlike("text", F.lit(request))
-    turns = messages.filter(is_answer | is_request).select(
+    is_answer = F.rlike("text", F.lit(answer))
+    turns = messages.select(
         "path",
         F.floor((F.col("rules") - 1) / 2).alias("request_no"),
         "message_no",

@@ -151,22 +151,25 @@ def pack_concat(df: DataFrame, doc: str, order: Sequence[str], bucket: Column, n
 
 def fill_rows(
     placements: DataFrame, tokens: DataFrame, by: Sequence[str], capacity: int, ids: str = "ids",
-    mask: str | None = None, pad_id: int | None = None, start: Column | None = None,
+    mask: str | None = None, pad_id: int | None = None, start: str | None = None,
 ) -> DataFrame:
-    """Join tokens to placements and rebuild the rows: `row`, `content_len` and, for masked data, `mask_row`. The
-    pieces are cut before they move, and a row never holds more than `capacity` tokens."""
-    begin = F.lit(1) if start is None else start + 1
-    piece = [F.slice(ids, begin, F.col("take")).alias("ids")]
-    if mask is not None:
-        piece.append(F.slice(mask, begin, F.col("take")).alias("mask"))
-    cut = placements.join(tokens.select("doc", ids, *([mask] if mask else [])), "doc").select(
-        *by, F.struct("offset", *piece).alias("piece")
-    )
-    rows = cut.groupBy(*by).agg(F.array_sort(F.collect_list("piece")).alias("pieces"))
+    """Join tokens to placements and rebuild the rows: `row`, `content_len` and, for masked data, `mask_row`. `start`
+    names the offset inside the document. A document meets all its placements in one row and is cut there, so a long
+    document is never copied per piece, and a row never holds more than `capacity` tokens."""
+    begin = F.lit(0) if start is None else F.col(start)
+    where = placements.groupBy("doc").agg(F.collect_list(F.struct(*by, "offset", begin.alias("begin"), "take")).alias("places"))
+    both = where.join(tokens.select("doc", ids, *([mask] if mask else [])), "doc")
+
+    def piece(p: Column) -> Column:
+        cut = [F.slice(ids, p["begin"] + 1, p["take"]).alias("ids")]
+        if mask is not None:
+            cut.append(F.slice(mask, p["begin"] + 1, p["take"]).alias("mask"))
+        return F.struct(*[p[k].alias(k) for k in by], F.struct(p["offset"].alias("offset"), *cut).alias("piece"))
+
+    pieces = both.select(F.explode(F.transform("places", piece)).alias("p")).select("p.*")
+    rows = pieces.groupBy(*by).agg(F.array_sort(F.collect_list("piece")).alias("pieces"))
     row = F.flatten(F.transform("pieces", lambda p: p["ids"]))
-    content = F.size(row).alias("content_len")
-    full = row if pad_id is None else pad_right(row, F.lit(capacity), pad_id)
-    out = [*by, full.alias("row"), content]
+    out = [*by, (row if pad_id is None else pad_right(row, F.lit(capacity), pad_id)).alias("row"), F.size(row).alias("content_len")]
     if mask is not None:
         flags = F.flatten(F.transform("pieces", lambda p: p["mask"]))
         out.append((flags if pad_id is None else pad_right(flags, F.lit(capacity), 0)).alias("mask_row"))
@@ -223,7 +226,9 @@ def assemble_batches(rows: DataFrame, row_no: str, batch_rows: int, value: str)
     )
 
 
-def pad_group(df: DataFrame, by: Sequence[str], ids: str, pad_id: int, lengths: DataFrame | None = None) -> DataFrame:
-    """Right-pad to the longest sequence of the group. Only the group maxima are joined back."""
-    longest = df.groupBy(*by).agg(F.max(F.size(ids)).alias("_longest")) if lengths is None else lengths
-    return df.join(longest, list(by)).withColumn(ids, pad_right(F.col(ids), F.col("_longest"), pad_id)).drop("_longest")
+def pad_group(df: DataFrame, by: Sequence[str], ids: str, pad_id: int, *also: tuple[str, object]) -> DataFrame:
+    """Right-pad to the longest sequence of the group; `also` pads further columns to the same length with their own
+    value. Only the group maxima are joined back."""
+    longest = df.groupBy(*by).agg(F.max(F.size(ids)).alias("_longest"))
+    padded = {name: pad_right(F.col(name), F.col("_longest"), value) for name, value in ((ids, pad_id), *also)}
+    return df.join(longest, list(by)).withColumns(padded).drop("_longest")

@@ -38,9 +38,7 @@ def advantages(samples: DataFrame, by: Sequence[str], reward: str = "reward") ->
 
 def rollout_targets(samples: DataFrame, by: Sequence[str], ids: str, mask: str, pad_id: int) -> DataFrame:
     """Rows padded to the longest of their batch, inputs, and targets with prompt, tool and padding tokens ignored."""
-    longest = samples.groupBy(*by).agg(F.max(F.size(ids)).alias("_longest"))
-    padded = pad_group(samples, by, ids, pad_id, longest)
-    padded = pad_group(padded, by, mask, 0, longest)
+    padded = pad_group(samples, by, ids, pad_id, (mask, 0))
     return padded.withColumn("inputs", shift_inputs(F.col(ids))).withColumn(
         "targets", mask_targets(shift_targets(F.col(ids)), F.col(mask))
     )

@@ -208,7 +208,7 @@ rows as (select row_no, count(*) as n from placed group by 1)"""
 def concat_rows(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     tokens = docs.select(F.col("doc_id").alias("doc"), with_specials(byte_ids(F.col("text")), special_id("bos")).alias("ids"))
-    return packing.fill_rows(concat_placements(spark, sf_dir), tokens, ["row_no"], CAPACITY, start=F.col("start"))
+    return packing.fill_rows(concat_placements(spark, sf_dir), tokens, ["row_no"], CAPACITY, start="start")
 
 
 def weighted(ids):
