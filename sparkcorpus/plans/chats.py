@@ -157,23 +157,22 @@ def math_rows(spark, sf_dir):
 
 
 PARTS_SQL = f"""
-math as (select {MATH_KEY}, l_quantity, {MATH_ANSWER} as answer from lineitem),
+math as (select row_number() over () as rid, {MATH_KEY}, {MATH_ANSWER} as answer from lineitem),
 pieces as (
-  select {MATH_KEY}, unnest(pieces) as piece, unnest(range(len(pieces))) as i, len(pieces) as n
+  select rid, {MATH_KEY}, unnest(pieces) as piece, unnest(range(len(pieces))) as i, len(pieces) as n
   from (select *, regexp_extract_all(answer, '<<[^>]+>>|(?:[^<]|<[^<])+') as pieces from math)),
 typed as (
-  select {MATH_KEY}, i, n, piece, piece like '<<%>>' as is_tag, piece[3:-3] as inner_text from pieces),
+  select rid, {MATH_KEY}, i, n, piece, piece like '<<%>>' as is_tag, piece[3:-3] as inner_text from pieces),
 parts as (
-  select {MATH_KEY}, i * 2 as k, 'text' as type, piece as text from typed where not is_tag
-  union all select {MATH_KEY}, i * 2, 'python', case when contains(inner_text, '=') then regexp_replace(inner_text, '=[^=]*$', '') else inner_text end from typed where is_tag
-  union all select {MATH_KEY}, i * 2 + 1, 'python_output', case when contains(inner_text, '=') then regexp_extract(inner_text, '=([^=]*)$', 1) else '' end from typed where is_tag
-  union all select {MATH_KEY}, n * 2, 'text', '' from typed where is_tag and i = n - 1)"""
+  select rid, {MATH_KEY}, i * 2 as k, 'text' as type, piece as text from typed where not is_tag
+  union all select rid, {MATH_KEY}, i * 2, 'python', case when contains(inner_text, '=') then regexp_replace(inner_text, '=[^=]*$', '') else inner_text end from typed where is_tag
+  union all select rid, {MATH_KEY}, i * 2 + 1, 'python_output', case when contains(inner_text, '=') then regexp_extract(inner_text, '=([^=]*)$', 1) else '' end from typed where is_tag
+  union all select rid, {MATH_KEY}, n * 2, 'text', '' from typed where is_tag and i = n - 1)"""
 
 
 @query(f"""
 with {PARTS_SQL}
-select {MATH_KEY}, string_agg(type || '[' || text || ']', '' order by k) as parts from (
-  select *, 1 as one from parts) group by {MATH_KEY}, one""")
+select {MATH_KEY}, string_agg(type || '[' || text || ']', '' order by k) as parts from parts group by rid, {MATH_KEY}""")
 def parse_tool_parts(spark, sf_dir):
     parts = tx.tool_parts(F.col("answer"))
     shown = F.array_join(F.transform(parts, lambda p: F.concat(p["type"], F.lit("["), p["text"], F.lit("]"))), "")

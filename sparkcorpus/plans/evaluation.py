@@ -480,9 +480,9 @@ with {PARTS_SQL},
 sized as (
   select *, strlen(text) + case type when 'text' then 0 else 2 end as n, 4 + strlen('How much is part ' || l_partkey || '?') as base from parts),
 placed as (
-  select *, base + sum(n) over k - n as start, base + sum(n) over (partition by {MATH_KEY}) + 1 as n_tokens,
-         base + coalesce(sum(n) filter (type = 'python_output') over (partition by {MATH_KEY}), 0) as forced_tokens
-  from sized window k as (partition by {MATH_KEY} order by k rows unbounded preceding))
+  select *, base + sum(n) over k - n as start, base + sum(n) over (partition by rid) + 1 as n_tokens,
+         base + coalesce(sum(n) filter (type = 'python_output') over (partition by rid), 0) as forced_tokens
+  from sized window k as (partition by rid order by k rows unbounded preceding))
 select {MATH_KEY}, forced_tokens::int as forced_tokens, n_tokens::int as n_tokens, case type when 'python' then 'python' else 'output' end as kind,
        start::int as start, (start + n - 1)::int as stop, text as span, case type when 'python' then strlen(text) else 0 end::int as sampled
 from placed where type <> 'text'""")
