@@ -114,7 +114,7 @@ def pack_greedy_pad(spark, sf_dir):
     return packing.pack_greedy(lengths(spark, sf_dir), "doc_id", "doc_id", "n_tokens", CAPACITY, crop=False).select(*PLACED)
 
 
-@query(f"""
+FFD_SQL = f"""
 with recursive groups as (
   select doc_id // {DOCS_PER_GROUP} as grp, list((strlen(text) + 1)::bigint order by strlen(text) desc, doc_id) as lens,
          list(doc_id order by strlen(text) desc, doc_id) as docs from documents group by 1),
@@ -127,7 +127,10 @@ run as (
     select *, list_position(list_transform(free, lambda f: f >= used), true)::bigint as chosen from (
       select r.grp, r.i, r.free, g.docs[r.i + 1] as doc, g.lens[r.i + 1] as n, least(g.lens[r.i + 1], {CAPACITY}) as used
       from run r join groups g on g.grp = r.grp where r.i < len(g.lens))))
-select grp as pack_group, row_no, doc, take::int as take, n_tokens::int as n_tokens from run where doc is not null""")
+select grp as pack_group, row_no, doc, take::int as take, n_tokens::int as n_tokens from run where doc is not null"""
+
+
+@query(FFD_SQL)
 def pack_ffd(spark, sf_dir):
     placed = packing.pack_ffd(lengths(spark, sf_dir), "doc_id", "doc_id", "n_tokens", CAPACITY)
     return placed.select("pack_group", "row_no", "doc", "take", "n_tokens")
@@ -156,7 +159,20 @@ def packing_report(spark, sf_dir):
     )
 
 
-@query()
+def waste_sql(policy: str, placements: str, full_rows_only: bool) -> str:
+    complete = f"sum(take) over (partition by pack_group, row_no) = {CAPACITY}" if full_rows_only else "true"
+    return f"""
+select '{policy}' as policy, count(distinct (pack_group, row_no)) filter (complete) as n_rows, sum(n_tokens) as tokens, sum(take) filter (complete) as placed,
+       sum(n_tokens - take) as cropped, sum(greatest(n_tokens - {CAPACITY}, 0)) as floor
+from (select *, {complete} as complete from ({placements}))"""
+
+
+@query("with sums as (" + " union all ".join([
+    waste_sql("greedy_crop", greedy_sql(True), True), waste_sql("greedy_pad", greedy_sql(False), False), waste_sql("first_fit_decreasing", FFD_SQL, False),
+    waste_sql("bestfit_crop", best_fit_sql(DOC_GROUPS, CAPACITY, BUFFER, True) + " select * from placements", True),
+]) + f""")
+select policy, n_rows, round(placed / (n_rows * {CAPACITY}) * 100, 4) as util_pct, round(cropped / tokens * 100, 4) as crop_pct,
+       round((n_rows * {CAPACITY} - placed) / (n_rows * {CAPACITY}) * 100, 4) as pad_pct, round(floor / tokens * 100, 4) as floor_pct from sums""")
 def packing_policies(spark, sf_dir):
     """The waste of every policy side by side, as percentages of tokens and of row space."""
     df, args = lengths(spark, sf_dir), ("doc_id", "doc_id", "n_tokens", CAPACITY)

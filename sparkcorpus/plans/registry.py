@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -22,7 +21,9 @@ def query(sql: str | None = None):
     return add
 
 
+TINY_BYTES = 64 * 1024
 SMALL_BYTES_PER_CORE = 4 * 1024 * 1024
+_SIZES: dict[str, int] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,10 +32,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     rows = spark.read.parquet(path)
     cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if 64 * 1024 < _stored_bytes(path) < cores * SMALL_BYTES_PER_CORE else rows
-
-
-@cache
-def _stored_bytes(path: str) -> int:
-    files = SparkSession.active().read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.agg(F.sum("length")).first()[0]
+    if path not in _SIZES:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        _SIZES[path] = files.agg(F.sum("length")).first()[0]
+    return rows.repartition(cores) if TINY_BYTES < _SIZES[path] < cores * SMALL_BYTES_PER_CORE else rows

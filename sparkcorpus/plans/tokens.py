@@ -164,7 +164,23 @@ def compression_report(spark, sf_dir):
     return report.withColumn("bytes_per_token", F.round("bytes_per_token", 6))
 
 
-@query()
+@query(f"""
+with recursive {PRETOKENS_SQL},
+counts as (select lang, word, count(*) as n from (select lang, unnest(words) as word from pretokens) group by 1, 2),
+words as (
+  select word, array_to_string(list_transform(regexp_extract_all(hex(encode(word)), '..'), lambda h: chr(('0x' || h)::int)), '') as w, sum(n) as n
+  from counts group by 1),
+run as (
+  select 255 as rank, word, w, n from words
+  union all
+  select rank + 1, word, replace(w, best, chr(rank + 1)), n from run, (
+    select pair as best from (
+      select w[i:i + 1] as pair, sum(n) as total from (select w, n, unnest(range(1, length(w))) as i from run) group by 1)
+    order by total desc, pair limit 1)
+  where rank < {255 + MERGES})
+select lang, sum(c.n * strlen(word))::bigint as n_bytes, sum(c.n * length(w))::bigint as n_tokens,
+       round(sum(c.n * strlen(word)) / sum(c.n * length(w)), 6) as bytes_per_token
+from counts c join run using (word) where rank = {255 + MERGES} group by 1""")
 def compression_by_histogram(spark, sf_dir):
     """Trained vocabulary against bytes, per language. Tokens are counted on distinct words times their frequency."""
     ranks = trained(spark, sf_dir)

@@ -69,17 +69,13 @@ def test_byte_lengths_are_broadcast_and_checked(spark, monkeypatch):
 
 
 def test_no_query_builds_a_cross_product(spark):
-    skip = {"stream_shard_totals", "stream_ema", "stream_requests", "train_bpe", "encode_corpus", "compression_by_histogram"}
     for name in ("pack_concat", "resume_from", "centered_scores", "pass_at_k", "sweep_grid", "power_law", "running_best", "throughput_report", "mix_datasets"):
-        assert name not in skip
         text = plan(entry.queries()[name](spark, "/root/testdata/sf0.001"))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
 
 
 def test_registered_queries_have_sql():
-    without = set(entry.queries()) - set(entry.oracle_sql())
-    assert without == {"compression_by_histogram", "packing_policies"}
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(entry.oracle_sql()) == set(entry.queries())
 
 
 def test_functions_stay_in_the_jvm():
