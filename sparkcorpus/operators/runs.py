@@ -166,15 +166,16 @@ def throughput_report(
     steps: DataFrame, run: str, step: str, seconds: str, batch_tokens: int, flops_per_token: float, peak_flops: float, warmup: int = 10
 ) -> DataFrame:
     """Tokens/s, FLOP/s, utilisation %, training time without the first steps, and time left. `num_iterations` is a
-    column of the input."""
+    column of the input. Rates of a step without measured time are null."""
+    elapsed = F.when(F.col(seconds) > 0, F.col(seconds))
     timed = F.when(F.col(step) > warmup, F.col(seconds)).otherwise(0.0)
     placed = prefix_sums(steps, [step], width_bucket(F.col(step), 65_536), {"_before": timed}, [run])
     total = F.col("_before") + timed
     done = F.col(step) - warmup
-    flops = F.lit(flops_per_token * batch_tokens) / F.col(seconds)
+    flops = F.lit(flops_per_token * batch_tokens) / elapsed
     return placed.select(
         *steps.columns,
-        F.floor(F.lit(batch_tokens) / F.col(seconds)).alias("tokens_per_second"),
+        F.floor(F.lit(batch_tokens) / elapsed).alias("tokens_per_second"),
         flops.alias("flops_per_second"),
         (100 * flops / F.lit(peak_flops)).alias("utilisation_pct"),
         total.alias("training_seconds"),

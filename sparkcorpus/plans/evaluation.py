@@ -438,7 +438,7 @@ def rollout_targets(spark, sf_dir):
 with tokens as (
   select user_id % 10 as step, (event_id % 4)::int as pass_no, event_id % 7 - 1 as target_id, -value / 100 as logp, (event_id % 5 - 2)::double as advantage from events)
 select step, pass_no, round(sum(case when target_id >= 0 then logp * advantage else 0 end), 6) as weighted, count(*) filter (target_id >= 0) as valid_tokens,
-       round(sum(case when target_id >= 0 then logp * advantage else 0 end) / (greatest(count(*) filter (target_id >= 0), 1) * 4 * 16), 9) as objective
+       round(sum(case when target_id >= 0 then logp * advantage else 0 end) / (greatest(count(*) filter (target_id >= 0), 1) * 4 * 16), 12) as objective
 from tokens group by 1, 2""")
 def policy_objective(spark, sf_dir):
     tokens = table(spark, sf_dir, "events").select(
@@ -446,7 +446,7 @@ def policy_objective(spark, sf_dir):
         (-F.col("value") / 100).alias("logp"), (F.col("event_id") % 5 - 2).cast("double").alias("advantage"),
     )
     out = rollouts.policy_objective(tokens, "step", "pass_no", passes=4, examples=16)
-    return out.withColumn("weighted", F.round("weighted", 6)).withColumn("objective", F.round("objective", 9))
+    return out.withColumn("weighted", F.round("weighted", 6)).withColumn("objective", F.round("objective", 12))
 
 
 @query("""

@@ -14,7 +14,7 @@ EFFECTIVE = "((l_partkey + 50) * 1000 + (l_suppkey + 1) * 100)"
 RUN_FIELDS = {
     "run_id": "l_orderkey * 100000 + l_partkey",
     "budget": "l_linenumber",
-    "flops_budget": "pow(10.0, 17 + l_linenumber)",
+    "flops_budget": "cast(concat('1e', cast(17 + l_linenumber as varchar(20))) as double)",
     "depth": "4 + l_suppkey % 24",
     "params_transformer": "(l_partkey + 50) * 1000",
     "params_lm_head": "(l_suppkey + 1) * 100",
@@ -190,10 +190,10 @@ solved as (
   from optima o left join sides s on s.budget = o.budget)"""
 
 
-@query(f"with {OPTIMA_SQL} select budget, fitted, round(params, 2) as params, round(tokens, -3) as tokens, round(ratio, 5) as ratio, round(bpb, 8) as bpb from solved")
+@query(f"with {OPTIMA_SQL} select budget, fitted, round(params, 0) as params, round(tokens, -3) as tokens, round(ratio, 2) as ratio, round(bpb, 6) as bpb from solved")
 def isoflop_optima(spark, sf_dir):
     out = fits.isoflop_optima(fitted_runs(spark, sf_dir), ["budget"])
-    return rounded(rounded(rounded(rounded(out, 2, "params"), -3, "tokens"), 5, "ratio"), 8, "bpb")
+    return rounded(rounded(rounded(rounded(out, 0, "params"), -3, "tokens"), 2, "ratio"), 6, "bpb")
 
 
 @query(f"""
@@ -295,14 +295,16 @@ def estimate_scores(spark, sf_dir):
 
 
 @query("""
-with v as (select l_suppkey, l_returnflag, avg(l_extendedprice) as value from lineitem group by 1, 2)
-select b.l_suppkey, round(b.value, 4) as base, round(o.value, 4) as other, round(o.value - b.value, 4) as change,
+with v as (select l_suppkey, l_returnflag, sum(round(l_extendedprice * 100)::bigint) / count(*) as value from lineitem group by 1, 2)
+select b.l_suppkey, round(b.value, 6) as base, round(o.value, 6) as other, round(o.value - b.value, 6) as change,
        round(100 * (o.value - b.value) / b.value, 6) as improvement_pct
 from v b join v o on o.l_suppkey = b.l_suppkey and b.l_returnflag = 'N' and o.l_returnflag = 'R'""")
 def compare_pairs(spark, sf_dir):
-    values = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", "l_returnflag").agg(F.avg("l_extendedprice").alias("value"))
+    values = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", "l_returnflag").agg(
+        (F.sum(F.round(F.col("l_extendedprice") * 100).cast("long")) / F.count("*")).alias("value")
+    )
     out = fits.compare_pairs(values.filter("l_returnflag = 'N'"), values.filter("l_returnflag = 'R'"), ["l_suppkey"], "value")
-    return rounded(rounded(out, 4, "base", "other", "change"), 6, "improvement_pct")
+    return rounded(out, 6, "base", "other", "change", "improvement_pct")
 
 
 # --- step series --------------------------------------------------------------------------------------------------
@@ -336,13 +338,13 @@ STEPS_SQL = "steps as (select user_id, event_id, event_type, value, row_number()
 @query(f"""
 with {STEPS_SQL},
 timed as (select *, sum(case when step > 10 then value else 0 end) over (partition by user_id order by step rows unbounded preceding) as total from steps)
-select user_id, step, floor(524288 / value)::bigint as tokens_per_second, round(3e9 * 524288 / value, 0) as flops_per_second,
-       round(100 * (3e9 * 524288 / value) / 989e12, 6) as utilisation_pct, round(total, 6) as training_seconds,
-       case when step > 10 then round((120 - step) * total / (step - 10), 6) end as eta_seconds from timed""")
+select user_id, step, floor(524288 / nullif(value, 0))::bigint as tokens_per_second, round(3e9 * 524288 / nullif(value, 0), 0) as flops_per_second,
+       round(100 * (3e9 * 524288 / nullif(value, 0)) / 989e12, 6) as utilisation_pct, round(total, 6) as training_seconds,
+       case when step > 10 then round((120 - step) * total / (step - 10), 9) end as eta_seconds from timed""")
 def throughput_report(spark, sf_dir):
     rows = stepped(spark, sf_dir).select("user_id", "step", "value").withColumn("num_iterations", F.lit(120))
     out = runs.throughput_report(rows, "user_id", "step", "value", 524288, 3e9, 989e12).drop("value", "num_iterations")
-    return rounded(rounded(out, 0, "flops_per_second"), 6, "utilisation_pct", "training_seconds", "eta_seconds")
+    return rounded(rounded(rounded(out, 0, "flops_per_second"), 6, "utilisation_pct", "training_seconds"), 9, "eta_seconds")
 
 
 @query("select user_id, event_id, value, min(value) over (partition by user_id order by event_id rows unbounded preceding) as best_so_far from events")

@@ -30,7 +30,7 @@ def _plain(value):
     if isinstance(value, float):
         if math.isnan(value):
             return "nan"
-        return float(f"{value:.9g}") + 0.0
+        return value + 0.0 if "-exact" in sys.argv else float(f"{value:.9g}") + 0.0
     if isinstance(value, (bytes, bytearray)):
         return bytes(value).hex()
     if isinstance(value, (list, tuple)):
