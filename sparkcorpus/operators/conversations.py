@@ -29,13 +29,18 @@ def message(role, content: Column | None = None, parts: Column | None = None) ->
     )
 
 
-def head_turns(turns: DataFrame, conv: str, turn: str, max_tokens: int, text_tokens: Column) -> DataFrame:
-    """Turns that can still contribute to the first max_tokens tokens of their conversation, and always the first two,
-    because a system turn needs the user turn behind it. A turn costs its text and two markers, so at most
-    max_tokens/2 + 2 turns of a conversation stay, however long it is."""
-    costs = {"_before": (text_tokens + 2).cast("long"), "_pos": F.lit(1).cast("long")}
-    placed = prefix_sums(turns, [turn], width_bucket(F.col(turn), TURNS_PER_BUCKET), costs, [conv])
-    return placed.filter((F.col("_before") < max_tokens + 2) | (F.col("_pos") < 2)).drop("_before", "_pos")
+def place_turns(turns: DataFrame, conv: str, turn: str, text_tokens: Column) -> DataFrame:
+    """Adds the position of each turn in its conversation (`_pos`) and the tokens before it (`_before`): its text and
+    two markers per turn."""
+    measures = {"_before": (text_tokens + 2).cast("long"), "_pos": F.lit(1).cast("long")}
+    return prefix_sums(turns, [turn], width_bucket(F.col(turn), TURNS_PER_BUCKET), measures, [conv])
+
+
+def head_turns(placed: DataFrame, max_tokens: int) -> DataFrame:
+    """Placed turns that can still contribute to the first max_tokens tokens of their conversation, and always the first
+    two, because a system turn needs the user turn behind it. So at most max_tokens/2 + 2 turns of a conversation
+    stay, however long it is."""
+    return placed.filter((F.col("_before") < max_tokens + 2) | (F.col("_pos") < 2))
 
 
 def assemble_conversations(turns: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
@@ -59,8 +64,12 @@ def split_valid(df: DataFrame, reason: str = "chat_reason") -> tuple[DataFrame,
 def validate_turns(turns: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
     """The rules of `validate_conversations` on turn rows: one aggregate per conversation, nothing collected, so a
     conversation may have any number of turns."""
-    placed = with_position(turns, [turn], width_bucket(F.col(turn), TURNS_PER_BUCKET), "pos", [conv])
-    at = F.col("pos")
+    placed = with_position(turns, [turn], width_bucket(F.col(turn), TURNS_PER_BUCKET), "_pos", [conv])
+    return _turn_reasons(placed, conv, role, text)
+
+
+def _turn_reasons(placed: DataFrame, conv: str, role: str, text: str) -> DataFrame:
+    at = F.col("_pos")
     expected = lambda p: F.when(p % 2 == 0, F.lit("user")).otherwise(F.lit("assistant"))
     wrong = lambda p: F.when(F.col(role).eqNullSafe(expected(p)), 0).otherwise(1)
     flag = lambda c: F.max(F.when(c, 1).otherwise(0))
@@ -90,9 +99,10 @@ def validate_turns(turns: DataFrame, conv: str, turn: str, role: str, text: str)
 
 def renderable_heads(turns: DataFrame, conv: str, turn: str, role: str, text: str, max_tokens: int, text_tokens: Column) -> DataFrame:
     """Conversations ready for truncated rendering: judged on all their turns, assembled from their first ones."""
-    good = validate_turns(turns, conv, turn, role, text).filter("render_reason is null").select(conv)
-    heads = head_turns(turns, conv, turn, max_tokens, text_tokens)
-    return assemble_conversations(heads, conv, turn, role, text).join(good, conv, "left_semi")
+    placed = place_turns(turns, conv, turn, text_tokens)
+    good = _turn_reasons(placed, conv, role, text).filter("render_reason is null").select(conv)
+    heads = assemble_conversations(head_turns(placed, max_tokens), conv, turn, role, text)
+    return heads.join(good, conv, "left_semi")
 
 
 # --- dataset adapters ---------------------------------------------------------------------------------------------

@@ -76,32 +76,35 @@ def truncate_completions(df: DataFrame, ids: str, ordinary_size: int = 256) -> D
 
 
 def extract_tool_spans(df: DataFrame, keep: Sequence[str], ids: str, mask: str, ordinary_size: int = 256) -> DataFrame:
-    """Tool calls of each sequence: the tokens between python_start and the next python_end, how many tokens of the
-    sequence were forced (mask 0), and the same for output spans. A sequence stays one row; spans are found by
-    position, not by a shuffle."""
-    def spans(kind: str, start: str, end: str) -> Column:
-        opens = F.filter(F.transform(ids, lambda t, i: F.when(t == special_id(start, ordinary_size), i)), lambda i: i.isNotNull())
-        closes = F.filter(F.transform(ids, lambda t, i: F.when(t == special_id(end, ordinary_size), i)), lambda i: i.isNotNull())
-
-        def one(o: Column) -> Column:
-            close = F.array_min(F.filter(closes, lambda c: c > o))
-            return F.struct(
-                F.lit(kind).alias("kind"), o.alias("start"), close.alias("end"),
-                F.slice(ids, o + 2, close - o - 1).alias("span_ids"),
-                F.aggregate(F.slice(mask, o + 2, close - o - 1), F.lit(0), lambda acc, m: acc + m.cast("int")).alias("sampled"),
-            )
-
-        # An opening marker inside an open span restarts it, as the last opening before a close counts.
-        def last_before_close(o: Column) -> Column:
-            close = F.array_min(F.filter(closes, lambda c: c > o))
-            return close.isNotNull() & ~F.exists(opens, lambda other: (other > o) & (other < close))
-
-        return F.transform(F.filter(opens, last_before_close), one)
-
-    both = F.concat(spans("python", "python_start", "python_end"), spans("output", "output_start", "output_end"))
+    """Tool calls of each sequence: the tokens between python_start and python_end, the same for tool output, and how
+    many of the tokens were sampled (mask 1) or forced (mask 0). Among the markers of one kind a span is a start directly
+    followed by an end; an earlier start that was opened again does not count. A sequence stays one row."""
+    kinds = {"python": ("python_start", "python_end"), "output": ("output_start", "output_end")}
+    marker = lambda name: F.lit(special_id(name, ordinary_size))
+    positions = F.transform(ids, lambda t, i: F.struct(i.alias("i"), t.alias("t")))
     forced = F.size(F.filter(mask, lambda m: m == 0))
-    return df.select(*keep, forced.alias("forced_tokens"), F.size(ids).alias("n_tokens"), F.explode(both).alias("s")).select(
-        *keep, "forced_tokens", "n_tokens", "s.*"
+    rows = df.select(
+        *keep, ids, mask, forced.alias("forced_tokens"), F.size(ids).alias("n_tokens"),
+        F.filter(positions, lambda p: p["t"].between(marker("python_start"), marker("output_end"))).alias("_marks"),
+    )
+    rows = rows.select("*", *[
+        F.filter("_marks", lambda p: (p["t"] == marker(start)) | (p["t"] == marker(end))).alias(f"_{kind}")
+        for kind, (start, end) in kinds.items()
+    ])
+
+    def spans(kind: str, start: str, end: str) -> Column:
+        pairs = F.zip_with(
+            f"_{kind}", F.slice(f"_{kind}", F.lit(2), F.size(f"_{kind}")),
+            lambda a, z: F.when((a["t"] == marker(start)) & (z["t"] == marker(end)), F.struct(F.lit(kind).alias("kind"), a["i"].alias("start"), z["i"].alias("end"))),
+        )
+        return F.filter(pairs, lambda p: p.isNotNull())
+
+    both = F.concat(*[spans(kind, *names) for kind, names in kinds.items()])
+    found = rows.select(*keep, ids, mask, "forced_tokens", "n_tokens", F.explode(both).alias("s"))
+    inside = lambda column: F.slice(column, F.col("s.start") + 2, F.col("s.end") - F.col("s.start") - 1)
+    return found.select(
+        *keep, "forced_tokens", "n_tokens", "s.kind", "s.start", "s.end", inside(ids).alias("span_ids"),
+        F.size(F.filter(inside(mask), lambda m: m == 1)).alias("sampled"),
     )
 
 

@@ -19,7 +19,7 @@ def stream_shard_totals(spark, sf_dir):
     path = fresh_path(spark, "arriving")
     write_shards(sharded(spark, sf_dir), path, "shard", "pos", ["source", "text"])
     return streams.stream_shard_totals(
-        spark, path, "source string, text string", fresh_path(spark, "totals"), fresh_path(spark, "totals-state"), files_per_batch=4
+        spark, path, "source string, text string", fresh_path(spark, "totals"), fresh_path(spark, "totals-state"), files_per_batch=32
     )
 
 
