@@ -13,6 +13,7 @@ from sparkcorpus.session import cut_lineage
 
 # A vocabulary is a driver-side lookup table; a larger one than this is refused rather than broadcast.
 MAX_VOCABULARY = 1_048_576
+WORDS_PER_PARTITION = 200_000
 _FIRST_SURROGATE, _SURROGATES = 0xD800, 0x800
 
 
@@ -102,7 +103,9 @@ def train_bpe(words: DataFrame, vocab_size: int, candidates: int = 256, checkpoi
     if vocab_size > MAX_VOCABULARY:
         raise ValueError(f"vocabulary above {MAX_VOCABULARY}")
     table = words.select(F.decode(F.encode("word", "UTF-8"), "ISO-8859-1").alias("w"), "n").filter(F.length("w") > 1)
-    table = cut_lineage(table.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    table = cut_lineage(table)
+    wanted = max(spark.sparkContext.defaultParallelism, table.count() // WORDS_PER_PARTITION)
+    table = cut_lineage(table.repartition(wanted))
     pieces: list[bytes] = [bytes([b]) for b in range(256)]
     pairs_of: list[tuple[int | None, int | None]] = [(None, None)] * 256
     ids = {_symbol(i): i for i in range(256)}
