@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -9,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "8", app: str = "sparkcorpus", memory: str = "12g") -> SparkSession:
-    """A session for tests and the benchmark. On a cluster the submitter configures the session instead."""
+    """A session on this machine alone, for tests and the benchmark; its checkpoint folder is local where none is set.
+    On a cluster the submitter configures the session instead."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -25,15 +27,20 @@ def local_session(cores: str = "8", app: str = "sparkcorpus", memory: str = "12g
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(os.path.join(tempfile.gettempdir(), "sparkcorpus-checkpoints"))
     return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees: the cluster's checkpoint folder, or an own one where none is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder every executor sees: the cluster's `spark.checkpoint.dir`, else the one given to
+    `setCheckpointDir`. Without either there is no folder that a lost executor could not take along."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="sparkcorpus-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        raise RuntimeError(
+            "No shared folder: set spark.checkpoint.dir, or call sparkContext.setCheckpointDir, to a path that the "
+            "driver and all executors can reach."
+        )
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
