@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkcorpus.llm import decontamination, quality_rules, source_mixing
+from sparkcorpus.llm import decontamination, quality_rules, simhash_dedup, source_mixing
 from sparkcorpus.llm.common import word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,6 +75,12 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents")).select("row.doc_id", "size", "source_size", "target", taken)
 
 
+@query()
+def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents are near-duplicates, by fingerprints that differ in three bits or fewer?"""
+    return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which documents repeat themselves too much, and by how much?"""

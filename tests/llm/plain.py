@@ -56,3 +56,30 @@ def contamination(text, items, window=10):
                 hit.update(range(start, start + length))
                 names.add("" if name is None else str(name))
     return len(found), len(hit), len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest()
+
+
+def fingerprint(text):
+    import xxhash
+
+    ws = words(ascii_lower(text))
+    grams = [" ".join(ws[i : i + 3]) for i in range(len(ws) - 2)] or ([" ".join(ws)] if ws else [])
+    hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def linked(values, near):
+    """The smallest position reachable from each position."""
+    root = list(range(len(values)))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i in range(len(values)):
+        for j in range(i):
+            if near(values[i], values[j]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return [find(i) for i in range(len(values))]
