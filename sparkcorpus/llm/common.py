@@ -21,6 +21,11 @@ def save(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def whole_row(df: DataFrame, keep: list[str] | None = None) -> Column:
+    """The row, or the columns to keep of it, as one struct: no added column can clash with its names."""
+    return F.struct(*[F.col(f"`{c}`") for c in (df.columns if keep is None else keep)]).alias("row")
+
+
 def as_bytes(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of each string; empty for null."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

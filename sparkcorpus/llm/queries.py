@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkcorpus.llm import decontamination, quality_rules, simhash_dedup, source_mixing
-from sparkcorpus.llm.common import word_count
+from sparkcorpus.llm import decontamination, html_extraction, quality_rules, simhash_dedup, source_mixing, suffix_dedup, token_rollups, warc_dedup
+from sparkcorpus.llm.common import save, word_count
+from sparkcorpus.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -40,8 +41,8 @@ def mix_quality(text: str = "text"):
     return F.when(chars > 0, F.length(F.translate(text, SYMBOLS, "")) / chars)
 
 
-def mixed(docs: DataFrame) -> DataFrame:
-    return source_mixing.mix(docs, word_count("text"), mix_quality(), MIX_WEIGHTS, MIX_SHARE, MIX_MOST, MIX_SEED)
+def mixed(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    return source_mixing.mix(docs, word_count("text"), mix_quality(), MIX_WEIGHTS, MIX_SHARE, MIX_MOST, MIX_SEED, keep=keep)
 
 
 MIX_SQL = r"""
@@ -72,7 +73,23 @@ from o
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document does a mix of all sources by weight 5, 2, 1 take?"""
     taken = (F.col("size") * F.col("copies")).alias("taken")
-    return mixed(table(spark, sf_dir, "documents")).select("row.doc_id", "size", "source_size", "target", taken)
+    return mixed(table(spark, sf_dir, "documents"), ["doc_id"]).select("row.doc_id", "size", "source_size", "target", taken)
+
+
+WARC_SQL = """
+with p as (select page_id, sha1(coalesce(html, '')) as digest, strlen(coalesce(html, ''))::bigint as size from pages),
+o as (select digest, size, max(page_id) as original, count(*) as n from p where size >= 1000 group by digest, size)
+select page_id, p.size as payload_bytes, p.digest as payload_digest,
+       case when original is null or page_id is not distinct from original then 'response' else 'revisit' end as record_type,
+       case when original is not null and page_id is distinct from original then original end as refers_to, true as intact
+from p left join o on p.digest = o.digest and p.size = o.size and o.n > 1
+"""
+
+
+@query(WARC_SQL)
+def op2_warc_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which records does an archive of all pages hold, with equal payloads stored once?"""
+    return warc_dedup.archive_pages(table(spark, sf_dir, "pages"), fresh_path(spark, "archive"))
 
 
 @query()
@@ -88,6 +105,58 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "r.*").drop("dup_ngram_chars")
 
 
+@query()
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is the main text of each page, by the consensus of its host?"""
+    found = html_extraction.extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+    return found.select("row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query()
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without the 400-byte strings that occur twice in the corpus?"""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha256"))
+    found = suffix_dedup.remove_repeats(docs, keep=["doc_id", "sha256"])
+    digest = F.coalesce(F.sha2("kept", 256), F.col("row.sha256")).alias("kept_sha256")
+    return found.select("row.doc_id", "n_bytes", "n_removed", "n_spans", digest)
+
+
+ROLLUP_SQL = r"""
+with d as (
+  select doc_id, source, lang, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as words,
+         coalesce(len(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')), 0)::bigint as bare,
+         coalesce(strlen(text), 0)::bigint as bytes from documents),
+live as (
+  select source, lang, 'words' as version, case when lang = 'en' then words else bare end as n from d where words >= 50
+  union all select source, lang, 'bytes', bytes from d where words >= 50
+  union all select 'returned', lang, 'words', words from d where words < 50 and words >= 20)
+select source, lang, version, count(*) as n_docs, sum(n)::bigint as n_tokens from live group by source, lang, version
+"""
+
+
+@query(ROLLUP_SQL)
+def op9_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many tokens has each source and language by tokenizer, after inserts, revisions, deletions and repeats of
+    the documents' counts?"""
+    count = [word_count("text").alias("words"), decontamination.word_count("text").alias("bare"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes")]
+    docs = save(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", *count), "token-counts")
+
+    def changes(op: str, version: str, n: str, where: str = "true", source: str = "source") -> DataFrame:
+        fixed = [F.lit(version).alias("version"), F.lit(op).alias("op"), F.lit(0).alias("seq")]
+        return docs.filter(where).select("doc_id", *fixed, F.col(n).cast("long").alias("n_tokens"), F.expr(source).alias("source"), "lang")
+
+    rollup = token_rollups.TokenRollup(spark, fresh_path(spark, "rollup"))
+    first = changes("insert", "words", "words").union(changes("insert", "bytes", "bytes"))
+    rollup.commit("first", first)
+    rollup.commit("revision", changes("revise", "words", "bare", "not lang <=> 'en'"))
+    rollup.commit("first", first)
+    short = changes("delete", "words", "words", "words < 50").union(changes("delete", "bytes", "bytes", "words < 50"))
+    rollup.commit("deletion", short)
+    rollup.commit("return", changes("insert", "words", "words", "words between 20 and 49", "'returned'"))
+    rollup.commit("revision", changes("revise", "words", "bare", "not lang <=> 'en'"))
+    return rollup.totals()
+
+
 @query()
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which words of which documents occur in ten-word windows of the benchmark?"""

@@ -24,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sparkcorpus.llm.common import as_bytes, map_batches, save
+from sparkcorpus.llm.common import as_bytes, map_batches, save, whole_row
 from sparkcorpus.llm.components import components
 
 WORDS, RADIUS, SEED, TILE = 3, 3, 42, 2048
@@ -169,7 +169,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     """One row of each component, with its columns as they are."""
     rows = docs.select(
-        F.struct("*").alias("row"), fingerprints(text, words).alias("_fp"), F.monotonically_increasing_id().alias("_uid")
+        whole_row(docs), fingerprints(text, words).alias("_fp"), F.monotonically_increasing_id().alias("_uid")
     )
     rows = save(rows, "rows")
     ident = F.col("row").getField(doc_id)

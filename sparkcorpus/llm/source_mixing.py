@@ -20,7 +20,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sparkcorpus.llm.common import numbered, save, sums_before
+from sparkcorpus.llm.common import numbered, save, sums_before, whole_row
 
 MIN_QUALITY = 1e-3
 _ID, _HASH, _SOURCE = "_id", "_hash", "_source"
@@ -54,9 +54,9 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, mos
 
 def mix(
     docs: DataFrame, size: Column, quality: Column, weights: Sequence[float], share: float, most: float = 2.0, seed: int = 0,
-    doc_id: str = "doc_id", source: str = "source", text: str = "text",
+    doc_id: str = "doc_id", source: str = "source", text: str = "text", keep: list[str] | None = None,
 ) -> DataFrame:
-    """Every row as struct `row`, with `size`, `source_size`, `target` and `copies` (how often the mix takes it)."""
+    """Every row (or the columns to keep) as struct `row`, with `size`, `source_size`, `target` and `copies` (how often the mix takes it)."""
     key = sampling_key(seed, F.col(doc_id), quality)
     slim = docs.select(
         F.col(source).alias(_SOURCE), key.alias("_key"), F.col(doc_id).alias(_ID),
@@ -78,7 +78,7 @@ def mix(
     plan = save(plan.select(F.col(_SOURCE).alias("_of"), "source_size", "target", "epochs", "_last"), "mix-plan")
 
     here = F.struct(key.alias("_key"), F.coalesce(F.col(doc_id), F.lit(2**63 - 1)).alias(_ID), F.xxhash64(F.col(text)).alias(_HASH))
-    rows = docs.select(F.struct("*").alias("row"), size.cast("long").alias("size"), here.alias("_here"), F.col(source).alias(_SOURCE))
+    rows = docs.select(whole_row(docs, keep), size.cast("long").alias("size"), here.alias("_here"), F.col(source).alias(_SOURCE))
     joined = rows.join(plan, F.col(_SOURCE).eqNullSafe(F.col("_of")))
     extra = F.coalesce((F.col("_here") <= F.col("_last")).cast("long"), F.lit(0))
     copies = F.when(F.col("size") > 0, F.col("epochs") + extra).otherwise(0)

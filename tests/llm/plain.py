@@ -83,3 +83,18 @@ def linked(values, near):
                 a, b = sorted((find(i), find(j)))
                 root[b] = a
     return [find(i) for i in range(len(values))]
+
+
+def repeats(texts, length=400):
+    """n_bytes, n_removed, n_spans and the kept bytes of each text."""
+    data = [(t or "").encode() for t in texts]
+    count = Counter(d[i : i + length] for d in data for i in range(len(d) - length + 1))
+    found = []
+    for d in data:
+        gone = bytearray(len(d))
+        for i in range(len(d) - length + 1):
+            if count[d[i : i + length]] > 1:
+                gone[i : i + length] = b"\1" * length
+        kept = bytes(b for b, g in zip(d, gone) if not g)
+        found.append((len(d), sum(gone), len(re.findall(rb"\x01+", bytes(gone))), kept))
+    return found
