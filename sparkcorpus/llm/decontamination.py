@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sparkcorpus.llm.common import as_bytes, map_batches, save
+from sparkcorpus.llm.common import as_bytes, map_batches, save, whole_row
 
 WINDOW = 10
 BLOCK_WORDS = 2_000_000
@@ -138,10 +138,10 @@ def hit_words(spans: Column) -> Column:
     return F.aggregate(spans, start, step, lambda acc: acc["covered"])
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
-    """Every row as struct `row` with `n_words`, `n_hit` (words inside an occurrence) and `items` (sorted names)."""
+def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", keep: list[str] | None = None, **options) -> DataFrame:
+    """Every row (or the columns to keep) as struct `row` with `n_words`, `n_hit` (words inside an occurrence) and `items` (sorted names)."""
     found = find_items(docs, benchmark, text, **options)
-    rows = docs.select(F.struct("*").alias("row"), word_count(text).alias("n_words"), F.unhex(F.md5(F.col(text))).alias("_key"))
+    rows = docs.select(whole_row(docs, keep), word_count(text).alias("n_words"), F.unhex(F.md5(F.col(text))).alias("_key"))
     joined = rows.join(found, F.col("_key") == F.col(_KEY), "left")
     none = F.array().cast("array<string>")
     return joined.select(
@@ -152,5 +152,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", **o
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """The rows without any occurrence, with their columns as they are."""
     found = find_items(docs, benchmark, text, **options).select(_KEY)
-    rows = docs.select(F.struct("*").alias("row"), F.unhex(F.md5(F.col(text))).alias("_key"))
+    rows = docs.select(whole_row(docs), F.unhex(F.md5(F.col(text))).alias("_key"))
     return rows.join(found, F.col("_key") == F.col(_KEY), "left_anti").select("row.*")

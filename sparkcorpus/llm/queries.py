@@ -160,7 +160,7 @@ def op9_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which words of which documents occur in ten-word windows of the benchmark?"""
-    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
     return found.select(
         "row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
