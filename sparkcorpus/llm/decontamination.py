@@ -28,14 +28,14 @@ WINDOW = 10
 BLOCK_WORDS = 2_000_000
 _KEY = "_text_md5"
 #: Upper case becomes lower case, every other ASCII character that is no letter or digit becomes a blank.
-_FOLD = bytes(
+FOLD = bytes(
     c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256)
 )
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words_of(text: bytes) -> list[bytes]:
-    return text.translate(_FOLD).split()
+    return text.translate(FOLD).split()
 
 
 def word_count(text: str | Column) -> Column:

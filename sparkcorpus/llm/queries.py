@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkcorpus.llm import decontamination, html_extraction, quality_rules, simhash_dedup, source_mixing, suffix_dedup, token_rollups, warc_dedup
+from sparkcorpus.llm import decontamination, html_extraction, lm_scoring, quality_classifier, quality_rules, simhash_dedup, source_mixing, suffix_dedup, token_rollups, warc_dedup
 from sparkcorpus.llm.common import save, word_count
 from sparkcorpus.session import fresh_path
 
@@ -105,6 +105,12 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "r.*").drop("dup_ngram_chars")
 
 
+@query()
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How likely is each document under a unigram and an attention model of the training documents?"""
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is the main text of each page, by the consensus of its host?"""
@@ -121,6 +127,17 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "n_bytes", "n_removed", "n_spans", digest)
 
 
+@query()
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How good is each document, and is it toxic, by text and metadata classifiers that taught each other?"""
+    docs = table(spark, sf_dir, "documents")
+    models = quality_classifier.fit(docs, table(spark, sf_dir, "labels"), ["quality", "toxic"])
+    scored = docs.select("doc_id", quality_classifier.scores(models, "text", "source", "lang").alias("s"))
+    scored = scored.select("doc_id", F.col("s.quality").alias("quality_score"), F.col("s.toxic").alias("toxic_score"))
+    toxic = F.col("toxic_score") >= 0.5
+    return scored.withColumns({"toxic": toxic, "kept": (F.col("quality_score") >= 0.5) & ~toxic})
+
+
 ROLLUP_SQL = r"""
 with d as (
   select doc_id, source, lang, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as words,
