@@ -77,6 +77,10 @@ def render_fault(messages: Column) -> Column:
             F.exists(merge_system(messages), lambda m: (m["role"] == "user") & m["content"].isNull()),
             "user_content_not_text",
         )
+        .when(
+            F.exists(messages, lambda m: (m["role"] == "assistant") & m["content"].isNull() & m["parts"].isNull()),
+            "no_content",
+        )
         .when(
             F.exists(
                 messages,

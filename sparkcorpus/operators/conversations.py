@@ -81,6 +81,7 @@ def _turn_reasons(placed: DataFrame, conv: str, role: str, text: str) -> DataFra
         F.sum(F.when(at > 0, wrong(at - 1)).otherwise(0)).alias("wrong_after_system"),
         flag(F.col(text).isNull() & (F.col(role) != "system")).alias("missing_text"),
         flag(F.col(text).isNull() & (F.col(role) == "user")).alias("missing_user_text"),
+        flag(F.col(text).isNull() & (F.col(role) == "assistant")).alias("missing_answer"),
     )
     has_system = F.col("has_system") == 1
     wrong_roles = F.when(has_system, F.col("wrong_after_system")).otherwise(F.col("wrong_plain")) > 0
@@ -90,7 +91,7 @@ def _turn_reasons(placed: DataFrame, conv: str, role: str, text: str) -> DataFra
     )
     render_reason = (
         F.when(has_system & (F.col("second_user") == 0), "system_without_user").when(wrong_roles, "bad_alternation")
-        .when(F.col("missing_user_text") == 1, "user_content_not_text")
+        .when(F.col("missing_user_text") == 1, "user_content_not_text").when(F.col("missing_answer") == 1, "no_content")
     )
     return stats.select(
         conv, "n_turns", has_system.alias("has_system"), chat_reason.alias("chat_reason"), render_reason.alias("render_reason")
@@ -213,6 +214,7 @@ def validate_requests(df: DataFrame) -> DataFrame:
     )
 
 
+ACCESS_LINE = r'^(INFO|WARNING|ERROR):\s+\S+ - "[A-Z]+ \S+ HTTP/[0-9.]+" \d{3}( .*)?$'
 LOG_HEAD = r"(?s)^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2},\d{3}) - (\S+) - (\w+) - (.*)$"
 
 
@@ -226,7 +228,7 @@ def parse_chat_log(lines: DataFrame, lines_per_bucket: int = 65_536) -> DataFram
     parsed = lines.select(
         "path", "line_no", F.when(is_head, body).otherwise(line).alias("body"), is_head.alias("head"),
         F.when(is_head, F.to_timestamp(F.regexp_extract(line, LOG_HEAD, 1), "yyyy-MM-dd HH:mm:ss,SSS")).alias("logged_at"),
-    ).filter(~F.rlike("body", F.lit(r"^(INFO|WARNING|ERROR):\s+")) | F.col("head"))
+    ).filter(~F.rlike("body", F.lit(ACCESS_LINE)) | F.col("head"))
     head, rule = F.col("head").cast("long"), (F.col("head") & (F.col("body") == "=" * 20)).cast("long")
     placed = prefix_sums(
         parsed, ["line_no"], width_bucket(F.col("line_no"), lines_per_bucket), {"heads": head, "rules": rule}, ["path"]

@@ -8,14 +8,21 @@ inside a bucket only. Hot groups are split by the same buckets, so no group has
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sparkcorpus.session import cut_lineage
+from sparkcorpus.session import fresh_path
 
 _BUCKET, _SPAN = "_bucket", "_span"
 _BUCKETS_PER_SPAN = 4096
-MAX_BROADCAST_GROUPS = 50_000
+
+
+def join_values(df: DataFrame, values: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join in which null is a key like any other; the keys of `df` stay."""
+    named = values.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *[c for c in values.columns if c not in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys], F.lit(True))
+    return df.join(named, same).drop(*[f"_key_{k}" for k in keys])
 
 
 def bucket_offsets(df: DataFrame, bucket: Column, measures: Mapping[str, Column], by: Sequence[str] = ()) -> DataFrame:
@@ -32,7 +39,7 @@ def bucket_offsets(df: DataFrame, bucket: Column, measures: Mapping[str, Column]
         *by, _SPAN, *[F.coalesce(F.sum(f"{n}_span").over(over_spans), F.lit(0)).alias(f"{n}_base") for n in measures]
     )
     inside = Window.partitionBy(*by, _SPAN).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    return totals.join(spans, [*by, _SPAN]).select(
+    return join_values(totals, spans, [*by, _SPAN]).select(
         *by,
         _BUCKET,
         *[F.col(f"{n}_in") for n in measures],
@@ -44,10 +51,10 @@ def prefix_sums(
     df: DataFrame, order: Sequence[str], bucket: Column, measures: Mapping[str, Column], by: Sequence[str] = ()
 ) -> DataFrame:
     """Add for every measure the sum over all rows *before* the row, in (by, order). `bucket` must follow the
-    order and be bounded in size (see `functions.keys`); `by` columns must not be null."""
+    order and be bounded in size (see `functions.keys`); a null group is a group of its own."""
     offsets = bucket_offsets(df, bucket, measures, by)
     inside = Window.partitionBy(*by, _BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    joined = df.withColumn(_BUCKET, bucket).join(offsets, [*by, _BUCKET])
+    joined = join_values(df.withColumn(_BUCKET, bucket), offsets, [*by, _BUCKET])
     return joined.select(
         *df.columns,
         *[(F.col(f"{n}_off") + F.coalesce(F.sum(m).over(inside), F.lit(0))).alias(n) for n, m in measures.items()],
@@ -69,15 +76,12 @@ def running_min(df: DataFrame, order: Sequence[str], bucket: Column, value: str,
     spans = lows.groupBy(*by, _SPAN).agg(F.min("_low").alias("_span_low"))
     spans = spans.select(*by, _SPAN, F.min("_span_low").over(over_spans).alias("_base_low"))
     inside_span = Window.partitionBy(*by, _SPAN).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    carried = lows.join(spans, [*by, _SPAN]).select(
+    carried = join_values(lows, spans, [*by, _SPAN]).select(
         *by, _BUCKET, F.least(F.col("_base_low"), F.min("_low").over(inside_span)).alias("_carried")
     )
     inside = Window.partitionBy(*by, _BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        df.withColumn(_BUCKET, bucket)
-        .join(carried, [*by, _BUCKET])
-        .select(*df.columns, F.least(F.col("_carried"), F.min(value).over(inside)).alias(name))
-    )
+    joined = join_values(df.withColumn(_BUCKET, bucket), carried, [*by, _BUCKET])
+    return joined.select(*df.columns, F.least(F.col("_carried"), F.min(value).over(inside)).alias(name))
 
 
 def budget_crossing(df: DataFrame, order: Sequence[str], bucket: Column, size: Column, limit: int):
@@ -163,17 +167,9 @@ def first_n_per_group(df: DataFrame, by: Sequence[str], order: Sequence[str], n:
     )
 
 
-def join_group_values(df: DataFrame, values: DataFrame, by: Sequence[str], hot_share: float = 0.001) -> DataFrame:
-    """Attach one row of `values` per group to the rows of `df`.
-
-    The group table is written once and counted. A small one is broadcast. Otherwise groups above `hot_share` of all
-    rows, of which there are at most 1/hot_share, are broadcast and their rows never shuffle; the rest takes the
-    ordinary join."""
-    values = cut_lineage(values)
-    if values.count() <= MAX_BROADCAST_GROUPS:
-        return df.join(F.broadcast(values), list(by))
-    sizes = df.groupBy(*by).agg(F.count("*").alias("_rows"))
-    hot_keys = sizes.filter(F.col("_rows") >= df.agg(F.count("*")).scalar() * hot_share).select(*by)
-    hot = F.broadcast(cut_lineage(values.join(F.broadcast(hot_keys), list(by), "left_semi")))
-    cold = df.join(hot.select(*by), list(by), "left_anti").join(values, list(by))
-    return df.join(hot, list(by)).unionByName(cold)
+def join_group_values(df: DataFrame, values: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Attach one row of `values` per group to the rows of `df`. The group table is written once, so Catalyst knows its
+    size: it is broadcast if that allows, else both sides are shuffled and AQE splits hot groups."""
+    path = fresh_path(df.sparkSession, "group-values")
+    values.write.parquet(path)
+    return join_values(df, df.sparkSession.read.schema(values.schema).parquet(path), by)

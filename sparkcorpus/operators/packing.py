@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sparkcorpus.functions.arrays import pad_right, supervised_count
 from sparkcorpus.functions.keys import width_bucket
-from sparkcorpus.operators.ordering import prefix_sums
+from sparkcorpus.operators.ordering import join_values, prefix_sums
 
 PLACEMENT_SCHEMA = "pack_group long, row_no long, slot int, doc long, offset int, take int, n_tokens int, complete boolean"
 DOCS_PER_GROUP = 65_536
@@ -231,4 +231,4 @@ def pad_group(df: DataFrame, by: Sequence[str], ids: str, pad_id: int, *also: tu
     value. Only the group maxima are joined back."""
     longest = df.groupBy(*by).agg(F.max(F.size(ids)).alias("_longest"))
     padded = {name: pad_right(F.col(name), F.col("_longest"), value) for name, value in ((ids, pad_id), *also)}
-    return df.join(longest, list(by)).withColumns(padded).drop("_longest")
+    return join_values(df, longest, by).withColumns(padded).drop("_longest")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from sparkcorpus.functions.keys import width_bucket
-from sparkcorpus.operators.ordering import prefix_sums, running_min, with_position
+from sparkcorpus.operators.ordering import join_values, prefix_sums, running_min, with_position
 
 # What a training log says and where the number stands.
 LOG_RULES = {
@@ -113,8 +113,8 @@ def debiased_ema(steps: DataFrame, run: str, step: str, value: str, beta: float
 
     A step is the map s -> beta*s + (1-beta)*x, and maps compose. Runs are cut into chunks of consecutive steps;
     each chunk is one composed map; spans of chunks are composed again; only then values are carried back down. So a
-    run never has to fit one task."""
-    rows = with_position(steps, [step], width_bucket(F.col(step), 65_536), "_n", [run])
+    run never has to fit one task. Rows that repeat a step count one after the other, the lower value first."""
+    rows = with_position(steps, [step, value], width_bucket(F.col(step), 65_536), "_n", [run])
     rows = rows.withColumn("_chunk", F.floor(F.col("_n") / chunk)).withColumn("_span", F.floor(F.col("_chunk") / chunk))
 
     def scanned(inputs: Column, start: Column) -> Column:
@@ -135,7 +135,7 @@ def debiased_ema(steps: DataFrame, run: str, step: str, value: str, beta: float
             lambda acc, m: F.struct((m["a"] * acc["a"]).alias("a"), (m["a"] * acc["b"] + m["b"]).alias("b")),
         )
 
-    step_map = F.struct(F.col("_n").alias("k"), F.lit(beta).alias("a"), (F.lit(1.0 - beta) * F.col(value)).alias("b"), F.col(step).alias("step"))
+    step_map = F.struct(F.col("_n").alias("k"), F.lit(beta).alias("a"), (F.lit(1.0 - beta) * F.col(value)).alias("b"), F.struct(*steps.columns).alias("row"))
     chunks = rows.groupBy(run, "_span", "_chunk").agg(F.array_sort(F.collect_list(step_map)).alias("maps"))
     chunks = chunks.withColumn("map", composed(F.col("maps")))
     chunk_map = F.struct(F.col("_chunk").alias("k"), F.col("map.a").alias("a"), F.col("map.b").alias("b"))
@@ -152,14 +152,13 @@ def debiased_ema(steps: DataFrame, run: str, step: str, value: str, beta: float
         return level.select(run, F.explode(kept).alias("p")).select(run, f"p.{key}", "p._in")
 
     into_spans = carried(top, F.lit(0.0), "_span")
-    into_chunks = carried(spans.join(into_spans, [run, "_span"]), F.col("_in"), "_chunk")
-    values = chunks.join(into_chunks, [run, "_chunk"])
+    into_chunks = carried(join_values(spans, into_spans, [run, "_span"]), F.col("_in"), "_chunk")
+    values = join_values(chunks, into_chunks, [run, "_chunk"])
     done = F.zip_with(
         F.col("maps"), scanned(F.col("maps"), F.col("_in")),
-        lambda m, s: F.struct(m["step"].alias(step), (s / (1 - F.pow(F.lit(beta), m["k"] + 1))).alias("ema")),
+        lambda m, s: F.struct(m["row"].alias("row"), (s / (1 - F.pow(F.lit(beta), m["k"] + 1))).alias("ema")),
     )
-    smoothed = values.select(run, F.explode(done).alias("v")).select(run, f"v.{step}", "v.ema")
-    return steps.join(smoothed, [run, step])
+    return values.select(F.explode(done).alias("v")).select("v.row.*", "v.ema")
 
 
 def throughput_report(
@@ -372,11 +371,11 @@ def repeat_spread(runs: DataFrame, by: Sequence[str], score: str, threshold: flo
 
 
 def stage_deltas(wide: DataFrame, stage_no: str, stage: str, metrics: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Wide stage scores to long rows with the change since the stage before."""
-    keys = [*by, stage_no]
-    long = wide.unpivot([*keys, stage], list(metrics), "metric", "score")
-    before = long.select(*by, (F.col(stage_no) + 1).alias(stage_no), "metric", F.col("score").alias("_before"))
-    return long.join(before, [*keys, "metric"], "left").withColumn("change", F.col("score") - F.col("_before")).drop("_before")
+    """Wide stage scores to long rows with the change since the stage before, which is the one of the next lower
+    number that is there."""
+    long = wide.unpivot([*by, stage_no, stage], list(metrics), "metric", "score")
+    in_order = Window.partitionBy(*by, "metric").orderBy(stage_no, stage)
+    return long.withColumn("change", F.col("score") - F.lag("score").over(in_order))
 
 
 def stages_wide(long: DataFrame, by: Sequence[str], metrics: Sequence[str]) -> DataFrame:

@@ -8,7 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sparkcorpus.functions.text import extract_answer, last_number
-from sparkcorpus.operators.tokenization import MAX_VOCABULARY
 
 
 def align_losses(df: DataFrame, ids: str, losses: str) -> DataFrame:
@@ -133,40 +132,61 @@ def diagnostics_summary(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def _with_token_bytes(losses: DataFrame, token_bytes: DataFrame) -> DataFrame:
-    """Look up byte lengths. The vocabulary is a bounded table and is checked before it is broadcast. Ignored targets
-    (below 0) are dropped."""
-    if token_bytes.count() > MAX_VOCABULARY:
-        raise ValueError(f"vocabulary above {MAX_VOCABULARY}")
-    lookup = F.broadcast(token_bytes.withColumnRenamed("token_id", "target_id"))
-    return losses.filter("target_id >= 0").join(lookup, "target_id")
+def _by_target(losses: DataFrame, token_bytes: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One row per group and target (ignored targets, below 0, are left out) with the target's byte length, null for an
+    id that the vocabulary lacks. Losses are summed before the lookup, which so meets a vocabulary's worth of rows per
+    group at most."""
+    bad = F.isnan("loss") | (F.abs("loss") == float("inf")) | F.col("loss").isNull()
+    sums = losses.filter("target_id >= 0").groupBy(*by, "target_id").agg(
+        F.sum(F.when(bad, 0.0).otherwise(F.col("loss"))).alias("loss"),
+        F.count(F.when(~bad, 1)).alias("n"),
+        F.count(F.when(bad, 1)).alias("bad"),
+    )
+    lookup = token_bytes.select(F.col("token_id").alias("target_id"), F.col("n_bytes").alias("bytes_each"))
+    return sums.join(lookup, "target_id", "left")
+
+
+def _per_byte(sums: DataFrame) -> DataFrame:
+    bpb = F.col("nats") / (F.lit(math.log(2)) * F.col("n_bytes"))
+    return sums.withColumn("bpb", F.when(F.col("n_bytes") > 0, bpb).otherwise(F.lit(float("inf"))))
 
 
 def bits_per_byte(losses: DataFrame, token_bytes: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Nats of targets that have bytes, over ln 2 times their bytes; infinite without bytes."""
-    sums = _with_token_bytes(losses, token_bytes).groupBy(*by).agg(
-        F.sum(F.when(F.col("n_bytes") > 0, F.col("loss")).otherwise(0.0)).alias("nats"),
-        F.sum("n_bytes").cast("long").alias("n_bytes"),
-    )
-    return sums.withColumn(
-        "bpb", F.when(F.col("n_bytes") > 0, F.col("nats") / (F.lit(math.log(2)) * F.col("n_bytes"))).otherwise(F.lit(float("inf")))
-    )
+    """Nats of targets that have bytes, over ln 2 times their bytes; infinite without bytes. Targets that the
+    vocabulary lacks are counted in `unknown_targets`, non-finite losses in `bad_losses`; neither enters the rest."""
+    has_bytes = F.coalesce(F.col("bytes_each"), F.lit(0)) > 0
+    return _per_byte(_by_target(losses, token_bytes, by).groupBy(*by).agg(
+        F.sum(F.when(has_bytes, F.col("loss")).otherwise(0.0)).alias("nats"),
+        F.sum(F.when(has_bytes, F.col("n") * F.col("bytes_each")).otherwise(0)).cast("long").alias("n_bytes"),
+        F.sum(F.when(F.col("bytes_each").isNull(), F.col("n") + F.col("bad")).otherwise(0)).alias("unknown_targets"),
+        F.sum(F.when(F.col("bytes_each").isNotNull(), F.col("bad")).otherwise(0)).alias("bad_losses"),
+    ))
 
 
 def loss_summary(losses: DataFrame, token_bytes: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Mean loss over all valid targets, specials included, beside bits per byte. Non-finite losses are counted in
-    `bad_losses` and kept out of the sums."""
-    bad = F.isnan("loss") | (F.abs("loss") == float("inf"))
-    sums = _with_token_bytes(losses, token_bytes).groupBy(*by).agg(
-        F.sum(F.when(bad, 1).otherwise(0)).cast("long").alias("bad_losses"),
-        F.avg(F.when(~bad, F.col("loss"))).alias("mean_loss"),
-        F.count(F.when(~bad, 1)).alias("targets"),
-        F.sum(F.when(~bad & (F.col("n_bytes") > 0), F.col("loss")).otherwise(0.0)).alias("nats"),
-        F.sum(F.when(~bad, F.col("n_bytes")).otherwise(0)).cast("long").alias("n_bytes"),
-    )
-    return sums.withColumn(
-        "bpb", F.when(F.col("n_bytes") > 0, F.col("nats") / (F.lit(math.log(2)) * F.col("n_bytes"))).otherwise(F.lit(float("inf")))
+    `bad_losses`, targets that the vocabulary lacks in `unknown_targets`; both are kept out of the sums."""
+    known = F.col("bytes_each").isNotNull()
+    has_bytes = F.coalesce(F.col("bytes_each"), F.lit(0)) > 0
+    total = lambda condition, value: F.sum(F.when(condition, value).otherwise(0))
+    return _per_byte(_by_target(losses, token_bytes, by).groupBy(*by).agg(
+        total(known, F.col("bad")).alias("bad_losses"),
+        (F.sum(F.when(known, F.col("loss"))) / F.sum(F.when(known & (F.col("n") > 0), F.col("n")))).alias("mean_loss"),
+        total(known, F.col("n")).alias("targets"),
+        F.sum(F.when(has_bytes, F.col("loss")).otherwise(0.0)).alias("nats"),
+        total(has_bytes, F.col("n") * F.col("bytes_each")).cast("long").alias("n_bytes"),
+        total(~known, F.col("n") + F.col("bad")).alias("unknown_targets"),
+    ))
+
+
+def error_losses(losses: DataFrame, token_bytes: DataFrame) -> DataFrame:
+    """The rows that the summaries leave out, with the `reason`: an unknown target or a loss that is no number."""
+    rows = losses.filter("target_id >= 0").join(
+        token_bytes.select(F.col("token_id").alias("target_id"), F.lit(True).alias("_known")), "target_id", "left"
     )
+    bad = F.isnan("loss") | (F.abs("loss") == float("inf")) | F.col("loss").isNull()
+    reason = F.when(F.col("_known").isNull(), "unknown_target").when(bad, "loss_not_finite")
+    return rows.withColumn("reason", reason).filter("reason is not null").drop("_known")
 
 
 def reconcile_metrics(a: DataFrame, b: DataFrame, by: Sequence[str], value: str, rel: float = 2e-5, absolute: float = 2e-5) -> DataFrame:

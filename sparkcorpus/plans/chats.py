@@ -36,6 +36,12 @@ def assemble_conversations(spark, sf_dir):
     )
 
 
+def with_empty_answers(spark, sf_dir):
+    """The turns, with nothing in the answers of every tenth conversation."""
+    empty = (F.col("role") == "assistant") & (F.col("conv_id") % 10 == 4)
+    return table(spark, sf_dir, "conversations").withColumn("text", F.when(~empty, F.col("text")))
+
+
 NUMBERED = """
 numbered as (
   select conv_id, turn, role, text, row_number() over c - 1 as p, first_value(role) over c = 'system' as has_system,
@@ -43,6 +49,7 @@ numbered as (
   from conversations window c as (partition by conv_id order by turn rows between unbounded preceding and unbounded following)),
 checks as (
   select conv_id, max(n) as n_turns, bool_or(has_system) as has_system, max(second_role) as second_role,
+         bool_or(role = 'assistant' and (text is null or conv_id % 10 = 4)) as no_answer,
          bool_and(case when has_system and p = 0 then true
                        else role = case when (p - has_system::int) % 2 = 0 then 'user' else 'assistant' end end) as alternates
   from numbered group by 1)"""
@@ -50,21 +57,22 @@ checks as (
 
 @query(f"""
 with {NUMBERED}
-select conv_id, case when n_turns - has_system::int < 2 then 'too_short' when not alternates then 'bad_alternation' end as chat_reason,
-       case when has_system and coalesce(second_role, '') <> 'user' then 'system_without_user' when not alternates then 'bad_alternation' end as render_reason
+select conv_id, case when n_turns - has_system::int < 2 then 'too_short' when not alternates then 'bad_alternation' when no_answer then 'content_not_text' end as chat_reason,
+       case when has_system and coalesce(second_role, '') <> 'user' then 'system_without_user' when not alternates then 'bad_alternation' when no_answer then 'no_content' end as render_reason
 from checks""")
 def validate_conversations(spark, sf_dir):
-    return chats(spark, sf_dir).select("conv_id", "chat_reason", "render_reason")
+    built = conv.assemble_conversations(with_empty_answers(spark, sf_dir), "conv_id", "turn", "role", "text")
+    return conv.validate_conversations(built).select("conv_id", "chat_reason", "render_reason")
 
 
 @query(f"""
 with {NUMBERED}
 select conv_id, n_turns, has_system,
-       case when n_turns - has_system::int < 2 then 'too_short' when not alternates then 'bad_alternation' end as chat_reason,
-       case when has_system and coalesce(second_role, '') <> 'user' then 'system_without_user' when not alternates then 'bad_alternation' end as render_reason
+       case when n_turns - has_system::int < 2 then 'too_short' when not alternates then 'bad_alternation' when no_answer then 'content_not_text' end as chat_reason,
+       case when has_system and coalesce(second_role, '') <> 'user' then 'system_without_user' when not alternates then 'bad_alternation' when no_answer then 'no_content' end as render_reason
 from checks""")
 def validate_turns(spark, sf_dir):
-    return conv.validate_turns(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+    return conv.validate_turns(with_empty_answers(spark, sf_dir), "conv_id", "turn", "role", "text")
 
 
 @query(f"with {chat_sql(MAX_TOKENS)} select conv_id, p, role, md5(text) as digest from body where conv_id in (select conv_id from renderable)")
@@ -370,31 +378,32 @@ def validate_requests(spark, sf_dir):
 
 
 LOG_SQL = """
-answered as (
-  select conv_id, max(turn) as last_turn from conversations group by 1
-  having count(*) >= 2 and max_by(role, turn) = 'assistant'),
+answered as (select conv_id, case when max_by(role, turn) = 'assistant' then max(turn) end as last_turn from conversations group by 1),
 turns as (
-  select c.conv_id, c.role, c.text, turn = last_turn as is_answer, row_number() over (partition by c.conv_id order by turn) - 1 as turn_no
+  select c.conv_id, c.role, c.text, coalesce(turn = last_turn, false) as is_answer, last_turn is null as unanswered, row_number() over (partition by c.conv_id order by turn) - 1 as turn_no
   from conversations c join answered using (conv_id)),
 files as (select conv_id, conv_id % 8 as file, row_number() over (partition by conv_id % 8 order by conv_id) - 1 as request_no from answered)"""
 
 
 @query(f"""
 with {LOG_SQL}
-select 'file' || file as file, request_no, turn_no, role, case when is_answer then (conv_id % 3)::int end as worker, md5(text) as digest,
-       '2024-03-05 10:20:' || lpad((conv_id % 60)::varchar, 2, '0') || '.125' as logged_at, false as interleaved
+select 'file' || file as file, request_no, turn_no, role, case when is_answer then (conv_id % 3)::int end as worker, md5(text || chr(10) || 'ERROR:   disk full' || chr(10) || 'INFO:    retry') as digest,
+       '2024-03-05 10:20:' || lpad((conv_id % 60)::varchar, 2, '0') || '.125' as logged_at, unanswered as interleaved
 from turns join files using (conv_id)""")
 def parse_chat_log(spark, sf_dir):
     built = conv.assemble_conversations(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
-    built = built.filter("size(messages) >= 2 and element_at(messages, -1).role = 'assistant'")
+    pasted = "\nERROR:   disk full\nINFO:    retry"  # lines of a message that look like the server's own
     stamp = F.concat(F.lit("2024-03-05 10:20:"), F.lpad((F.col("conv_id") % 60).cast("string"), 2, "0"), F.lit(",125"))
     head = F.concat(stamp, F.lit(" - __main__ - \u001b[32m\u001b[1mINFO\u001b[0m - "))
     rule = lambda c: F.concat(head, F.lit(c * 20), F.lit("\n"))
+    answered = F.element_at("messages", -1)["role"] == "assistant"
     asked = F.transform(
-        F.slice("messages", F.lit(1), F.size("messages") - 1),
-        lambda m: F.concat(head, F.lit("["), F.upper(m["role"]), F.lit("]: "), m["content"], F.lit("\n")),
+        F.slice("messages", F.lit(1), F.size("messages") - answered.cast("int")),
+        lambda m: F.concat(head, F.lit("["), F.upper(m["role"]), F.lit("]: "), m["content"], F.lit(pasted + "\n")),
     )
-    answer = F.concat(head, F.lit("[ASSISTANT] (GPU "), (F.col("conv_id") % 3).cast("string"), F.lit("): "), F.element_at("messages", -1)["content"], F.lit("\n"))
+    last = F.element_at("messages", -1)["content"]
+    answer = F.concat(head, F.lit("[ASSISTANT] (GPU "), (F.col("conv_id") % 3).cast("string"), F.lit("): "), last, F.lit(pasted + "\n"))
+    answer = F.when(answered, answer).otherwise("")
     access = F.lit('INFO:     127.0.0.1:52734 - "POST /chat/completions HTTP/1.1" 200 OK\n')
     # the text sink ends each block with the line end that belongs to its last line
     block = F.concat(rule("="), F.array_join(asked, ""), rule("-"), access, answer, head, F.lit("=" * 20))

@@ -317,7 +317,7 @@ def grade_choice(spark, sf_dir):
 
 # Per-token losses in sixteenths, so that sums are exact in any order.
 TOKEN_LOSS = "((doc_id * 31 + pos * 7 + byte) % 97) / 16.0"
-TOKEN_TARGET = "case when pos % 11 = 0 then -1 when pos % 13 = 0 then 256 else byte end"
+TOKEN_TARGET = "case when pos % 11 = 0 then -1 when pos % 13 = 0 then 256 when pos % 101 = 0 then 999 else byte end"
 TOKEN_LOSSES_SQL = f"""
 tokens as (
   select lang, source, doc_id, unnest(ids) as byte, unnest(range(len(ids))) as pos from (select lang, source, doc_id, {BYTES_SQL} as ids from documents)),
@@ -342,15 +342,17 @@ def byte_lengths(spark):
 @query(f"""
 with {TOKEN_LOSSES_SQL}
 select lang, sum(loss) filter (target_id between 0 and 255) as nats, count(*) filter (target_id between 0 and 255) as n_bytes,
-       round(sum(loss) filter (target_id between 0 and 255) / (ln(2) * count(*) filter (target_id between 0 and 255)), 6) as bpb from losses group by 1""")
+       round(sum(loss) filter (target_id between 0 and 255) / (ln(2) * count(*) filter (target_id between 0 and 255)), 6) as bpb,
+       count(*) filter (target_id = 999) as unknown_targets, 0::bigint as bad_losses from losses group by 1""")
 def bits_per_byte(spark, sf_dir):
     return scoring.bits_per_byte(token_losses(spark, sf_dir), byte_lengths(spark), ["lang"]).withColumn("bpb", F.round("bpb", 6))
 
 
 @query(f"""
 with {TOKEN_LOSSES_SQL}
-select source, count(*) filter (isnan(bad_loss)) as bad_losses, round(avg(bad_loss) filter (not isnan(bad_loss)), 6) as mean_loss,
-       count(*) filter (not isnan(bad_loss)) as targets, sum(bad_loss) filter (not isnan(bad_loss) and target_id < 256) as nats,
+select source, count(*) filter (isnan(bad_loss) and target_id <= 256) as bad_losses,
+       round(avg(bad_loss) filter (not isnan(bad_loss) and target_id <= 256), 6) as mean_loss, count(*) filter (target_id > 256) as unknown_targets,
+       count(*) filter (not isnan(bad_loss) and target_id <= 256) as targets, sum(bad_loss) filter (not isnan(bad_loss) and target_id < 256) as nats,
        count(*) filter (not isnan(bad_loss) and target_id < 256) as n_bytes,
        round(sum(bad_loss) filter (not isnan(bad_loss) and target_id < 256) / (ln(2) * count(*) filter (not isnan(bad_loss) and target_id < 256)), 6) as bpb
 from losses where target_id >= 0 group by 1""")
@@ -360,6 +362,15 @@ def loss_summary(spark, sf_dir):
     return out.withColumn("mean_loss", F.round("mean_loss", 6)).withColumn("bpb", F.round("bpb", 6))
 
 
+@query(f"""
+with {TOKEN_LOSSES_SQL}
+select source, case when target_id > 256 then 'unknown_target' else 'loss_not_finite' end as reason, count(*) as n
+from losses where target_id > 256 or (target_id >= 0 and isnan(bad_loss)) group by 1, 2""")
+def error_losses(spark, sf_dir):
+    losses = token_losses(spark, sf_dir).drop("loss").withColumnRenamed("bad_loss", "loss")
+    return scoring.error_losses(losses, byte_lengths(spark)).groupBy("source", "reason").agg(F.count("*").alias("n"))
+
+
 @query("""
 with sums as (select l_suppkey, sum(l_extendedprice) as a, sum(floor(l_extendedprice)) as b from lineitem group by 1)
 select l_suppkey, round(a, 2) as left_value, round(b, 2) as right_value,
@@ -388,10 +399,10 @@ samples as (
 
 
 @query(f"""
-with {SAMPLES_SQL}, per as (select user_id, bool_or(correct) as passed, user_id % 4 as grp from samples where sample_no <= 12 group by user_id)
+with {SAMPLES_SQL}, per as (select user_id, bool_or(correct) as passed, user_id % 4 as grp from samples group by user_id)
 select grp, count(*) as problems, round(avg(passed::int), 6) as pass_rate from per group by 1""")
 def any_pass_rate(spark, sf_dir):
-    rows = samples(spark, sf_dir).filter("sample_no <= 12").withColumn("grp", F.col("user_id") % 4)
+    rows = samples(spark, sf_dir).withColumn("grp", F.col("user_id") % 4)
     return rollouts.any_pass_rate(rows, "user_id", ["grp"]).withColumn("pass_rate", F.round("pass_rate", 6))
 
 
@@ -404,17 +415,19 @@ def pass_at_k(spark, sf_dir):
 
 
 @query("""
+with rows as (select event_id, case when user_id % 7 <> 3 then user_id end as user_id, value from events)
 select event_id, user_id, round(avg(value) over (partition by user_id), 9) as mean_reward,
-       round(value - avg(value) over (partition by user_id), 9) as advantage from events""")
+       round(value - avg(value) over (partition by user_id), 9) as advantage from rows""")
 def advantages(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").select("event_id", "user_id", F.col("value").alias("reward"))
+    prompt = F.when(F.col("user_id") % 7 != 3, F.col("user_id")).alias("user_id")
+    rows = table(spark, sf_dir, "events").select("event_id", prompt, F.col("value").alias("reward"))
     return rollouts.advantages(rows, ["user_id"]).select(
         "event_id", "user_id", F.round("mean_reward", 9).alias("mean_reward"), F.round("advantage", 9).alias("advantage")
     )
 
 
 @query(f"""
-with {chat_sql(300)},
+with {chat_sql(10_000_000)},
 tokens as (
   select conv_id, unnest(range(length(mask))) as i, unnest(regexp_extract_all(codes, '....')) as code, unnest(string_split(mask, '')) as flag from chats),
 lengths as (select conv_id, length(mask) as n, max(length(mask)) over (partition by conv_id // 8) as longest from chats),
@@ -426,7 +439,7 @@ select conv_id, longest - 1 as n_inputs,
        (inputs_sum + 256 * ((longest - 1) * longest - least(n, longest - 1) * (least(n, longest - 1) + 1)) // 2)::bigint as inputs_sum,
        (targets_sum - (longest * (longest - 1) - n * (n - 1)) // 2)::bigint as targets_sum from sums join lengths using (conv_id)""")
 def rollout_targets(spark, sf_dir):
-    rows = rendered_chats(spark, sf_dir, 300).withColumn("batch", F.floor(F.col("conv_id") / 8))
+    rows = rendered_chats(spark, sf_dir, 10_000_000).withColumn("batch", F.floor(F.col("conv_id") / 8))
     out = rollouts.rollout_targets(rows, ["batch"], "ids", "mask", BOS)
     return out.select(
         "conv_id", F.size("inputs").cast("long").alias("n_inputs"), weighted(F.col("inputs")).alias("inputs_sum"),
@@ -488,7 +501,7 @@ select {MATH_KEY}, forced_tokens::int as forced_tokens, n_tokens::int as n_token
 from placed where type <> 'text'""")
 def extract_tool_spans(spark, sf_dir):
     built = conv.adapt("math", math_rows(spark, sf_dir))
-    rows = built.select(*MATH_COLUMNS, chat.rendered(chat.render_segments(F.col("messages")), 2048).alias("r")).select(*MATH_COLUMNS, "r.ids", "r.mask")
+    rows = built.select(*MATH_COLUMNS, chat.rendered(chat.render_segments(F.col("messages")), 2**30).alias("r")).select(*MATH_COLUMNS, "r.ids", "r.mask")
     out = rollouts.extract_tool_spans(rows, MATH_COLUMNS, "ids", "mask")
     text = F.array_join(F.transform("span_ids", lambda i: F.char(i)), "")
     return out.select(*MATH_COLUMNS, "forced_tokens", "n_tokens", "kind", "start", F.col("end").alias("stop"), text.alias("span"), "sampled")

@@ -14,7 +14,7 @@ from sparkcorpus.operators.tokenization import with_specials
 from sparkcorpus.plans.registry import query, table
 
 CAPACITY, DOCS_PER_GROUP, BUFFER = 2049, 256, 32
-CHAT_TOKENS, CHAT_CAPACITY = 2048, 4097
+CHAT_TOKENS, CHAT_CAPACITY = 10_000_000, 4097
 
 
 def lengths(spark, sf_dir):
@@ -314,6 +314,7 @@ def rendered_chats(spark, sf_dir, max_tokens: int = CHAT_TOKENS):
 
 def chat_placements(spark, sf_dir):
     chats = packing.supervised_only(rendered_chats(spark, sf_dir), "mask").withColumn("n_tokens", F.size("ids"))
+    chats = chats.filter(F.col("n_tokens") <= CHAT_CAPACITY)
     grouped = packing.pack_groups(chats, "conv_id", DOCS_PER_GROUP)
     return chats, packing.pack_bestfit_pad(grouped, "conv_id", "conv_id", "n_tokens", CHAT_CAPACITY, BUFFER)
 
@@ -322,12 +323,12 @@ CHAT_GROUPS = f"""
 {chat_sql(CHAT_TOKENS)},
 groups as (
   select conv_id // {DOCS_PER_GROUP} as grp, list(length(mask)::bigint order by conv_id) as lens, list(conv_id order by conv_id) as docs
-  from chats where mask like '%1%' group by 1)"""
+  from chats where mask like '%1%' and length(mask) <= {CHAT_CAPACITY} group by 1)"""
 
 
 @query(best_fit_sql(CHAT_GROUPS, CHAT_CAPACITY, BUFFER, False) + " select * from placements")
 def pack_chats(spark, sf_dir):
-    """Chats without a supervised token are left out; the others are packed with padding."""
+    """Chats without a supervised token, or longer than a row, are left out; the others are packed with padding."""
     return chat_placements(spark, sf_dir)[1].select(*PLACED)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,18 +21,6 @@ def query(sql: str | None = None):
     return add
 
 
-TINY_BYTES = 64 * 1024
-SMALL_BYTES_PER_CORE = 4 * 1024 * 1024
-_SIZES: dict[str, int] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. One row group is one task, so a file with few row groups would leave cores idle; a table below
-    4 MB per core is therefore spread over the cores. Larger tables are scanned as they lie, without a shuffle."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    rows = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if path not in _SIZES:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-        _SIZES[path] = files.agg(F.sum("length")).first()[0]
-    return rows.repartition(cores) if TINY_BYTES < _SIZES[path] < cores * SMALL_BYTES_PER_CORE else rows
+    """A given table, scanned as it lies."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

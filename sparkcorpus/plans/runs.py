@@ -320,10 +320,16 @@ def series(spark, sf_dir):
     return table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")
 
 
-@query(f"with {EMA_SQL} select user_id, event_id, value, round(ema, 6) as ema from smoothed")
+REPEATED_EMA_SQL = EMA_SQL.replace("event_id, value, row_number()", "event_id // 50 as event_id, value, row_number()").replace(
+    "order by event_id) as n", "order by event_id // 50, value) as n"
+)
+
+
+@query(f"with {REPEATED_EMA_SQL} select user_id, event_id as step, value, round(ema, 6) as ema from smoothed")
 def debiased_ema(spark, sf_dir):
-    out = runs.debiased_ema(series(spark, sf_dir).drop("event_type"), "user_id", "event_id", "value", chunk=16)
-    return rounded(out, 6, "ema").select("user_id", "event_id", "value", "ema")
+    """Steps repeat inside a run; every row counts."""
+    rows = series(spark, sf_dir).select("user_id", F.floor(F.col("event_id") / 50).alias("step"), "value")
+    return rounded(runs.debiased_ema(rows, "user_id", "step", "value", chunk=16), 6, "ema").select("user_id", "step", "value", "ema")
 
 
 def stepped(spark, sf_dir):
@@ -465,13 +471,13 @@ def repeat_spread(spark, sf_dir):
 
 
 STAGES_SQL = """
-wide as (select lang, doc_id % 3 as stage_no, 'stage' || doc_id % 3 as stage, avg(quality) * 100 as quality, avg(toxic) * 100 as toxic from documents join labels using (doc_id) group by 1, 2, 3),
+wide as (select lang, (doc_id % 3) * (doc_id % 3 + 1) as stage_no, 'stage' || (doc_id % 3) * (doc_id % 3 + 1) as stage, avg(quality) * 100 as quality, avg(toxic) * 100 as toxic from documents join labels using (doc_id) group by 1, 2, 3),
 long as (select lang, stage_no, stage, 'quality' as metric, quality as score from wide union all select lang, stage_no, stage, 'toxic', toxic from wide),
 deltas as (select *, score - lag(score) over (partition by lang, metric order by stage_no) as change from long)"""
 
 
 def staged(spark, sf_dir):
-    rows = labelled(spark, sf_dir).withColumn("stage_no", F.col("doc_id") % 3)
+    rows = labelled(spark, sf_dir).withColumn("stage_no", (F.col("doc_id") % 3) * (F.col("doc_id") % 3 + 1))
     wide = rows.groupBy("lang", "stage_no", F.concat(F.lit("stage"), F.col("stage_no").cast("string")).alias("stage")).agg(
         (F.avg("quality") * 100).alias("quality"), (F.avg("toxic") * 100).alias("toxic")
     )

@@ -30,9 +30,7 @@ from smoothed""")
 def stream_ema(spark, sf_dir):
     path = fresh_path(spark, "metrics")
     rows = table(spark, sf_dir, "events").select(F.col("user_id").alias("run"), F.col("event_id").alias("step"), F.col("value").alias("loss"))
-    half = rows.agg(F.max("step")).first()[0] // 2
-    for part in (rows.filter(F.col("step") <= half), rows.filter(F.col("step") > half)):
-        part.coalesce(1).write.mode("append").json(path)
+    rows.repartition(7).write.json(path)
     out = streams.stream_ema(spark, path, fresh_path(spark, "ema"), fresh_path(spark, "ema-state"))
     return out.withColumn("ema", F.round("ema", 6))
 

@@ -48,32 +48,43 @@ def stream_shard_totals(spark: SparkSession, path: str, schema, out: str, checkp
     return _read_last(spark, out)
 
 
-def stream_ema(spark: SparkSession, path: str, out: str, checkpoint: str, beta: float = 0.9, files_per_batch: int = 1) -> DataFrame:
+def stream_ema(spark: SparkSession, path: str, out: str, checkpoint: str, beta: float = 0.9) -> DataFrame:
     """Debiased EMA and running best per run over appended JSON rows (run, step, loss). State per run: smoothed value,
-    step count, best, last step. A step at or below the last one seen is a duplicate and is dropped."""
-    rows = (
-        spark.readStream.schema("run long, step long, loss double").option("maxFilesPerTrigger", str(files_per_batch)).json(path)
-    )
+    step count, best, last step.
+
+    All files that are there when the job runs are one batch, which each run takes in order of its steps, however they
+    lie in the files. A step equal to the one before is a duplicate. A step that arrives behind the saved one cannot be
+    smoothed any more; it goes to the side table `late_steps`, never away."""
+    rows = spark.readStream.schema("run long, step long, loss double").json(path)
 
     def advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         smoothed, n, best, last = state.get if state.exists else (0.0, 0, float("inf"), -1)
-        pending = pd.concat(list(frames)).sort_values("step").drop_duplicates("step")
-        emitted = []
+        pending = pd.concat(list(frames)).sort_values(["step", "loss"])
+        saved, emitted = last, []
         for step, loss in zip(pending["step"], pending["loss"]):
-            if step <= last:
+            if step == last:
+                continue
+            if step < saved:
+                emitted.append((key[0], step, loss, loss, True))
                 continue
             smoothed, n, last = beta * smoothed + (1 - beta) * loss, n + 1, step
             best = min(best, loss)
-            emitted.append((key[0], step, smoothed / (1 - beta**n), best))
+            emitted.append((key[0], step, smoothed / (1 - beta**n), best, False))
         state.update((float(smoothed), int(n), float(best), int(last)))
-        yield pd.DataFrame(emitted, columns=["run", "step", "ema", "best_so_far"])
+        yield pd.DataFrame(emitted, columns=["run", "step", "ema", "best_so_far", "late"])
 
     smoothed = rows.groupBy("run").applyInPandasWithState(
-        advance, "run long, step long, ema double, best_so_far double", "s double, n long, best double, last long",
+        advance, "run long, step long, ema double, best_so_far double, late boolean", "s double, n long, best double, last long",
         "append", GroupStateTimeout.NoTimeout,
     )
     _drain(smoothed, out, checkpoint, "append")
-    return _read_all(spark, out)
+    return _read_all(spark, out).filter("not late").drop("late")
+
+
+def late_steps(spark: SparkSession, out: str) -> DataFrame:
+    """The rows that `stream_ema` got behind a step it had saved, with the `reason`."""
+    late = _read_all(spark, out).filter("late")
+    return late.select("run", "step", F.col("ema").alias("loss"), F.lit("behind_saved_step").alias("reason"))
 
 
 REQUEST_SCHEMA = (

@@ -176,13 +176,13 @@ def test_chat_log(spark):
     lines = [
         "Traceback", head + "=" * 20, head + "[USER]: first", "second line", 'INFO:     1.2.3.4 - "POST / HTTP/1.1" 200 OK', head + "-" * 20,
         head + "[ASSISTANT] (GPU 3): para one", "", "para two", head + "=" * 20, "noise after the rule",
-        head + "=" * 20, head + "[USER]: again", head + "-" * 20,
+        head + "=" * 20, head + "[USER]: again", "ERROR:   disk full", "INFO:    retry - twice", head + "-" * 20,
     ]
     df = spark.createDataFrame([("f", i, l) for i, l in enumerate(lines)], "path string, line_no long, line string")
     rows = sorted((r.request_no, r.turn_no, r.role, r.worker, r.text, r.interleaved) for r in conv.parse_chat_log(df, lines_per_bucket=4).collect())
     assert rows == [
         (0, 0, "user", None, "first\nsecond line", False), (0, 1, "assistant", 3, "para one\n\npara two", False),
-        (1, 0, "user", None, "again", True),
+        (1, 0, "user", None, "again\nERROR:   disk full\nINFO:    retry - twice", True),
     ]
 
 

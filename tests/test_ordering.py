@@ -55,12 +55,26 @@ def test_first_n_per_group_with_a_hot_group(spark):
     assert got == want
 
 
-def test_group_values_beyond_the_broadcast_bound(spark, monkeypatch):
-    rows = [("hot" if i % 2 else f"g{i % 50}", float(i % 13)) for i in range(2000)]
+def test_group_values_by_either_join(spark):
+    rows = [("hot" if i % 2 else f"g{i % 50}" if i % 3 else None, float(i % 13)) for i in range(2000)]
     df = spark.createDataFrame(rows, "g string, reward double")
-    small = sorted(map(tuple, rollouts.advantages(df, ["g"]).collect()))
-    monkeypatch.setattr(ordering, "MAX_BROADCAST_GROUPS", 0)
-    assert sorted(map(tuple, rollouts.advantages(df, ["g"]).collect())) == small
+    small = sorted(map(str, rollouts.advantages(df, ["g"]).collect()))
+    assert len(small) == len(rows)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(map(str, rollouts.advantages(df, ["g"]).collect())) == small
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_null_groups_stay(spark):
+    rows = [(None, 1, 5), (None, 2, 3), ("a", 1, 7), ("a", 3, 2)]
+    df = spark.createDataFrame(rows, "g string, k long, v long")
+    out = ordering.prefix_sums(df, ["k"], width_bucket(F.col("k"), 2), {"before": F.col("v")}, ["g"])
+    assert {(r.g, r.k): r.before for r in out.collect()} == {(None, 1): 0, (None, 2): 5, ("a", 1): 0, ("a", 3): 7}
+    low = ordering.running_min(df, ["k"], width_bucket(F.col("k"), 2), "v", "low", ["g"])
+    assert {(r.g, r.k): r.low for r in low.collect()} == {(None, 1): 5, (None, 2): 3, ("a", 1): 7, ("a", 3): 2}
 
 
 def test_running_min(spark):

@@ -59,13 +59,15 @@ def test_only_lengths_enter_the_packer(spark):
     assert "text#" not in text[text.index("FlatMapGroupsInPandas"):exchange]
 
 
-def test_byte_lengths_are_broadcast_and_checked(spark, monkeypatch):
-    losses = spark.createDataFrame([("a", 0, 1.0)], "g string, target_id int, loss double")
+def test_losses_are_summed_before_the_lookup(spark):
+    losses = spark.createDataFrame([("a", 0, 1.0), ("a", 0, 2.0), ("a", 9, 4.0), ("a", 1, float("nan"))], "g string, target_id int, loss double")
     lengths = spark.createDataFrame([(0, 1), (1, 1)], "token_id int, n_bytes int")
-    assert "BroadcastHashJoin" in plan(scoring.bits_per_byte(losses, lengths, ["g"]))
-    monkeypatch.setattr(scoring, "MAX_VOCABULARY", 1)
-    with pytest.raises(ValueError):
-        scoring.bits_per_byte(losses, lengths, ["g"])
+    found = scoring.bits_per_byte(losses, lengths, ["g"])
+    text = plan(found)
+    assert "HashAggregate" in text[text.index("Join"):]
+    row = found.first()
+    assert (row.nats, row.n_bytes, row.unknown_targets, row.bad_losses) == (3.0, 2, 1, 1)
+    assert sorted(r.reason for r in scoring.error_losses(losses, lengths).collect()) == ["loss_not_finite", "unknown_target"]
 
 
 def test_no_query_builds_a_cross_product(spark):
@@ -75,7 +77,9 @@ def test_no_query_builds_a_cross_product(spark):
 
 
 def test_registered_queries_have_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    from sparkcorpus.plans.registry import ORACLES, QUERIES
+
+    assert set(ORACLES) == set(QUERIES) <= set(entry.queries())
 
 
 def test_functions_stay_in_the_jvm():

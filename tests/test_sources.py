@@ -97,6 +97,39 @@ def test_score_report(spark):
     assert rows == [("a", 1.0, 0.75), ("b", 0.5, 0.25)]
 
 
+def test_session_folder(spark, monkeypatch):
+    from sparkcorpus import session
+
+    class Context:
+        folder = None
+
+        def getCheckpointDir(self):
+            return self.folder
+
+        def setCheckpointDir(self, folder):
+            self.folder = folder
+
+    class Session:
+        sparkContext = Context()
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session())
+    Session.sparkContext.setCheckpointDir("/shared")
+    assert session.shared_dir(Session()) == "/shared"
+
+
+def test_stream_keeps_late_steps(spark):
+    path, out, state = fresh_path(spark, "t-metrics"), fresh_path(spark, "t-ema"), fresh_path(spark, "t-state")
+    write = lambda rows: spark.createDataFrame(rows, "run long, step long, loss double").coalesce(1).write.mode("append").json(path)
+    write([(1, 1, 1.0), (1, 3, 3.0)])
+    write([(1, 2, 2.0), (1, 4, 4.0)])  # files out of order: one batch
+    assert sorted(r.step for r in streams.stream_ema(spark, path, out, state).collect()) == [1, 2, 3, 4]
+    write([(1, 2, 9.0), (1, 5, 5.0)])
+    assert sorted(r.step for r in streams.stream_ema(spark, path, out, state).collect()) == [1, 2, 3, 4, 5]
+    assert [tuple(r) for r in streams.late_steps(spark, out).collect()] == [(1, 2, 9.0, "behind_saved_step")]
+
+
 def test_stream_drops_repeated_steps_and_resumes(spark):
     path, out, state = fresh_path(spark, "t-metrics"), fresh_path(spark, "t-ema"), fresh_path(spark, "t-state")
     write = lambda rows: spark.createDataFrame(rows, "run long, step long, loss double").coalesce(1).write.mode("append").json(path)
