@@ -10,9 +10,11 @@ equality of windows a matter of phrases.
 Of the corpus order that suffix arrays of dictionary and parse would give, only the classes of equal strings are
 needed, and Spark's shuffles make them: the dictionary is the phrases by digest, with their counts. A phrase that
 occurs twice is repeated as a whole, every window of it. A trigger string that occurs once proves that none of its
-windows is repeated. Between the two, where a repeated passage begins or ends inside a phrase, the windows of one copy
-of each such phrase are compared by their own 128-bit digests. So the parse of the whole corpus is shuffled at about
-one small row per 100 bytes, windows only around the ends of repeats, and texts once, to cut them.
+windows is repeated. Between the two, where a repeated passage begins or ends inside a phrase, one copy of each such
+phrase is cut into blocks of `BLOCK` window starts, counted from the trigger, and judged alike: by the whole block, and
+by the core that its windows share. Only the windows of blocks that are still open are compared one by one, by 128-bit
+digests. So the parse of the whole corpus is shuffled at about one small row per 100 bytes, blocks and windows only
+around the ends of repeats, and texts once, to cut them.
 
 Everything is keyed by the text's md5, since equal texts are cut alike. Nulls and texts shorter than a window have no
 windows and stay as they are. Long texts are parsed in pieces of `PIECE` window starts. Repeated rows are repeats of
@@ -30,7 +32,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sparkcorpus.llm.common import as_bytes, map_batches, save, whole_row
 
-LENGTH, SPAN = 400, 200
+LENGTH, SPAN, BLOCK = 400, 200, 16
 PIECE = 1 << 20
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
@@ -71,8 +73,8 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(after[:n], before[width - 1 : width - 1 + n])
 
 
-def parse(text: bytes, length: int = LENGTH, span: int = SPAN) -> list[tuple[int, int, int, int]]:
-    """The phrases of a text: first and last window start, hash of the trigger string, digest of the phrase."""
+def parse(text: bytes, length: int = LENGTH, span: int = SPAN) -> list[tuple[int, int, int, int, int]]:
+    """The phrases of a text: first and last window start, place and hash of the trigger string, digest of the phrase."""
     phrases = []
     width = length - span + 1
     digest = xxhash.xxh3_64_intdigest
@@ -85,31 +87,49 @@ def parse(text: bytes, length: int = LENGTH, span: int = SPAN) -> list[tuple[int
         first = np.concatenate([[0], np.flatnonzero(np.diff(triggers)) + 1])
         last = np.concatenate([first[1:], [len(triggers)]]) - 1
         hashes = grams[triggers[first]].view(np.int64).tolist()
-        for a, b, gram in zip(first.tolist(), last.tolist(), hashes, strict=True):
+        for a, b, at, gram in zip(first.tolist(), last.tolist(), triggers[first].tolist(), hashes, strict=True):
             found = digest(data[a : b + length])
-            phrases.append((piece + a, piece + b, gram, found - (1 << 64) if found >> 63 else found))
+            phrases.append((piece + a, piece + b, piece + at, gram, found - (1 << 64) if found >> 63 else found))
     return phrases
 
 
 def _parsed(batch: pa.RecordBatch, length: int, span: int):
-    keys, columns = [], ([], [], [], [])
+    keys, columns = [], ([], [], [], [], [])
     for key, text in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), strict=True):
         if len(text) >= length:
             found = parse(text, length, span)
             keys += [key] * len(found)
             for column, values in zip(columns, zip(*found, strict=True), strict=True):
                 column += values
-    names = ["key", "first", "last", "gram", "phrase"]
-    kinds = [pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+    names = ["key", "first", "last", "trigger", "gram", "phrase"]
+    kinds = [pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
     yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip((keys, *columns), kinds, strict=True)], names=names)
 
 
-def _windows(batch: pa.RecordBatch, length: int):
-    """Digests of the windows of some phrases of each text."""
+def _blocks(batch: pa.RecordBatch, length: int):
+    """The blocks of some phrases of each text: window starts, and digests of the core and of the whole block."""
+    rows = []
+    digest = xxhash.xxh3_128_digest
     for key, text, phrases in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), batch.column(2).to_pylist(), strict=True):
+        for p in phrases:
+            trigger = p["trigger"]
+            for number in range((p["first"] - trigger) // BLOCK, (p["last"] - trigger) // BLOCK + 1):
+                start = trigger + number * BLOCK
+                a, b = max(p["first"], start), min(p["last"], start + BLOCK - 1)
+                core = digest(text[start + BLOCK - 1 : start + length], number % (1 << 64))
+                rows.append((key, a, b, p["n"], core, digest(text[a : b + length])))
+    kinds = [pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+    columns = list(zip(*rows, strict=True)) or [[]] * len(kinds)
+    names = ["key", "first", "last", "n", "core", "whole"]
+    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+
+def _windows(batch: pa.RecordBatch, length: int):
+    """Digests of the windows of some blocks of each text."""
+    for key, text, blocks in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), batch.column(2).to_pylist(), strict=True):
         data = np.frombuffer(text, np.uint8)
         starts, counts, high, low = [], [], [], []
-        for p in phrases:
+        for p in blocks:
             part = data[p["first"] : p["last"] + length]
             starts.append(np.arange(p["first"], p["last"] + 1, dtype=np.int32))
             counts.append(np.full(len(starts[-1]), p["n"], np.int64))
@@ -138,7 +158,7 @@ def _kept(length: int):
         found = []
         for text, whole, single in zip(as_bytes(texts), phrases.to_pylist(), starts.to_pylist(), strict=True):
             spans = [(p["first"], p["last"] + length) for p in whole or () if p["n"] > 1]
-            spans += [(s, s + length) for s in single or ()]
+            spans += [(s["first"], s["last"] + length) for s in single or ()]
             found.append(dict(zip(("kept", "n_removed", "n_spans"), _cut(text, spans), strict=True)))
         return pa.array(found, pa.struct([("kept", pa.binary()), ("n_removed", pa.int64()), ("n_spans", pa.int64())]))
 
@@ -148,31 +168,48 @@ def _kept(length: int):
 def repeated_phrases(docs: DataFrame, key: Column, text: Column, length: int = LENGTH, span: int = SPAN) -> DataFrame:
     """One row per distinct text with a phrase whose trigger string occurs twice: `key` and its `phrases`, each with
     the number `n` of its occurrences and the number `least` of those of the rarest phrase at an equal trigger."""
-    schema = "key binary, first int, last int, gram bigint, phrase bigint"
+    schema = "key binary, first int, last int, trigger int, gram bigint, phrase bigint"
     parsed = save(map_batches(docs.select(key.alias("key"), text.alias("text")), schema, lambda b: _parsed(b, length, span)), "parse")
     triggers = parsed.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
     parsed = save(parsed.join(save(triggers, "triggers"), "gram", "left_semi"), "repeated-parse")
     dictionary = save(parsed.groupBy("gram", "phrase").agg(F.count("*").alias("n")), "dictionary")
     rarest = dictionary.groupBy("gram").agg(F.min("n").alias("least"))
     dictionary = save(dictionary.join(save(rarest, "rarest"), "gram"), "dictionary")
-    found = parsed.join(dictionary, ["gram", "phrase"]).select("key", F.struct("first", "last", "gram", "phrase", "n", "least").alias("p"))
+    found = parsed.join(dictionary, ["gram", "phrase"]).select("key", F.struct("first", "last", "trigger", "gram", "phrase", "n", "least").alias("p"))
     return save(found.groupBy("key").agg(F.collect_set("p").alias("phrases")), "repeats")
 
 
+def _with_texts(texts: DataFrame, chosen: DataFrame) -> DataFrame:
+    """`key`, `text` and the list `wanted` of the structs `c` chosen for it; of equal texts one is read."""
+    wanted = save(chosen.groupBy("key").agg(F.collect_list("c").alias("wanted")), "wanted")
+    one = texts.groupBy("key").agg(F.min("uid").alias("uid")).join(wanted, "key")
+    return texts.join(save(one.drop("key"), "wanted-texts"), "uid").select("key", "text", "wanted")
+
+
 def repeated_windows(texts: DataFrame, repeats: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Window starts that are repeated although their phrase is not: one row per text, `key` and `starts`. `texts`
-    has `uid`, `key` and `text`; of equal texts one is read."""
+    """Window starts that are repeated although their phrase is not: one row per text, `key` and `starts`, runs from
+    `first` to `last`. `texts` has `uid`, `key` and `text`."""
     unsure = repeats.select("key", F.explode("phrases").alias("p")).filter("p.least = 1")
-    chosen = unsure.groupBy("p.gram", "p.phrase").agg(F.min(F.struct("key", "p.first", "p.last", "p.n")).alias("c"))
-    wanted = chosen.groupBy("c.key").agg(F.collect_list(F.struct("c.first", "c.last", "c.n")).alias("wanted"))
-    one = texts.groupBy("key").agg(F.min("uid").alias("uid"))
-    wanted = save(one.join(save(wanted, "open-phrases"), "key"), "open-texts").drop("key")
-    open_texts = texts.join(wanted, "uid")
+    one = F.min(F.struct("key", "p.first", "p.last", "p.trigger", "p.n")).alias("one")
+    chosen = unsure.groupBy("p.gram", "p.phrase").agg(one)
+    chosen = chosen.select("one.key", F.struct("one.first", "one.last", "one.trigger", "one.n").alias("c"))
+    schema = "key binary, first int, last int, n bigint, core binary, whole binary"
+    blocks = save(map_batches(_with_texts(texts, chosen), schema, lambda b: _blocks(b, length)), "blocks")
+
+    wholes = blocks.groupBy("core", "whole").agg(F.sum("n").alias("n"), F.min(F.struct("key", "first", "last")).alias("one"))
+    wholes = save(wholes, "block-dictionary")
+    cores = wholes.groupBy("core").agg(F.sum("n").alias("total"), F.min("n").alias("least")).filter("total > 1 and least = 1")
+    twice = save(wholes.filter("n > 1").select("core", "whole"), "repeated-blocks")
+    in_blocks = blocks.filter("n = 1").join(twice, ["core", "whole"]).select("key", "first", "last")
+
+    chosen = wholes.join(save(cores.select("core"), "open-cores"), "core")
+    chosen = chosen.select("one.key", F.struct("one.first", "one.last", "n").alias("c"))
     schema = "key binary, start int, n bigint, high bigint, low bigint"
-    windows = save(map_batches(open_texts.select("key", "text", "wanted"), schema, lambda b: _windows(b, length)), "windows")
+    windows = save(map_batches(_with_texts(texts, chosen), schema, lambda b: _windows(b, length)), "windows")
     twice = windows.groupBy("high", "low").agg(F.sum("n").alias("total")).filter("total > 1").drop("total")
-    found = windows.filter("n = 1").join(save(twice, "repeated-windows"), ["high", "low"])
-    return save(found.groupBy("key").agg(F.collect_list("start").alias("starts")), "window-starts")
+    alone = windows.filter("n = 1").join(save(twice, "repeated-windows"), ["high", "low"])
+    found = in_blocks.union(alone.select("key", "start", "start"))
+    return save(found.groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("starts")), "window-starts")
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, span: int = SPAN, keep: list[str] | None = None) -> DataFrame:
