@@ -9,11 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sparkcorpus.functions.chat import SPECIAL_TOKENS
 from sparkcorpus.functions.text import byte_ids, pretokens
-from sparkcorpus.session import cut_lineage
+from sparkcorpus.session import fresh_path
 
 # A vocabulary is a driver-side lookup table; a larger one than this is refused rather than broadcast.
 MAX_VOCABULARY = 1_048_576
-WORDS_PER_PARTITION = 200_000
 _FIRST_SURROGATE, _SURROGATES = 0xD800, 0x800
 
 
@@ -64,62 +63,73 @@ def _symbol(index: int) -> str:
     return chr(index if index < _FIRST_SURROGATE else index + _SURROGATES)
 
 
-def _exact_batch(ranked: list[tuple[str, int]], complete: bool) -> list[str]:
-    """Merges of one round that equal one-by-one merging.
+def _order(pair: str, count: int) -> tuple:
+    """Most frequent first; among equals the pair whose newer symbol is older, then the lower pair."""
+    return -count, max(pair), pair
+
+
+def _exact_batch(ranked: list[tuple[str, int]]) -> list[str]:
+    """Merges of one round that equal one-by-one merging. `ranked` is in `_order`.
 
     Merging (a, b) changes only pairs that end in a or begin with b, and every pair it creates is at most as frequent
-    as one of those. So the ranking is followed until such a pair comes up; what is taken before it, and is strictly
-    more frequent, would have been merged next anyway. A pair of equal symbols also changes itself and ends the list."""
-    taken, firsts, seconds, left_out = [], set(), set(), None
-    for (a, b), count in ranked:
-        if a in seconds or b in firsts or (taken and taken[-1][0][0] == taken[-1][0][1]):
-            left_out = count
+    as one of those; it holds the newest symbol, so it comes behind all pairs of equal count. So the order is followed
+    until such a pair comes up: what is taken before it would have been merged next anyway. A pair of equal symbols
+    also changes itself and ends the list."""
+    taken: list[str] = []
+    firsts, seconds = set(), set()
+    for pair, _ in ranked:
+        a, b = pair
+        if a in seconds or b in firsts or (taken and a == b):
+            break
+        taken.append(pair)
+        if a == b:
             break
-        taken.append((a + b, count))
         firsts.add(a)
         seconds.add(b)
-        if a == b and len(taken) > 1:
-            taken.pop()
-            left_out = count
-            break
-    if left_out is None and not complete:
-        left_out = taken[-1][1]
-    while len(taken) > 1 and left_out is not None and taken[-1][1] <= left_out:
-        taken.pop()
-    return [pair for pair, _ in taken]
+    return taken
+
 
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
-def train_bpe(words: DataFrame, vocab_size: int, candidates: int = 256, checkpoint_every: int = 4) -> DataFrame:
+
+def train_bpe(words: DataFrame, vocab_size: int, candidates: int = 512, rewrite_every: int = 4) -> DataFrame:
     """Byte-pair vocabulary from (word, n): `rank, token_bytes` and the merged pair `left_rank, right_rank` (null for
     bytes), for vocab_size minus the specials.
 
     A symbol is one character, so a word is a short string, a pair is a two-character substring and applying a
-    merge is a string replacement: left to right without overlap. Every round is one aggregation over the distinct
-    words. Ties go to the pair of older symbols. Every merge equals plain greedy training."""
+    merge is a string replacement: left to right without overlap. Every round counts the pairs of the distinct words and
+    takes all merges that one-by-one merging would surely take next. Ties go to the pair whose newer symbol is older. The words with their merges are written anew every few
+    rounds, in place of the copy before."""
     spark = words.sparkSession
     ordinary = vocab_size - len(SPECIAL_TOKENS)
     if ordinary < 256:
         raise ValueError("the vocabulary must hold at least the 256 bytes")
     if vocab_size > MAX_VOCABULARY:
         raise ValueError(f"vocabulary above {MAX_VOCABULARY}")
-    table = words.select(F.decode(F.encode("word", "UTF-8"), "ISO-8859-1").alias("w"), "n").filter(F.length("w") > 1)
-    table = cut_lineage(table)
-    wanted = max(spark.sparkContext.defaultParallelism, table.count() // WORDS_PER_PARTITION)
-    table = cut_lineage(table.repartition(wanted))
+
+    def written(table: DataFrame) -> tuple[DataFrame, str]:
+        path = fresh_path(spark, "bpe-words")
+        table.filter(F.length("w") > 1).write.parquet(path)
+        return spark.read.schema("w string, n long").parquet(path), path
+
+    table = words.select(F.decode(F.encode("word", "UTF-8"), "ISO-8859-1").alias("w"), F.col("n").cast("long").alias("n"))
+    table, path = written(table.repartition(spark.sparkContext.defaultParallelism, "w"))
     pieces: list[bytes] = [bytes([b]) for b in range(256)]
     pairs_of: list[tuple[int | None, int | None]] = [(None, None)] * 256
     ids = {_symbol(i): i for i in range(256)}
     rounds = 0
+    newer = F.greatest(F.substring("pair", 1, 1), F.substring("pair", 2, 1))
+
     while len(pieces) < ordinary:
-        ranked = (
-            table.select(F.explode(F.regexp_extract_all("w", F.lit(r"(?s)(?=(..))"), F.lit(1))).alias("pair"), "n")
-            .groupBy("pair").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "pair").limit(candidates).collect()
-        )
+        pairs = table.select(F.explode(F.regexp_extract_all("w", F.lit(r"(?s)(?=(..))"), F.lit(1))).alias("pair"), "n")
+        counts = pairs.groupBy("pair").agg(F.sum("n").alias("n"))
+        ranked = counts.orderBy(F.desc("n"), newer, "pair").limit(candidates).collect()
         if not ranked:
             break
         merged = F.col("w")
-        batch = _exact_batch([(r["pair"], r["n"]) for r in ranked], complete=len(ranked) < candidates)
-        for pair in batch[: ordinary - len(pieces)]:
+        for pair in _exact_batch([(r["pair"], r["n"]) for r in ranked])[: ordinary - len(pieces)]:
             a, b = pair
             new = _symbol(len(pieces))
             ids[new] = len(pieces)
@@ -128,8 +138,11 @@ def train_bpe(words: DataFrame, vocab_size: int, candidates: int = 256, checkpoi
             merged = F.replace(merged, F.lit(pair), F.lit(new))
         table = table.select(merged.alias("w"), "n")
         rounds += 1
-        if rounds % checkpoint_every == 0:
-            table = cut_lineage(table.filter(F.length("w") > 1))
+        if rounds % rewrite_every == 0:
+            old = path
+            table, path = written(table)
+            _delete(spark, old)
+    _delete(spark, path)
     return spark.createDataFrame(
         [(i, bytearray(p), *pair) for i, (p, pair) in enumerate(zip(pieces, pairs_of))],
         "rank int, token_bytes binary, left_rank int, right_rank int",

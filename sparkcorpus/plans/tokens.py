@@ -116,7 +116,7 @@ run as (
   select rank + 1, best, replace(w, best, chr(rank + 1)), n from run, (
     select pair as best from (
       select w[i:i + 1] as pair, sum(n) as total from (select w, n, unnest(range(1, length(w))) as i from run) group by 1)
-    order by total desc, pair limit 1)
+    order by total desc, greatest(pair[1], pair[2]), pair limit 1)
   where rank < {255 + MERGES})
 select distinct rank, unicode(pair[1]) as left_rank, unicode(pair[2]) as right_rank from run where pair is not null"""
 
@@ -176,7 +176,7 @@ run as (
   select rank + 1, word, replace(w, best, chr(rank + 1)), n from run, (
     select pair as best from (
       select w[i:i + 1] as pair, sum(n) as total from (select w, n, unnest(range(1, length(w))) as i from run) group by 1)
-    order by total desc, pair limit 1)
+    order by total desc, greatest(pair[1], pair[2]), pair limit 1)
   where rank < {255 + MERGES})
 select lang, sum(c.n * strlen(word))::bigint as n_bytes, sum(c.n * length(w))::bigint as n_tokens,
        round(sum(c.n * strlen(word)) / sum(c.n * length(w)), 6) as bytes_per_token

@@ -32,7 +32,7 @@ def test_pretokens_equal_the_regex_module(spark):
 
 
 def plain_bpe(words: dict[str, int], merges: int) -> list[tuple[int, int]]:
-    """One merge at a time over lists of ids; ties go to the pair of older symbols."""
+    """One merge at a time over lists of ids; ties go to the pair whose newer symbol is older."""
     table = [(list(w.encode()), n) for w, n in words.items()]
     learned = []
     for _ in range(merges):
@@ -42,7 +42,7 @@ def plain_bpe(words: dict[str, int], merges: int) -> list[tuple[int, int]]:
                 counts[pair] += n
         if not counts:
             break
-        best = min(counts, key=lambda p: (-counts[p], p))
+        best = min(counts, key=lambda p: (-counts[p], max(p), p))
         new = 256 + len(learned)
         learned.append(best)
         for ids, _ in table:
@@ -68,23 +68,27 @@ def test_training_equals_plain_merging(trained):
     assert learned == plain_bpe({r.word: r.n for r in words.collect()}, 35)
 
 
-def test_exact_batches_equal_plain_merging():
-    rng = random.Random(11)
-    for _ in range(400):
-        words = {"".join(rng.choice("abcd"[: rng.randint(1, 4)]) for _ in range(rng.randint(1, 9))): rng.randint(1, 5) for _ in range(6)}
+@pytest.mark.parametrize("candidates", [1, 4, 50])
+def test_exact_batches_equal_plain_merging(candidates):
+    rng, rounds, merges = random.Random(11), 0, 0
+    for _ in range(600):
+        words = {"".join(rng.choice("abcdef"[: rng.randint(1, 6)]) for _ in range(rng.randint(1, 9))): rng.randint(1, 5) for _ in range(rng.choice([3, 8, 20]))}
         want, table, got = plain_bpe(words, 12), [(w, n) for w, n in words.items()], []
         while len(got) < 12:
             counts = Counter()
             for w, n in table:
                 for i in range(len(w) - 1):
                     counts[w[i : i + 2]] += n
-            ranked = sorted(counts.items(), key=lambda e: (-e[1], e[0]))
+            ranked = sorted(counts.items(), key=lambda e: tok._order(*e))[:candidates]
             if not ranked:
                 break
-            for pair in tok._exact_batch(ranked[:4], len(ranked) < 4)[: 12 - len(got)]:
+            rounds += 1
+            for pair in tok._exact_batch(ranked)[: 12 - len(got)]:
                 got.append((ord(pair[0]), ord(pair[1])))
                 table = [(w.replace(pair, chr(255 + len(got))), n) for w, n in table]
+        merges += len(got)
         assert got == want
+    assert candidates == 1 or merges > 1.2 * rounds
 
 
 def test_encoding_equals_an_independent_codec(spark, trained):
