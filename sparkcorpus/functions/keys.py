@@ -15,6 +15,14 @@ def hex_bucket(key: Column, digits: int) -> Column:
     return F.conv(F.substring(key, 1, digits), 16, 10).cast("long")
 
 
+def key_digits(rows: int, per_bucket: int = 65_536) -> int:
+    """Hex digits for `hex_bucket` such that a bucket of so large a table holds about `per_bucket` rows at most."""
+    digits = 1
+    while rows > per_bucket * 16**digits:
+        digits += 1
+    return digits
+
+
 def width_bucket(position: Column, width: int) -> Column:
     """Order-preserving bucket of a unique integer position: at most `width` rows each."""
     return F.floor(position / F.lit(width)).cast("long")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
 from sparkcorpus.functions.chat import chat_fault, render_fault, request_fault
-from sparkcorpus.functions.keys import hex_bucket, shuffle_key, width_bucket
+from sparkcorpus.functions.keys import hex_bucket, key_digits, shuffle_key, width_bucket
 from sparkcorpus.functions.text import (
     choices_prompt, code_block, leading_imports, tool_parts, without_colours,
 )
@@ -178,7 +178,7 @@ def adapt(name: str, df: DataFrame) -> DataFrame:
 # --- mixtures -----------------------------------------------------------------------------------------------------
 
 
-def mix_datasets(parts: Sequence[tuple[str, DataFrame, int]], key: str, seed: int = 42, digits: int = 3) -> DataFrame:
+def mix_datasets(parts: Sequence[tuple[str, DataFrame, int]], key: str, seed: int = 42, per_bucket: int = 65_536) -> DataFrame:
     """Union in which each dataset appears `copies` times, in one deterministic shuffled order over (task, copy, key).
     Adds task, copy and the position `pos`."""
     union = None
@@ -186,6 +186,7 @@ def mix_datasets(parts: Sequence[tuple[str, DataFrame, int]], key: str, seed: in
         part = df.withColumn("task", F.lit(task)).withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
         union = part if union is None else union.unionByName(part)
     keyed = union.withColumn("_key", shuffle_key(seed, "task", "copy", key))
+    digits = key_digits(sum(df.count() * copies for _, df, copies in parts), per_bucket)
     return with_position(keyed, ["_key", "task", "copy", key], hex_bucket(F.col("_key"), digits)).drop("_key")
 
 

@@ -117,10 +117,12 @@ def at_or_before(order: Sequence[str], row) -> Column:
     return condition
 
 
-def seeded_shuffle(df: DataFrame, seed: int, key: str, digits: int = 3, name: str = "shuffled_pos") -> DataFrame:
-    """Position of every row in a pseudo-random order that depends on seed and key only."""
-    from sparkcorpus.functions.keys import hex_bucket, shuffle_key
+def seeded_shuffle(df: DataFrame, seed: int, key: str, per_bucket: int = 65_536, name: str = "shuffled_pos") -> DataFrame:
+    """Position of every row in a pseudo-random order that depends on seed and key only. The number of buckets follows
+    the number of rows; the order does not depend on it."""
+    from sparkcorpus.functions.keys import hex_bucket, key_digits, shuffle_key
 
+    digits = key_digits(df.count(), per_bucket)
     keyed = df.withColumn("_key", shuffle_key(seed, key))
     return with_position(keyed, ["_key", key], hex_bucket(F.col("_key"), digits), name).drop("_key")
 

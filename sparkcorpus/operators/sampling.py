@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from sparkcorpus.functions.keys import shuffle_key
 from sparkcorpus.functions.text import utf8_prefix
 from sparkcorpus.operators.ordering import at_or_before, budget_crossing, first_n_per_group
+from sparkcorpus.session import fresh_path
 
 
 def cap_text(df: DataFrame, cap: int, text: str = "text") -> DataFrame:
@@ -26,9 +27,12 @@ def byte_budget(df: DataFrame, order: Sequence[str], bucket: Column, target: int
     """Prefix with exactly `target` text bytes, up to 3 fewer where the cut would split a character. Empty documents
     are skipped. The last document is cut on a character boundary and dropped if nothing of it is left."""
     full = df.filter(F.octet_length(text) > 0)
-    row = budget_crossing(full, order, bucket, F.octet_length(text), target)
+    path = fresh_path(df.sparkSession, "byte-lengths")  # the text is read here once, and once more for the result
+    full.select(*order, bucket.alias("_at"), F.octet_length(text).alias("_bytes")).write.parquet(path)
+    sizes = df.sparkSession.read.parquet(path)
+    row = budget_crossing(sizes, order, F.col("_at"), F.col("_bytes"), target)
     if row is None:
-        have = full.agg(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
+        have = sizes.agg(F.sum("_bytes").alias("n")).first()["n"] or 0
         if have < target - 3:
             raise ValueError(f"not enough text: {have} bytes for a budget of {target}")
         return full

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sparkcorpus.functions.keys import hex_bucket, shuffle_key, width_bucket
+from sparkcorpus.functions.keys import hex_bucket, key_digits, shuffle_key, width_bucket
 from sparkcorpus.functions.text import byte_ids
 from sparkcorpus.operators import ordering, packing, sampling, tokenization
 from sparkcorpus.plans.registry import query, table
@@ -203,8 +203,10 @@ sample as (select * from cut where text <> '')"""
 
 
 def budgeted_sample(spark, sf_dir):
-    docs = sampling.cap_text(table(spark, sf_dir, "documents"), CAP).withColumn("_key", shuffle_key(SEED, "doc_id"))
-    return sampling.byte_budget(docs, ["_key", "doc_id"], hex_bucket(F.col("_key"), 2), BYTE_BUDGET)
+    docs = table(spark, sf_dir, "documents")
+    digits = key_digits(docs.count())
+    docs = sampling.cap_text(docs, CAP).withColumn("_key", shuffle_key(SEED, "doc_id"))
+    return sampling.byte_budget(docs, ["_key", "doc_id"], hex_bucket(F.col("_key"), digits), BYTE_BUDGET)
 
 
 @query(budget_sql(BYTE_BUDGET) + " select doc_id, strlen(text) as n_bytes, md5(text) as digest from sample")

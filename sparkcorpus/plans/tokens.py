@@ -127,15 +127,6 @@ def train_bpe(spark, sf_dir):
     return trained(spark, sf_dir).filter("rank >= 256").select("rank", "left_rank", "right_rank")
 
 
-@query("select lang, count(*) as documents, sum(strlen(text))::bigint as n_bytes, 0::bigint as mismatches from documents group by 1")
-def encode_corpus(spark, sf_dir):
-    """Encode with a vocabulary trained on the corpus, decode, compare; bytes counted on the decoded side."""
-    ranks = trained(spark, sf_dir)
-    encoded = tok.encode_corpus(table(spark, sf_dir, "documents"), ranks)
-    audit = tok.roundtrip_audit(encoded, tok.vocab_table(ranks), by=["lang"])
-    return audit.select("lang", "documents", F.col("decoded_bytes").alias("n_bytes"), "mismatches")
-
-
 @query("select source, count(*) as documents, 0::bigint as mismatches, sum(strlen(text))::bigint as decoded_bytes from documents group by 1")
 def roundtrip_audit(spark, sf_dir):
     docs = tok.encode_bytes(table(spark, sf_dir, "documents"))
@@ -164,8 +155,9 @@ def compression_report(spark, sf_dir):
     return report.withColumn("bytes_per_token", F.round("bytes_per_token", 6))
 
 
-@query(f"""
-with recursive {PRETOKENS_SQL},
+# Every distinct word after each merge, one symbol a character, with its counts by language.
+MERGED_WORDS_SQL = f"""
+{PRETOKENS_SQL},
 counts as (select lang, word, count(*) as n from (select lang, unnest(words) as word from pretokens) group by 1, 2),
 words as (
   select word, array_to_string(list_transform(regexp_extract_all(hex(encode(word)), '..'), lambda h: chr(('0x' || h)::int)), '') as w, sum(n) as n
@@ -177,7 +169,11 @@ run as (
     select pair as best from (
       select w[i:i + 1] as pair, sum(n) as total from (select w, n, unnest(range(1, length(w))) as i from run) group by 1)
     order by total desc, greatest(pair[1], pair[2]), pair limit 1)
-  where rank < {255 + MERGES})
+  where rank < {255 + MERGES})"""
+
+
+@query(f"""
+with recursive {MERGED_WORDS_SQL}
 select lang, sum(c.n * strlen(word))::bigint as n_bytes, sum(c.n * length(w))::bigint as n_tokens,
        round(sum(c.n * strlen(word)) / sum(c.n * length(w)), 6) as bytes_per_token
 from counts c join run using (word) where rank = {255 + MERGES} group by 1""")
@@ -191,6 +187,25 @@ def compression_by_histogram(spark, sf_dir):
     return report.withColumn("bytes_per_token", F.round("bytes_per_token", 6))
 
 
+@query(f"""
+with recursive {MERGED_WORDS_SQL}
+select lang, documents, n_bytes, 0::bigint as mismatches, n_tokens, id_sum
+from (select lang, sum(c.n * strlen(word))::bigint as n_bytes, sum(c.n * length(w))::bigint as n_tokens,
+             sum(c.n * list_sum(list_transform(string_split(w, ''), lambda x: unicode(x))))::bigint as id_sum
+      from counts c join run using (word) where rank = {255 + MERGES} group by 1)
+join (select lang, count(*) as documents from documents group by 1) using (lang)""")
+def encode_corpus(spark, sf_dir):
+    """Encode with a vocabulary trained on the corpus, decode, compare; bytes counted on the decoded side, tokens and
+    the sum of their ids on the encoded one."""
+    ranks = trained(spark, sf_dir)
+    encoded = tok.encode_corpus(table(spark, sf_dir, "documents"), ranks)
+    audit = tok.roundtrip_audit(encoded, tok.vocab_table(ranks), by=["lang"])
+    id_sum = F.aggregate("ids", F.lit(0).cast("long"), lambda total, i: total + i)
+    totals = encoded.groupBy("lang").agg(F.sum(F.size("ids")).alias("n_tokens"), F.sum(id_sum).alias("id_sum"))
+    return audit.select("lang", "documents", F.col("decoded_bytes").alias("n_bytes"), "mismatches").join(totals, "lang")
+
+
+
 @query(f"""
 with {REPORT_SQL},
 sides as (

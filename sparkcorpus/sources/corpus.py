@@ -9,9 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from sparkcorpus.functions.keys import width_bucket
 from sparkcorpus.operators.ordering import prefix_sums, with_position
-from sparkcorpus.session import cut_lineage
-
-_MAX_BROADCAST_SHARDS = 100_000
+from sparkcorpus.session import cut_lineage, fresh_path
 
 
 def _plain(path: str) -> str:
@@ -23,9 +21,9 @@ def scan_corpus(spark: SparkSession, path: str, glob: str = "*.parquet", columns
     so the order needs no sort. Files that do not match the pattern, such as unfinished ones, are ignored."""
     files = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").parquet(path)
     names = sorted(_plain(f) for f in files.inputFiles())
-    shards = spark.createDataFrame(list(zip(names, range(len(names)))), "_path string, shard int")
-    if len(names) <= _MAX_BROADCAST_SHARDS:
-        shards = F.broadcast(shards)
+    path_of_numbers = fresh_path(spark, "shard-numbers")  # as a table, so that the plan follows its size
+    spark.createDataFrame(list(zip(names, range(len(names)))), "_path string, shard int").write.parquet(path_of_numbers)
+    shards = spark.read.schema("_path string, shard int").parquet(path_of_numbers)
     rows = files.select(
         F.replace(F.col("_metadata.file_path"), F.lit(":///"), F.lit(":/")).alias("_path"),
         F.col("_metadata.row_index").alias("pos"),

@@ -145,3 +145,16 @@ def test_buckets_follow_the_key(spark):
     df = spark.range(2000).withColumn("k", shuffle_key(1, "id"))
     buckets = [r.b for r in df.withColumn("b", hex_bucket(F.col("k"), 2)).orderBy("k").collect()]
     assert buckets == sorted(buckets) and max(buckets) <= 255
+
+
+def test_buckets_follow_the_rows(spark):
+    from sparkcorpus.functions.keys import key_digits
+
+    for rows in (500, 2000):
+        df = spark.range(rows)
+        digits = key_digits(rows, 40)
+        sizes = df.groupBy(hex_bucket(shuffle_key(7, "id"), digits)).count().agg(F.max("count")).first()[0]
+        assert sizes <= 80
+        wide, narrow = (ordering.seeded_shuffle(df, 7, "id", per_bucket=n).collect() for n in (40, 10**6))
+        assert sorted(wide) == sorted(narrow)
+        assert sorted(r.shuffled_pos for r in wide) == list(range(rows))
