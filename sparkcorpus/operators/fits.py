@@ -21,24 +21,15 @@ def isoflop_optima(
         *by, F.log10(F.col(params).cast("double")).alias("x"), F.col(loss).cast("double").alias("y"),
         F.col(params).cast("double").alias("p"), F.col(tokens).cast("double").alias("t"), F.col(ratio).cast("double").alias("r"),
     )
-    # Power sums around one common centre need a single grouped pass; they are then moved to each group's own mean m.
-    common = named.agg(F.avg("x")).scalar()
-    v = F.col("x") - F.col("_common")
-    raw = named.withColumn("_common", common).groupBy(*by).agg(
-        F.count("*").cast("double").alias("n"), F.max("_common").alias("common"),
-        F.sum(v).alias("v1"), F.sum(v * v).alias("v2"), F.sum(v * v * v).alias("v3"), F.sum(v * v * v * v).alias("v4"),
-        F.sum("y").alias("t0"), F.sum(v * F.col("y")).alias("y1"), F.sum(v * v * F.col("y")).alias("y2"),
+    # Power sums around each group's own mean; a common centre would cancel digits of the fourth powers.
+    means = named.groupBy(*by).agg(F.avg("x").alias("center"))
+    u, n = F.col("x") - F.col("center"), F.col("n")
+    sums = join_group_values(named, means, by).groupBy(*by).agg(
+        F.count("*").cast("double").alias("n"), F.max("center").alias("center"),
+        F.sum(u * u).alias("s2"), F.sum(u * u * u).alias("s3"), F.sum(u * u * u * u).alias("s4"),
+        F.sum("y").alias("t0"), F.sum(u * F.col("y")).alias("t1"), F.sum(u * u * F.col("y")).alias("t2"),
         F.min_by(F.struct("p", "t", "r", "y"), F.struct("y", "p")).alias("best"),
     )
-    m, n = F.col("m"), F.col("n")
-    sums = raw.withColumn("m", F.col("v1") / n).select(
-        *by, "n", "t0", "best", (F.col("common") + m).alias("center"),
-        (F.col("v2") - n * m * m).alias("s2"),
-        (F.col("v3") - 3 * m * F.col("v2") + 2 * n * m * m * m).alias("s3"),
-        (F.col("v4") - 4 * m * F.col("v3") + 6 * m * m * F.col("v2") - 3 * n * m * m * m * m).alias("s4"),
-        (F.col("y1") - m * F.col("t0")).alias("t1"),
-        (F.col("y2") - 2 * m * F.col("y1") + m * m * F.col("t0")).alias("t2"),
-    )
     c = {k: F.col(k) for k in ("n", "s2", "s3", "s4", "t0", "t1", "t2")}
     det = c["s4"] - c["s3"] * c["s3"] / c["s2"] - c["s2"] * c["s2"] / c["n"]
     a = (c["t2"] - c["s3"] * c["t1"] / c["s2"] - c["s2"] * c["t0"] / c["n"]) / F.col("det")
