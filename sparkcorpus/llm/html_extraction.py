@@ -22,9 +22,10 @@ import re
 from html import unescape
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sparkcorpus.llm.common import as_bytes, save, whole_row
+from sparkcorpus.llm.common import as_bytes, map_batches, save, whole_row
 
 SHARE = 0.8
 MAX_PATHS = 10
@@ -207,13 +208,15 @@ class Page:
         return " ".join(text for text, _, _, containers in self.blocks if not chosen.isdisjoint(containers))
 
 
-def votes(html: str | Column) -> Column:
-    """The container path that each page votes for; null for a page without text."""
+def ballots(pages: DataFrame, url: str, html: str) -> DataFrame:
+    """`host` and the `path` that each page with text votes for."""
 
-    def of(pages: pa.Array) -> pa.Array:
-        return pa.array([Page(h.decode("utf-8", "replace")).vote() for h in as_bytes(pages)], pa.string())
+    def cast(batch: pa.RecordBatch):
+        paths = [Page(h.decode("utf-8", "replace")).vote() for h in as_bytes(batch.column(1))]
+        voted = pa.RecordBatch.from_arrays([batch.column(0), pa.array(paths, pa.string())], names=["host", "path"])
+        yield voted.filter(pc.is_valid(voted.column(1)))
 
-    return F.arrow_udf(of, "string")(html)
+    return map_batches(pages.select(host_of(url).alias("host"), F.col(html).alias("html")), "host string, path string", cast)
 
 
 def texts(html: str | Column, winners: str | Column) -> Column:
@@ -233,8 +236,7 @@ def host_of(url: str | Column) -> Column:
 
 def consensus(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """One row per host: its winning `paths`, most votes first."""
-    ballots = pages.select(host_of(url).alias("host"), votes(html).alias("path")).filter("path is not null")
-    counted = ballots.groupBy("host", "path").agg(F.count("*").alias("n"))
+    counted = ballots(pages, url, html).groupBy("host", "path").agg(F.count("*").alias("n"))
     order = [F.col("n").desc(), F.length("path"), F.col("path")]
     of_host = Window.partitionBy("host")
     ranked = counted.withColumn("lead", F.max("n").over(of_host)).filter(F.col("n") * MAX_PATHS >= F.col("lead"))
