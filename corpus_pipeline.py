@@ -9,23 +9,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkcorpus.llm import decontamination, quality_rules, simhash_dedup, suffix_dedup
-from sparkcorpus.llm.common import save
+from sparkcorpus.llm.common import bound_batches, save
 from sparkcorpus.llm.queries import mixed, table
 
 
 def drop_repetitive(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality rules: documents that fail them go."""
+    bound_batches(spark)
     return quality_rules.reject_repetitive(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SimHash: of each group of near-duplicates the document of the smallest id stays."""
+    bound_batches(spark)
     return simhash_dedup.keep_one(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """400-byte strings that occur twice are cut out. A character cut in half goes too, as does a document of which
     nothing is left; `n_chars`, where there is such a column, is counted anew for texts that were cut."""
+    bound_batches(spark)
     found = suffix_dedup.remove_repeats(docs)
     whole = F.arrow_udf(lambda kept: _readable(kept), "string")("kept")
     cut = F.col("kept").isNotNull()
@@ -44,6 +47,7 @@ def _readable(kept):
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a ten-word window of the benchmark go."""
+    bound_batches(spark)
     return decontamination.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from sparkcorpus.session import fresh_path
 
 #: A run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+_TEXTS = 512
+_BATCH, _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 
 
 def save(df: DataFrame, label: str) -> DataFrame:
@@ -21,23 +23,32 @@ def save(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """At most a thousand texts an Arrow batch in this session: batches are counted in rows, and texts can be long."""
+    spark.conf.set(_BATCH, str(min(int(spark.conf.get(_BATCH)), _BATCH_ROWS)))
+
+
 def whole_row(df: DataFrame, keep: list[str] | None = None) -> Column:
     """The row, or the columns to keep of it, as one struct: no added column can clash with its names."""
     return F.struct(*[F.col(f"`{c}`") for c in (df.columns if keep is None else keep)]).alias("row")
 
 
-def as_bytes(column: pa.Array) -> list[bytes]:
-    """The UTF-8 bytes of each string; empty for null."""
-    return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
+def as_bytes(column: pa.Array) -> Iterator[bytes]:
+    """The UTF-8 bytes of each string, empty for null; only some hundred texts are Python objects at a time."""
+    for at in range(0, len(column), _TEXTS):
+        for text in column.slice(at, _TEXTS).cast(pa.binary()).to_pylist():
+            yield text or b""
 
 
-def map_batches(df: DataFrame, schema: str, function: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]) -> DataFrame:
-    """mapInArrow for a function of one batch that yields any number of batches."""
+def map_batches(
+    df: DataFrame, schema: str, function: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], rows: int | None = None
+) -> DataFrame:
+    """mapInArrow for a function of one batch (of at most `rows` rows) that yields any number of batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield from function(batch)
+            for at in range(0, batch.num_rows, rows or max(1, batch.num_rows)):
+                yield from function(batch.slice(at, rows))
 
     return df.mapInArrow(run, schema)
 

@@ -34,6 +34,8 @@ from sparkcorpus.llm.common import as_bytes, map_batches, save, whole_row
 
 LENGTH, SPAN, BLOCK = 400, 200, 16
 PIECE = 1 << 20
+#: Texts whose phrases are held at a time.
+ROWS = 512
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
 
@@ -169,7 +171,7 @@ def repeated_phrases(docs: DataFrame, key: Column, text: Column, length: int = L
     """One row per distinct text with a phrase whose trigger string occurs twice: `key` and its `phrases`, each with
     the number `n` of its occurrences and the number `least` of those of the rarest phrase at an equal trigger."""
     schema = "key binary, first int, last int, trigger int, gram bigint, phrase bigint"
-    parsed = save(map_batches(docs.select(key.alias("key"), text.alias("text")), schema, lambda b: _parsed(b, length, span)), "parse")
+    parsed = save(map_batches(docs.select(key.alias("key"), text.alias("text")), schema, lambda b: _parsed(b, length, span), ROWS), "parse")
     triggers = parsed.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
     parsed = save(parsed.join(save(triggers, "triggers"), "gram", "left_semi"), "repeated-parse")
     dictionary = save(parsed.groupBy("gram", "phrase").agg(F.count("*").alias("n")), "dictionary")
@@ -194,7 +196,7 @@ def repeated_windows(texts: DataFrame, repeats: DataFrame, length: int = LENGTH)
     chosen = unsure.groupBy("p.gram", "p.phrase").agg(one)
     chosen = chosen.select("one.key", F.struct("one.first", "one.last", "one.trigger", "one.n").alias("c"))
     schema = "key binary, first int, last int, n bigint, core binary, whole binary"
-    blocks = save(map_batches(_with_texts(texts, chosen), schema, lambda b: _blocks(b, length)), "blocks")
+    blocks = save(map_batches(_with_texts(texts, chosen), schema, lambda b: _blocks(b, length), ROWS), "blocks")
 
     wholes = blocks.groupBy("core", "whole").agg(F.sum("n").alias("n"), F.min(F.struct("key", "first", "last")).alias("one"))
     wholes = save(wholes, "block-dictionary")
@@ -205,7 +207,7 @@ def repeated_windows(texts: DataFrame, repeats: DataFrame, length: int = LENGTH)
     chosen = wholes.join(save(cores.select("core"), "open-cores"), "core")
     chosen = chosen.select("one.key", F.struct("one.first", "one.last", "n").alias("c"))
     schema = "key binary, start int, n bigint, high bigint, low bigint"
-    windows = save(map_batches(_with_texts(texts, chosen), schema, lambda b: _windows(b, length)), "windows")
+    windows = save(map_batches(_with_texts(texts, chosen), schema, lambda b: _windows(b, length), ROWS), "windows")
     twice = windows.groupBy("high", "low").agg(F.sum("n").alias("total")).filter("total > 1").drop("total")
     alone = windows.filter("n = 1").join(save(twice, "repeated-windows"), ["high", "low"])
     found = in_blocks.union(alone.select("key", "start", "start"))
