@@ -18,7 +18,9 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -56,23 +58,35 @@ def said_twice(trait: str) -> str:
 
 
 class Sample:
-    """Which trait occurs in which document, and which occurs there twice or more; each pair once."""
+    """Which trait occurs in which document, and which occurs there twice or more; each pair once. Traits of fewer than
+    `MIN_DOCUMENTS` documents are left out, since nothing is learnt from them."""
 
-    def __init__(self, docs: list[dict[str, int]]):
+    def __init__(self, docs: Iterable[dict[str, int]]):
         vocabulary: dict[str, int] = {}
-        found = [vocabulary.setdefault(w, len(vocabulary)) for d in docs for w in d]
-        words, of_doc = np.array(found, np.int64), np.repeat(np.arange(len(docs)), [len(d) for d in docs])
-        times = np.array([n for d in docs for n in d.values()], np.int64)
-        self.n, self.names, pairs = len(docs), [], []
+        words, times, lengths = array("i"), array("i"), []
+        for found in docs:  # one at a time: the word lists are never held together
+            words.extend([vocabulary.setdefault(w, len(vocabulary)) for w in found])
+            times.extend(found.values())
+            lengths.append(len(found))
+        words, times = np.array(words, np.int32), np.array(times, np.int32)
+        of_doc = np.repeat(np.arange(len(lengths), dtype=np.int64), lengths) << 32
+        self.n, self.names, pairs = len(lengths), [], []
         for k in (None, *BEGINNINGS):
             numbers: dict[str, int] = {}
             cut = lambda w, k=k: "=" + w if k is None else w[:k] if len(w) >= k else None
             number = np.array([-1 if (c := cut(w)) is None else numbers.setdefault(c, len(numbers)) for w in vocabulary], np.int64)
-            trait = number[words] if len(words) else words
-            pair, place = np.unique((of_doc[trait >= 0] << 32) | (trait[trait >= 0] + len(self.names)), return_inverse=True)
-            twice = pair[np.bincount(place, times[trait >= 0], len(pair)) >= 2] + len(numbers)
-            pairs += [pair, twice]
-            self.names += [*numbers, *map(said_twice, numbers)]
+            trait = number[words] if len(words) else words.astype(np.int64)
+            has = trait >= 0
+            pair, place = np.unique(of_doc[has] | trait[has], return_inverse=True)
+            twice = pair[np.bincount(place, times[has], len(pair)) >= 2]
+            named = np.array(list(numbers), object)
+            for kept, name in ((pair, str), (twice, said_twice)):
+                of_trait = kept & 0xFFFFFFFF
+                common = np.bincount(of_trait, minlength=len(numbers)) >= MIN_DOCUMENTS
+                renumbered = np.cumsum(common) - 1 + len(self.names)
+                used = common[of_trait]
+                pairs.append((kept[used] >> 32 << 32) | renumbered[of_trait[used]])
+                self.names += [name(x) for x in named[common]]
         pairs = np.concatenate(pairs)
         self.rows, self.columns = (pairs >> 32).astype(np.int32), (pairs & 0xFFFFFFFF).astype(np.int32)
 
@@ -201,10 +215,17 @@ def fit(docs: DataFrame, labels: DataFrame, names: list[str], doc_id: str = "doc
 
     schema = "words map<string,bigint>, layout array<double>, " + ", ".join(f"{n} int" for n in names) + ", h bigint"
     rows = rows.select("text", "source", "lang", *[F.col(n).cast("int").alias(n) for n in names], "h")
-    sample = sorted(map_batches(rows, schema, views).toLocalIterator(), key=lambda r: r.h)
-    seen = Sample([r.words for r in sample])
-    layouts = np.array([r.layout for r in sample]).reshape(len(sample), 11 + 2 * _HASHED)
-    return {n: co_train(seen, layouts, np.array([-1 if r[n] is None else r[n] for r in sample], int)) for n in names}
+    layouts, given = [], []
+
+    def word_lists() -> Iterator[dict[str, int]]:
+        for r in map_batches(rows, schema, views).orderBy("h").toLocalIterator():
+            layouts.append(np.array(r.layout))
+            given.append([-1 if r[n] is None else r[n] for n in names])
+            yield r.words
+
+    seen = Sample(word_lists())
+    layouts, given = np.array(layouts).reshape(seen.n, 11 + 2 * _HASHED), np.array(given, int).reshape(seen.n, len(names))
+    return {n: co_train(seen, layouts, given[:, i]) for i, n in enumerate(names)}
 
 
 def scores(models: dict[str, Model], text: str | Column, source: str | Column, lang: str | Column) -> Column:
