@@ -312,11 +312,21 @@ def rendered_chats(spark, sf_dir, max_tokens: int = CHAT_TOKENS):
     return chats.select("conv_id", r.alias("r")).select("conv_id", "r.*")
 
 
+def grouped_chats(spark, sf_dir):
+    chats = rendered_chats(spark, sf_dir).withColumn("n_tokens", F.size("ids"))
+    return packing.pack_groups(chats, "conv_id", DOCS_PER_GROUP)
+
+
 def chat_placements(spark, sf_dir):
-    chats = packing.supervised_only(rendered_chats(spark, sf_dir), "mask").withColumn("n_tokens", F.size("ids"))
-    chats = chats.filter(F.col("n_tokens") <= CHAT_CAPACITY)
-    grouped = packing.pack_groups(chats, "conv_id", DOCS_PER_GROUP)
-    return chats, packing.pack_bestfit_pad(grouped, "conv_id", "conv_id", "n_tokens", CHAT_CAPACITY, BUFFER)
+    chats = packing.supervised_only(grouped_chats(spark, sf_dir), "mask").filter(F.col("n_tokens") <= CHAT_CAPACITY)
+    return chats, packing.pack_bestfit_pad(chats, "conv_id", "conv_id", "n_tokens", CHAT_CAPACITY, BUFFER)
+
+
+def chat_errors(spark, sf_dir):
+    """Every rendered chat that is longer than a row, supervised or not: training stops at any of them."""
+    long = packing.oversize(grouped_chats(spark, sf_dir), "n_tokens", CHAT_CAPACITY)
+    supervised = F.exists("mask", lambda m: m == 1).alias("supervised")
+    return long.select(F.col("pack_group").cast("long").alias("pack_group"), F.col("conv_id").alias("doc"), "n_tokens", supervised)
 
 
 CHAT_GROUPS = f"""
@@ -328,10 +338,33 @@ groups as (
 
 @query(best_fit_sql(CHAT_GROUPS, CHAT_CAPACITY, BUFFER, False) + " select * from placements")
 def pack_chats(spark, sf_dir):
-    """Chats without a supervised token, or longer than a row, are left out; the others are packed with padding."""
+    """Chats without a supervised token are left out, chats longer than a row are error rows of `oversize_chats`; the
+    others are packed with padding."""
     return chat_placements(spark, sf_dir)[1].select(*PLACED)
 
 
+@query(f"""
+with {chat_sql(CHAT_TOKENS)}
+select conv_id // {DOCS_PER_GROUP} as pack_group, conv_id as doc, length(mask)::int as n_tokens, mask like '%1%' as supervised
+from chats where length(mask) > {CHAT_CAPACITY}""")
+def oversize_chats(spark, sf_dir):
+    """The error rows of `pack_chats`, `mask_targets` and `supervision_audit`, by the same key."""
+    return chat_errors(spark, sf_dir)
+
+
+@query(f"""
+with {chat_sql(CHAT_TOKENS)}
+select conv_id // {DOCS_PER_GROUP} as pack_group, count(*) as chats, sum(length(mask))::bigint as tokens,
+       count(*) filter (length(mask) > {CHAT_CAPACITY}) as errors from chats where mask like '%1%' group by 1""")
+def chat_packing_account(spark, sf_dir):
+    """Packed chats and error rows together: all supervised chats, which SQL counts without regard to their length."""
+    packed = chat_placements(spark, sf_dir)[1].select("pack_group", F.col("take").alias("n_tokens"), F.lit(0).alias("error"))
+    errors = chat_errors(spark, sf_dir).filter("supervised").select("pack_group", "n_tokens", F.lit(1).alias("error"))
+    return packed.unionByName(errors).groupBy("pack_group").agg(
+        F.count("*").alias("chats"), F.sum("n_tokens").cast("long").alias("tokens"), F.sum("error").cast("long").alias("errors")
+    )
+
+
 def chat_rows(spark, sf_dir):
     chats, placed = chat_placements(spark, sf_dir)
     tokens = chats.select(F.col("conv_id").alias("doc"), "ids", "mask")

@@ -126,3 +126,16 @@ def test_progress_and_audit(spark):
     rows = spark.createDataFrame([(0, [1, -1]), (0, [-1, -1]), (1, [-1])], "batch long, y array<int>")
     audit = {r.batch: (r.supervised, r.fully_masked) for r in packing.supervision_audit(rows, "y", "batch").collect()}
     assert audit == {0: (1, False), 1: (0, True)}
+
+
+def test_no_supervised_chat_vanishes(spark):
+    """Each supervised chat is packed whole or an error row."""
+    import __spark_entry__ as entry
+    from sparkcorpus.plans.packing import CHAT_CAPACITY, rendered_chats
+
+    sf, queries = "/root/testdata/sf0.01", entry.queries()
+    chats = packing.supervised_only(rendered_chats(spark, sf), "mask").select("conv_id", F.size("ids").alias("n")).collect()
+    errors = {r.doc: r.n_tokens for r in queries["oversize_chats"](spark, sf).filter("supervised").collect()}
+    packed = {r.doc: r["take"] for r in queries["pack_chats"](spark, sf).collect()}
+    assert errors and not errors.keys() & packed.keys() and min(errors.values()) > CHAT_CAPACITY
+    assert errors | packed == {r.conv_id: r.n for r in chats}
