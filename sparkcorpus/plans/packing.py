@@ -13,8 +13,8 @@ from sparkcorpus.operators import packing
 from sparkcorpus.operators.tokenization import with_specials
 from sparkcorpus.plans.registry import query, table
 
-CAPACITY, DOCS_PER_GROUP, BUFFER = 2049, 256, 32
-CHAT_TOKENS, CHAT_CAPACITY = 10_000_000, 4097
+CAPACITY, DOCS_PER_GROUP, BUFFER = 2049, packing.DOCS_PER_GROUP, 1000
+CHAT_TOKENS, CHAT_CAPACITY, CHAT_BUFFER = 10_000_000, 4097, 100
 
 
 def lengths(spark, sf_dir):
@@ -319,7 +319,7 @@ def grouped_chats(spark, sf_dir):
 
 def chat_placements(spark, sf_dir):
     chats = packing.supervised_only(grouped_chats(spark, sf_dir), "mask").filter(F.col("n_tokens") <= CHAT_CAPACITY)
-    return chats, packing.pack_bestfit_pad(chats, "conv_id", "conv_id", "n_tokens", CHAT_CAPACITY, BUFFER)
+    return chats, packing.pack_bestfit_pad(chats, "conv_id", "conv_id", "n_tokens", CHAT_CAPACITY, CHAT_BUFFER)
 
 
 def chat_errors(spark, sf_dir):
@@ -336,7 +336,7 @@ groups as (
   from chats where mask like '%1%' and length(mask) <= {CHAT_CAPACITY} group by 1)"""
 
 
-@query(best_fit_sql(CHAT_GROUPS, CHAT_CAPACITY, BUFFER, False) + " select * from placements")
+@query(best_fit_sql(CHAT_GROUPS, CHAT_CAPACITY, CHAT_BUFFER, False) + " select * from placements")
 def pack_chats(spark, sf_dir):
     """Chats without a supervised token are left out, chats longer than a row are error rows of `oversize_chats`; the
     others are packed with padding."""
@@ -371,7 +371,7 @@ def chat_rows(spark, sf_dir):
     return packing.fill_rows(placed, tokens, ["pack_group", "row_no"], CHAT_CAPACITY, mask="mask", pad_id=special_id("bos"))
 
 
-CHAT_TOKENS_SQL = best_fit_sql(CHAT_GROUPS, CHAT_CAPACITY, BUFFER, False) + """,
+CHAT_TOKENS_SQL = best_fit_sql(CHAT_GROUPS, CHAT_CAPACITY, CHAT_BUFFER, False) + """,
 tokens as (
   select pack_group, row_no, "offset" + i as place, ('0x' || code)::int as id, flag = '1' as supervised
   from (select p.*, unnest(range(take)) as i, unnest(regexp_extract_all(codes, '....')) as code, unnest(string_split(mask, '')) as flag

@@ -139,3 +139,30 @@ def test_no_supervised_chat_vanishes(spark):
     packed = {r.doc: r["take"] for r in queries["pack_chats"](spark, sf).collect()}
     assert errors and not errors.keys() & packed.keys() and min(errors.values()) > CHAT_CAPACITY
     assert errors | packed == {r.conv_id: r.n for r in chats}
+
+
+@pytest.mark.parametrize(("name", "crop"), [("pack_bestfit_crop", True), ("pack_bestfit_pad", False)])
+def test_queries_look_1000_documents_ahead_in_long_streams(spark, tmp_path, name, crop):
+    """The registered queries against the literal rule: one stream, 1000 documents waiting."""
+    import __spark_entry__ as entry
+
+    rng = random.Random(7)
+    lengths = [rng.choice([rng.randint(2, 200), rng.randint(2, 2400)]) for _ in range(1300)]
+    spark.createDataFrame([(i, "x" * (n - 1)) for i, n in enumerate(lengths)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    fitting = [(i, n) for i, n in enumerate(lengths) if crop or n <= 2049]
+    want = [[(fitting[i][0], n) for i, n in row] for row in naive_best_fit([n for _, n in fitting], 2049, 1000, crop)]
+    placed = entry.queries()[name](spark, str(tmp_path))
+    assert {r.pack_group for r in placed.select("pack_group").distinct().collect()} == {0}
+    assert rows_of(placed) == [row for row in want if row]
+
+
+def test_chat_query_looks_100_chats_ahead(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    rng = random.Random(8)
+    sizes = [rng.randint(1, 3000) for _ in range(400)]
+    turns = [t for i, n in enumerate(sizes) for t in ((i, 0, "user", "u"), (i, 1, "assistant", "a" * n))]
+    spark.createDataFrame(turns, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    lengths = [1 + 3 + 2 + n for n in sizes]  # the start, the user's turn, and the answer between its two marks
+    placed = entry.queries()["pack_chats"](spark, str(tmp_path))
+    assert rows_of(placed) == [row for row in naive_best_fit(lengths, 4097, 100, False) if row]
