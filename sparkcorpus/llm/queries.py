@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkcorpus.llm import decontamination, html_extraction, lm_scoring, quality_classifier, quality_rules, simhash_dedup, source_mixing, suffix_dedup, token_rollups, warc_dedup
+from sparkcorpus.llm import decontamination, embedding_dedup, html_extraction, lm_scoring, quality_classifier, quality_rules, simhash_dedup, source_mixing, suffix_dedup, token_rollups, warc_dedup
 from sparkcorpus.llm.common import save, word_count
 from sparkcorpus.session import fresh_path
 
@@ -182,3 +182,9 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query()
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which vectors are near-duplicates by cosine, whatever their labels?"""
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
