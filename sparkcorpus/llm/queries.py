@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkcorpus.llm import decontamination, embedding_dedup, html_extraction, lm_scoring, quality_classifier, quality_rules, simhash_dedup, source_mixing, suffix_dedup, token_rollups, warc_dedup
+from sparkcorpus.llm import decontamination, embedding_dedup, html_extraction, lm_scoring, quality_classifier, quality_rules, simhash_dedup, source_mixing, spelling_variants, suffix_dedup, token_rollups, warc_dedup
 from sparkcorpus.llm.common import save, word_count
 from sparkcorpus.session import fresh_path
 
@@ -184,6 +184,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which words are one edit away from others, and which is the usual form of each?"""
+    return spelling_variants.group_variants(spelling_variants.word_counts(table(spark, sf_dir, "documents")))
+
+
 @query()
 def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which vectors are near-duplicates by cosine, whatever their labels?"""
