@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkcorpus.llm import decontamination, embedding_dedup, html_extraction, lm_scoring, quality_classifier, quality_rules, simhash_dedup, source_mixing, spelling_variants, suffix_dedup, token_rollups, warc_dedup
+from sparkcorpus.llm import conversation_trie, decontamination, embedding_dedup, html_extraction, lm_scoring, quality_classifier, quality_rules, simhash_dedup, source_mixing, spelling_variants, suffix_dedup, token_rollups, warc_dedup
 from sparkcorpus.llm.common import save, word_count
 from sparkcorpus.session import fresh_path
 
@@ -184,6 +184,41 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+TRIE_SQL = r"""
+with t as (
+  select conv_id, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), md5(coalesce(text, ''))) as n,
+         coalesce(role, '') as role, coalesce(text, '') as text
+  from conversations where conv_id is not null),
+sizes as (select conv_id, count(*) as size, xor(list_reduce(
+    list_concat([4294967295::bigint], list_transform(string_split(conv_id::varchar, ''), lambda c: ascii(c)::bigint)),
+    lambda a, b: list_reduce(list_concat([xor(a, b)], [0::bigint, 0, 0, 0, 0, 0, 0, 0]), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 4 as h
+  from t group by conv_id),
+c as (select s.conv_id, s.h, b.conv_id as base, least(s.h, coalesce(b.size, 0)) as head
+      from sizes s left join sizes b on b.conv_id = s.conv_id - s.conv_id % 20),
+r as (
+  select c.conv_id, t.n as d, role, text from c join t on t.conv_id = c.base and t.n <= c.head
+  union all select c.conv_id, t.n - c.h + c.head, role, text from c join t on t.conv_id = c.conv_id and t.n > c.h),
+p as (
+  select conv_id, d, list({'r': role, 't': text}) over (partition by conv_id order by d) as key,
+         coalesce(len(regexp_extract_all(text, '[^ 	-]+')), 0)::bigint as words, d = max(d) over (partition by conv_id) as last from r
+  union all select conv_id, 0, [], 0, conv_id not in (select conv_id from r) from c),
+nodes as (select key, d as depth, min(conv_id) as conv_id, count(*) as n_convs, any_value(words) * (count(*) - 1) as saved,
+                 sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where last), '')) as ends_sha256 from p group by key, d),
+children as (select key[1:depth - 1] as key, count(*) as n from nodes where depth > 0 group by 1),
+full_nodes as (select n.*, coalesce(c.n, 0) as n_children from nodes n left join children c using (key)),
+below as (select key, sum(saved)::bigint as saved_tokens, count(*) filter (where leaf) as n_leaves
+          from (select key[1:i] as key, saved, n_children = 0 as leaf from full_nodes, unnest(range(0, depth + 1)) u(i)) group by key)
+select n.conv_id, n.depth::bigint as depth, p.conv_id as parent_conv_id, n.n_convs, n.n_children, b.n_leaves, b.saved_tokens, n.ends_sha256
+from full_nodes n join below b using (key) left join nodes p on n.depth > 0 and p.key = n.key[1:n.depth - 1]
+"""
+
+
+@query(TRIE_SQL)
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which prefixes do conversations share that begin with the head of another one, and what do they save?"""
+    return conversation_trie.build(table(spark, sf_dir, "conversations")).drop("ref_conv", "ref_n")
+
+
 @query()
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which words are one edit away from others, and which is the usual form of each?"""
