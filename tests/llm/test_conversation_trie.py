@@ -6,6 +6,7 @@ import zlib
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from sparkcorpus.llm import conversation_trie as trie
 from sparkcorpus.llm.queries import op11_conversation_trie
@@ -105,13 +106,17 @@ def test_scan_goes_on_over_batches():
 
 
 def test_other_numbers_if_fingerprints_meet(spark, monkeypatch):
-    rows = [(c, t, "user", f"{c % 3} {t}") for c in range(30) for t in range(4)]
+    rows = [(c, t, "user", str((t if c % 2 else 3 - t) + 10 * (c % 3))) for c in range(30) for t in range(4)]
     df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
-    first = trie.bases
-    monkeypatch.setattr(trie, "bases", lambda seed: [0] * 4 if seed == 0 else first(seed))  # all turns but the first vanish
+    bases, lanes = trie.bases, trie._lanes
+    monkeypatch.setattr(trie, "bases", lambda seed: [1] * 4 if seed == 0 else bases(seed))  # the order of turns does not count
     assert got(trie.build(df)) == brute(rows)
     with pytest.raises(RuntimeError):
         trie.build(df, seeds=1)
+    monkeypatch.setattr(trie, "_lanes", lambda role, text, seed: F.array(*[F.lit(1).cast("long")] * 4) if seed == 1 else lanes(role, text, seed))
+    assert got(trie.build(df)) == brute(rows)
+    with pytest.raises(RuntimeError):
+        trie.build(df, seeds=2)
 
 
 def test_query(spark):
