@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from sparkcorpus.functions import bpe
 from sparkcorpus.functions.chat import SPECIAL_TOKENS
 from sparkcorpus.functions.text import byte_ids, pretokens
 from sparkcorpus.session import fresh_path
 
 # A vocabulary is a driver-side lookup table; a larger one than this is refused rather than broadcast.
 MAX_VOCABULARY = 1_048_576
-_FIRST_SURROGATE, _SURROGATES = 0xD800, 0x800
+#: Words whose ids a Python worker keeps from one batch to the next.
+_KEPT_WORDS = 200_000
 
 
 def pretoken_counts(df: DataFrame, text: str = "text", by: Sequence[str] = ()) -> DataFrame:
@@ -59,49 +63,27 @@ def with_specials(ids: Column, prepend: int | None = None, append: int | None =
     return F.concat(*parts)
 
 
-def _symbol(index: int) -> str:
-    return chr(index if index < _FIRST_SURROGATE else index + _SURROGATES)
-
-
-def _order(pair: str, count: int) -> tuple:
-    """Most frequent first; among equals the pair whose newer symbol is older, then the lower pair."""
-    return -count, max(pair), pair
-
-
-def _exact_batch(ranked: list[tuple[str, int]]) -> list[str]:
-    """Merges of one round that equal one-by-one merging. `ranked` is in `_order`.
-
-    Merging (a, b) changes only pairs that end in a or begin with b, and every pair it creates is at most as frequent
-    as one of those; it holds the newest symbol, so it comes behind all pairs of equal count. So the order is followed
-    until such a pair comes up: what is taken before it would have been merged next anyway. A pair of equal symbols
-    also changes itself and ends the list."""
-    taken: list[str] = []
-    firsts, seconds = set(), set()
-    for pair, _ in ranked:
-        a, b = pair
-        if a in seconds or b in firsts or (taken and a == b):
-            break
-        taken.append(pair)
-        if a == b:
-            break
-        firsts.add(a)
-        seconds.add(b)
-    return taken
-
-
 def _delete(spark: SparkSession, path: str) -> None:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
 
-def train_bpe(words: DataFrame, vocab_size: int, candidates: int = 512, rewrite_every: int = 4) -> DataFrame:
+def _map_strings(function, kind: str, column: str) -> Column:
+    """A Python function of one string for each row, in Arrow batches."""
+    return F.arrow_udf(lambda words: pa.array([function(w) for w in words.to_pylist()]), kind)(column)
+
+
+def train_bpe(words: DataFrame, vocab_size: int, candidates: int = 1024, most_segments: int = 400_000) -> DataFrame:
     """Byte-pair vocabulary from (word, n): `rank, token_bytes` and the merged pair `left_rank, right_rank` (null for
     bytes), for vocab_size minus the specials.
 
-    A symbol is one character, so a word is a short string, a pair is a two-character substring and applying a
-    merge is a string replacement: left to right without overlap. Every round counts the pairs of the distinct words and
-    takes all merges that one-by-one merging would surely take next. Ties go to the pair whose newer symbol is older. The words with their merges are written anew every few
-    rounds, in place of the copy before."""
+    A symbol is one character, so a word is a short string and a merge a string replacement: left to right without
+    overlap. A round counts the pairs of all distinct words and takes the first `candidates` of them as hot. The parts of
+    words made of hot pairs only, added up over all words, are all it takes to know the next merges one by one, as long
+    as these come before any other pair (`functions.bpe.next_merges`); so a round of two jobs gives some
+    hundred merges, the same as one-by-one merging. Then the words take the new merges. Of all of this only the hot
+    segments reach the driver: if they hold more than `most_segments` symbols, fewer pairs are hot. Ties go to the pair
+    whose newer symbol is older."""
     spark = words.sparkSession
     ordinary = vocab_size - len(SPECIAL_TOKENS)
     if ordinary < 256:
@@ -109,38 +91,48 @@ def train_bpe(words: DataFrame, vocab_size: int, candidates: int = 512, rewrite_
     if vocab_size > MAX_VOCABULARY:
         raise ValueError(f"vocabulary above {MAX_VOCABULARY}")
 
-    def written(table: DataFrame) -> tuple[DataFrame, str]:
+    def written(table: DataFrame, schema: str) -> tuple[DataFrame, str]:
         path = fresh_path(spark, "bpe-words")
-        table.filter(F.length("w") > 1).write.parquet(path)
-        return spark.read.schema("w string, n long").parquet(path), path
+        table.write.parquet(path)
+        return spark.read.schema(schema).parquet(path), path
 
     table = words.select(F.decode(F.encode("word", "UTF-8"), "ISO-8859-1").alias("w"), F.col("n").cast("long").alias("n"))
-    table, path = written(table.repartition(spark.sparkContext.defaultParallelism, "w"))
+    table, path = written(table.filter(F.length("w") > 1), "w string, n long")
     pieces: list[bytes] = [bytes([b]) for b in range(256)]
     pairs_of: list[tuple[int | None, int | None]] = [(None, None)] * 256
-    ids = {_symbol(i): i for i in range(256)}
-    rounds = 0
+    ids = {bpe.symbol(i): i for i in range(256)}
     newer = F.greatest(F.substring("pair", 1, 1), F.substring("pair", 2, 1))
 
     while len(pieces) < ordinary:
         pairs = table.select(F.explode(F.regexp_extract_all("w", F.lit(r"(?s)(?=(..))"), F.lit(1))).alias("pair"), "n")
         counts = pairs.groupBy("pair").agg(F.sum("n").alias("n"))
-        ranked = counts.orderBy(F.desc("n"), newer, "pair").limit(candidates).collect()
+        wanted = min(candidates, 2 * (ordinary - len(pieces)) + 16)
+        ranked = counts.orderBy(F.desc("n"), newer, "pair").limit(wanted + 1).collect()
         if not ranked:
             break
-        merged = F.col("w")
-        for pair in _exact_batch([(r["pair"], r["n"]) for r in ranked])[: ordinary - len(pieces)]:
+        while True:
+            hot = {r["pair"] for r in ranked[:wanted]}
+            limit = bpe.order(*ranked[wanted]) if len(ranked) > wanted else None
+            parts = table.select(F.explode(_map_strings(lambda w, hot=hot: bpe.hot_segments(w, hot), "array<string>", "w")).alias("w"), "n")
+            segments, at = written(parts.groupBy("w").agg(F.sum("n").alias("n")), "w string, n long")
+            size = segments.agg(F.sum(F.length("w"))).first()[0]
+            if size <= most_segments or wanted == 1:
+                break
+            _delete(spark, at)
+            wanted = max(1, wanted // 2)
+        merges = bpe.next_merges(((r["w"], r["n"]) for r in segments.toLocalIterator()), limit, len(pieces), ordinary - len(pieces))
+        _delete(spark, at)
+        done = {}
+        for pair in merges:
             a, b = pair
-            new = _symbol(len(pieces))
-            ids[new] = len(pieces)
+            done[pair] = len(done), bpe.symbol(len(pieces))
+            ids[done[pair][1]] = len(pieces)
             pieces.append(pieces[ids[a]] + pieces[ids[b]])
             pairs_of.append((ids[a], ids[b]))
-            merged = F.replace(merged, F.lit(pair), F.lit(new))
-        table = table.select(merged.alias("w"), "n")
-        rounds += 1
-        if rounds % rewrite_every == 0:
+        if len(pieces) < ordinary:
+            merged = table.select(_map_strings(lambda w, done=done: bpe.merge_symbols(w, done), "string", "w").alias("w"), "n")
             old = path
-            table, path = written(table)
+            table, path = written(merged.filter(F.length("w") > 1), "w string, n long")
             _delete(spark, old)
     _delete(spark, path)
     return spark.createDataFrame(
@@ -156,52 +148,63 @@ def _ranks_on_driver(ranks: DataFrame) -> dict[bytes, int]:
     return {bytes(r["token_bytes"]): r["rank"] for r in rows}
 
 
-def _encode_word(raw: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Join the neighbours with the lowest rank until no neighbours form a token."""
-    parts = [raw[i : i + 1] for i in range(len(raw))]
-    while len(parts) > 1:
-        scored = [(ranks.get(parts[i] + parts[i + 1], MAX_VOCABULARY + 1), i) for i in range(len(parts) - 1)]
-        rank, i = min(scored)
-        if rank > MAX_VOCABULARY:
-            break
-        parts[i : i + 2] = [parts[i] + parts[i + 1]]
-    return [ranks[p] for p in parts]
-
-
-def _encoder(df: DataFrame, ranks: DataFrame):
-    """pandas UDF from one list of pre-tokens per text to one list of ids per text. The bounded vocabulary is broadcast;
-    each batch encodes a distinct word once."""
+def _flat_ids(words: pa.Array, ranks: dict[bytes, int], seen: dict[bytes, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all words in a row, and the number of ids of each. A distinct word is encoded once; `seen` keeps some."""
+    distinct = words.dictionary_encode()
+    known = []
+    for word in distinct.dictionary.cast(pa.binary()).to_pylist():
+        if word not in seen:
+            if len(seen) >= _KEPT_WORDS:
+                seen.clear()
+            seen[word] = np.array(bpe.encode_word(word, ranks), np.int32)
+        known.append(seen[word])
+    lengths = np.fromiter(map(len, known), np.int64, len(known))
+    starts = np.cumsum(lengths) - lengths
+    at = distinct.indices.to_numpy()
+    sizes = lengths[at]
+    ends = np.cumsum(sizes)
+    places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[at] - (ends - sizes), sizes)
+    return (np.concatenate(known) if known else np.empty(0, np.int32))[places], sizes
+
+
+def _gathered(lists: pa.Array, sizes: np.ndarray) -> np.ndarray:
+    """Offsets of the sums of `sizes` over each list."""
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    offsets = lists.offsets.to_numpy()
+    return ends[offsets - offsets[0]]
+
+
+def _encoder(df: DataFrame, ranks: DataFrame, nested: bool):
+    """Arrow UDF from a list of words per row to its ids, or from a list of such lists. The bounded vocabulary is
+    broadcast; words are looked up by batch, without a Python object for each occurrence."""
     shared = df.sparkSession.sparkContext.broadcast(_ranks_on_driver(ranks))
 
-    @F.pandas_udf("array<array<int>>")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        table = shared.value
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        seen: dict[bytes, np.ndarray] = {}
         for rows in batches:
-            seen: dict[str, list[int]] = {}
-
-            def ids_of(words) -> list[int]:
-                out: list[int] = []
-                for word in words:
-                    if word not in seen:
-                        seen[word] = _encode_word(word.encode("utf-8"), table)
-                    out.extend(seen[word])
-                return out
-
-            yield pd.Series([[ids_of(words) for words in texts] for texts in rows])
+            lists = rows.flatten() if nested else rows
+            ids, sizes = _flat_ids(lists.flatten(), shared.value, seen)
+            inner = pa.ListArray.from_arrays(pa.array(_gathered(lists, sizes), pa.int32()), pa.array(ids))
+            if not nested:
+                yield inner if not rows.null_count else pa.ListArray.from_arrays(inner.offsets, inner.values, mask=rows.is_null())
+                continue
+            offsets = rows.offsets.to_numpy()
+            yield pa.ListArray.from_arrays(pa.array(offsets - offsets[0], pa.int32()), inner)
 
-    return encode
+    encode.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(encode, "array<array<int>>" if nested else "array<int>")
 
 
 def encode_corpus(df: DataFrame, ranks: DataFrame, text: str = "text", ids: str = "ids") -> DataFrame:
     """Ordinary encoding: special strings inside a text stay ordinary text. Pre-tokens are cut in the JVM and a
-    document never leaves its partition."""
-    return df.withColumn(ids, F.get(_encoder(df, ranks)(F.array(pretokens(F.col(text)))), F.lit(0)))
+    document never leaves its partition. A null text has null ids."""
+    return df.withColumn(ids, _encoder(df, ranks, nested=False)(pretokens(F.col(text))))
 
 
 def encode_segments(df: DataFrame, ranks: DataFrame, segments: str = "segments", encoded: str = "encoded") -> DataFrame:
     """Ids of the text of every chat segment, for `functions.chat.rendered`."""
     words = F.transform(segments, lambda s: F.coalesce(pretokens(s["text"]), F.array().cast("array<string>")))
-    return df.withColumn(encoded, _encoder(df, ranks)(words))
+    return df.withColumn(encoded, _encoder(df, ranks, nested=True)(words))
 
 
 def encode_words(words: DataFrame, ranks: DataFrame) -> DataFrame:
@@ -211,7 +214,7 @@ def encode_words(words: DataFrame, ranks: DataFrame) -> DataFrame:
     @F.pandas_udf("array<int>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for word in batches:
-            yield word.map(lambda w: _encode_word(w.encode("utf-8"), shared.value))
+            yield word.map(lambda w: bpe.encode_word(w.encode("utf-8"), shared.value))
 
     return words.withColumn("ids", encode("word"))
 

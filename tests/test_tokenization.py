@@ -1,4 +1,5 @@
 import random
+import time
 from collections import Counter
 
 import pytest
@@ -6,6 +7,7 @@ import regex
 import tiktoken
 from pyspark.sql import functions as F
 
+from sparkcorpus.functions import bpe
 from sparkcorpus.functions.chat import SPECIAL_TOKENS
 from sparkcorpus.functions.text import SPLIT_PATTERN, byte_ids, pretokens, utf8_prefix
 from sparkcorpus.operators import tokenization as tok
@@ -68,10 +70,10 @@ def test_training_equals_plain_merging(trained):
     assert learned == plain_bpe({r.word: r.n for r in words.collect()}, 35)
 
 
-@pytest.mark.parametrize("candidates", [1, 4, 50])
-def test_exact_batches_equal_plain_merging(candidates):
+@pytest.mark.parametrize("candidates", [1, 3, 10, 100])
+def test_merges_planned_on_hot_segments_equal_plain_merging(candidates):
     rng, rounds, merges = random.Random(11), 0, 0
-    for _ in range(600):
+    for _ in range(500):
         words = {"".join(rng.choice("abcdef"[: rng.randint(1, 6)]) for _ in range(rng.randint(1, 9))): rng.randint(1, 5) for _ in range(rng.choice([3, 8, 20]))}
         want, table, got = plain_bpe(words, 12), [(w, n) for w, n in words.items()], []
         while len(got) < 12:
@@ -79,16 +81,57 @@ def test_exact_batches_equal_plain_merging(candidates):
             for w, n in table:
                 for i in range(len(w) - 1):
                     counts[w[i : i + 2]] += n
-            ranked = sorted(counts.items(), key=lambda e: tok._order(*e))[:candidates]
+            ranked = sorted(counts.items(), key=lambda e: bpe.order(*e))
             if not ranked:
                 break
+            hot = {p for p, _ in ranked[:candidates]}
+            limit = bpe.order(*ranked[candidates]) if len(ranked) > candidates else None
+            segments = Counter()
+            for w, n in table:
+                for part in bpe.hot_segments(w, hot):
+                    segments[part] += n
+            found = bpe.next_merges(segments.items(), limit, 256 + len(got), 12 - len(got))
+            assert found
             rounds += 1
-            for pair in tok._exact_batch(ranked)[: 12 - len(got)]:
-                got.append((ord(pair[0]), ord(pair[1])))
-                table = [(w.replace(pair, chr(255 + len(got))), n) for w, n in table]
+            done = {p: (i, bpe.symbol(256 + len(got) + i)) for i, p in enumerate(found)}
+            table = [(bpe.merge_symbols(w, done), n) for w, n in table]
+            got += [(ord(a), ord(b)) for a, b in found]
         merges += len(got)
         assert got == want
-    assert candidates == 1 or merges > 1.2 * rounds
+    assert candidates == 1 or merges > 1.5 * rounds
+
+
+def test_merging_long_and_short_words_alike():
+    rng = random.Random(3)
+    done = {"ab": (0, "X"), "Xc": (1, "Y"), "aa": (2, "Z"), "ZZ": (3, "W")}
+    for n in range(1, 200):
+        word = "".join(rng.choices("abc", k=n))
+        want = word
+        for pair, (_, new) in done.items():
+            want = want.replace(pair, new)
+        assert bpe.merge_symbols(word, done) == want
+
+
+def test_training_many_merges_in_small_rounds(spark):
+    rng = random.Random(4)
+    words = {"".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 10))): rng.choice([1, 1, 2, 3, 50]) for _ in range(400)}
+    df = spark.createDataFrame(list(words.items()), "word string, n long")
+    want = plain_bpe(words, 512)
+    assert len(want) == 512
+    for options in ({}, {"most_segments": 1000}):
+        ranks = tok.train_bpe(df, 256 + 512 + len(SPECIAL_TOKENS), **options)
+        assert [(r.left_rank, r.right_rank) for r in ranks.filter("rank >= 256").orderBy("rank").collect()] == want
+
+
+def test_encoding_long_words_is_not_quadratic(trained):
+    ranks = {bytes(r.token_bytes): r["rank"] for r in trained[1].collect()}
+    codec = tiktoken.Encoding("t", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(2)
+    for text in ("".join(rng.choices("the lo", k=3000)), "o" * 999, "hello" * 500, "ab"):
+        assert bpe.encode_word(text.encode(), ranks) == codec.encode_ordinary(text)
+    started = time.time()
+    assert len(bpe.encode_word(b"hello wo" * 62_500, ranks)) < 500_000
+    assert time.time() - started < 10
 
 
 def test_encoding_equals_an_independent_codec(spark, trained):
