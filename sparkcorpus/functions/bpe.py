@@ -92,13 +92,27 @@ def merge_symbols(word: str, merges: dict[str, tuple[int, str]]) -> str:
         word = word.replace(best[1], merges[best[1]][1])
 
 
+def _encode_short(raw: bytes, ranks: dict[bytes, int]) -> list[int]:
+    parts, get, none = [raw[i : i + 1] for i in range(len(raw))], ranks.get, 1 << _PLACE
+    near = [get(raw[i : i + 2], none) for i in range(len(raw) - 1)]
+    while near and (rank := min(near)) != none:
+        i = near.index(rank)
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        del near[i]
+        if i < len(near):
+            near[i] = get(parts[i] + parts[i + 1], none)
+        if i:
+            near[i - 1] = get(parts[i - 1] + parts[i], none)
+    return [ranks[p] for p in parts]
+
+
 def encode_word(raw: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Join the neighbours with the lowest rank, leftmost first, until no neighbours form a token. Neighbours are linked
-    and candidates wait in a heap, so a word of n bytes takes n log n steps."""
-    parts: list[bytes | None] = [raw[i : i + 1] for i in range(len(raw))]
-    n = len(parts)
-    if n == 1:
-        return [ranks[raw]]
+    """Join the neighbours with the lowest rank, leftmost first, until no neighbours form a token. In a long word
+    neighbours are linked and candidates wait in a heap, so n bytes take n log n steps."""
+    n = len(raw)
+    if n <= _SHORT:
+        return _encode_short(raw, ranks)
+    parts: list[bytes | None] = [raw[i : i + 1] for i in range(n)]
     get = ranks.get
     heap = [(rank << _PLACE) + i for i in range(n - 1) if (rank := get(raw[i : i + 2])) is not None]
     heapq.heapify(heap)

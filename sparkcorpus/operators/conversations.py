@@ -51,6 +51,15 @@ def assemble_conversations(turns: DataFrame, conv: str, turn: str, role: str, te
     )
 
 
+def assemble_parts(turns: DataFrame, conv: str, turn: str, role: str, text: str, turns_per_part: int = 512) -> DataFrame:
+    """Turn rows to records of a bounded number of turns: `part` counts the records of a conversation. What needs whole
+    conversations works on turns (`operators.rendering`, `validate_turns`)."""
+    placed = with_position(turns.select(conv, turn, role, text), [turn], width_bucket(F.col(turn), TURNS_PER_BUCKET), "_pos", [conv])
+    rows = F.collect_list(F.struct(F.col("_pos").alias("pos"), F.col(role).alias("role"), F.col(text).alias("text")))
+    parts = placed.groupBy(conv, F.floor(F.col("_pos") / turns_per_part).alias("part")).agg(F.array_sort(rows).alias("rows"))
+    return parts.select(conv, "part", F.transform("rows", lambda t: message(t["role"], t["text"])).alias("messages"))
+
+
 def validate_conversations(df: DataFrame, messages: str = "messages") -> DataFrame:
     """Adds `chat_reason` (unfit for tuning) and `render_reason` (cannot be rendered); null means fit."""
     return df.withColumn("chat_reason", chat_fault(F.col(messages))).withColumn("render_reason", render_fault(F.col(messages)))

@@ -16,6 +16,8 @@ from sparkcorpus.session import fresh_path
 
 # A vocabulary is a driver-side lookup table; a larger one than this is refused rather than broadcast.
 MAX_VOCABULARY = 1_048_576
+#: Hot pairs of the first round of training, when nearly every pair of bytes is frequent.
+_FIRST_HOT = 64
 #: Words whose ids a Python worker keeps from one batch to the next.
 _KEPT_WORDS = 200_000
 
@@ -73,7 +75,7 @@ def _map_strings(function, kind: str, column: str) -> Column:
     return F.arrow_udf(lambda words: pa.array([function(w) for w in words.to_pylist()]), kind)(column)
 
 
-def train_bpe(words: DataFrame, vocab_size: int, candidates: int = 1024, most_segments: int = 400_000) -> DataFrame:
+def train_bpe(words: DataFrame, vocab_size: int, candidates: int = 2048, most_segments: int = 400_000) -> DataFrame:
     """Byte-pair vocabulary from (word, n): `rank, token_bytes` and the merged pair `left_rank, right_rank` (null for
     bytes), for vocab_size minus the specials.
 
@@ -97,16 +99,17 @@ def train_bpe(words: DataFrame, vocab_size: int, candidates: int = 1024, most_se
         return spark.read.schema(schema).parquet(path), path
 
     table = words.select(F.decode(F.encode("word", "UTF-8"), "ISO-8859-1").alias("w"), F.col("n").cast("long").alias("n"))
-    table, path = written(table.filter(F.length("w") > 1), "w string, n long")
+    table = table.filter(F.length("w") > 1).repartition(spark.sparkContext.defaultParallelism, "w")
+    table, path = written(table, "w string, n long")
     pieces: list[bytes] = [bytes([b]) for b in range(256)]
     pairs_of: list[tuple[int | None, int | None]] = [(None, None)] * 256
     ids = {bpe.symbol(i): i for i in range(256)}
     newer = F.greatest(F.substring("pair", 1, 1), F.substring("pair", 2, 1))
+    wanted = min(_FIRST_HOT, candidates)
 
     while len(pieces) < ordinary:
         pairs = table.select(F.explode(F.regexp_extract_all("w", F.lit(r"(?s)(?=(..))"), F.lit(1))).alias("pair"), "n")
         counts = pairs.groupBy("pair").agg(F.sum("n").alias("n"))
-        wanted = min(candidates, 2 * (ordinary - len(pieces)) + 16)
         ranked = counts.orderBy(F.desc("n"), newer, "pair").limit(wanted + 1).collect()
         if not ranked:
             break
@@ -120,8 +123,9 @@ def train_bpe(words: DataFrame, vocab_size: int, candidates: int = 1024, most_se
                 break
             _delete(spark, at)
             wanted = max(1, wanted // 2)
-        merges = bpe.next_merges(((r["w"], r["n"]) for r in segments.toLocalIterator()), limit, len(pieces), ordinary - len(pieces))
+        merges = bpe.next_merges([(r["w"], r["n"]) for r in segments.collect()], limit, len(pieces), ordinary - len(pieces))
         _delete(spark, at)
+        wanted = min(candidates, wanted * max(1, min(8, most_segments // max(1, size))))
         done = {}
         for pair in merges:
             a, b = pair
@@ -219,6 +223,19 @@ def encode_words(words: DataFrame, ranks: DataFrame) -> DataFrame:
     return words.withColumn("ids", encode("word"))
 
 
+def count_tokens(words: DataFrame, vocabularies: dict[str, DataFrame]) -> DataFrame:
+    """Distinct words to rows (word, tokenizer, n_tokens): one pass encodes a word in all vocabularies. Joined with a
+    histogram it compares tokenizers on a corpus that none of them encodes."""
+    tables = {name: _ranks_on_driver(ranks) for name, ranks in vocabularies.items()}
+    if sum(map(len, tables.values())) > MAX_VOCABULARY:
+        raise ValueError(f"vocabularies above {MAX_VOCABULARY} together")
+    shared = words.sparkSession.sparkContext.broadcast(tables)
+    sizes = _map_strings(lambda w: [len(bpe.encode_word(w.encode(), t)) if w else 0 for t in shared.value.values()], "array<long>", "word")
+    names = F.array(*map(F.lit, tables))
+    counted = words.select("word", F.explode(F.arrays_zip(names.alias("tokenizer"), sizes.alias("n_tokens"))).alias("t"))
+    return counted.select("word", "t.tokenizer", "t.n_tokens")
+
+
 def decode_corpus(df: DataFrame, vocab: DataFrame, ids: str = "ids", text: str = "text") -> DataFrame:
     """Ids to text; invalid byte sequences become the replacement character."""
     rows = vocab.select("token_id", "token_bytes").limit(MAX_VOCABULARY + 1).collect()

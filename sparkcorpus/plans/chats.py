@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 
 from sparkcorpus.functions import chat, text as tx
 from sparkcorpus.operators import conversations as conv
-from sparkcorpus.operators import ordering
+from sparkcorpus.operators import ordering, rendering, tokenization as tok
 from sparkcorpus.plans.packing import chat_sql, rendered_chats
 from sparkcorpus.plans.registry import query, table
+from sparkcorpus.plans.tokens import MARK, PRETOKEN_PATTERN, SPACE
 from sparkcorpus.session import fresh_path
 from sparkcorpus.sources import reports
 
-MAX_TOKENS = 600
+MAX_TOKENS = 2048
+PART_TURNS, BLOCK = 4, 512
 
 
 def chats(spark, sf_dir):
@@ -27,13 +29,15 @@ def digest_of(messages):
     return F.md5(F.array_join(F.transform(messages, lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "|"))
 
 
-@query("""
-select conv_id, count(*) as n_messages, md5(string_agg(role || ':' || text, '|' order by turn)) as digest
-from conversations group by 1""")
+@query(f"""
+with placed as (select *, (row_number() over (partition by conv_id order by turn) - 1) // {PART_TURNS} as part from conversations)
+select conv_id, part, count(*) as n_messages, md5(string_agg(role || ':' || text, '|' order by turn)) as digest
+from placed group by 1, 2""")
 def assemble_conversations(spark, sf_dir):
-    return chats(spark, sf_dir).select(
-        "conv_id", F.size("messages").cast("long").alias("n_messages"), digest_of(F.col("messages")).alias("digest")
-    )
+    """Conversations as records of a bounded number of turns."""
+    turns = table(spark, sf_dir, "conversations")
+    parts = conv.assemble_parts(turns, "conv_id", "turn", "role", "text", PART_TURNS)
+    return parts.select("conv_id", "part", F.size("messages").cast("long").alias("n_messages"), digest_of(F.col("messages")).alias("digest"))
 
 
 def with_empty_answers(spark, sf_dir):
@@ -117,21 +121,66 @@ with {chat_sql(MAX_TOKENS).replace("from pieces group by 1", "from pieces where
 answered as (select conv_id from body where (conv_id, p) in (select conv_id, max(p) from body group by 1) and role = 'assistant')
 select conv_id, length(codes) // 4 + 1 as n_tokens, md5({DECODED} || ',259') as digest from chats where conv_id in (select conv_id from answered)""")
 def render_prompt(spark, sf_dir):
-    good = chats(spark, sf_dir).filter("render_reason is null and element_at(messages, -1).role = 'assistant'")
-    ids = good.select("conv_id", chat.prompt_ids(F.col("messages"), MAX_TOKENS).alias("ids"))
-    return ids.select("conv_id", F.size("ids").cast("long").alias("n_tokens"), F.md5(F.array_join("ids", ",")).alias("digest"))
+    placed = rendering.place_turns(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text", last=False)
+    ids = rendering.completion_prompts(placed, MAX_TOKENS)
+    return ids.select(F.col("conv").alias("conv_id"), F.size("ids").cast("long").alias("n_tokens"), F.md5(F.array_join("ids", ",")).alias("digest"))
 
 
-@query("""
+@query(f"""
 with pieces as (
   select conv_id, turn, case role when 'user' then '0101' else '0103' end || regexp_replace(hex(encode(text)), '(..)', '00\\1', 'g')
          || case role when 'user' then '0102' else '0104' end as codes from conversations where role in ('user', 'assistant')),
-chats as (select conv_id, '0100' || string_agg(codes, '' order by turn) || '0103' as codes from pieces group by 1)
-select conv_id, length(codes) // 4 as n_tokens, md5(""" + DECODED + ") as digest from chats")
+placed as (select *, 1 + coalesce(sum(length(codes) // 4) over (partition by conv_id order by turn rows between unbounded preceding and 1 preceding), 0) as start from pieces),
+blocks as (
+  select conv_id, (start + o)::bigint as start, codes[o * 4 + 1:(o + {BLOCK}) * 4] as codes
+  from (select *, unnest(range(0, length(codes) // 4, {BLOCK})) as o from placed)
+  union all select conv_id, 0, '0100' from placed group by 1
+  union all select conv_id, (max(start + length(codes) // 4))::bigint, '0103' from placed group by 1)
+select conv_id, start, length(codes) // 4 as n_tokens, md5({DECODED}) as digest from blocks""")
 def render_serving_prompt(spark, sf_dir):
-    all_chats = chats(spark, sf_dir).filter(F.exists("messages", lambda m: m["role"] != "system"))
-    ids = all_chats.select("conv_id", chat.prompt_ids(F.col("messages"), MAX_TOKENS, strict=False).alias("ids"))
-    return ids.select("conv_id", F.size("ids").cast("long").alias("n_tokens"), F.md5(F.array_join("ids", ",")).alias("digest"))
+    """Prompts of any length, block by block."""
+    placed = rendering.place_turns(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text", strict=False)
+    blocks = rendering.serving_prompts(placed, block=BLOCK)
+    return blocks.select(F.col("conv").alias("conv_id"), "start", F.size("ids").cast("long").alias("n_tokens"), F.md5(F.array_join("ids", ",")).alias("digest"))
+
+
+TRAINED_MERGES = 128
+
+
+@query(rf"""
+with recursive {chat_sql(MAX_TOKENS)},
+marked as (select conv_id, p, role, regexp_replace(text, '([{SPACE}])([\t\x0b\x0c \x{{85}}\p{{Z}}])([^{SPACE}])', '\1{MARK}\2\3', 'g') as text from body where conv_id in (select conv_id from renderable)),
+cut as (
+  select conv_id, p, role, list_filter(list_transform(regexp_extract_all(text, {PRETOKEN_PATTERN}), lambda w: replace(w, '{MARK}', '')), lambda w: w <> '') as words from marked),
+placed_words as (select conv_id, p, role, unnest(words) as word, unnest(range(len(words))) as i from cut),
+words as (
+  select word, array_to_string(list_transform(regexp_extract_all(hex(encode(word)), '..'), lambda h: chr(('0x' || h)::int)), '') as w, count(*) as n
+  from placed_words group by 1),
+run as (
+  select 255 as rank, word, w, n from words
+  union all
+  select rank + 1, word, replace(w, best, chr(rank + 1)), n from run, (
+    select pair as best from (
+      select w[i:i + 1] as pair, sum(n) as total from (select w, n, unnest(range(1, length(w))) as i from run) group by 1)
+    order by total desc, greatest(pair[1], pair[2]), pair limit 1)
+  where rank < {255 + TRAINED_MERGES}),
+encoded as (
+  select conv_id, p, role, list_transform(string_split(string_agg(w, '' order by i), ''), lambda c: unicode(c)) as ids
+  from placed_words join run using (word) where rank = {255 + TRAINED_MERGES} and conv_id in (select conv_id from renderable) group by 1, 2, 3),
+turns as (
+  select conv_id, p, case role when 'user' then [{256 + TRAINED_MERGES + 1}] || ids || [{256 + TRAINED_MERGES + 2}] else [{256 + TRAINED_MERGES + 3}] || ids || [{256 + TRAINED_MERGES + 4}] end as ids,
+         case role when 'user' then list_transform(range(len(ids) + 2), lambda x: 0) else [0] || list_transform(range(len(ids) + 1), lambda x: 1) end as mask from encoded),
+whole as (select conv_id, ([{256 + TRAINED_MERGES}] || flatten(list(ids order by p)))[1:{MAX_TOKENS}] as ids, ([0] || flatten(list(mask order by p)))[1:{MAX_TOKENS}] as mask from turns group by 1)
+select conv_id, len(ids) as n_tokens, list_sum(mask)::bigint as supervised, md5(array_to_string(ids, ',')) as digest from whole""")
+def render_trained_ids(spark, sf_dir):
+    """Chats in a vocabulary trained on their own texts: ids and supervision of the first tokens of each."""
+    turns = table(spark, sf_dir, "conversations")
+    args = (turns, "conv_id", "turn", "role", "text")
+    texts = rendering.body_turns(*args)
+    ranks = tok.train_bpe(tok.pretoken_counts(texts), 256 + TRAINED_MERGES + len(chat.SPECIAL_TOKENS))
+    r = rendering.render_heads(rendering.place_turns(*args, ranks=ranks), MAX_TOKENS, 256 + TRAINED_MERGES)
+    supervised = F.size(F.filter("mask", lambda m: m == 1)).cast("long").alias("supervised")
+    return r.select(F.col("conv").alias("conv_id"), F.size("ids").cast("long").alias("n_tokens"), supervised, F.md5(F.array_join("ids", ",")).alias("digest"))
 
 
 # --- math answers -------------------------------------------------------------------------------------------------
@@ -353,6 +402,7 @@ REQUEST_FIELDS = {
 
 
 def requests(spark, sf_dir):
+    """Requests as the records in which they arrive."""
     turns = table(spark, sf_dir, "conversations").withColumn("text", F.expr(REQUEST_TEXT))
     built = conv.assemble_conversations(turns, "conv_id", "turn", "role", "text")
     return built.select(F.col("conv_id").alias("request_id"), "messages", *[F.expr(e).alias(n) for n, e in REQUEST_FIELDS.items()])
@@ -374,7 +424,10 @@ select conv_id as request_id,
 
 @query(REQUESTS_SQL)
 def validate_requests(spark, sf_dir):
-    return conv.validate_requests(requests(spark, sf_dir)).select("request_id", "reason")
+    """Requests of any number of messages, judged on their turns."""
+    turns = table(spark, sf_dir, "conversations").withColumn("text", F.expr(REQUEST_TEXT))
+    asked = turns.select("conv_id").distinct().select(F.col("conv_id").alias("request_id"), *[F.expr(e).alias(n) for n, e in REQUEST_FIELDS.items()])
+    return rendering.validate_request_turns(turns, asked, "conv_id", "turn", "role", "text")
 
 
 LOG_SQL = """

@@ -10,9 +10,9 @@ from sparkcorpus.functions import chat
 from sparkcorpus.functions.keys import width_bucket
 from sparkcorpus.functions.text import byte_ids
 from sparkcorpus.operators import conversations as conv
-from sparkcorpus.operators import ordering, prompts, rollouts, scoring
+from sparkcorpus.operators import ordering, prompts, rendering, rollouts, scoring
 from sparkcorpus.operators.tokenization import byte_ranks, token_bytes_table, vocab_table
-from sparkcorpus.plans.chats import EDGES, MATH_ANSWER, MATH_COLUMNS, MATH_KEY, PARTS_SQL, RESPONSE, chats, math_rows
+from sparkcorpus.plans.chats import EDGES, MATH_ANSWER, MATH_COLUMNS, MATH_KEY, PARTS_SQL, RESPONSE, math_rows
 from sparkcorpus.plans.packing import chat_sql, rendered_chats, weighted
 from sparkcorpus.plans.registry import query, table
 
@@ -474,18 +474,24 @@ def rollout_report(spark, sf_dir):
     return out.withColumn("mean_reward", F.round("mean_reward", 6)).withColumn("mean_length", F.round("mean_length", 6))
 
 
+CUT_BLOCK = 512
+
+
 @query(f"""
 with {chat_sql(10_000_000)},
-ids as (select conv_id, list_transform(regexp_extract_all(codes, '....'), lambda h: ('0x' || h)::int)[2:] as ids from chats),
-cut as (select conv_id, ids, list_position(ids, 260) as e from ids)
-select conv_id, case when e > 0 then e - 1 else len(ids) end as kept, md5(array_to_string(case when e > 0 then ids[1:e - 1] else ids end, ',')) as digest,
-       case when e > 0 then 'assistant_end' else 'max_new_tokens' end as stop_reason from cut""")
+ids as (select conv_id, list_transform(regexp_extract_all(codes, '....'), lambda h: ('0x' || h)::int) as ids from chats),
+cut as (select conv_id, ids, list_position(ids, 260) as e from ids),
+turns as (select conv_id, p, length(codes) // 4 as n, 1 + coalesce(sum(length(codes) // 4) over (partition by conv_id order by p rows between unbounded preceding and 1 preceding), 0) as start from pieces),
+blocks as (select conv_id, start + o as start, least({CUT_BLOCK}, n - o) as n from (select *, unnest(range(0, n, {CUT_BLOCK})) as o from turns))
+select conv_id, start::bigint as start, case when e > 0 then least(n, e - 1 - start) else n end::bigint as kept,
+       md5(array_to_string(ids[start + 1:start + case when e > 0 then least(n, e - 1 - start) else n end], ',')) as digest,
+       case when e > 0 then 'assistant_end' else 'max_new_tokens' end as stop_reason
+from blocks join cut using (conv_id) where e is null or e = 0 or start < e - 1""")
 def truncate_completions(spark, sf_dir):
-    good = chats(spark, sf_dir).filter("render_reason is null")
-    whole = chat.rendered(chat.render_segments(F.col("messages")), 2**30)["ids"]
-    rows = good.select("conv_id", whole.alias("ids")).withColumn("ids", F.slice("ids", F.lit(2), F.size("ids")))
-    out = rollouts.truncate_completions(rows, "ids")
-    return out.select("conv_id", F.size("kept").cast("long").alias("kept"), F.md5(F.array_join("kept", ",")).alias("digest"), "stop_reason")
+    """Rendered chats, block by block, cut where the first answer ends."""
+    placed = rendering.place_turns(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+    out = rendering.truncate_blocks(rendering.token_blocks(placed, block=CUT_BLOCK))
+    return out.select(F.col("conv").alias("conv_id"), "start", F.size("kept").cast("long").alias("kept"), F.md5(F.array_join("kept", ",")).alias("digest"), "stop_reason")
 
 
 @query(f"""

@@ -9,18 +9,18 @@ from sparkcorpus.functions.text import byte_ids, pretokens
 from sparkcorpus.operators import tokenization as tok
 from sparkcorpus.plans.registry import query, table
 
-MERGES = 40
+MERGES = 512
 
 
 # The pre-token pattern for an engine without look-ahead. A white-space run before text gives up its last character
 # (unless that is a line end) to the next pre-token; a private-use mark is set there first and dropped afterwards.
 SPACE, MARK = r"\t-\r \x{85}\p{Z}", "\ue000"
+PRETOKEN_PATTERN = rf"""'''(?i:[sdmt]|ll|ve|re)|[^\r\n\p{{L}}\p{{N}}{MARK}]?\p{{L}}+|\p{{N}}{{1,2}}| ?[^{SPACE}\p{{L}}\p{{N}}{MARK}]+[\r\n]*|[{SPACE}]*[\r\n]|{MARK}|[{SPACE}]+'"""
 PRETOKENS_SQL = rf"""
 marked as (
   select doc_id, lang, regexp_replace(text, '([{SPACE}])([\t\x0b\x0c \x{{85}}\p{{Z}}])([^{SPACE}])', '\1{MARK}\2\3', 'g') as text from documents),
 pretokens as (
-  select doc_id, lang, list_filter(list_transform(regexp_extract_all(text,
-    '''(?i:[sdmt]|ll|ve|re)|[^\r\n\p{{L}}\p{{N}}{MARK}]?\p{{L}}+|\p{{N}}{{1,2}}| ?[^{SPACE}\p{{L}}\p{{N}}{MARK}]+[\r\n]*|[{SPACE}]*[\r\n]|{MARK}|[{SPACE}]+'),
+  select doc_id, lang, list_filter(list_transform(regexp_extract_all(text, {PRETOKEN_PATTERN}),
     lambda w: replace(w, '{MARK}', '')), lambda w: w <> '') as words from marked)"""
 
 
@@ -224,6 +224,55 @@ def compare_tokenizers(spark, sf_dir):
     )
 
 
+SMALL_MERGES = 128
+
+
+def merged_run(name: str, weight: str, merges: int) -> str:
+    """Every distinct word after each merge of a vocabulary that learns from words as often as `weight` says."""
+    return f"""
+{name} as (
+  select 255 as rank, word, w, {weight} as n from words
+  union all
+  select rank + 1, word, replace(w, best, chr(rank + 1)), n from {name}, (
+    select pair as best from (
+      select w[i:i + 1] as pair, sum(n) as total from (select w, n, unnest(range(1, length(w))) as i from {name}) group by 1 having sum(n) > 0)
+    order by total desc, greatest(pair[1], pair[2]), pair limit 1)
+  where rank < {255 + merges})"""
+
+
+@query(f"""
+with recursive {PRETOKENS_SQL},
+counts as (select lang, word, count(*) as n from (select lang, unnest(words) as word from pretokens) group by 1, 2),
+words as (
+  select word, array_to_string(list_transform(regexp_extract_all(hex(encode(word)), '..'), lambda h: chr(('0x' || h)::int)), '') as w,
+         sum(n) as n_all, coalesce(sum(n) filter (lang = 'en'), 0) as n_en from counts group by 1),
+{merged_run("all_run", "n_all", MERGES)},
+{merged_run("en_run", "n_en", MERGES)},
+lengths as (
+  select word, 'english' as tokenizer, length(w) as t from en_run where rank = {255 + MERGES}
+  union all select word, 'small', length(w) from all_run where rank = {255 + SMALL_MERGES}
+  union all select word, 'all', length(w) from all_run where rank = {255 + MERGES}),
+report as (
+  select tokenizer, lang, sum(n * strlen(word))::bigint as b, sum(n * t)::bigint as t from counts join lengths using (word) group by 1, 2)
+select x.tokenizer as base, x.lang, x.b as n_bytes, x.t as base_tokens, y.t as ours_tokens, round((x.t - y.t) / x.t * 100, 6) as relative_diff,
+       case when x.b / x.t > y.b / y.t then x.tokenizer when y.b / y.t > x.b / x.t then 'all' else 'tie' end as better
+from report x join report y on x.lang = y.lang and y.tokenizer = 'all' and x.tokenizer <> 'all'""")
+def compare_trained_tokenizers(spark, sf_dir):
+    """A vocabulary trained on all documents against a smaller one and one trained on English alone, per language."""
+    counts = tok.pretoken_counts(table(spark, sf_dir, "documents"), by=["lang"])
+    words = counts.groupBy("word").agg(F.sum("n").alias("n"))
+    size = 256 + MERGES + len(SPECIAL_TOKENS)
+    everything = tok.train_bpe(words, size)
+    small = everything.filter(F.col("rank") < 256 + SMALL_MERGES)  # one-by-one merging begins alike
+    english = tok.train_bpe(counts.filter("lang = 'en'").select("word", "n"), size)
+    lengths = tok.count_tokens(words.select("word"), {"all": everything, "small": small, "english": english})
+    report = tok.compression_report(counts.join(lengths, "word"), ["tokenizer", "lang"], F.col("n") * F.octet_length("word"), F.col("n") * F.col("n_tokens"))
+    both = [tok.compare_tokenizers(report, ["lang"], base, "all").withColumn("base", F.lit(base)) for base in ("english", "small")]
+    return both[0].union(both[1]).select(
+        "base", "lang", F.col("base_bytes").alias("n_bytes"), "base_tokens", "ours_tokens", F.round("relative_diff", 6).alias("relative_diff"), "better"
+    )
+
+
 @query("""
 select lang as grp, source as sample, sum(length(text))::bigint as characters, sum(strlen(text))::bigint as n_bytes,
        sum(strlen(text) + 1)::bigint as n_tokens, round(sum(strlen(text) + 1) / sum(length(text)), 6) as tokens_per_char,
