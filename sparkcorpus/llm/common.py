@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from sparkcorpus.session import fresh_path
@@ -15,12 +16,58 @@ _TEXTS = 512
 _BATCH, _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 
 
+#: Positions in one bitmap, and the bitmaps that may be broadcast: 64 MB of them.
+_BITS, _BITMAPS = 32_768, 16_384
+
+
 def save(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage at a place that survives lost executors, and lets
     Catalyst plan later joins by the table's real size."""
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    saved = df.sparkSession.read.schema(df.schema).parquet(path)
+    saved.written_to = path
+    return saved
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete tables that `save` wrote, once nothing will read them any more."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def located(docs: DataFrame, columns: list[Column], in_place: bool) -> DataFrame:
+    """Columns of the documents with `_file` and `_place`, which name a row's file and its place there. Only a table
+    that was just read has them (`in_place`); anything else is written first."""
+    if in_place:
+        try:
+            return _with_places(docs, columns)
+        except AnalysisException:  # made of something else than files
+            pass
+    return _with_places(save(docs, "rows"), columns)
+
+
+def _with_places(df: DataFrame, columns: list[Column]) -> DataFrame:
+    place = df.metadataColumn("_metadata")
+    return df.select(*columns, F.xxhash64(place["file_path"]).alias("_file"), place["row_index"].alias("_place"))
+
+
+def at_places(rows: DataFrame, places: DataFrame, wanted: bool = True) -> DataFrame:
+    """The located rows whose (`_file`, `_place`) is (or is not) among `places`. Those are packed into bitmaps, a bit a
+    row, so the rows themselves stay where they are: bitmaps of up to 64 MB (for some 500 million rows) are broadcast.
+    Beyond that the join is left to Catalyst."""
+    bucket, bit = F.floor(F.col("_place") / _BITS), F.col("_place") % _BITS
+    maps = places.groupBy(F.col("_file").alias("_f"), bucket.alias("_b")).agg(F.bitmap_construct_agg(bit).alias("_bits"))
+    maps = save(maps, "bitmaps")
+    if maps.count() <= _BITMAPS:
+        maps = F.broadcast(maps)
+    joined = rows.join(maps, (F.col("_file") == F.col("_f")) & (bucket == F.col("_b")), "left")
+    byte = F.conv(F.hex(F.substr("_bits", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    found = F.coalesce(byte, F.lit(0))
+    mask = F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (bit % 8 + 1).cast("int"))
+    hit = found.bitwiseAND(mask) != 0
+    return joined.filter(hit if wanted else ~hit).drop("_f", "_b", "_bits")
 
 
 def bound_batches(spark: SparkSession) -> None:

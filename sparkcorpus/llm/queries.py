@@ -122,7 +122,7 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of each document without the 400-byte strings that occur twice in the corpus?"""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha256"))
-    found = suffix_dedup.remove_repeats(docs, keep=["doc_id", "sha256"])
+    found = suffix_dedup.remove_repeats(docs, keep=["doc_id", "sha256"], in_place=True)
     digest = F.coalesce(F.sha2("kept", 256), F.col("row.sha256")).alias("kept_sha256")
     return found.select("row.doc_id", "n_bytes", "n_removed", "n_spans", digest)
 
@@ -200,7 +200,8 @@ r as (
   union all select c.conv_id, t.n - c.h + c.head, role, text from c join t on t.conv_id = c.conv_id and t.n > c.h),
 p as (
   select conv_id, d, list({'r': role, 't': text}) over (partition by conv_id order by d) as key,
-         coalesce(len(regexp_extract_all(text, '[^ 	-]+')), 0)::bigint as words, d = max(d) over (partition by conv_id) as last from r
+         coalesce(len(regexp_extract_all(text, '[^ 	-
+]+')), 0)::bigint as words, d = max(d) over (partition by conv_id) as last from r
   union all select conv_id, 0, [], 0, conv_id not in (select conv_id from r) from c),
 nodes as (select key, d as depth, min(conv_id) as conv_id, count(*) as n_convs, any_value(words) * (count(*) - 1) as saved,
                  sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where last), '')) as ends_sha256 from p group by key, d),

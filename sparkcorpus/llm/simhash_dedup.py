@@ -24,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sparkcorpus.llm.common import as_bytes, map_batches, save, whole_row
+from sparkcorpus.llm.common import as_bytes, at_places, drop, located, map_batches, save, whole_row
 from sparkcorpus.llm.components import components
 
 WORDS, RADIUS, SEED, TILE = 3, 3, 42, 2048
@@ -166,16 +166,19 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return slim.join(groups, F.col("_fp") == F.col("fp")).select(doc_id, shown, "component_id")
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """One row of each component, with its columns as they are."""
-    rows = docs.select(
-        whole_row(docs), fingerprints(text, words).alias("_fp"), F.monotonically_increasing_id().alias("_uid")
-    )
-    rows = save(rows, "rows")
-    ident = F.col("row").getField(doc_id)
-    place = F.struct(ident.isNull().alias("none"), ident.alias("id"), F.xxhash64(F.col("row").getField(text)).alias("h"), F.col("_uid").alias("uid"))
-    first = save(rows.groupBy("_fp").agg(F.min(place).alias("first")), "first-rows")
+def keep_one(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, radius: int = RADIUS, tile: int = TILE, in_place: bool = False
+) -> DataFrame:
+    """One row of each component, with its columns as they are. `in_place` says that `docs` is a table just read, whose
+    rows need no copy; they are not shuffled either."""
+    rows = located(docs, [whole_row(docs)], in_place)
+    content = F.col("row").getField(text)
+    slim = save(rows.select(fingerprints(content, words).alias("_fp"), F.col("row").getField(doc_id).alias("_id"), F.xxhash64(content).alias("_h"), "_file", "_place"), "document-fingerprints")
+    place = F.struct(F.col("_id").isNull().alias("none"), "_id", "_h", "_file", "_place")
+    first = save(slim.groupBy("_fp").agg(F.min(place).alias("first")), "first-rows")
     roots = link_fingerprints(first.select(F.col("_fp").alias("fp")), radius, tile)
     rooted = first.join(roots, F.col("_fp") == F.col("node"), "left").select(F.coalesce("root", "_fp").alias("root"), "first")
-    kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.uid").alias("_kept"))
-    return rows.join(save(kept, "kept-rows"), F.col("_uid") == F.col("_kept"), "left_semi").select("row.*")
+    kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first._file", "first._place")
+    found = at_places(rows, kept).select("row.*")
+    drop(slim, first)
+    return found

@@ -1,28 +1,38 @@
 """Removal of byte strings that occur twice, by prefix-free parsing.
 
-A document is parsed at triggers: a rolling hash is taken of every `length - SPAN + 1` bytes, and each run of `SPAN`
+A document is parsed at triggers: a rolling hash is taken of every `length - span + 1` bytes, and each run of `span`
 consecutive window starts picks its smallest hash. Where a window (a string of `length` bytes) has its trigger depends
 on its own bytes alone, so equal windows are parsed alike wherever they stand. The window starts that share a trigger
 are consecutive; the string from the first of them to the end of the last is a phrase. A document's phrases overlap so
-that every window lies in exactly one of them, and no phrase is a prefix of another at its trigger, which is what makes
-equality of windows a matter of phrases.
-
-Of the corpus order that suffix arrays of dictionary and parse would give, only the classes of equal strings are
-needed, and Spark's shuffles make them: the dictionary is the phrases by digest, with their counts. A phrase that
-occurs twice is repeated as a whole, every window of it. A trigger string that occurs once proves that none of its
-windows is repeated. Between the two, where a repeated passage begins or ends inside a phrase, one copy of each such
-phrase is cut into blocks of `BLOCK` window starts, counted from the trigger, and judged alike: by the whole block, and
-by the core that its windows share. Only the windows of blocks that are still open are compared one by one, by 128-bit
-digests. So the parse of the whole corpus is shuffled at about one small row per 100 bytes, blocks and windows only
-around the ends of repeats, and texts once, to cut them.
-
-Everything is keyed by the text's md5, since equal texts are cut alike. Nulls and texts shorter than a window have no
-windows and stay as they are. Long texts are parsed in pieces of `PIECE` window starts. Repeated rows are repeats of
-each other: all lose what they share. Other columns pass through. An empty table gives an empty table.
+that every window lies in exactly one of them, and no phrase is a prefix of another at its trigger: so two windows are
+equal if and only if they are equal suffixes, cut to `length`, of phrases with equal triggers, at equal distance from it.
+
+Parse and dictionary. The parse is one slim row per phrase of the corpus; the dictionary counts its distinct phrases. A
+phrase that occurs twice is repeated as a whole, every window of it. A trigger string that occurs once proves that none
+of its windows is repeated.
+
+Suffix array. Between the two, where a repeated passage begins or ends inside a phrase, the dictionary's suffixes are
+put in order, and a suffix is repeated if a neighbour in that order shares its first `length` bytes. The order goes by
+steps that each leave less to sort. Phrases with the same trigger line up at it and are cut into blocks of `BLOCK`
+window starts. All windows of a block share a core of `length - BLOCK + 1` bytes; blocks are classed by core, so that
+within a class suffixes differ only in the few bytes around it. These suffixes are sorted by (core, distance, bytes
+around the core) in ranges, where each is compared with its neighbours; a range's first and last suffix meet those of
+the next ranges in a table of two rows a range. Ties are broken by place, so a passage at the edge of which very many
+documents differ is spread over ranges, too. As no window reaches beyond its phrase, the order of the parse's own
+suffixes (of the phrases that follow) cannot change which windows are equal, and is not built.
+
+What moves: the parse, twice (counted by trigger, joined with the repeated triggers); blocks around the ends of repeats;
+the texts of documents that lose something, once, to meet their spans, and of those that hold a block. Other texts stay
+where they are: bitmaps of places pick rows out.
+
+Nulls and texts shorter than a window have no windows and stay as they are. Long texts are parsed in pieces of `PIECE`
+window starts. Repeated rows are repeats of each other: all lose what they share. Other columns pass through. An empty
+table gives an empty table.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
@@ -30,9 +40,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sparkcorpus.llm.common import as_bytes, map_batches, save, whole_row
+from sparkcorpus.llm.common import as_bytes, at_places, drop, located, map_batches, save, whole_row
 
-LENGTH, SPAN, BLOCK = 400, 200, 16
+LENGTH, SPAN, BLOCK = 400, 320, 16
+#: A phrase's window starts and the place of its trigger are packed into one long.
+_MOST_SPAN = 1 << 10
 PIECE = 1 << 20
 #: Texts whose phrases are held at a time.
 ROWS = 512
@@ -95,50 +107,93 @@ def parse(text: bytes, length: int = LENGTH, span: int = SPAN) -> list[tuple[int
     return phrases
 
 
+_PHRASE = "_file bigint, _place bigint, at bigint, gram bigint, phrase bigint"
+_BLOCK = "_file bigint, _place bigint, first bigint, last bigint, start bigint, n bigint, core binary, whole binary, left binary, right binary"
+_SUFFIX = "core binary, off int, around binary, _file bigint, _place bigint, start bigint, n bigint"
+_FOUND = "suffix binary, n bigint, rows bigint, edge boolean, _file bigint, _place bigint, start bigint"
+
+
+def _batch(rows: list[tuple] | list[list], schema: str, by_column: bool = False) -> pa.RecordBatch:
+    fields = [f.split() for f in schema.split(", ")]
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "boolean": pa.bool_()}
+    columns = rows if by_column else list(zip(*rows, strict=True)) or [[]] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
+
+
 def _parsed(batch: pa.RecordBatch, length: int, span: int):
-    keys, columns = [], ([], [], [], [], [])
-    for key, text in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), strict=True):
+    columns: list[list] = [[], [], [], [], []]
+    for file, place, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), as_bytes(batch.column(2)), strict=True):
         if len(text) >= length:
             found = parse(text, length, span)
-            keys += [key] * len(found)
-            for column, values in zip(columns, zip(*found, strict=True), strict=True):
+            at = [(a << 20) + (b - a << 10) + t - a for a, b, t, _, _ in found]
+            for column, values in zip(columns, ([file] * len(at), [place] * len(at), at, [p[3] for p in found], [p[4] for p in found]), strict=True):
                 column += values
-    names = ["key", "first", "last", "trigger", "gram", "phrase"]
-    kinds = [pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
-    yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip((keys, *columns), kinds, strict=True)], names=names)
+    yield _batch(columns, _PHRASE, by_column=True)
+
+
+def _unpacked(at: str = "at") -> list[Column]:
+    """First and last window start and the trigger's place of a packed phrase."""
+    first = F.shiftright(at, 20)
+    return [first.alias("first"), (first + F.shiftright(at, 10).bitwiseAND(_MOST_SPAN - 1)).alias("last"), (first + F.col(at).bitwiseAND(_MOST_SPAN - 1)).alias("trigger")]
 
 
 def _blocks(batch: pa.RecordBatch, length: int):
-    """The blocks of some phrases of each text: window starts, and digests of the core and of the whole block."""
+    """The blocks of some phrases of each text: window starts, digests of core and whole, and the bytes around the core."""
     rows = []
     digest = xxhash.xxh3_128_digest
-    for key, text, phrases in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), batch.column(2).to_pylist(), strict=True):
+    for file, place, text, phrases in zip(*(batch.column(i).to_pylist() for i in (0, 1)), as_bytes(batch.column(2)), batch.column(3).to_pylist(), strict=True):
         for p in phrases:
             trigger = p["trigger"]
             for number in range((p["first"] - trigger) // BLOCK, (p["last"] - trigger) // BLOCK + 1):
                 start = trigger + number * BLOCK
                 a, b = max(p["first"], start), min(p["last"], start + BLOCK - 1)
                 core = digest(text[start + BLOCK - 1 : start + length], number % (1 << 64))
-                rows.append((key, a, b, p["n"], core, digest(text[a : b + length])))
-    kinds = [pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
-    columns = list(zip(*rows, strict=True)) or [[]] * len(kinds)
-    names = ["key", "first", "last", "n", "core", "whole"]
-    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
-
-
-def _windows(batch: pa.RecordBatch, length: int):
-    """Digests of the windows of some blocks of each text."""
-    for key, text, blocks in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), batch.column(2).to_pylist(), strict=True):
-        data = np.frombuffer(text, np.uint8)
-        starts, counts, high, low = [], [], [], []
-        for p in blocks:
-            part = data[p["first"] : p["last"] + length]
-            starts.append(np.arange(p["first"], p["last"] + 1, dtype=np.int32))
-            counts.append(np.full(len(starts[-1]), p["n"], np.int64))
-            high.append(rolling(part, length, 1).view(np.int64))
-            low.append(rolling(part, length, 2).view(np.int64))
-        arrays = [np.concatenate(x) for x in (starts, counts, high, low)]
-        yield pa.RecordBatch.from_arrays([pa.array([key] * len(arrays[0]), pa.binary()), *map(pa.array, arrays)], names=["key", "start", "n", "high", "low"])
+                rows.append((file, place, a, b, start, p["n"], core, digest(text[a : b + length]), text[a : start + BLOCK - 1], text[start + length : b + length]))
+    yield _batch(rows, _BLOCK)
+
+
+def _suffixes(batch: pa.RecordBatch):
+    """The suffixes at all window starts of each block, as their bytes around the core."""
+    rows = []
+    for r in batch.to_pylist():
+        for s in range(r["first"], r["last"] + 1):
+            off = s - r["start"]
+            rows.append((r["core"], off, r["left"][s - r["first"] :] + r["right"][:off], r["_file"], r["_place"], s, r["n"]))
+    yield _batch(rows, _SUFFIX)
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted suffixes of one range to those that a neighbour equals and whose phrase occurs once. The range's first and
+    last runs of equal suffixes come as `edge` rows, with their size, for the ranges beside it."""
+    run: list[tuple] = []  # the first rows of the open run
+    size, suffix, first = 0, None, True
+
+    def closed(last: bool) -> list[tuple]:
+        rows = [(suffix, n, size, False, *where) for n, *where in run if size > 1 and n == 1]
+        if first or last:
+            n, *where = run[0]
+            rows.append((suffix, n, size, True, *where))
+        return rows
+
+    for batch in batches:
+        found = []
+        keys = [c + bytes([o]) + a for c, o, a in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)]
+        places = zip(*(batch.column(i).to_pylist() for i in (6, 3, 4, 5)), strict=True)
+        for key, row in zip(keys, places, strict=True):
+            if key != suffix:
+                if suffix is not None:
+                    found += closed(False)
+                    first = False
+                run, size, suffix = [], 0, key
+            size += 1
+            if size < 3:
+                run.append(row)
+            elif row[0] == 1:  # the run is known to be longer than one: no need to hold it
+                found.append((suffix, 1, size, False, *row[1:]))
+        if found:
+            yield _batch(found, _FOUND)
+    if suffix is not None:
+        yield _batch(closed(True), _FOUND)
 
 
 def _cut(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
@@ -155,81 +210,79 @@ def _cut(text: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int, int]:
     return left, len(text) - len(left), runs
 
 
-def _kept(length: int):
-    def of(texts: pa.Array, phrases: pa.Array, starts: pa.Array) -> pa.Array:
+def _kept():
+    def of(texts: pa.Array, spans: pa.Array) -> pa.Array:
         found = []
-        for text, whole, single in zip(as_bytes(texts), phrases.to_pylist(), starts.to_pylist(), strict=True):
-            spans = [(p["first"], p["last"] + length) for p in whole or () if p["n"] > 1]
-            spans += [(s["first"], s["last"] + length) for s in single or ()]
-            found.append(dict(zip(("kept", "n_removed", "n_spans"), _cut(text, spans), strict=True)))
+        for text, cuts in zip(as_bytes(texts), spans.to_pylist(), strict=True):
+            found.append(dict(zip(("kept", "n_removed", "n_spans"), _cut(text, [(s["first"], s["end"]) for s in cuts]), strict=True)))
         return pa.array(found, pa.struct([("kept", pa.binary()), ("n_removed", pa.int64()), ("n_spans", pa.int64())]))
 
     return F.arrow_udf(of, "kept binary, n_removed bigint, n_spans bigint")
 
 
-def repeated_phrases(docs: DataFrame, key: Column, text: Column, length: int = LENGTH, span: int = SPAN) -> DataFrame:
-    """One row per distinct text with a phrase whose trigger string occurs twice: `key` and its `phrases`, each with
-    the number `n` of its occurrences and the number `least` of those of the rarest phrase at an equal trigger."""
-    schema = "key binary, first int, last int, trigger int, gram bigint, phrase bigint"
-    parsed = save(map_batches(docs.select(key.alias("key"), text.alias("text")), schema, lambda b: _parsed(b, length, span), ROWS), "parse")
-    triggers = parsed.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
-    parsed = save(parsed.join(save(triggers, "triggers"), "gram", "left_semi"), "repeated-parse")
-    dictionary = save(parsed.groupBy("gram", "phrase").agg(F.count("*").alias("n")), "dictionary")
-    rarest = dictionary.groupBy("gram").agg(F.min("n").alias("least"))
-    dictionary = save(dictionary.join(save(rarest, "rarest"), "gram"), "dictionary")
-    found = parsed.join(dictionary, ["gram", "phrase"]).select("key", F.struct("first", "last", "trigger", "gram", "phrase", "n", "least").alias("p"))
-    return save(found.groupBy("key").agg(F.collect_set("p").alias("phrases")), "repeats")
-
-
-def _with_texts(texts: DataFrame, chosen: DataFrame) -> DataFrame:
-    """`key`, `text` and the list `wanted` of the structs `c` chosen for it; of equal texts one is read."""
-    wanted = save(chosen.groupBy("key").agg(F.collect_list("c").alias("wanted")), "wanted")
-    one = texts.groupBy("key").agg(F.min("uid").alias("uid")).join(wanted, "key")
-    return texts.join(save(one.drop("key"), "wanted-texts"), "uid").select("key", "text", "wanted")
-
-
-def repeated_windows(texts: DataFrame, repeats: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Window starts that are repeated although their phrase is not: one row per text, `key` and `starts`, runs from
-    `first` to `last`. `texts` has `uid`, `key` and `text`."""
-    unsure = repeats.select("key", F.explode("phrases").alias("p")).filter("p.least = 1")
-    one = F.min(F.struct("key", "p.first", "p.last", "p.trigger", "p.n")).alias("one")
-    chosen = unsure.groupBy("p.gram", "p.phrase").agg(one)
-    chosen = chosen.select("one.key", F.struct("one.first", "one.last", "one.trigger", "one.n").alias("c"))
-    schema = "key binary, first int, last int, n bigint, core binary, whole binary"
-    blocks = save(map_batches(_with_texts(texts, chosen), schema, lambda b: _blocks(b, length), ROWS), "blocks")
-
-    wholes = blocks.groupBy("core", "whole").agg(F.sum("n").alias("n"), F.min(F.struct("key", "first", "last")).alias("one"))
-    wholes = save(wholes, "block-dictionary")
-    cores = wholes.groupBy("core").agg(F.sum("n").alias("total"), F.min("n").alias("least")).filter("total > 1 and least = 1")
+def repeated_phrases(texts: DataFrame, length: int = LENGTH, span: int = SPAN) -> tuple[DataFrame, DataFrame]:
+    """Texts (`_file`, `_place`, `text`) to the occurrences of phrases that occur twice (`_file`, `_place`, `first`,
+    `last`), and to the open phrases of the dictionary: those whose trigger another phrase has too, where one of them
+    occurs once, with the number `n` of their occurrences and the place of one."""
+    parsed = save(map_batches(texts.select("_file", "_place", "text"), _PHRASE, lambda b: _parsed(b, length, span), ROWS), "parse")
+    triggers = save(parsed.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram"), "triggers")
+    repeated = save(parsed.join(triggers, "gram", "left_semi"), "repeated-parse")
+    drop(parsed, triggers)
+    counts = repeated.groupBy("gram", "phrase").agg(F.count("*").alias("n"), F.min(F.struct("_file", "_place", "at")).alias("one"))
+    dictionary = save(counts, "dictionary")
+    rarest = dictionary.groupBy("gram").agg(F.min("n").alias("least")).filter("least = 1").select("gram")
+    opened = dictionary.join(save(rarest, "open-triggers"), "gram", "left_semi").select("one.*", "n")
+    opened = save(opened.select("_file", "_place", *_unpacked(), "n"), "open-phrases")
+    twice = dictionary.filter("n > 1").select("gram", "phrase")
+    wholes = save(repeated.join(twice, ["gram", "phrase"], "left_semi").select("_file", "_place", *_unpacked()).drop("trigger"), "repeated-phrases")
+    drop(repeated, dictionary)
+    return wholes, opened
+
+
+def repeated_suffixes(texts: DataFrame, opened: DataFrame, length: int = LENGTH) -> DataFrame:
+    """Window starts of open phrases that are repeated although their phrase is not: runs from `first` to `last`."""
+    wanted = opened.groupBy("_file", "_place").agg(F.collect_list(F.struct("first", "last", "trigger", "n")).alias("phrases"))
+    holders = at_places(texts.select("_file", "_place", "text"), opened).join(wanted, ["_file", "_place"])
+    blocks = save(map_batches(holders.select("_file", "_place", "text", "phrases"), _BLOCK, lambda b: _blocks(b, length), ROWS), "blocks")
+
+    one = F.min_by(F.struct("_file", "_place", "first", "last", "start", "left", "right"), F.struct("_file", "_place", "first")).alias("one")
+    wholes = save(blocks.groupBy("core", "whole").agg(F.sum("n").alias("n"), one), "block-dictionary")
     twice = save(wholes.filter("n > 1").select("core", "whole"), "repeated-blocks")
-    in_blocks = blocks.filter("n = 1").join(twice, ["core", "whole"]).select("key", "first", "last")
-
-    chosen = wholes.join(save(cores.select("core"), "open-cores"), "core")
-    chosen = chosen.select("one.key", F.struct("one.first", "one.last", "n").alias("c"))
-    schema = "key binary, start int, n bigint, high bigint, low bigint"
-    windows = save(map_batches(_with_texts(texts, chosen), schema, lambda b: _windows(b, length), ROWS), "windows")
-    twice = windows.groupBy("high", "low").agg(F.sum("n").alias("total")).filter("total > 1").drop("total")
-    alone = windows.filter("n = 1").join(save(twice, "repeated-windows"), ["high", "low"])
-    found = in_blocks.union(alone.select("key", "start", "start"))
-    return save(found.groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("starts")), "window-starts")
-
-
-def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, span: int = SPAN, keep: list[str] | None = None) -> DataFrame:
+    in_blocks = save(blocks.filter("n = 1").join(twice, ["core", "whole"], "left_semi").select("_file", "_place", "first", "last"), "found-in-blocks")
+    cores = wholes.groupBy("core").agg(F.count("*").alias("m"), F.min("n").alias("least")).filter("m > 1 and least = 1")
+    opened_blocks = wholes.join(save(cores.select("core"), "open-cores"), "core", "left_semi").select("core", "n", "one.*")
+
+    order = ["core", "off", "around", "_file", "_place", "start"]
+    suffixes = save(map_batches(opened_blocks, _SUFFIX, _suffixes, ROWS), "suffixes")
+    found = save(suffixes.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_neighbours, _FOUND), "neighbours")
+    edges = found.filter("edge").groupBy("suffix").agg(F.sum("rows").alias("total")).filter("total > 1").select("suffix")
+    at_edges = found.filter("edge and rows = 1 and n = 1").join(edges, "suffix", "left_semi")
+    alone = found.filter("not edge").union(at_edges).select("_file", "_place", "start", F.col("start").alias("last"))
+    result = save(in_blocks.union(alone), "window-starts")
+    drop(blocks, wholes, suffixes, found, in_blocks)
+    return result
+
+
+def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, span: int = SPAN, keep: list[str] | None = None, in_place: bool = False) -> DataFrame:
     """Every row (or the columns to keep) as struct `row`, with `n_bytes`, `n_removed`, `n_spans`, and `kept`, the bytes left of a text from
-    which some were removed (else null)."""
-    if not 1 < span < length:
-        raise ValueError("span must lie between 1 and length")
-    key = F.unhex(F.md5(F.col(text)))
-    repeats = repeated_phrases(docs, key, F.col(text), length, span)
-    rows = docs.select(whole_row(docs, keep), key.alias("_key"), F.col(text).alias("_text"))
-    joined = rows.join(repeats, F.col("_key") == F.col("key"), "left")
-    size = F.coalesce(F.octet_length("_text"), F.lit(0)).cast("long").alias("n_bytes")
-    rows = save(joined.select(F.monotonically_increasing_id().alias("uid"), "row", "key", "phrases", size, F.when(F.col("phrases").isNotNull(), F.col("_text")).alias("text")), "rows")
-    touched = rows.filter("phrases is not null")
-    starts = repeated_windows(touched.select("uid", "key", "text"), repeats, length)
-    cut = _kept(length)("text", "phrases", "starts")
-    found = touched.join(starts, "key", "left").select("row", "n_bytes", cut.alias("cut"))
-    left = F.when(F.col("cut.n_removed") > 0, F.col("cut.kept")).alias("kept")
+    which some were removed (else null). `in_place` says that `docs` is a table just read, whose rows need no copy."""
+    if not 1 < span < length or span > _MOST_SPAN:
+        raise ValueError(f"span must lie between 1 and length, and be {_MOST_SPAN} at most")
+    names = docs.columns if keep is None else keep
+    whole = whole_row(docs, [*names, *([] if text in names else [text])])
+    rows = located(docs, [whole], in_place)
+    texts = rows.select(F.col("row").getField(text).alias("text"), "_file", "_place")
+    wholes, opened = repeated_phrases(texts, length, span)
+    starts = repeated_suffixes(texts, opened, length)
+    spans = wholes.union(starts).groupBy("_file", "_place").agg(F.collect_set(F.struct("first", (F.col("last") + length).alias("end"))).alias("spans"))
+    spans = save(spans, "spans")
+    drop(wholes, opened, starts)
+
+    size = F.coalesce(F.octet_length(F.col("row").getField(text)), F.lit(0)).cast("long").alias("n_bytes")
+    shown = F.struct(*[F.col("row").getField(c).alias(c) for c in names]).alias("row")
+    touched = at_places(rows, spans).join(spans, ["_file", "_place"])
+    cut = _kept()(F.col("row").getField(text), "spans").alias("cut")
+    found = touched.select("row", cut).select(shown, size, "cut.n_removed", "cut.n_spans", F.col("cut.kept").alias("kept"))
     zero = F.lit(0).cast("long")
-    same = rows.filter("phrases is null").select("row", "n_bytes", zero.alias("n_removed"), zero.alias("n_spans"), F.lit(None).cast("binary").alias("kept"))
-    return found.select("row", "n_bytes", "cut.n_removed", "cut.n_spans", left).union(same)
+    same = at_places(rows, spans, wanted=False).select(shown, size, zero.alias("n_removed"), zero.alias("n_spans"), F.lit(None).cast("binary").alias("kept"))
+    return found.union(same)

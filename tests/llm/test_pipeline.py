@@ -53,7 +53,7 @@ def check_stages(stages, benchmark):
             assert sorted(r.doc_id for r in now) == [was[i].doc_id for i in sorted(set(root))]
         elif name == "suffix_dedup":
             want = {}
-            for r, (_, gone, _, kept) in zip(was, plain.repeats([r.text for r in was])):
+            for r, (_, gone, _, kept) in zip(was, plain.repeats([r.text for r in was], pipeline.PASSAGE_BYTES)):
                 text = kept.decode("utf-8", "ignore") if gone else r.text
                 if text:
                     want[r.doc_id] = (text, len(text) if gone else r.n_chars)
