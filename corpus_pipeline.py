@@ -12,6 +12,8 @@ from sparkcorpus.llm import decontamination, quality_rules, simhash_dedup, suffi
 from sparkcorpus.llm.common import bound_batches, save
 from sparkcorpus.llm.queries import mixed, table
 
+PASSAGE_BYTES, PASSAGE_SPAN = 200, 160
+
 
 def drop_repetitive(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality rules: documents that fail them go."""
@@ -22,14 +24,15 @@ def drop_repetitive(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SimHash: of each group of near-duplicates the document of the smallest id stays."""
     bound_batches(spark)
-    return simhash_dedup.keep_one(docs)
+    return simhash_dedup.keep_one(docs, in_place=True)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """400-byte strings that occur twice are cut out. A character cut in half goes too, as does a document of which
+    """Strings of PASSAGE_BYTES that occur twice are cut out: of the passages of over 50 words that documents share, some
+    are shorter than 400 bytes, hardly any is shorter than 200. A character cut in half goes too, as does a document of which
     nothing is left; `n_chars`, where there is such a column, is counted anew for texts that were cut."""
     bound_batches(spark)
-    found = suffix_dedup.remove_repeats(docs)
+    found = suffix_dedup.remove_repeats(docs, length=PASSAGE_BYTES, span=PASSAGE_SPAN, in_place=True)
     whole = F.arrow_udf(lambda kept: _readable(kept), "string")("kept")
     cut = F.col("kept").isNotNull()
     text = F.when(cut, whole).otherwise(F.col("row.text"))
