@@ -18,11 +18,11 @@ _BUCKET, _SPAN = "_bucket", "_span"
 _BUCKETS_PER_SPAN = 4096
 
 
-def join_values(df: DataFrame, values: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join in which null is a key like any other; the keys of `df` stay."""
+def join_values(df: DataFrame, values: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join in which null is a key like any other; the keys of `df` stay."""
     named = values.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *[c for c in values.columns if c not in keys])
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys], F.lit(True))
-    return df.join(named, same).drop(*[f"_key_{k}" for k in keys])
+    return df.join(named, same, how).drop(*[f"_key_{k}" for k in keys])
 
 
 def bucket_offsets(df: DataFrame, bucket: Column, measures: Mapping[str, Column], by: Sequence[str] = ()) -> DataFrame:

@@ -9,7 +9,6 @@ from __future__ import annotations
 from bisect import bisect_right, insort
 from collections.abc import Iterator, Sequence
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -69,12 +68,20 @@ def _greedy(lengths: Sequence[int], capacity: int, crop: bool) -> Iterator[tuple
 def _first_fit_decreasing(lengths: Sequence[int], capacity: int) -> Iterator[tuple[int, int, int]]:
     """Longest first, each into the first open row with room; over-long documents are cut to one row."""
     order = sorted(range(len(lengths)), key=lambda i: -lengths[i])
-    free = np.full(len(lengths), capacity, dtype=np.int64)
+    leaves = 1 << max(0, len(lengths) - 1).bit_length()
+    room = [capacity] * (2 * leaves)  # a tournament: each node knows the largest room of the rows below it
     for doc in order:
         take = min(lengths[doc], capacity)
-        row = int(np.argmax(free >= take))
-        free[row] -= take
-        yield row, doc, take
+        at = 1
+        while at < leaves:
+            at *= 2
+            if room[at] < take:
+                at += 1
+        yield at - leaves, doc, take
+        room[at] -= take
+        while at > 1:
+            at //= 2
+            room[at] = max(room[2 * at], room[2 * at + 1])
 
 
 def _placements(df: DataFrame, doc: str, order: str, n_tokens: str, place, drop_open_row: bool, capacity: int) -> DataFrame:

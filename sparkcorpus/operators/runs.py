@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from sparkcorpus.functions.keys import width_bucket
 from sparkcorpus.operators.ordering import join_values, prefix_sums, running_min, with_position
+from sparkcorpus.session import cut_lineage
 
 # What a training log says and where the number stands.
 LOG_RULES = {
@@ -23,6 +24,16 @@ LOG_RULES = {
     "core_score": r"CORE metric:.*?(\S+)$",
 }
 
+# What the log of a series of sizes says of each run. The first number of the line counts all parameters.
+SERIES_RULES = {
+    "num_params": r"^(?=.*Number of parameters:)[^\d,]*([\d,]+)",
+    "num_scaling_params": r"Number of parameters:.*scaling: ([\d,]+)",
+    "num_iterations": r"Calculated number of iterations.*: ([\d,]+)",
+    "val_bpb": r"Validation bpb:.*?([\d.]+)$",
+    "core_score": r"CORE metric:.*?(\S+)$",
+}
+SERIES_BATCH_TOKENS = 524_288
+
 # Fixed value: a step line of a training log.
 STEP_LINE = r"step (\d+)/\d+ .*?\| dt: ([\d.]+)ms"
 
@@ -40,6 +51,13 @@ def extract_run_stats(lines: DataFrame, rules: Mapping[str, str] = LOG_RULES) ->
     return wide.withColumn("core_score", F.coalesce("core_score", F.lit(0.0))) if "core_score" in rules else wide
 
 
+def derive_series(stats: DataFrame, depth: Column) -> DataFrame:
+    """Runs of a series of sizes (rules `SERIES_RULES`) with their model width, tokens and tokens per scaling parameter."""
+    tokens = F.col("num_iterations") * SERIES_BATCH_TOKENS
+    ratio = F.when(F.col("num_scaling_params") > 0, F.round(tokens / F.col("num_scaling_params"), 2))
+    return stats.withColumns({"model_dim": depth * 64, "tokens_trained": tokens, "param_data_ratio": ratio})
+
+
 def parse_step_log(lines: DataFrame) -> DataFrame:
     """Every step line: path, step, seconds."""
     step = F.regexp_extract("line", STEP_LINE, 1)
@@ -313,20 +331,36 @@ def plan_horizon(runs: DataFrame, target_ratio: float, reference_params: float,
     )
 
 
+def upper_medians(values: DataFrame, by: str, value: str, bins: int = 1024, most: int = 65_536) -> DataFrame:
+    """Per group the value at place n // 2 of its n sorted values: (`by`, `median`). Exact, by refining: distinct values
+    are counted in bins of the group's own range, and the bin that holds the middle is the next range, until it has at
+    most `most` distinct values. So neither a narrow spread nor an outlier brings a group's values into one task."""
+    counts = cut_lineage(values.filter(F.col(value).isNotNull()).groupBy(F.col(by).alias("_by"), F.col(value).alias("_v")).agg(F.count("*").alias("_n")))
+    ranges = counts.groupBy("_by").agg(F.floor(F.sum("_n") / 2).alias("_middle"), F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.count("*").alias("_rows"))
+    ranges = cut_lineage(ranges.withColumn("_below", F.lit(0).cast("long")))
+    in_range = lambda: join_values(counts, ranges, ["_by"]).filter("_v between _low and _high")
+    while not ranges.filter(F.col("_rows") > most).isEmpty():
+        place = F.when(F.col("_high") > F.col("_low"), F.floor((F.col("_v") - F.col("_low")) / (F.col("_high") - F.col("_low")) * bins)).otherwise(0)
+        binned = in_range().groupBy("_by", "_middle", "_below", F.least(place, F.lit(bins - 1)).alias("_bin")).agg(
+            F.sum("_n").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"), F.count("*").alias("_rows")
+        )
+        earlier = Window.partitionBy("_by").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+        placed = binned.withColumn("_below", F.col("_below") + F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        holds = (F.col("_below") <= F.col("_middle")) & (F.col("_below") + F.col("_n") > F.col("_middle"))
+        ranges = cut_lineage(placed.filter(holds).select("_by", "_middle", "_low", "_high", "_rows", "_below"))
+    earlier = Window.partitionBy("_by").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    placed = in_range().withColumn("_below", F.col("_below") + F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    holds = (F.col("_below") <= F.col("_middle")) & (F.col("_below") + F.col("_n") > F.col("_middle"))
+    return placed.filter(holds).select(F.col("_by").alias(by), F.col("_v").alias("median"))
+
+
 def latency_report(
     steps: DataFrame, by: str, seconds: str, expected_steps: Column, bytes_per_step: Column, flops_per_step: Column,
-    peak_bandwidth: float, peak_flops: float, bin_width: float = 1.0,
+    peak_bandwidth: float, peak_flops: float,
 ) -> DataFrame:
-    """Per batch size: upper median step time, tokens/s, bandwidth and compute utilisation, early stop. The median is
-    found by counting distinct times, so nothing is sorted in one task."""
+    """Per batch size: upper median step time, tokens/s, bandwidth and compute utilisation, early stop."""
     totals = steps.groupBy(by).agg(F.count("*").alias("steps"), F.sum(seconds).alias("total_seconds"))
-    times = steps.groupBy(by, seconds).agg(F.count("*").alias("n"))
-    placed = prefix_sums(times, [seconds], F.floor(F.col(seconds) / bin_width).cast("long"), {"below": F.col("n")}, [by])
-    middle = F.floor(F.col("steps") / 2)
-    median = (
-        placed.join(totals, by).filter((F.col("below") <= middle) & (F.col("below") + F.col("n") > middle))
-        .select(by, "steps", "total_seconds", F.col(seconds).alias("tpot"))
-    )
+    median = totals.join(upper_medians(steps, by, seconds).withColumnRenamed("median", "tpot"), by)
     return median.select(
         by, "steps", "tpot",
         (F.col(by) * F.col("steps") / F.col("total_seconds")).alias("tokens_per_second"),

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sparkcorpus.functions.keys import shuffle_key
 from sparkcorpus.functions.text import utf8_prefix
 from sparkcorpus.operators.ordering import at_or_before, budget_crossing, first_n_per_group
-from sparkcorpus.session import fresh_path
+from sparkcorpus.session import fresh_path, path_exists
+
+#: Bytes of the largest file that Spark's binary reader can hold in a record.
+MOST_HASHED = 2_000_000_000
 
 
 def cap_text(df: DataFrame, cap: int, text: str = "text") -> DataFrame:
@@ -99,29 +102,50 @@ def sample_per_task(df: DataFrame, task: str, key: str, n: int, seed: int) -> Da
 
 
 def fixed_eval_subset(rows: DataFrame, split: str, row_no: str, batch_rows: int, seq_len: int, budget: int) -> DataFrame:
-    """Packed rows covered by the token budget of each split, rounded down to whole batches. Write the result once
-    and reuse it, so that every measurement sees the same rows."""
+    """Packed rows covered by the token budget of each split, rounded down to whole batches."""
     batches = budget // (batch_rows * seq_len)
     return rows.filter(F.col(row_no) < batches * batch_rows)
 
 
+def kept_eval_subset(rows: DataFrame, folder: str, split: str, row_no: str, batch_rows: int, seq_len: int, budget: int) -> DataFrame:
+    """The subset of `fixed_eval_subset`, written by the first call for a folder and these parameters and read by all
+    later ones, so that every measurement sees the same rows, whatever has become of the corpus. A folder without its
+    success marker comes from a call that was interrupted, and is written again."""
+    spark = rows.sparkSession
+    path = f"{folder.rstrip('/')}/batch_rows={batch_rows}-seq_len={seq_len}-budget={budget}"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        fixed_eval_subset(rows, split, row_no, batch_rows, seq_len, budget).write.mode("overwrite").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def inspect_dataset(raw: DataFrame, converted: DataFrame, pos: str, k: int) -> DataFrame:
     """First k raw rows beside their converted form, with the total row count."""
     head = raw.filter(F.col(pos) < k).join(converted.filter(F.col(pos) < k), pos)
     return head.withColumn("total_rows", raw.agg(F.count("*")).scalar())
 
 
-def audit_files(listing: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Hash every file of a `binaryFile` listing and compare with (path, sha256). Returns all files with a status."""
-    a = listing.select("path", F.sha2("content", 256).alias("actual"))
+def hash_files(spark: SparkSession, folder: str, glob: str = "*", most: int = MOST_HASHED) -> DataFrame:
+    """(path, n_bytes, sha256) of all files below a folder. A file is one record while it is hashed, so larger ones than
+    `most` bytes, which no record can hold, are not read and have a null hash."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(folder)
+    read = files.filter(F.col("length") <= most).select("path", F.col("length").alias("n_bytes"), F.sha2("content", 256).alias("sha256"))
+    large = files.filter(F.col("length") > most).select("path", F.col("length").alias("n_bytes"), F.lit(None).cast("string").alias("sha256"))
+    return read.union(large)
+
+
+def audit_files(hashed: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Compare hashed files (path, n_bytes, sha256) with a manifest (path, sha256). Returns all files with a status; a
+    file that was too large to be hashed is an error row, listed or not."""
+    a = hashed.select("path", F.col("sha256").alias("actual"), "n_bytes")
     m = manifest.select("path", F.col("sha256").alias("expected"))
     status = (
-        F.when(F.col("actual").isNull(), "missing")
+        F.when(F.col("n_bytes").isNull(), "missing")
+        .when(F.col("actual").isNull(), "too_large")
         .when(F.col("expected").isNull(), "unlisted")
         .when(F.col("actual") != F.col("expected"), "changed")
         .otherwise("ok")
     )
-    return a.join(m, "path", "full_outer").withColumn("status", status)
+    return a.join(m, "path", "full_outer").withColumn("status", status).drop("n_bytes")
 
 
 def latest_artifacts(listing: DataFrame, path: str = "path", modified: str = "modified") -> DataFrame:

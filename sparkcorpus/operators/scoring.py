@@ -20,18 +20,19 @@ def align_losses(df: DataFrame, ids: str, losses: str) -> DataFrame:
     )
 
 
-def score_options(losses: DataFrame, spans: DataFrame, item: Sequence[str]) -> DataFrame:
+def score_options(options: DataFrame, item: Sequence[str]) -> DataFrame:
     """Mean loss over [start-1, end-1) per option; the first option with the smallest mean is the prediction.
-    losses: item, option, pos, loss. spans: item, option, start, end, gold."""
-    keys = [*item, "option"]
-    inside = (F.col("pos") >= F.col("start") - 1) & (F.col("pos") < F.col("end") - 1)
-    means = losses.join(spans, keys).filter(inside).groupBy(*keys).agg(
-        F.avg("loss").alias("mean_loss"), F.first("gold").alias("gold")
-    )
+    options: item, option, losses ARRAY<DOUBLE> (one per position), start, end, gold. The span is taken from the array where it
+    lies, so a number per option is all that is shuffled. An option whose span holds no loss is left out."""
+    first = F.greatest(F.col("start") - 1, F.lit(0))
+    inside = F.filter(F.slice("losses", (first + 1).cast("int"), F.greatest(F.col("end") - 1 - first, F.lit(0)).cast("int")), lambda x: x.isNotNull())
+    rows = options.select(*item, "option", "gold", inside.alias("inside"))
+    total = F.aggregate("inside", F.lit(0.0), lambda acc, x: acc + x)
+    means = rows.filter(F.size("inside") > 0).select(*item, "option", "gold", (total / F.size("inside")).alias("mean_loss"))
     return means.groupBy(*item).agg(
         F.min_by("option", F.struct("mean_loss", "option")).alias("predicted"),
         F.min("mean_loss").alias("best_loss"),
-        F.first("gold").alias("gold"),
+        F.min_by("gold", "option").alias("gold"),
     ).withColumn("correct", F.col("predicted") == F.col("gold"))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from sparkcorpus.functions import bpe
 from sparkcorpus.functions.chat import SPECIAL_TOKENS
 from sparkcorpus.functions.text import byte_ids, pretokens
-from sparkcorpus.session import fresh_path
+from sparkcorpus.session import delete_path, fresh_path
 
 # A vocabulary is a driver-side lookup table; a larger one than this is refused rather than broadcast.
 MAX_VOCABULARY = 1_048_576
@@ -65,11 +65,6 @@ def with_specials(ids: Column, prepend: int | None = None, append: int | None =
     return F.concat(*parts)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
-
-
 def _map_strings(function, kind: str, column: str) -> Column:
     """A Python function of one string for each row, in Arrow batches."""
     return F.arrow_udf(lambda words: pa.array([function(w) for w in words.to_pylist()]), kind)(column)
@@ -121,10 +116,10 @@ def train_bpe(words: DataFrame, vocab_size: int, candidates: int = 2048, most_se
             size = segments.agg(F.sum(F.length("w"))).first()[0]
             if size <= most_segments or wanted == 1:
                 break
-            _delete(spark, at)
+            delete_path(spark, at)
             wanted = max(1, wanted // 2)
         merges = bpe.next_merges([(r["w"], r["n"]) for r in segments.collect()], limit, len(pieces), ordinary - len(pieces))
-        _delete(spark, at)
+        delete_path(spark, at)
         wanted = min(candidates, wanted * max(1, min(8, most_segments // max(1, size))))
         done = {}
         for pair in merges:
@@ -137,8 +132,8 @@ def train_bpe(words: DataFrame, vocab_size: int, candidates: int = 2048, most_se
             merged = table.select(_map_strings(lambda w, done=done: bpe.merge_symbols(w, done), "string", "w").alias("w"), "n")
             old = path
             table, path = written(merged.filter(F.length("w") > 1), "w string, n long")
-            _delete(spark, old)
-    _delete(spark, path)
+            delete_path(spark, old)
+    delete_path(spark, path)
     return spark.createDataFrame(
         [(i, bytearray(p), *pair) for i, (p, pair) in enumerate(zip(pieces, pairs_of))],
         "rank int, token_bytes binary, left_rank int, right_rank int",

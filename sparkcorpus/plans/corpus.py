@@ -316,7 +316,10 @@ def fixed_eval_subset(spark, sf_dir):
             docs.filter(F.col("split") == split), "doc_id", ["doc_id"], width_bucket(F.col("doc_id"), 256), "n_tokens", EVAL_LEN + 1
         ).withColumn("split", F.lit(split))
         packed = part if packed is None else packed.unionByName(part)
-    kept = sampling.fixed_eval_subset(packed, "split", "row_no", EVAL_ROWS, EVAL_LEN, EVAL_BUDGET)
+    limits = ("split", "row_no", EVAL_ROWS, EVAL_LEN, EVAL_BUDGET)
+    folder = fresh_path(spark, "eval-subset")
+    sampling.kept_eval_subset(packed, folder, *limits)
+    kept = sampling.kept_eval_subset(packed.limit(0), folder, *limits)  # a later measurement, when the corpus is gone
     return kept.groupBy("split").agg(F.countDistinct("row_no").alias("n_rows"))
 
 
@@ -340,13 +343,11 @@ def audit_files(spark, sf_dir):
     path = fresh_path(spark, "audit")
     docs = sharded(spark, sf_dir).withColumn("shard_dir", F.lpad(F.col("shard").cast("string"), 5, "0"))
     docs.repartition("shard_dir").sortWithinPartitions("shard_dir", "doc_id").select("shard_dir", "text").write.partitionBy("shard_dir").text(path)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(path)
-    listing = files.select(F.regexp_extract("path", r"shard_dir=(\d+)/", 1).alias("path"), "content")
-    hashed = listing.select("path", F.sha2("content", 256).alias("sha256"))
+    hashed = sampling.hash_files(spark, path, "*.txt").withColumn("path", F.regexp_extract("path", r"shard_dir=(\d+)/", 1))
     third = F.col("path").cast("int") % 3
-    manifest = hashed.filter(third < 2).withColumn("sha256", F.when(third == 0, F.substring("sha256", 2, 64)).otherwise(F.col("sha256")))
+    manifest = hashed.drop("n_bytes").filter(third < 2).withColumn("sha256", F.when(third == 0, F.substring("sha256", 2, 64)).otherwise(F.col("sha256")))
     gone = spark.createDataFrame([("gone", "abc")], "path string, sha256 string")
-    return sampling.audit_files(listing, manifest.unionByName(gone)).withColumnRenamed("path", "shard")
+    return sampling.audit_files(hashed, manifest.unionByName(gone)).withColumnRenamed("path", "shard")
 
 
 @query("""

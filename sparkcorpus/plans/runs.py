@@ -80,6 +80,34 @@ def extract_run_stats(spark, sf_dir):
     return runs.extract_run_stats(log_lines(spark, sf_dir))
 
 
+SERIES_LINE = """case o_orderkey % 6
+ when 0 then concat('Number of parameters: ', cast(o_orderkey as varchar(20)), ',165,824 (scaling: ', cast(o_orderkey % 97 as varchar(20)), ',824)')
+ when 1 then concat('Calculated number of iterations from target data:param ratio: 2,', cast(o_orderkey as varchar(20)))
+ when 2 then concat('Step 00100 | Validation bpb: 0.', cast(o_orderkey as varchar(20)))
+ when 3 then case when o_custkey % 12 = 5 then 'no metric' else concat('CORE metric: 0.', cast(o_orderkey as varchar(20))) end
+ when 4 then concat('d', cast(o_orderkey as varchar(20)), ' Number of parameters: 7')
+ else 'scaling: 1,000' end"""
+
+
+@query(f"""
+with lines as (select o_custkey % 12 as run, o_orderkey as line_no, {SERIES_LINE} as line from orders),
+found as (
+  select run, line_no, case when contains(line, 'Number of parameters:') then regexp_extract(line, '[0-9,]+') else '' end as params,
+         regexp_extract(line, 'Number of parameters:.*scaling: ([0-9,]+)', 1) as scaling, regexp_extract(line, 'iterations.*: ([0-9,]+)', 1) as iterations,
+         regexp_extract(line, 'Validation bpb:.*?([0-9.]+)$', 1) as bpb, regexp_extract(line, 'CORE metric:.*?(\\S+)$', 1) as core from lines),
+stats as (
+  select run, replace(arg_max(params, line_no) filter (params <> ''), ',', '')::double as num_params,
+         replace(arg_max(scaling, line_no) filter (scaling <> ''), ',', '')::double as num_scaling_params,
+         replace(arg_max(iterations, line_no) filter (iterations <> ''), ',', '')::double as num_iterations,
+         (arg_max(bpb, line_no) filter (bpb <> ''))::double as val_bpb, coalesce((arg_max(core, line_no) filter (core <> ''))::double, 0.0) as core_score from found group by 1)
+select *, run * 64 as model_dim, num_iterations * 524288 as tokens_trained, round(num_iterations * 524288 / num_scaling_params, 2) as param_data_ratio from stats""")
+def extract_series_stats(spark, sf_dir):
+    """What the logs of a series of model sizes say of each run."""
+    orders = table(spark, sf_dir, "orders")
+    lines = orders.select((F.col("o_custkey") % 12).alias("path"), F.col("o_orderkey").alias("line_no"), F.expr(SERIES_LINE).alias("line"))
+    return runs.derive_series(runs.extract_run_stats(lines, runs.SERIES_RULES), F.col("path")).withColumnRenamed("path", "run")
+
+
 @query(f"""
 with {LINES_SQL}
 select path, line_no, regexp_extract(line, '{runs.STEP_LINE}', 1)::bigint as step, regexp_extract(line, '{runs.STEP_LINE}', 2)::double / 1000 as seconds

@@ -51,6 +51,21 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/sparkcorpus/{label}-{uuid.uuid4().hex}"
 
 
+def _hadoop(spark: SparkSession, path: str):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, jvm_path = _hadoop(spark, path)
+    return files.exists(jvm_path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    files, jvm_path = _hadoop(spark, path)
+    files.delete(jvm_path, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, so that a lost executor costs no replay of an iterative plan."""
     shared_dir(df.sparkSession)

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from sparkcorpus.functions.keys import width_bucket
 from sparkcorpus.operators.ordering import prefix_sums, with_position
 from sparkcorpus.session import cut_lineage, fresh_path
 
+#: Blocks of a sharded corpus that the driver holds, at 24 bytes each.
+MOST_BLOCKS = 1_048_576
+
 
 def _plain(path: str) -> str:
     return path.replace(":///", ":/")
@@ -76,17 +80,43 @@ def project_text(df: DataFrame, column: str, keep: Sequence[str] = ()) -> DataFr
 
 
 def assign_shards(
-    df: DataFrame, pos: str, size: Column, threshold: int, block_rows: int = 1024, keep_tail: bool = False
+    df: DataFrame, pos: str, size: Column, threshold: int, block_rows: int = 1024, keep_tail: bool = False, most_blocks: int = MOST_BLOCKS
 ) -> DataFrame:
     """Number the shards of a size-bounded writer: a shard ends at the first multiple of block_rows documents that
     brings it to `threshold`. Only block totals are used. The rows after the last end form an unfinished shard and
     are left out unless keep_tail.
 
-    From every block the end of a shard that would start there follows from prefix sums; the starts really taken are
-    the chain from block 0, found by doubling jumps, so no task walks the block table."""
-    spark = df.sparkSession
+    Up to `most_blocks` blocks (a billion documents) the chain of ends is followed on the driver, by bisection in two
+    arrays, and shard numbers reach the rows by broadcast: the only shuffle of the text is the
+    writer's. Larger tables give the same numbers by doubling jumps and a join."""
     block = F.floor(F.col(pos) / block_rows).cast("long")
     blocks = df.groupBy(block.alias("block")).agg(F.sum(size).cast("long").alias("chars"), F.count("*").alias("docs"))
+    blocks = cut_lineage(blocks)
+    few = blocks.count() <= most_blocks
+    shard_of = _chained_shards(blocks, threshold, block_rows, keep_tail) if few else _jumped_shards(blocks, threshold, block_rows, keep_tail)
+    return df.withColumn("block", block).join(F.broadcast(shard_of) if few else shard_of, "block").drop("block")
+
+
+def _chained_shards(blocks: DataFrame, threshold: int, block_rows: int, keep_tail: bool) -> DataFrame:
+    rows = blocks.orderBy("block").toPandas()
+    through = rows["chars"].to_numpy(np.int64).cumsum()
+    ends = np.flatnonzero((rows["docs"].to_numpy() == block_rows) & (rows["chars"].to_numpy() > 0))
+    shard, start, shards = 0, 0, np.full(len(rows), -1, np.int32)
+    while start < len(rows):
+        before = int(through[start - 1]) if start else 0
+        at = ends.searchsorted(start) + through[ends[ends.searchsorted(start) :]].searchsorted(before + threshold)
+        end = int(ends[at]) + 1 if at < len(ends) else len(rows)
+        if at < len(ends) or keep_tail:
+            shards[start:end] = shard
+        start, shard = end, shard + 1
+    found = pd.DataFrame({"block": rows["block"], "shard": shards})[shards >= 0]
+    return blocks.sparkSession.createDataFrame(found, "block long, shard int")
+
+
+def _jumped_shards(blocks: DataFrame, threshold: int, block_rows: int, keep_tail: bool) -> DataFrame:
+    """From every block the end of a shard that would start there follows from prefix sums; the starts really taken are
+    the chain from block 0, found by doubling jumps, so no task walks the block table."""
+    spark = blocks.sparkSession
     blocks = prefix_sums(blocks, ["block"], width_bucket(F.col("block"), 4096), {"before": F.col("chars")})
     blocks = cut_lineage(blocks)
 
@@ -119,7 +149,7 @@ def assign_shards(
     shard_of = numbered.select("block", (F.col("earlier") + F.col("is_start") - 1).cast("int").alias("shard"))
     if not keep_tail:
         shard_of = shard_of.filter(F.col("block") < F.lit(reached.agg(F.max("start")).first()[0]))
-    return df.withColumn("block", block).join(shard_of, "block").drop("block")
+    return shard_of
 
 
 def shard_report(df: DataFrame, shard: str = "shard", text: str = "text") -> DataFrame:
@@ -145,17 +175,30 @@ def write_shards(df: DataFrame, path: str, shard: str, order: str, columns: Sequ
     )
 
 
+def _listing(spark: SparkSession, *folders: str) -> DataFrame:
+    """One row per file below the folders; no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(list(folders))
+    return files.select(F.col("_metadata.file_path").alias("path"))
+
+
 def write_list_manifest(spark: SparkSession, path: str, manifest: str) -> None:
-    """List the finished files of a dataset. Written last: its presence says the dataset is complete."""
-    files = spark.read.option("recursiveFileLookup", "true").parquet(path).inputFiles()
-    spark.createDataFrame([(json.dumps(sorted(files)),)], "value string").coalesce(1).write.mode("errorifexists").text(manifest)
+    """List the finished files of a dataset, one row a file. Written last: its presence says the dataset is complete."""
+    _listing(spark, path).select(F.lit(path).alias("root"), "path").write.mode("errorifexists").json(manifest)
 
 
 def read_manifested(spark: SparkSession, manifest: str, schema=None) -> DataFrame:
-    """The files listed in the manifest, concatenated. Without a manifest the dataset is incomplete: an error."""
-    lines = [r["value"] for r in spark.read.text(manifest).collect()]
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(*json.loads("".join(lines)))
+    """The rows of the files listed in the manifest. Without a manifest the dataset is incomplete, and so it is if a
+    listed file is gone: errors. Only the few folders come to the driver; files are matched with the manifest where they
+    are read, so rows of unlisted files are read and dropped."""
+    listed = spark.read.schema("root string, path string").json(manifest)
+    roots = [r["root"] for r in listed.select("root").distinct().collect()]
+    gone = listed.select("path").join(_listing(spark, *roots), "path", "left_anti").first()
+    if gone is not None:
+        raise FileNotFoundError(f"listed in {manifest}, but gone: {gone['path']}")
+    reader = spark.read.option("recursiveFileLookup", "true")
+    rows = (reader if schema is None else reader.schema(schema)).parquet(*roots)
+    wanted = listed.select(F.col("path").alias("_listed"))
+    return rows.join(wanted, rows.metadataColumn("_metadata")["file_path"] == F.col("_listed"), "left_semi")
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:

@@ -3,13 +3,13 @@ stops (availableNow), so the same job can be scheduled again and goes on from it
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from sparkcorpus.functions.keys import width_bucket
 from sparkcorpus.operators.conversations import validate_requests
+from sparkcorpus.operators.ordering import join_values, running_min, with_position
+from sparkcorpus.operators.runs import debiased_ema
+from sparkcorpus.session import cut_lineage
 
 
 def _drain(stream: DataFrame, out: str, checkpoint: str, mode: str) -> None:
@@ -48,36 +48,54 @@ def stream_shard_totals(spark: SparkSession, path: str, schema, out: str, checkp
     return _read_last(spark, out)
 
 
+_EMA_STATE = "run long, s double, n long, best double, last long"
+
+
 def stream_ema(spark: SparkSession, path: str, out: str, checkpoint: str, beta: float = 0.9) -> DataFrame:
     """Debiased EMA and running best per run over appended JSON rows (run, step, loss). State per run: smoothed value,
     step count, best, last step.
 
     All files that are there when the job runs are one batch, which each run takes in order of its steps, however they
-    lie in the files. A step equal to the one before is a duplicate. A step that arrives behind the saved one cannot be
-    smoothed any more; it goes to the side table `late_steps`, never away."""
-    rows = spark.readStream.schema("run long, step long, loss double").json(path)
+    lie in the files. Of rows that repeat a step the one of lowest loss counts; a step equal to the saved one is a
+    duplicate. A step that arrives behind the saved one cannot be smoothed any more; it goes to the side table
+    `late_steps`, never away.
+
+    A batch is smoothed by composing maps (`operators.runs.debiased_ema`), and since they are linear, the saved value
+    enters as beta**k times itself after k steps: a run may hold any share of a backlog. State is a table per batch,
+    written before the batch's rows and keyed by its number, so that a repeated batch starts from the same state."""
+    states = f"{checkpoint.rstrip('/')}-states"
+
+    def saved(batch_id: int) -> DataFrame:
+        if batch_id == 0:
+            return spark.createDataFrame([], _EMA_STATE)
+        return spark.read.schema(_EMA_STATE).parquet(f"{states}/{batch_id - 1}")
+
+    def advance(batch: DataFrame, batch_id: int) -> None:
+        before = saved(batch_id)
+        rows = batch.groupBy("run", "step").agg(F.min("loss").alias("loss"))
+        rows = cut_lineage(join_values(rows, before, ["run"], "left"))
+        fresh = rows.filter("last is null or step > last").select("run", "step", "loss")
+        start = before.select("run", F.col("s").alias("_s"), F.col("n").alias("_n"), F.col("best").alias("_best"))
+        ema = debiased_ema(fresh, "run", "step", "loss", beta)
+        order = width_bucket(F.col("step"), 65_536)
+        placed = running_min(with_position(ema, ["step"], order, "_k", ["run"]), ["step"], order, "loss", "_low", ["run"])
+        placed = join_values(placed, start, ["run"], "left").fillna(0, ["_s", "_n"])
+        k = F.col("_k") + 1
+        decay = lambda n: F.pow(F.lit(beta), n)
+        smoothed = decay(k) * F.col("_s") + F.col("ema") * (1 - decay(k))
+        shown = F.when(F.col("_n") == 0, F.col("ema")).otherwise(smoothed / (1 - decay(F.col("_n") + k)))
+        best = F.least("_low", F.coalesce("_best", "_low"))
+        done = cut_lineage(placed.select("run", "step", shown.alias("ema"), best.alias("best_so_far"), smoothed.alias("s"), (F.col("_n") + k).alias("n")))
+        now = done.groupBy("run").agg(F.max_by("s", "step").alias("s"), F.max("n").alias("n"), F.min("best_so_far").alias("best"), F.max("step").alias("last"))
+        kept = before.join(now.select(F.col("run").alias("_run")), F.col("run").eqNullSafe(F.col("_run")), "left_anti")
+        now.select("run", "s", "n", "best", "last").union(kept).write.mode("overwrite").parquet(f"{states}/{batch_id}")
+        late = rows.filter("step < last").select("run", "step", F.col("loss").alias("ema"), F.col("loss").alias("best_so_far"), F.lit(True).alias("late"))
+        found = done.select("run", "step", "ema", "best_so_far", F.lit(False).alias("late")).union(late)
+        found.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    def advance(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        smoothed, n, best, last = state.get if state.exists else (0.0, 0, float("inf"), -1)
-        pending = pd.concat(list(frames)).sort_values(["step", "loss"])
-        saved, emitted = last, []
-        for step, loss in zip(pending["step"], pending["loss"]):
-            if step == last:
-                continue
-            if step < saved:
-                emitted.append((key[0], step, loss, loss, True))
-                continue
-            smoothed, n, last = beta * smoothed + (1 - beta) * loss, n + 1, step
-            best = min(best, loss)
-            emitted.append((key[0], step, smoothed / (1 - beta**n), best, False))
-        state.update((float(smoothed), int(n), float(best), int(last)))
-        yield pd.DataFrame(emitted, columns=["run", "step", "ema", "best_so_far", "late"])
-
-    smoothed = rows.groupBy("run").applyInPandasWithState(
-        advance, "run long, step long, ema double, best_so_far double, late boolean", "s double, n long, best double, last long",
-        "append", GroupStateTimeout.NoTimeout,
-    )
-    _drain(smoothed, out, checkpoint, "append")
+    rows = spark.readStream.schema("run long, step long, loss double").json(path)
+    query = rows.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(advance).start()
+    query.awaitTermination()
     return _read_all(spark, out).filter("not late").drop("late")
 
 

@@ -63,13 +63,13 @@ def test_cropping(spark):
 
 
 def test_option_scores_take_the_first_minimum(spark):
-    losses = spark.createDataFrame(
-        [(0, o, p, v) for o, vs in enumerate([[9.0, 2.0, 2.0], [9.0, 1.0, 1.0], [0.0, 1.0, 1.0]]) for p, v in enumerate(vs)],
-        "idx long, option int, pos int, loss double",
-    )
-    spans = spark.createDataFrame([(0, o, 2, 4, 1) for o in range(3)], "idx long, option int, start int, end int, gold int")
-    row = scoring.score_options(losses, spans, ["idx"]).first()
-    assert (row.predicted, row.best_loss, row.correct) == (1, 1.0, True)
+    rows = [(0, o, ls, 2, 4, 1) for o, ls in enumerate([[9.0, 2.0, 2.0], [9.0, 1.0, 1.0], [0.0, 1.0, 1.0]])]
+    rows += [(1, 0, [1.0, 5.0], 1, 3, 0), (1, 1, [None, 4.0], 1, 3, 0), (1, 2, [0.0], 1, 1, 0), (2, 0, [], 1, 3, 0)]
+    options = spark.createDataFrame(rows, "idx long, option int, losses array<double>, start int, end int, gold int")
+    scored = scoring.score_options(options, ["idx"])
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "partial_min" in plan[plan.index("Exchange") :]  # a number per option moves, no token
+    assert {r.idx: (r.predicted, r.best_loss, r.correct) for r in scored.collect()} == {0: (1, 1.0, True), 1: (0, 3.0, True)}
 
 
 def test_alignment(spark):

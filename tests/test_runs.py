@@ -131,10 +131,19 @@ def test_horizon(spark):
         assert row.weight_decay == pytest.approx(0.2 * math.sqrt(batch / 2**19) * d_ref / tokens)
 
 
+def test_medians_refine_ranges(spark):
+    rng = random.Random(9)
+    rows = [(1, 0.021 + rng.random() * 1e-4) for _ in range(3000)] + [(1, 5000.0), (2, 7.0), (2, None), (3, 1.0), (3, 2.0)] + [(4, -rng.random()) for _ in range(2001)]
+    rows += [(5, 0.5)] * 1000 + [(5, rng.random()) for _ in range(999)]
+    out = {r.b: r["median"] for r in runs.upper_medians(spark.createDataFrame(rows, "b long, s double"), "b", "s", bins=8, most=5).collect()}
+    groups = {b: sorted(s for k, s in rows if k == b and s is not None) for b in range(1, 6)}
+    assert out == {b: v[len(v) // 2] for b, v in groups.items()}
+
+
 def test_latency_takes_the_upper_median(spark):
     rng = random.Random(8)
     rows = [(b, round(rng.random() * 3, 2)) for b in (1, 2) for _ in range(50 + b)]
-    out = {r.b: r for r in runs.latency_report(spark.createDataFrame(rows, "b long, s double"), "b", "s", F.lit(51), F.lit(1.0), F.lit(1.0), 1.0, 1.0, 0.25).collect()}
+    out = {r.b: r for r in runs.latency_report(spark.createDataFrame(rows, "b long, s double"), "b", "s", F.lit(51), F.lit(1.0), F.lit(1.0), 1.0, 1.0).collect()}
     for b in (1, 2):
         times = sorted(s for k, s in rows if k == b)
         assert out[b].tpot == times[len(times) // 2] and out[b].tokens_per_second == pytest.approx(b * len(times) / sum(times))

@@ -1,10 +1,12 @@
 import glob
+import hashlib
 import random
 
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from sparkcorpus.operators import sampling
 from sparkcorpus.session import fresh_path
 from sparkcorpus.sources import corpus, reports
 from sparkcorpus.streaming import streams
@@ -47,6 +49,9 @@ def test_size_bounded_shards_equal_the_plain_loop(spark, seed):
     assert got == want
     tail = {r.pos: r.shard for r in corpus.assign_shards(df, "pos", F.col("n"), threshold, block, keep_tail=True).collect()}
     assert tail == want | {d: len(set(want.values())) for d in current}
+    for keep in (False, True):  # the way of tables with more blocks than the driver holds
+        jumped = corpus.assign_shards(df, "pos", F.col("n"), threshold, block, keep_tail=keep, most_blocks=0)
+        assert {r.pos: r.shard for r in jumped.collect()} == (tail if keep else want)
 
 
 def test_resume_follows_the_plain_loop(spark):
@@ -70,7 +75,34 @@ def test_manifest_must_exist(spark):
         corpus.read_manifested(spark, manifest)
     corpus.write_list_manifest(spark, path, manifest)
     docs(spark, 5).write.mode("append").parquet(path)  # files outside the manifest are not read
-    assert corpus.read_manifested(spark, manifest).count() == 20
+    found = corpus.read_manifested(spark, manifest)
+    assert found.count() == 20 and found.columns == docs(spark, 1).columns
+    listed = spark.read.json(manifest)
+    gone = fresh_path(spark, "t-manifest")
+    listed.union(listed.limit(1).withColumn("path", F.concat("path", F.lit(".gone")))).write.json(gone)
+    with pytest.raises(FileNotFoundError):
+        corpus.read_manifested(spark, gone)
+
+
+def test_files_too_large_for_a_record_are_error_rows(spark, tmp_path):
+    (tmp_path / "a.bin").write_bytes(b"abc")
+    (tmp_path / "b.bin").write_bytes(b"abcd")
+    with open(tmp_path / "large.bin", "wb") as file:
+        file.truncate(3_000_000_000)  # sparse: takes no room
+    hashed = sampling.hash_files(spark, str(tmp_path))
+    named = hashed.withColumn("path", F.regexp_extract("path", "([^/]+)$", 1))
+    manifest = spark.createDataFrame([("a.bin", hashlib.sha256(b"abc").hexdigest()), ("b.bin", "0"), ("large.bin", "1"), ("c.bin", "2")], "path string, sha256 string")
+    found = {r.path: r.status for r in sampling.audit_files(named, manifest).collect()}
+    assert found == {"a.bin": "ok", "b.bin": "changed", "large.bin": "too_large", "c.bin": "missing"}
+
+
+def test_evaluation_rows_stay_the_same(spark):
+    folder = fresh_path(spark, "t-eval")
+    rows = lambda n: spark.createDataFrame([(s, i, f"{n}") for s in ("train", "val") for i in range(50)], "split string, row_no int, text string")
+    first = sampling.kept_eval_subset(rows(1), folder, "split", "row_no", 4, 10, 130)
+    again = sampling.kept_eval_subset(rows(2), folder, "split", "row_no", 4, 10, 130)
+    assert first.count() == again.count() == 24 and {r.text for r in again.collect()} == {"1"}
+    assert {r.text for r in sampling.kept_eval_subset(rows(2), folder, "split", "row_no", 4, 10, 80).collect()} == {"2"}
 
 
 def test_log_lines_over_several_blocks(spark):
@@ -130,6 +162,21 @@ def test_stream_keeps_late_steps(spark):
     assert [tuple(r) for r in streams.late_steps(spark, out).collect()] == [(1, 2, 9.0, "behind_saved_step")]
 
 
+def test_stream_ema_of_many_batches_equals_the_plain_loop(spark):
+    path, out, state = fresh_path(spark, "t-metrics"), fresh_path(spark, "t-ema"), fresh_path(spark, "t-state")
+    rng, want, s, n, best = random.Random(6), {}, {}, {}, {}
+    for batch in range(3):
+        rows = [(run, 1000 * batch + i, rng.uniform(1, 5)) for run in (1, 2, 3) if (run + batch) % 3 for i in range(700 if run == 1 else 5)]
+        for run, step, loss in rows:
+            s[run], n[run], best[run] = 0.9 * s.get(run, 0.0) + 0.1 * loss, n.get(run, 0) + 1, min(best.get(run, 99.0), loss)
+            want[run, step] = (s[run] / (1 - 0.9 ** n[run]), best[run])
+        rng.shuffle(rows)
+        spark.createDataFrame(rows, "run long, step long, loss double").repartition(3).write.mode("append").json(path)
+        found = {(r.run, r.step): (r.ema, r.best_so_far) for r in streams.stream_ema(spark, path, out, state).collect()}
+    assert set(found) == set(want)
+    assert all(found[k] == (pytest.approx(ema, rel=1e-9), low) for k, (ema, low) in want.items())
+
+
 def test_stream_drops_repeated_steps_and_resumes(spark):
     path, out, state = fresh_path(spark, "t-metrics"), fresh_path(spark, "t-ema"), fresh_path(spark, "t-state")
     write = lambda rows: spark.createDataFrame(rows, "run long, step long, loss double").coalesce(1).write.mode("append").json(path)
