@@ -40,7 +40,7 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _RAW = frozenset("script style textarea title noscript iframe template svg math xmp noembed noframes object select".split())
 _CONTAINERS = frozenset("body article main section div td center blockquote".split())
 _NEVER_NOISE = frozenset("html body article main".split())
-_NOISE_TAGS = frozenset("head nav aside footer form menu dialog button fieldset".split())
+_NOISE_TAGS = frozenset("head nav aside footer menu dialog button fieldset".split())
 _NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 _NOISE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner banners cookie "
@@ -49,6 +49,9 @@ _NOISE_WORDS = frozenset(
     "commentlist disqus respond replies share sharing social related recommended recommendations popup modal overlay "
     "pager pagination widget widgets login search skip".split()
 )
+#: Names that also head parts of an article ("related-work"): noise only alone or beside a word for a list of links.
+_DOUBTFUL = frozenset("related social search share sharing notice notices banner skip".split())
+_LISTS = frozenset("post posts article articles story stories link links list item items box bar block icon icons button buttons media form".split())
 _LAYOUT_WORDS = frozenset("with has no without wrapper container layout content".split())
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
@@ -73,7 +76,9 @@ def _is_noise(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
         return True
     for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
         parts = [p for p in _PARTS.split(_DIGITS.sub("", name)) if p]
-        if parts and not _LAYOUT_WORDS.intersection(parts) and (parts[0] in _NOISE_WORDS or parts[-1] in _NOISE_WORDS):
+        if not parts or _LAYOUT_WORDS.intersection(parts) or not (parts[0] in _NOISE_WORDS or parts[-1] in _NOISE_WORDS):
+            continue
+        if not in_article or not _DOUBTFUL.intersection(parts) or all(p in _NOISE_WORDS | _LISTS for p in parts):
             return True
     return False
 
@@ -85,18 +90,28 @@ class Page:
         self.paths: list[str] = ["body"]
         self.tags: list[str] = ["body"]
         self.blocks: list[tuple[str, int, bool, tuple[int, ...]]] = []
+        self._in_form: list[bool] = []
         self._stack: list[tuple[str, int, bool, str]] = []  # tag, container or -1, noise, generalised path
         self._open: list[int] = [0]
         self._noise = 0
         self._links = 0
+        self._forms = 0
         self._words: list[str] = []
         self._linked = 0
         self._parse(html)
+        self._drop_forms()
+
+    def _drop_forms(self) -> None:
+        """Forms go, unless they hold most of the page's text: then the page was put into one."""
+        own = [sum(b[1] for b, inside in zip(self.blocks, self._in_form) if inside == form) for form in (False, True)]
+        if own[1] <= own[0]:
+            self.blocks = [b for b, inside in zip(self.blocks, self._in_form) if not inside]
 
     def _flush(self, heading: bool = False) -> None:
         text = " ".join("".join(self._words).split())
         if text:
             self.blocks.append((text, max(0, len(text) - self._linked), heading, tuple(self._open)))
+            self._in_form.append(self._forms > 0)
         self._words, self._linked = [], 0
 
     def _pop(self) -> None:
@@ -105,6 +120,7 @@ class Page:
             self._open.pop()
         self._noise -= noise
         self._links -= tag == "a"
+        self._forms -= tag == "form"
 
     def _close(self, tags: set[str], within: frozenset[str]) -> None:
         """Close the nearest open element of these tags, unless an element of `within` lies between."""
@@ -141,6 +157,7 @@ class Page:
             self._open.append(container)
         self._noise += noise
         self._links += tag == "a"
+        self._forms += tag == "form"
         self._stack.append((tag, container, noise, path))
 
     def _end(self, tag: str) -> None:
@@ -149,7 +166,7 @@ class Page:
             return
         self._flush(tag == "h1")
         if tag not in ("body", "html"):
-            self._close({tag}, frozenset() if tag in _CONTAINERS | _NOISE_TAGS else _CONTAINERS | _NOISE_TAGS)
+            self._close({tag}, frozenset() if tag in _CONTAINERS | _NOISE_TAGS | {"form"} else _CONTAINERS | _NOISE_TAGS | {"form"})
 
     def _text(self, raw: str) -> None:
         if raw and not self._noise:
@@ -201,8 +218,8 @@ class Page:
         return self.paths[enough[-1]]
 
     def text(self, winners: list[str]) -> str:
-        """All blocks under the first winning path that the page has, else under its own choice."""
-        known = set(self.paths)
+        """All blocks under the first winning path under which the page has text of its own, else under its own choice."""
+        known = {self.paths[c] for _, own, _, containers in self.blocks if own for c in containers}
         path = next((p for p in winners if p in known), None) or self.vote()
         chosen = {i for i, p in enumerate(self.paths) if p == path}
         return " ".join(text for text, _, _, containers in self.blocks if not chosen.isdisjoint(containers))

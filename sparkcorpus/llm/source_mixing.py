@@ -72,14 +72,14 @@ def mix(
     order = [F.col("_key"), F.col(_ID).asc_nulls_last(), F.col(_HASH)]
     placed = sums_before(units, _SOURCE, order, "size", "before").join(wanted, F.col(_SOURCE).eqNullSafe(F.col("_wanted")))
     taken = placed.filter(F.col("before") + F.col("size") / 2 <= F.col("rest")).filter("size > 0")
-    place = F.struct("_key", F.coalesce(_ID, F.lit(2**63 - 1)).alias(_ID), _HASH)
+    place = F.struct("_key", F.col(_ID).isNull().alias("none"), _ID, _HASH)
     last = taken.groupBy(F.col(_SOURCE).alias("_wanted")).agg(F.max(place).alias("_last"))
     plan = targets.join(last, F.col(_SOURCE).eqNullSafe(F.col("_wanted")), "left")
     plan = save(plan.select(F.col(_SOURCE).alias("_of"), "source_size", "target", "epochs", "_last"), "mix-plan")
 
-    here = F.struct(key.alias("_key"), F.coalesce(F.col(doc_id), F.lit(2**63 - 1)).alias(_ID), F.xxhash64(F.col(text)).alias(_HASH))
+    here = F.struct(key.alias("_key"), F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias(_ID), F.xxhash64(F.col(text)).alias(_HASH))
     rows = docs.select(whole_row(docs, keep), size.cast("long").alias("size"), here.alias("_here"), F.col(source).alias(_SOURCE))
     joined = rows.join(plan, F.col(_SOURCE).eqNullSafe(F.col("_of")))
-    extra = F.coalesce((F.col("_here") <= F.col("_last")).cast("long"), F.lit(0))
+    extra = (F.col("_last").isNotNull() & (F.col("_here") <= F.col("_last"))).cast("long")
     copies = F.when(F.col("size") > 0, F.col("epochs") + extra).otherwise(0)
     return joined.select("row", "size", "source_size", "target", copies.alias("copies"))

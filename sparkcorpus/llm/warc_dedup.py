@@ -56,7 +56,7 @@ def write_warc(pages: DataFrame, path: str, page_id: str = "page_id", url: str =
     content = F.coalesce(F.col(payload), F.lit(""))
     target = F.regexp_replace(F.regexp_replace(F.col(url), "\r", "%0D"), "\n", "%0A")
     records = pages.select(
-        F.col(page_id).cast("long").alias("id"), target.alias("url"), content.alias("payload"),
+        F.col(page_id).alias("id"), target.alias("url"), content.alias("payload"),
         F.sha1(content).alias("digest"), F.octet_length(content).cast("long").alias("payload_bytes"),
     )
     records = resolve_revisits(records, least_bytes)
@@ -110,14 +110,14 @@ def payload_of(block: Column) -> Column:
     return F.substring(text, F.instr(text, _BREAK * 2) + 4, F.length(text))
 
 
-def index(records: DataFrame) -> DataFrame:
-    """A slim row per record read: ids, type, digest, and for responses length and digest of the payload as read."""
+def index(records: DataFrame, id_type: str = "bigint") -> DataFrame:
+    """A slim row per record read: ids (page ids of the given type), type, digest, and for responses length and digest of the payload as read."""
     h = F.col("headers")
     response = h["WARC-Type"] == "response"
     payload = payload_of(F.col("block"))
     return records.select(
         h["WARC-Record-ID"].alias("record"), h["WARC-Refers-To"].alias("refers_to_record"), h["WARC-Type"].alias("record_type"),
-        h["X-Page-ID"].cast("long").alias("page_id"), F.substring_index(h["WARC-Payload-Digest"], ":", -1).alias("declared"),
+        h["X-Page-ID"].cast(id_type).alias("page_id"), F.substring_index(h["WARC-Payload-Digest"], ":", -1).alias("declared"),
         F.when(response, F.octet_length(payload).cast("long")).alias("payload_bytes"), F.when(response, F.sha1(payload)).alias("read_digest"), "whole",
     )
 
@@ -127,7 +127,8 @@ def archive_pages(pages: DataFrame, path: str, **columns) -> DataFrame:
     and `payload_digest` of the full payload, `record_type`, `refers_to`, and `intact` (is the payload read what the
     header declares?)."""
     archive = write_warc(pages, path, **columns)
-    rows = save(index(read_warc(pages.sparkSession, path, archive)), "warc-index")
+    id_type = dict(pages.dtypes)[columns.get("page_id", "page_id")]
+    rows = save(index(read_warc(pages.sparkSession, path, archive), id_type), "warc-index")
     asked = rows.filter("record_type = 'revisit'").select(F.col("refers_to_record").alias("record")).distinct()
     originals = rows.filter("record_type = 'response'").join(save(asked, "asked"), "record", "left_semi")
     originals = originals.groupBy(F.col("record").alias("original")).agg(

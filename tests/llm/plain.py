@@ -38,6 +38,13 @@ def repetition(text):
     return n, chars, symbols, len(lines) - len(set(lines)), repeated, failed, shares, dup
 
 
+def kept(text):
+    """The verdict on a text, by the published shares of characters in duplicated n-grams and in repeated lines."""
+    *_, failed, shares, dup = found = repetition(text)
+    most = {5: 15, 6: 14, 7: 13, 8: 12, 9: 11, 10: 10}
+    return not failed and 100 * dup <= 20 * found[1] and all(100 * c <= most[k] * found[1] for k, c in shares.items())
+
+
 def contamination(text, items, window=10):
     """n_words, n_hit, n_items, digest of the items' names. items: (id, text) pairs."""
     pattern = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"

@@ -37,6 +37,21 @@ def test_articles_and_odd_pages():
     assert text_of(deep) == P.strip()
 
 
+def test_forms_and_doubtful_names():
+    assert text_of(f"<body><form id=aspnet><nav>n</nav><div><p>{P}</p><p>two</p></div></form></body>") == f"{P}two"
+    assert text_of(f"<body><div><p>{P}</p><form><label>Mail</label></form></div></body>") == P.strip()
+    body = f"<article><p>{P}</p><div class='related-work'>earlier work</div><div id=social-history>history</div><div class='related-posts'>links</div><div class=share>s</div></article>"
+    assert text_of(f"<body>{body}</body>") == f"{P}earlier work history"
+
+
+def test_empty_winner_does_not_hide_the_article(spark):
+    full, empty = (f"<body><div class=lead>{lead}</div><div class=text>{body}</div></body>" for lead, body in ((P * 6, "x"), ("", P * 2)))
+    rows = [(i, "https://a.org/", full) for i in range(5)] + [(9, "https://a.org/9", empty)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.row.page_id: r.text for r in ex.extract(pages).collect()}
+    assert got == {i: (P * 6).strip() for i in range(5)} | {9: (P * 2).strip()}
+
+
 def test_consensus_of_host(spark):
     usual = "<body><div class='story9'>%s</div><div class=box>%s</div></body>"
     short = usual % ("short", "boxed " * 40)

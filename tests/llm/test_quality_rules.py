@@ -5,6 +5,7 @@ import random
 import pytest
 
 from sparkcorpus.llm import quality_rules as rules
+from sparkcorpus.llm.queries import op4_quality_rules
 from tests.llm import plain
 
 ODD = [
@@ -29,7 +30,18 @@ def test_measure_equals_plain(texts):
         if repeats or not any(ngrams):
             assert ngrams == list(want[6].values()), text
         assert dup_chars == want[7]
-        assert not (failed and kept)
+        assert kept == plain.kept(text)
+
+
+def test_query(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    got = {r.doc_id: r for r in op4_quality_rules(spark, sf).collect()}
+    for d in docs:
+        r, want = got[d.doc_id], plain.repetition(d.text)
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed, r.kept) == (*want[:6], plain.kept(d.text))
+    verdicts = [(r.base_failed, r.kept) for r in got.values()]
+    assert verdicts.count((False, False)) and verdicts.count((False, True)) > 0.85 * len(docs)  # the shares decide on some
 
 
 def test_operator_keeps_columns_and_rows(spark):

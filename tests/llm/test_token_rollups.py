@@ -47,6 +47,9 @@ def test_batches(spark):
             assert shown(rollup) == expected(state)
             assert not rollup.commit(f"b{number}", changes)
             assert shown(rollup) == expected(state)
+        rollup.compact()
+        assert shown(rollup) == expected(state)
+        assert {(r.doc_id and int(r.doc_id), r.version): (r.n_tokens, r.source, r.lang) for r in rollup.current().collect()} == {k: (n or 0, s, l) for k, (n, s, l) in state.items()}
         live = rollup.ledger().groupBy("doc_id", "version").agg(F.sum("sign").alias("n"))
         assert {r.n for r in live.collect()} <= {0, 1}
 
@@ -54,10 +57,24 @@ def test_batches(spark):
 def test_broken_off_batch_is_written_anew(spark):
     rollup = TokenRollup(spark, fresh_path(spark, "rollup"))
     one = spark.createDataFrame([(1, "v", "insert", 3, "a", "en", 0, "")], CHANGES)
-    one.select(F.lit("b").alias("batch"), "doc_id", "version", "source", "lang", "n_tokens", F.lit(1).cast("long").alias("sign")).write.parquet(f"{rollup.folder}/ledger/b")
+    counts = one.select(F.col("doc_id").cast("string"), "version", "source", "lang", "n_tokens")
+    counts.select(F.lit("b").alias("batch"), "*", F.lit(1).cast("long").alias("sign")).write.parquet(f"{rollup.folder}/ledger/b")
+    counts.withColumn("bucket", F.lit(3)).write.partitionBy("bucket").parquet(f"{rollup.folder}/current/no=1")
     assert shown(rollup) == {} and rollup.ledger().count() == 0
     assert rollup.commit("b", one)
     assert shown(TokenRollup(spark, rollup.folder)) == {("a", "en", "v"): (1, 3)}
     tie = spark.createDataFrame([(1, "v", "revise", 8, "a", "en", 0, "")] * 2 + [(1, "v", "revise", 9, "b", "en", 0, "")], CHANGES)
     assert rollup.commit("c", tie)
     assert shown(rollup) == {("b", "en", "v"): (1, 9)}
+
+
+def test_a_batch_touches_its_buckets_alone(spark):
+    rollup = TokenRollup(spark, fresh_path(spark, "rollup"))
+    many = spark.range(5000).select(F.concat(F.lit("doc-"), F.col("id").cast("string")).alias("doc_id"), F.lit("v").alias("version"), F.lit("insert").alias("op"),
+                                    F.lit(2).cast("long").alias("n_tokens"), F.lit("a").alias("source"), F.lit("en").alias("lang"), F.lit(0).alias("seq"))
+    assert rollup.commit("all", many)
+    assert rollup.commit("few", many.limit(3).withColumn("n_tokens", F.lit(7).cast("long")))
+    touched = {r.batch: len(r.buckets) for r in rollup.commits().collect()}
+    assert touched["all"] == 256 and touched["few"] <= 3
+    assert shown(rollup) == {("a", "en", "v"): (5000, 10015)}
+    assert spark.read.parquet(f"{rollup.folder}/current/no=2").count() < 200
