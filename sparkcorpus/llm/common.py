@@ -54,8 +54,13 @@ def _with_places(df: DataFrame, columns: list[Column]) -> DataFrame:
 
 
 def at_places(rows: DataFrame, places: DataFrame, wanted: bool = True) -> DataFrame:
-    """The located rows whose (`_file`, `_place`) is (or is not) among `places`. Those are packed into bitmaps, a bit a
-    row, so the rows themselves stay where they are: bitmaps of up to 64 MB (for some 500 million rows) are broadcast.
+    """The located rows whose (`_file`, `_place`) is (or is not) among `places`, which leaves the rows where they are."""
+    return flag_places(rows, places, "_hit").filter("_hit" if wanted else "not _hit").drop("_hit")
+
+
+def flag_places(rows: DataFrame, places: DataFrame, name: str) -> DataFrame:
+    """Located rows with a flag: is their (`_file`, `_place`) among `places`? Those are packed into bitmaps, a bit a row,
+    so the rows themselves stay where they are: bitmaps of up to 64 MB (for some 500 million rows) are broadcast.
     Beyond that the join is left to Catalyst."""
     bucket, bit = F.floor(F.col("_place") / _BITS), F.col("_place") % _BITS
     maps = places.groupBy(F.col("_file").alias("_f"), bucket.alias("_b")).agg(F.bitmap_construct_agg(bit).alias("_bits"))
@@ -66,8 +71,7 @@ def at_places(rows: DataFrame, places: DataFrame, wanted: bool = True) -> DataFr
     byte = F.conv(F.hex(F.substr("_bits", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
     found = F.coalesce(byte, F.lit(0))
     mask = F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (bit % 8 + 1).cast("int"))
-    hit = found.bitwiseAND(mask) != 0
-    return joined.filter(hit if wanted else ~hit).drop("_f", "_b", "_bits")
+    return joined.withColumn(name, found.bitwiseAND(mask) != 0).drop("_f", "_b", "_bits")
 
 
 def bound_batches(spark: SparkSession) -> None:

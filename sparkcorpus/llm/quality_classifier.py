@@ -1,41 +1,54 @@
 """Quality classifier by co-training two views of a document.
 
-The text view sees which words and word beginnings a document has, once or more often, the metadata view its source, language, size and
-layout, no words. Each starts from labelled documents. In every round each view labels the unlabelled pool where it is confident and hands
-those labels to the other view. At the end both views are calibrated on labelled documents that neither has seen, a
-logistic combination of the two is fitted there, and it scores all documents.
-
-Only fitting is bounded: at most `LABELLED` labelled and `POOL` unlabelled documents, those of the lowest hash of their
-id, come to the driver as word lists. Scoring covers every document, whole texts, in one pass without a shuffle; what it
-sends to the executors is at most `WORDS` words or word beginnings and some hundred numbers for each label.
-
-Nulls: a null text has no words, null source and language are values of their own, null labels are no labels. Documents
-whose id repeats in the labels count with each label. Where labels of only one class, or none, are there, the scores are
-the share of that class (0.5 if there are no labels). Other columns pass through; an empty table gives an empty one.
+The text view sees which words and word beginnings a document has, once or more often, the metadata view its source,
+language, size and layout, no words. Each starts from labelled documents. In every round each view labels all unlabelled
+documents where it is confident and hands those labels to the other view. At the end both views are calibrated on
+labelled documents that neither has learnt from, a logistic combination of the two is fitted there, and it scores all
+documents.
+
+One pass reads the texts and writes what the views need of each document, a list of its words above all. Each round is
+one pass over that table: Spark scores every document with the models at hand, and sums, over all labelled and
+confidently labelled documents, the counts of traits by class for the text view and gradient and (a bound of) the
+Hessian of the metadata view. Confidence is that of the view as calibrated on held-out documents. Those sums reach the driver, of a size that is fixed by `SPACE`; so do, once, the views of at most
+`LABELLED` labelled rows (those of the lowest hash), on which the weights of the traits are refined and the views
+calibrated. No unlabelled document reaches the driver. A trait is a number below `SPACE`, by a hash of the word or of
+its beginning, or that number again for a trait that occurs twice or more. The text view uses the `WORDS` traits that
+tell most: on the given tables some hundred do all the work. A trait that the labelled rows do not have keeps the
+weight that its counts give.
+
+Nothing but slim rows moves to find the labels: bitmaps of places tell each document's labels where it lies.
+
+Nulls: a null text has no words, null source and language are values of their own, null labels are no labels. Of the
+labels of an id the larger counts; documents that repeat an id have its labels each. A very long text is one row. Where
+labels of only one class, or none, are there, the scores are the share of that class (0.5 if there are no labels). Other
+columns pass through; an empty table gives an empty one.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
-from array import array
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sparkcorpus.llm.common import as_bytes, map_batches
+from sparkcorpus.llm.common import as_bytes, flag_places, located, map_batches, save
 from sparkcorpus.llm.decontamination import FOLD
 
-LABELLED, POOL, WORDS = 6000, 3000, 512
+LABELLED, WORDS, SPACE = 6000, 1024, 1 << 18
 #: Word beginnings of these lengths count besides whole words.
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
 ROUNDS, CONFIDENT, MIN_DOCUMENTS = 3, 0.98, 4
 _HELD_OUT = 4
-_HASHED = 64
+_HASHED, _PLAIN = 64, 11
+_SIZE = _PLAIN + 2 * _HASHED
+_ROWS = 256
+#: A word has up to seven traits that say the same: each takes a share of what the counts say.
+_SHARE = 1 / (1 + len(BEGINNINGS))
 _SIGNS = re.compile(rb"[#*$%&|<>!?=+_~^-]{2,4}")
 _UPPER, _DIGIT, _SIGN = (bytes(range(a, b)) for a, b in ((65, 91), (48, 58), (33, 48)))
 
@@ -47,210 +60,323 @@ def words(text: bytes) -> Counter[str]:
     return found
 
 
-def traits(word: str) -> list[str]:
-    """What a word says: itself and its beginnings."""
-    return ["=" + word, *(word[:k] for k in BEGINNINGS if len(word) >= k)]
-
-
-def said_twice(trait: str) -> str:
-    """The name of a trait that two words or more of a document have."""
-    return "\0" + trait
-
-
-class Sample:
-    """Which trait occurs in which document, and which occurs there twice or more; each pair once. Traits of fewer than
-    `MIN_DOCUMENTS` documents are left out, since nothing is learnt from them."""
-
-    def __init__(self, docs: Iterable[dict[str, int]]):
-        vocabulary: dict[str, int] = {}
-        words, times, lengths = array("i"), array("i"), []
-        for found in docs:  # one at a time: the word lists are never held together
-            words.extend([vocabulary.setdefault(w, len(vocabulary)) for w in found])
-            times.extend(found.values())
-            lengths.append(len(found))
-        words, times = np.array(words, np.int32), np.array(times, np.int32)
-        of_doc = np.repeat(np.arange(len(lengths), dtype=np.int64), lengths) << 32
-        self.n, self.names, pairs = len(lengths), [], []
-        for k in (None, *BEGINNINGS):
-            numbers: dict[str, int] = {}
-            cut = lambda w, k=k: "=" + w if k is None else w[:k] if len(w) >= k else None
-            number = np.array([-1 if (c := cut(w)) is None else numbers.setdefault(c, len(numbers)) for w in vocabulary], np.int64)
-            trait = number[words] if len(words) else words.astype(np.int64)
-            has = trait >= 0
-            pair, place = np.unique(of_doc[has] | trait[has], return_inverse=True)
-            twice = pair[np.bincount(place, times[has], len(pair)) >= 2]
-            named = np.array(list(numbers), object)
-            for kept, name in ((pair, str), (twice, said_twice)):
-                of_trait = kept & 0xFFFFFFFF
-                common = np.bincount(of_trait, minlength=len(numbers)) >= MIN_DOCUMENTS
-                renumbered = np.cumsum(common) - 1 + len(self.names)
-                used = common[of_trait]
-                pairs.append((kept[used] >> 32 << 32) | renumbered[of_trait[used]])
-                self.names += [name(x) for x in named[common]]
-        pairs = np.concatenate(pairs)
-        self.rows, self.columns = (pairs >> 32).astype(np.int32), (pairs & 0xFFFFFFFF).astype(np.int32)
-
-
-def layout(text: bytes, source: str | None, lang: str | None) -> np.ndarray:
-    """The metadata view: size and layout of a text, and hashed source and language."""
+def traits(word: str) -> list[int]:
+    """What a word says: itself and its beginnings, as numbers."""
+    names = ["=" + word, *(word[:k] for k in BEGINNINGS if len(word) >= k)]
+    return [zlib.crc32(x.encode()) & (SPACE - 1) for x in names]
+
+
+def _matrix(word_lists: pa.Array, times: pa.Array, known: dict[str, list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (row, trait), each once, of lists of words and of how often they occur. `known` keeps the traits of words."""
+    flat = word_lists.flatten().dictionary_encode()
+    table = np.full((len(flat.dictionary), 1 + len(BEGINNINGS)), -1, np.int64)
+    if len(known) > 500_000:
+        known.clear()
+    for i, word in enumerate(flat.dictionary.to_pylist()):
+        if (found := known.get(word)) is None:
+            known[word] = found = traits(word)
+        table[i, : len(found)] = found
+    row = np.repeat(np.arange(len(word_lists), dtype=np.int64), np.diff(word_lists.offsets.to_numpy()))
+    of_word = table[flat.indices.to_numpy()] if len(flat) else table
+    has = of_word >= 0
+    pairs = ((row[:, None] << 32) | of_word)[has]
+    pairs, place = np.unique(pairs, return_inverse=True)
+    total = np.bincount(place, np.broadcast_to(times.flatten().to_numpy()[:, None], has.shape)[has], len(pairs))
+    twice = total >= 2
+    rows, columns = pairs >> 32, pairs & 0xFFFFFFFF
+    return np.concatenate([rows, rows[twice]]), np.concatenate([columns, columns[twice] + SPACE])
+
+
+def _hashed(value: str | None) -> int:
+    return zlib.crc32(repr(value).encode()) % _HASHED
+
+
+def layout(text: bytes) -> list[float]:
+    """Size and layout of a text."""
     tokens = text.split()
     n, size = len(tokens), max(1, len(text))
     share = lambda signs: (len(text) - len(text.translate(None, signs))) / size
     lines = [x for x in text.split(b"\n") if x.strip()]
     doubled = sum(a == b for a, b in zip(tokens, tokens[1:])) / max(1, n)
-    row = np.zeros(11 + 2 * _HASHED)
-    row[:11] = [
+    return [
         1, np.log1p(n) / 5, np.log1p(len(lines)) / 5, size / max(1, n) / 10, 10 * share(_UPPER), 10 * share(_DIGIT), 10 * share(_SIGN),
         10 * share(b"#$%&*|<>"), len(set(tokens)) / max(1, n), 10 * doubled, len(set(lines)) / max(1, len(lines)),
     ]
+
+
+def _dense(plain: pa.Array, source: pa.Array, lang: pa.Array) -> np.ndarray:
+    """The metadata view: layout, and hashed source and language."""
+    x = np.zeros((len(plain), _SIZE))
+    x[:, :_PLAIN] = np.clip(plain.flatten().to_numpy().reshape(-1, _PLAIN), -10, 10)
     for i, value in enumerate((source, lang)):
-        row[11 + i * _HASHED + zlib.crc32(repr(value).encode()) % _HASHED] = 1
-    return np.clip(row, -10, 10)
+        x[np.arange(len(x)), _PLAIN + i * _HASHED + value.to_numpy()] = 1
+    return x
 
 
 def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+def _step(w: np.ndarray, gradient: np.ndarray, hessian: np.ndarray, n: float, penalty: float) -> np.ndarray:
+    ridge = penalty * n * 0.01
+    return w - np.linalg.solve(hessian + (ridge + 1e-6) * np.eye(len(w)), gradient + ridge * w)
+
+
 def _fit_dense(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2) -> np.ndarray:
-    """Logistic regression by Newton steps."""
+    """Logistic regression by Newton steps, each halved until it is a gain."""
     w = np.zeros(x.shape[1])
+    loss = lambda w: np.logaddexp(0, np.where(y > 0.5, -1, 1) * (x @ w)).sum() + penalty * len(y) * 0.005 * (w @ w)
     for _ in range(12):
         p = _sigmoid(x @ w)
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + penalty * len(y) * 0.01 * np.eye(len(w)) + 1e-6 * np.eye(len(w))
-        w -= np.linalg.solve(hessian, x.T @ (p - y) + penalty * len(y) * 0.01 * w)
+        new, now = _step(w, x.T @ (p - y), (x * (p * (1 - p))[:, None]).T @ x, len(y), penalty), loss(w)
+        for _ in range(20):
+            if loss(new) <= now:
+                break
+            new = (w + new) / 2
+        w = new
     return w
 
 
-def _fit_words(sample: Sample, y: np.ndarray, most: int) -> tuple[dict[str, float], float, np.ndarray]:
-    """Logistic regression on the traits that tell most about the label, where it is known (0 or 1, not -1). Returns
-    the traits' weights, the offset, and the logit of every document of the sample."""
-    kinds, size = y[sample.rows], len(sample.names)
-    seen = np.stack([np.bincount(sample.columns[kinds == k], minlength=size) for k in (0, 1)], 1).astype(float)
-    n = np.array([max(1, (y == 0).sum()), max(1, (y == 1).sum())], float)
-    start = float(np.log(n[1] / n[0]))
-    known = np.flatnonzero(seen.sum(1) >= MIN_DOCUMENTS)
-    if not len(known):
-        return {}, start, np.full(sample.n, start)
-    rate = (seen[known] + 0.5) / (n + 1)
-    gain = np.abs(np.log(rate[:, 1] / rate[:, 0])) * np.sqrt(seen[known].sum(1))
-    chosen = known[np.argsort(-gain, kind="stable")[:most]]
-    place = np.full(size, -1)
-    place[chosen] = np.arange(len(chosen))
-    of_chosen = place[sample.columns] >= 0
-    rows, columns = sample.rows[of_chosen], place[sample.columns[of_chosen]]
-    learnt = y[rows] >= 0
-    rows_in, columns_in, use = rows[learnt], columns[learnt], y >= 0
-    w, offset, speed, speed0 = np.zeros(len(chosen)), start, np.full(len(chosen), 1e-8), 1e-8
-    for _ in range(120):  # full gradients with steps by their history
-        error = np.where(use, _sigmoid(np.bincount(rows_in, w[columns_in], sample.n) + offset) - y, 0)
-        gradient, gradient0 = np.bincount(columns_in, error[rows_in], len(chosen)) + 0.1 * w, error.sum()
-        speed += gradient**2
-        speed0 += gradient0**2
-        w -= 0.3 * gradient / np.sqrt(speed)
-        offset -= 0.3 * gradient0 / np.sqrt(speed0)
-    logit = np.bincount(rows, w[columns], sample.n) + offset
-    return {sample.names[c]: float(w[j]) for j, c in enumerate(chosen)}, offset, logit
+def _calibrated(logit: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Offset and slope that turn a view's logit into that of the label. A view that is wrong more often than not
+    knows nothing."""
+    found = _fit_dense(np.stack([np.ones(len(logit)), np.clip(logit, -15, 15)], 1), y, 0.1)
+    return found if found[1] > 0 else _fit_dense(np.stack([np.ones(len(logit)), np.zeros(len(logit))], 1), y, 0.1)
 
 
 @dataclass
 class Model:
-    """A fitted label: weights of both views and of their combination."""
+    """A fitted label: traits and their weights, the weights of the metadata view, the calibration of both views
+    (offset and slope each), and the weights of their combination."""
 
-    weights: dict[str, float]
+    columns: np.ndarray
+    weights: np.ndarray
     offset: float
     layout: np.ndarray
+    calibration: np.ndarray
     combined: np.ndarray
 
-    def text_logit(self, found: set[str]) -> float:
-        """From the traits of a document."""
-        return self.offset + sum(map(self.weights.__getitem__, sorted(self.weights.keys() & found)))
+    def dense(self) -> np.ndarray:
+        found = np.zeros(2 * SPACE)
+        found[self.columns] = self.weights
+        return found
 
     def score(self, text_logit, layout_logit):
         x = np.stack([np.ones_like(text_logit), np.clip(text_logit, -15, 15), np.clip(layout_logit, -15, 15)], -1)
         return _sigmoid(x @ self.combined)
 
 
-def co_train(sample: Sample, layouts: np.ndarray, labels: np.ndarray, rounds: int = ROUNDS, confident: float = CONFIDENT, most: int = WORDS) -> Model:
-    """Fit one label. `labels` has 0, 1, or -1 for the documents of the pool; every fourth labelled document is held
-    out to calibrate."""
-    labelled = np.flatnonzero(labels >= 0)
-    share = labels[labelled].mean() if len(labelled) else 0.5
-    constant = float(np.log(max(share, 1e-9) / max(1 - share, 1e-9)))
-    held, train = labelled[::_HELD_OUT], np.delete(labelled, np.s_[::_HELD_OUT])
-    if len({*labels[held]}) < 2 or len({*labels[train]}) < 2:
-        return Model({}, 0.0, np.zeros(layouts.shape[1]), np.array([constant, 0.0, 0.0]))
-    pool = np.flatnonzero(labels < 0)
-    given = [labels.copy(), labels.copy()]  # what the text view and the metadata view learn from
-    for at in given:
-        at[held] = -1
-    for _ in range(rounds + 1):
-        use = np.flatnonzero(given[1] >= 0)
-        weights, offset, from_text = _fit_words(sample, given[0], most)
-        of_layout = _fit_dense(layouts[use], given[1][use].astype(float))
-        logits = [from_text, layouts @ of_layout]
-        for other, logit in ((1, logits[0]), (0, logits[1])):
-            p = _sigmoid(logit[pool])
-            given[other][pool] = np.where(p >= confident, 1, np.where(p <= 1 - confident, 0, -1))
-    x = np.stack([np.ones(len(held)), *(np.clip(v[held], -15, 15) for v in logits)], -1)
-    return Model(weights, offset, of_layout, _fit_dense(x, labels[held].astype(float), 0.1))
-
-
-def fit(docs: DataFrame, labels: DataFrame, names: list[str], doc_id: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", labelled: int = LABELLED, pool: int = POOL) -> dict[str, Model]:
-    """Fit a model for each label column on bounded samples of labelled and unlabelled documents."""
-    lowest = lambda df, n: df.orderBy(F.xxhash64(doc_id), *df.columns).limit(n)
-    known = labels.filter(F.coalesce(*names).isNotNull() & F.col(doc_id).isNotNull()).select(doc_id, *names)
-    ids = docs.select(doc_id).filter(F.col(doc_id).isNotNull())
-    with_labels = lowest(ids.join(known, doc_id), labelled)
-    without = lowest(ids.join(known, doc_id, "left_anti"), pool).select(doc_id, *[F.lit(None).cast("int").alias(n) for n in names])
-    chosen = F.broadcast(with_labels.unionByName(without).distinct())
-    rows = docs.select(doc_id, text, F.col(source).cast("string").alias("source"), F.col(lang).cast("string").alias("lang"))
-    rows = rows.join(chosen, doc_id).select(F.col(text).alias("text"), "source", "lang", *names, F.xxhash64(doc_id, text).alias("h"))
-
-    def views(batch: pa.RecordBatch):
-        found = list(zip(as_bytes(batch.column(0)), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True))
-        seen = pa.array([sorted(words(t).items()) for t, _, _ in found], pa.map_(pa.string(), pa.int64()))
-        plain = pa.array([layout(*f).tolist() for f in found], pa.list_(pa.float64()))
-        yield pa.RecordBatch.from_arrays([seen, plain, *[batch.column(i) for i in range(3, 4 + len(names))]], names=["words", "layout", *names, "h"])
-
-    schema = "words map<string,bigint>, layout array<double>, " + ", ".join(f"{n} int" for n in names) + ", h bigint"
-    rows = rows.select("text", "source", "lang", *[F.col(n).cast("int").alias(n) for n in names], "h")
-    layouts, given = [], []
-
-    def word_lists() -> Iterator[dict[str, int]]:
-        for r in map_batches(rows, schema, views).orderBy("h").toLocalIterator():
-            layouts.append(np.array(r.layout))
-            given.append([-1 if r[n] is None else r[n] for n in names])
-            yield r.words
-
-    seen = Sample(word_lists())
-    layouts, given = np.array(layouts).reshape(seen.n, 11 + 2 * _HASHED), np.array(given, int).reshape(seen.n, len(names))
-    return {n: co_train(seen, layouts, given[:, i]) for i, n in enumerate(names)}
+def fit_text(counts: np.ndarray, n: np.ndarray, sample: tuple[np.ndarray, np.ndarray], y: np.ndarray, most: int = WORDS) -> tuple[np.ndarray, np.ndarray, float]:
+    """Traits, weights and offset of the text view. `counts` (trait, class) and `n` (class) count documents of each
+    class; on the sample's documents (`y` 0 or 1) the weights are refined, away from what the counts say."""
+    start = float(np.log(max(n[1], 1) / max(n[0], 1)))
+    known = np.flatnonzero(counts.sum(1) >= MIN_DOCUMENTS)
+    rate = (counts[known] + 0.5) / (n + 1)
+    said = np.log(rate[:, 1] / rate[:, 0])
+    order = np.argsort(-np.abs(said) * np.sqrt(counts[known].sum(1)), kind="stable")[:most]
+    columns, prior = known[order], _SHARE * said[order]
+    place = np.full(2 * SPACE, -1)
+    place[columns] = np.arange(len(columns))
+    used = place[sample[1]] >= 0
+    rows, at = sample[0][used], place[sample[1][used]]
+    w, offset, speed, speed0 = prior.copy(), start, np.full(len(columns), 1e-8), 1e-8
+    for _ in range(150):  # full gradients with steps by their history
+        error = _sigmoid(np.bincount(rows, w[at], len(y)) + offset) - y
+        gradient, gradient0 = np.bincount(at, error[rows], len(columns)) + 0.1 * (w - prior), error.sum()
+        speed += gradient**2
+        speed0 += gradient0**2
+        w -= 0.3 * gradient / np.sqrt(speed)
+        offset -= 0.3 * gradient0 / np.sqrt(speed0)
+    return columns, w, offset
+
+
+_SUMS = "label int, key bigint, a double, b double"
+_AT_LAYOUT = 2 * SPACE + 1
+
+
+def round_sums(views: DataFrame, names: list[str], models: list[Model | None], confident: float = CONFIDENT) -> DataFrame:
+    """Over all documents that a view learns from, for each label (by place in `names`): rows (label, key, a, b), where
+    keys below 2 * SPACE count the documents of class 0 and 1 with a trait, 2 * SPACE counts documents, and the keys
+    behind hold the metadata view's gradient and a bound of its Hessian, with which a step never goes too far."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, list[int]] = {}
+        weights = [None if m is None else m.dense() for m in models]
+        counts = [np.zeros((2 * SPACE + 1, 2)) for _ in models]
+        sums = [np.zeros((1 + _SIZE, _SIZE)) for _ in models]
+        for whole in batches:
+            for at in range(0, whole.num_rows, _ROWS):
+                batch = whole.slice(at, _ROWS)
+                rows, columns = _matrix(batch.column("words"), batch.column("times"), known)
+                x = _dense(batch.column("layout"), batch.column("source"), batch.column("lang"))
+                held = batch.column("held").to_numpy(zero_copy_only=False).astype(bool)
+                for k, model in enumerate(models):
+                    if model is None:
+                        continue
+                    label = batch.column(names[k]).fill_null(-1).to_numpy()
+                    logits = np.bincount(rows, weights[k][columns], len(x)) + model.offset, x @ model.layout
+                    given = []
+                    for logit, (shift, slope) in zip(logits, model.calibration):
+                        p = _sigmoid(shift + slope * np.clip(logit, -15, 15))
+                        sure = np.where(p >= confident, 1, np.where(p <= 1 - confident, 0, -1))
+                        given.append(np.where(label < 0, sure, np.where(held, -1, label)))
+                    for c in (0, 1):  # the text view learns from the metadata view's labels
+                        mine = given[1] == c
+                        counts[k][: 2 * SPACE, c] += np.bincount(columns[mine[rows]], minlength=2 * SPACE)
+                        counts[k][2 * SPACE, c] += mine.sum()
+                    use = given[0] >= 0
+                    sums[k][0] += x[use].T @ (_sigmoid(x[use] @ model.layout) - given[0][use])
+                    sums[k][1:] += x[use].T @ x[use] / 4
+        for k in range(len(models)):
+            found = np.flatnonzero(counts[k].any(1))
+            flat = sums[k].ravel()
+            keys = np.concatenate([found, _AT_LAYOUT + np.arange(len(flat))])
+            a, b = np.concatenate([counts[k][found, 0], flat]), np.concatenate([counts[k][found, 1], np.zeros(len(flat))])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), k, np.int32)), pa.array(keys), pa.array(a), pa.array(b)], names=["label", "key", "a", "b"])
+
+    columns = ["words", "times", "layout", "source", "lang", "held", *names]
+    found = views.select(*columns).mapInArrow(run, _SUMS)
+    return found.groupBy("label", "key").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+
+
+def document_views(docs: DataFrame, labels: DataFrame, names: list[str], doc_id: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", in_place: bool = False) -> DataFrame:
+    """What the views see of each document, written to files: `id`, `words` and `times`, `layout`, `source` and `lang`
+    as numbers, a hash `h`, `held` (is it held out if it is labelled?), and a column for each label."""
+    string = lambda c, name: F.col(c).cast("string").alias(name)
+    rows = located(docs, [F.col(doc_id).alias("id"), F.col(text).alias("text"), string(source, "source"), string(lang, "lang")], in_place)
+    known = labels.filter(F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("_id")).agg(*[F.max(n).alias(n) for n in names])
+    marked = save(rows.select("id", "_file", "_place").join(known, F.col("id") == F.col("_id")).drop("_id", "id"), "labelled-places")
+    for n in names:
+        rows = flag_places(rows, marked.filter(F.col(n).isNotNull()), f"_known_{n}")
+        rows = flag_places(rows, marked.filter(F.col(n) >= 1), f"_one_{n}")
+    given = [F.when(F.col(f"_known_{n}"), F.col(f"_one_{n}").cast("int")).alias(n) for n in names]
+    rows = rows.select("text", "source", "lang", "id", F.xxhash64("id", "text").alias("h"), *given)
+
+    def seen(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        found, sizes = [], []
+        for content in as_bytes(batch.column(0)):
+            found.append(words(content))
+            sizes.append(layout(content))
+        columns = [
+            pa.array([list(f) for f in found], pa.list_(pa.string())), pa.array([list(f.values()) for f in found], pa.list_(pa.int64())),
+            pa.array(sizes, pa.list_(pa.float64())), *[pa.array([_hashed(v) for v in batch.column(i).to_pylist()], pa.int64()) for i in (1, 2)],
+        ]
+        kept = batch.schema.names[3:]
+        yield pa.RecordBatch.from_arrays([*columns, *[batch.column(c) for c in kept]], names=["words", "times", "layout", "source", "lang", *kept])
+
+    kinds = dict(rows.dtypes)
+    schema = "words array<string>, times array<bigint>, layout array<double>, source bigint, lang bigint, " + ", ".join(f"`{c}` {kinds[c]}" for c in ["id", "h", *names])
+    return save(map_batches(rows, schema, seen, 1024).withColumn("held", F.pmod("h", F.lit(_HELD_OUT)) == 0), "views")
+
+
+def fit_views(views: DataFrame, names: list[str], labelled: int = LABELLED, rounds: int = ROUNDS, confident: float = CONFIDENT) -> dict[str, Model]:
+    """Co-train a model for each label on `document_views`."""
+    some = views.filter(F.coalesce(*names).isNotNull()).orderBy("h").limit(labelled)
+    sample = some.select("words", "times", "layout", "source", "lang", "held", *names).toArrow().combine_chunks()
+    column = lambda c: sample.column(c).combine_chunks() if sample.num_rows else pa.array([], sample.schema.field(c).type)
+    pairs = _matrix(column("words"), column("times"), {})
+    x = _dense(column("layout"), column("source"), column("lang"))
+    held = column("held").to_numpy(zero_copy_only=False).astype(bool)
+    y = [column(n).fill_null(-1).to_numpy() for n in names]
+
+    def part(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The traits of some documents of the sample, which are numbered anew."""
+        number, inside = np.cumsum(mask) - 1, mask[pairs[0]]
+        return number[pairs[0][inside]], pairs[1][inside]
+
+    zeros, neutral, models = np.zeros(_SIZE), np.zeros((2, 2)), []
+    empty = np.zeros(0, np.int64)
+    constant, learn, train = [], [], []
+    for label in y:
+        share = label[label >= 0].mean() if (label >= 0).any() else 0.5
+        constant.append(Model(empty, np.zeros(0), 0.0, zeros, neutral, np.array([float(np.log(max(share, 1e-9) / max(1 - share, 1e-9))), 0.0, 0.0])))
+        train.append((label >= 0) & ~held)
+        learn.append(len({*label[train[-1]]}) == 2 and len({*label[(label >= 0) & held]}) == 2)
+
+    def calibrated(k: int, of_text: tuple[np.ndarray, np.ndarray, float], of_layout: np.ndarray) -> Model:
+        """Both views, calibrated and combined on the held-out documents."""
+        out = (y[k] >= 0) & held
+        kinds, (rows, columns) = y[k][out].astype(float), part(out)
+        model = Model(*of_text, of_layout, neutral, np.zeros(3))
+        logits = np.bincount(rows, model.dense()[columns], len(kinds)) + model.offset, x[out] @ of_layout
+        model.calibration = np.stack([_calibrated(v, kinds) for v in logits])
+        model.combined = _fit_dense(np.stack([np.ones(len(kinds)), *(np.clip(v, -15, 15) for v in logits)], -1), kinds, 0.1)
+        return model
+
+    for k, label in enumerate(y):
+        if not learn[k]:
+            models.append(None)
+            continue
+        mine = train[k]
+        kinds = label[mine].astype(float)
+        rows, columns = part(mine)
+        counts = np.stack([np.bincount(columns[kinds[rows] == c], minlength=2 * SPACE) for c in (0, 1)], 1).astype(float)
+        n = np.array([(kinds == c).sum() for c in (0, 1)], float)
+        models.append(calibrated(k, fit_text(counts, n, (rows, columns), kinds), _fit_dense(x[mine], kinds)))
+    for _ in range(rounds if any(learn) else 0):
+        sums = round_sums(views, names, models, confident).toPandas()
+        for k, model in enumerate(models):
+            if model is None:
+                continue
+            of_label = sums[sums["label"] == k]
+            keys, a, b = (of_label[c].to_numpy() for c in ("key", "a", "b"))
+            counts = np.zeros((2 * SPACE + 1, 2))
+            text = keys < _AT_LAYOUT
+            counts[keys[text]] = np.stack([a[text], b[text]], 1)
+            flat = np.zeros((1 + _SIZE) * _SIZE)
+            flat[keys[~text] - _AT_LAYOUT] = a[~text]
+            flat = flat.reshape(1 + _SIZE, _SIZE)
+            kinds = y[k][train[k]].astype(float)
+            of_layout = _step(model.layout, flat[0], flat[1:], counts[-1].sum(), 1e-2)
+            models[k] = calibrated(k, fit_text(counts[:-1], counts[-1], part(train[k]), kinds), of_layout)
+    return {n: constant[k] if model is None else model for k, (n, model) in enumerate(zip(names, models))}
+
+
+def fit(docs: DataFrame, labels: DataFrame, names: list[str], doc_id: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", **options) -> dict[str, Model]:
+    """Fit a model for each label column. Options as of `fit_views`."""
+    return fit_views(document_views(docs, labels, names, doc_id, text, source, lang), names, **options)
+
+
+def _scorer(models: dict[str, Model]):
+    """A function of the columns of views that gives a struct of each label's probability."""
+    dense: list[np.ndarray] = []
+    known: dict[str, list[int]] = {}
+
+    def of(word_lists, times, plain, source, lang) -> pa.Array:
+        if not dense:
+            dense.extend(m.dense() for m in models.values())
+        found = [[] for _ in models]
+        for at in range(0, len(plain), _ROWS):
+            part = [c.slice(at, _ROWS) for c in (word_lists, times, plain, source, lang)]
+            rows, columns = _matrix(*part[:2], known)
+            x = _dense(*part[2:])
+            for k, m in enumerate(models.values()):
+                found[k].append(m.score(np.bincount(rows, dense[k][columns], len(x)) + m.offset, x @ m.layout))
+        return pa.StructArray.from_arrays([pa.array(np.concatenate(f) if f else np.zeros(0)) for f in found], names=list(models))
+
+    return of
+
+
+def view_scores(models: dict[str, Model]) -> Column:
+    """Struct of each label's probability, for rows of `document_views`."""
+    of = _scorer(models)
+
+    def run(word_lists: pa.Array, times: pa.Array, plain: pa.Array, source: pa.Array, lang: pa.Array) -> pa.Array:
+        return of(word_lists, times, plain, source, lang)
+
+    return F.arrow_udf(run, ", ".join(f"{n} double" for n in models))("words", "times", "layout", "source", "lang")
 
 
 def scores(models: dict[str, Model], text: str | Column, source: str | Column, lang: str | Column) -> Column:
-    """Struct of each label's probability."""
-
-    telling = {t.lstrip("\0") for m in models.values() for t in m.weights}
-    known: dict[str, list[str]] = {}
-
-    def found(text: bytes) -> set[str]:
-        times: dict[str, int] = {}
-        if len(known) > 1_000_000:
-            known.clear()
-        for word, n in words(text).items():
-            said = known.get(word)
-            if said is None:
-                known[word] = said = [t for t in traits(word) if t in telling]
-            for trait in said:
-                times[trait] = times.get(trait, 0) + n
-        return times.keys() | {said_twice(t) for t, n in times.items() if n >= 2}
-
-    def of(texts: pa.Array, sources: pa.Array, langs: pa.Array) -> pa.Array:
-        rows = list(zip(as_bytes(texts), sources.to_pylist(), langs.to_pylist(), strict=True))
-        layouts = np.array([layout(*r) for r in rows]).reshape(len(rows), 11 + 2 * _HASHED)
-        seen = [found(r[0]) for r in rows]
-        columns = [m.score(np.array([m.text_logit(d) for d in seen]), layouts @ m.layout) for m in models.values()]
-        return pa.StructArray.from_arrays([pa.array(c, pa.float64()) for c in columns], names=list(models))
-
-    return F.arrow_udf(of, ", ".join(f"{n} double" for n in models))(text, source, lang)
+    """Struct of each label's probability, for any texts."""
+    of = _scorer(models)
+
+    def run(texts: pa.Array, sources: pa.Array, langs: pa.Array) -> pa.Array:
+        found, sizes = [], []
+        for content in as_bytes(texts):
+            found.append(words(content))
+            sizes.append(layout(content))
+        numbers = [pa.array([_hashed(v) for v in c.to_pylist()], pa.int64()) for c in (sources, langs)]
+        return of(pa.array([list(f) for f in found], pa.list_(pa.string())), pa.array([list(f.values()) for f in found], pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.float64())), *numbers)
+
+    return F.arrow_udf(run, ", ".join(f"{n} double" for n in models))(text, source, lang)

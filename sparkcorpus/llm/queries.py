@@ -130,9 +130,10 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How good is each document, and is it toxic, by text and metadata classifiers that taught each other?"""
-    docs = table(spark, sf_dir, "documents")
-    models = quality_classifier.fit(docs, table(spark, sf_dir, "labels"), ["quality", "toxic"])
-    scored = docs.select("doc_id", quality_classifier.scores(models, "text", "source", "lang").alias("s"))
+    names = ["quality", "toxic"]
+    views = quality_classifier.document_views(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), names, in_place=True)
+    models = quality_classifier.fit_views(views, names)
+    scored = views.select(F.col("id").alias("doc_id"), quality_classifier.view_scores(models).alias("s"))
     scored = scored.select("doc_id", F.col("s.quality").alias("quality_score"), F.col("s.toxic").alias("toxic_score"))
     toxic = F.col("toxic_score") >= 0.5
     return scored.withColumns({"toxic": toxic, "kept": (F.col("quality_score") >= 0.5) & ~toxic})
