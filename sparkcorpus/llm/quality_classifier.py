@@ -62,11 +62,24 @@ def words(text: bytes) -> Counter[str]:
 
 def traits(word: str) -> list[int]:
     """What a word says: itself and its beginnings, as numbers."""
-    names = ["=" + word, *(word[:k] for k in BEGINNINGS if len(word) >= k)]
-    return [zlib.crc32(x.encode()) & (SPACE - 1) for x in names]
+    found, hashed, done = [zlib.crc32(("=" + word).encode()) & (SPACE - 1)], 0, 0
+    for k in BEGINNINGS:
+        if len(word) < k:
+            break
+        hashed, done = zlib.crc32(word[done:k].encode(), hashed), k
+        found.append(hashed & (SPACE - 1))
+    return found
 
 
 def _matrix(word_lists: pa.Array, times: pa.Array, known: dict[str, list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """`_pairs` of any number of rows, some hundred at a time."""
+    parts = [(at, *_pairs(word_lists.slice(at, _ROWS), times.slice(at, _ROWS), known)) for at in range(0, len(word_lists), _ROWS)]
+    if not parts:
+        return np.zeros(0, np.int32), np.zeros(0, np.int32)
+    return np.concatenate([(at + r).astype(np.int32) for at, r, _ in parts]), np.concatenate([c.astype(np.int32) for _, _, c in parts])
+
+
+def _pairs(word_lists: pa.Array, times: pa.Array, known: dict[str, list[int]]) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (row, trait), each once, of lists of words and of how often they occur. `known` keeps the traits of words."""
     flat = word_lists.flatten().dictionary_encode()
     table = np.full((len(flat.dictionary), 1 + len(BEGINNINGS)), -1, np.int64)
@@ -76,14 +89,16 @@ def _matrix(word_lists: pa.Array, times: pa.Array, known: dict[str, list[int]])
         if (found := known.get(word)) is None:
             known[word] = found = traits(word)
         table[i, : len(found)] = found
-    row = np.repeat(np.arange(len(word_lists), dtype=np.int64), np.diff(word_lists.offsets.to_numpy()))
+    row = np.repeat(np.arange(len(word_lists)), np.diff(word_lists.offsets.to_numpy()))
     of_word = table[flat.indices.to_numpy()] if len(flat) else table
     has = of_word >= 0
-    pairs = ((row[:, None] << 32) | of_word)[has]
-    pairs, place = np.unique(pairs, return_inverse=True)
-    total = np.bincount(place, np.broadcast_to(times.flatten().to_numpy()[:, None], has.shape)[has], len(pairs))
-    twice = total >= 2
-    rows, columns = pairs >> 32, pairs & 0xFFFFFFFF
+    many = np.broadcast_to(times.flatten().to_numpy()[:, None] >= 2, has.shape)[has]
+    pairs = np.sort(((row[:, None] * SPACE + of_word) * 2 + 1)[has] - many)  # a word said twice comes first, as an even number
+    first = np.concatenate([[True], pairs[1:] >> 1 != pairs[:-1] >> 1]) if len(pairs) else np.zeros(0, bool)
+    at = np.flatnonzero(first)
+    sizes = np.diff(np.concatenate([at, [len(pairs)]]))
+    twice = (sizes > 1) | (pairs[at] % 2 == 0)
+    rows, columns = np.divmod(pairs[at] >> 1, SPACE)
     return np.concatenate([rows, rows[twice]]), np.concatenate([columns, columns[twice] + SPACE])
 
 
@@ -190,20 +205,16 @@ def fit_text(counts: np.ndarray, n: np.ndarray, sample: tuple[np.ndarray, np.nda
     return columns, w, offset
 
 
-_SUMS = "label int, key bigint, a double, b double"
-_AT_LAYOUT = 2 * SPACE + 1
-
-
-def round_sums(views: DataFrame, names: list[str], models: list[Model | None], confident: float = CONFIDENT) -> DataFrame:
-    """Over all documents that a view learns from, for each label (by place in `names`): rows (label, key, a, b), where
-    keys below 2 * SPACE count the documents of class 0 and 1 with a trait, 2 * SPACE counts documents, and the keys
-    behind hold the metadata view's gradient and a bound of its Hessian, with which a step never goes too far."""
+def round_sums(views: DataFrame, names: list[str], models: list[Model | None], confident: float = CONFIDENT) -> tuple[np.ndarray, np.ndarray]:
+    """Over all documents that a view learns from, for each label: how many of class 0 and 1 have a trait, and in the last
+    row how many there are; and the metadata view's gradient (first row) and a bound of its Hessian, with which a step
+    never goes too far. Tasks' sums are added up in a tree."""
+    shapes = (len(models), 2 * SPACE + 1, 2), (len(models), 1 + _SIZE, _SIZE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, list[int]] = {}
         weights = [None if m is None else m.dense() for m in models]
-        counts = [np.zeros((2 * SPACE + 1, 2)) for _ in models]
-        sums = [np.zeros((1 + _SIZE, _SIZE)) for _ in models]
+        counts, sums = map(np.zeros, shapes)
         for whole in batches:
             for at in range(0, whole.num_rows, _ROWS):
                 batch = whole.slice(at, _ROWS)
@@ -222,21 +233,22 @@ def round_sums(views: DataFrame, names: list[str], models: list[Model | None], c
                         given.append(np.where(label < 0, sure, np.where(held, -1, label)))
                     for c in (0, 1):  # the text view learns from the metadata view's labels
                         mine = given[1] == c
-                        counts[k][: 2 * SPACE, c] += np.bincount(columns[mine[rows]], minlength=2 * SPACE)
-                        counts[k][2 * SPACE, c] += mine.sum()
+                        np.add.at(counts[k, :, c], columns[mine[rows]], 1)
+                        counts[k, -1, c] += mine.sum()
                     use = given[0] >= 0
-                    sums[k][0] += x[use].T @ (_sigmoid(x[use] @ model.layout) - given[0][use])
-                    sums[k][1:] += x[use].T @ x[use] / 4
-        for k in range(len(models)):
-            found = np.flatnonzero(counts[k].any(1))
-            flat = sums[k].ravel()
-            keys = np.concatenate([found, _AT_LAYOUT + np.arange(len(flat))])
-            a, b = np.concatenate([counts[k][found, 0], flat]), np.concatenate([counts[k][found, 1], np.zeros(len(flat))])
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), k, np.int32)), pa.array(keys), pa.array(a), pa.array(b)], names=["label", "key", "a", "b"])
+                    sums[k, 0] += x[use].T @ (_sigmoid(x[use] @ model.layout) - given[0][use])
+                    sums[k, 1:] += x[use].T @ x[use] / 4
+        packed = zlib.compress(np.concatenate([counts.ravel(), sums.ravel()]).tobytes(), 1)
+        yield pa.RecordBatch.from_arrays([pa.array([packed], pa.binary())], names=["sums"])
 
     columns = ["words", "times", "layout", "source", "lang", "held", *names]
-    found = views.select(*columns).mapInArrow(run, _SUMS)
-    return found.groupBy("label", "key").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    tasks = views.select(*columns).mapInArrow(run, "sums binary").rdd.map(lambda r: bytes(r.sums))
+    read = lambda packed: np.frombuffer(zlib.decompress(packed))
+    added = lambda a, b: zlib.compress((read(a) + read(b)).tobytes(), 1) if a and b else a or b
+    total = tasks.treeAggregate(b"", added, added, depth=3)
+    size = int(np.prod(shapes[0]))
+    flat = read(total) if total else np.zeros(size + int(np.prod(shapes[1])))
+    return flat[:size].reshape(shapes[0]), flat[size:].reshape(shapes[1])
 
 
 def document_views(docs: DataFrame, labels: DataFrame, names: list[str], doc_id: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", in_place: bool = False) -> DataFrame:
@@ -314,20 +326,12 @@ def fit_views(views: DataFrame, names: list[str], labelled: int = LABELLED, roun
         n = np.array([(kinds == c).sum() for c in (0, 1)], float)
         models.append(calibrated(k, fit_text(counts, n, (rows, columns), kinds), _fit_dense(x[mine], kinds)))
     for _ in range(rounds if any(learn) else 0):
-        sums = round_sums(views, names, models, confident).toPandas()
+        counted, summed = round_sums(views, names, models, confident)
         for k, model in enumerate(models):
             if model is None:
                 continue
-            of_label = sums[sums["label"] == k]
-            keys, a, b = (of_label[c].to_numpy() for c in ("key", "a", "b"))
-            counts = np.zeros((2 * SPACE + 1, 2))
-            text = keys < _AT_LAYOUT
-            counts[keys[text]] = np.stack([a[text], b[text]], 1)
-            flat = np.zeros((1 + _SIZE) * _SIZE)
-            flat[keys[~text] - _AT_LAYOUT] = a[~text]
-            flat = flat.reshape(1 + _SIZE, _SIZE)
-            kinds = y[k][train[k]].astype(float)
-            of_layout = _step(model.layout, flat[0], flat[1:], counts[-1].sum(), 1e-2)
+            counts, kinds = counted[k], y[k][train[k]].astype(float)
+            of_layout = _step(model.layout, summed[k, 0], summed[k, 1:], counts[-1].sum(), 1e-2)
             models[k] = calibrated(k, fit_text(counts[:-1], counts[-1], part(train[k]), kinds), of_layout)
     return {n: constant[k] if model is None else model for k, (n, model) in enumerate(zip(names, models))}
 

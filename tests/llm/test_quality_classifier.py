@@ -64,14 +64,16 @@ def test_sums_of_a_round_equal_plain_sums(spark):
         by_text, by_layout = ((-1 if r.held else r.quality) if r.quality is not None else sure(v) for v in logits)
         if by_layout >= 0:
             for f in [*found, 2 * qc.SPACE]:
-                add(f, by_layout == 0, by_layout == 1)
+                add(f, float(by_layout == 0), float(by_layout == 1))
         if by_text >= 0:
             p = 1 / (1 + np.exp(-x @ model.layout))
             for i in np.flatnonzero(x):
-                add(qc._AT_LAYOUT + i, x[i] * (p - by_text))
+                add((0, int(i)), x[i] * (p - by_text))
                 for j in np.flatnonzero(x):
-                    add(qc._AT_LAYOUT + (1 + i) * qc._SIZE + j, x[i] * x[j] / 4)
-    got = {r.key: (r.a, r.b) for r in qc.round_sums(views, ["quality", "toxic"], [model, None], 0.7).collect() if r.label == 0 and (r.a or r.b)}
+                    add((1 + int(i), int(j)), x[i] * x[j] / 4)
+    counts, sums = qc.round_sums(views, ["quality", "toxic"], [model, None], 0.7)
+    got = {int(f): counts[0, f] for f in np.flatnonzero(counts[0].any(1))} | {(int(i), int(j)): (sums[0, i, j], 0) for i, j in zip(*np.nonzero(sums[0]))}
+    assert not counts[1].any() and not sums[1].any()
     assert {k for k, v in want.items() if any(v)} >= set(got) and all(np.allclose(got.get(k, (0, 0)), v, atol=1e-9) for k, v in want.items())
     assert sum(r.quality is not None for r in views.collect()) == 20 and {r.id: r.quality for r in views.collect()}[0] == 1
 
