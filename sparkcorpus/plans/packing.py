@@ -12,6 +12,7 @@ from sparkcorpus.operators import conversations as conv
 from sparkcorpus.operators import packing
 from sparkcorpus.operators.tokenization import with_specials
 from sparkcorpus.plans.registry import query, table
+from sparkcorpus.session import fresh_path
 
 CAPACITY, DOCS_PER_GROUP, BUFFER = 2049, packing.DOCS_PER_GROUP, 1000
 CHAT_TOKENS, CHAT_CAPACITY, CHAT_BUFFER = 10_000_000, 4097, 100
@@ -317,14 +318,21 @@ def grouped_chats(spark, sf_dir):
     return packing.pack_groups(chats, "conv_id", DOCS_PER_GROUP)
 
 
-def chat_placements(spark, sf_dir):
-    chats = packing.supervised_only(grouped_chats(spark, sf_dir), "mask").filter(F.col("n_tokens") <= CHAT_CAPACITY)
+def written_chats(spark, sf_dir):
+    """Rendered chats as a table, for queries that read them more than once."""
+    path = fresh_path(spark, "chats")
+    grouped_chats(spark, sf_dir).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def chat_placements(grouped):
+    chats = packing.supervised_only(grouped, "mask").filter(F.col("n_tokens") <= CHAT_CAPACITY)
     return chats, packing.pack_bestfit_pad(chats, "conv_id", "conv_id", "n_tokens", CHAT_CAPACITY, CHAT_BUFFER)
 
 
-def chat_errors(spark, sf_dir):
+def chat_errors(grouped):
     """Every rendered chat that is longer than a row, supervised or not: training stops at any of them."""
-    long = packing.oversize(grouped_chats(spark, sf_dir), "n_tokens", CHAT_CAPACITY)
+    long = packing.oversize(grouped, "n_tokens", CHAT_CAPACITY)
     supervised = F.exists("mask", lambda m: m == 1).alias("supervised")
     return long.select(F.col("pack_group").cast("long").alias("pack_group"), F.col("conv_id").alias("doc"), "n_tokens", supervised)
 
@@ -340,7 +348,7 @@ groups as (
 def pack_chats(spark, sf_dir):
     """Chats without a supervised token are left out, chats longer than a row are error rows of `oversize_chats`; the
     others are packed with padding."""
-    return chat_placements(spark, sf_dir)[1].select(*PLACED)
+    return chat_placements(grouped_chats(spark, sf_dir))[1].select(*PLACED)
 
 
 @query(f"""
@@ -349,7 +357,7 @@ select conv_id // {DOCS_PER_GROUP} as pack_group, conv_id as doc, length(mask)::
 from chats where length(mask) > {CHAT_CAPACITY}""")
 def oversize_chats(spark, sf_dir):
     """The error rows of `pack_chats`, `mask_targets` and `supervision_audit`, by the same key."""
-    return chat_errors(spark, sf_dir)
+    return chat_errors(grouped_chats(spark, sf_dir))
 
 
 @query(f"""
@@ -358,15 +366,16 @@ select conv_id // {DOCS_PER_GROUP} as pack_group, count(*) as chats, sum(length(
        count(*) filter (length(mask) > {CHAT_CAPACITY}) as errors from chats where mask like '%1%' group by 1""")
 def chat_packing_account(spark, sf_dir):
     """Packed chats and error rows together: all supervised chats, which SQL counts without regard to their length."""
-    packed = chat_placements(spark, sf_dir)[1].select("pack_group", F.col("take").alias("n_tokens"), F.lit(0).alias("error"))
-    errors = chat_errors(spark, sf_dir).filter("supervised").select("pack_group", "n_tokens", F.lit(1).alias("error"))
+    grouped = written_chats(spark, sf_dir)
+    packed = chat_placements(grouped)[1].select("pack_group", F.col("take").alias("n_tokens"), F.lit(0).alias("error"))
+    errors = chat_errors(grouped).filter("supervised").select("pack_group", "n_tokens", F.lit(1).alias("error"))
     return packed.unionByName(errors).groupBy("pack_group").agg(
         F.count("*").alias("chats"), F.sum("n_tokens").cast("long").alias("tokens"), F.sum("error").cast("long").alias("errors")
     )
 
 
 def chat_rows(spark, sf_dir):
-    chats, placed = chat_placements(spark, sf_dir)
+    chats, placed = chat_placements(written_chats(spark, sf_dir))
     tokens = chats.select(F.col("conv_id").alias("doc"), "ids", "mask")
     return packing.fill_rows(placed, tokens, ["pack_group", "row_no"], CHAT_CAPACITY, mask="mask", pad_id=special_id("bos"))
 
