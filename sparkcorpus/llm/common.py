@@ -20,11 +20,11 @@ _BATCH, _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 _BITS, _BITMAPS = 32_768, 16_384
 
 
-def save(df: DataFrame, label: str) -> DataFrame:
+def save(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage at a place that survives lost executors, and lets
     Catalyst plan later joins by the table's real size."""
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     saved = df.sparkSession.read.schema(df.schema).parquet(path)
     saved.written_to = path
     return saved

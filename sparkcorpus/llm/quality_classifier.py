@@ -31,6 +31,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,14 +40,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 from sparkcorpus.llm.common import as_bytes, flag_places, located, map_batches, save
 from sparkcorpus.llm.decontamination import FOLD
 
-LABELLED, WORDS, SPACE = 6000, 1024, 1 << 18
-#: Word beginnings of these lengths count besides whole words.
+_BITS = 18
+LABELLED, WORDS, SPACE = 6000, 1024, 1 << _BITS
+#: Word beginnings of so many bytes count besides whole words.
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
 ROUNDS, CONFIDENT, MIN_DOCUMENTS = 3, 0.98, 4
 _HELD_OUT = 4
 _HASHED, _PLAIN = 64, 11
 _SIZE = _PLAIN + 2 * _HASHED
-_ROWS = 256
+_ROWS = 1024
 #: A word has up to seven traits that say the same: each takes a share of what the counts say.
 _SHARE = 1 / (1 + len(BEGINNINGS))
 _SIGNS = re.compile(rb"[#*$%&|<>!?=+_~^-]{2,4}")
@@ -60,44 +62,59 @@ def words(text: bytes) -> Counter[str]:
     return found
 
 
-def traits(word: str) -> list[int]:
-    """What a word says: itself and its beginnings, as numbers."""
-    found, hashed, done = [zlib.crc32(("=" + word).encode()) & (SPACE - 1)], 0, 0
-    for k in BEGINNINGS:
-        if len(word) < k:
-            break
-        hashed, done = zlib.crc32(word[done:k].encode(), hashed), k
-        found.append(hashed & (SPACE - 1))
+@cache
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """A random value for each byte, and powers of an odd base."""
+    powers = np.full(size, 0x9E3779B97F4A7C15, np.uint64)
+    powers[:1] = 1
+    return np.random.default_rng(8).integers(0, 2**64, 256, np.uint64), np.multiply.accumulate(powers)
+
+
+def _numbers(words: pa.Array) -> np.ndarray:
+    """What each word says, itself and its beginnings, as numbers (-1 where it is too short). All hashes of a word are
+    differences of one running sum over its bytes."""
+    binary = words.cast(pa.binary())
+    offsets = np.frombuffer(binary.buffers()[1], np.int32)[binary.offset : binary.offset + len(binary) + 1].astype(np.int64)
+    data = np.frombuffer(binary.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    starts, sizes = offsets[:-1] - offsets[0], np.diff(offsets)
+    values, powers = _powers(1 << int(sizes.max(initial=1)).bit_length())
+    place = np.arange(len(data)) - np.repeat(starts, sizes)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values[data] * powers[place], dtype=np.uint64)])
+    found = np.full((len(words), 1 + len(BEGINNINGS)), -1, np.int32)
+    for i, k in enumerate((None, *BEGINNINGS)):
+        long = np.ones(len(words), bool) if k is None else sizes >= k
+        at = starts[long]
+        x = sums[at + (sizes[long] if k is None else k)] - sums[at] + np.uint64(k or 977)
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        found[long, i] = (x >> np.uint64(64 - _BITS)).astype(np.int32)
     return found
 
 
-def _matrix(word_lists: pa.Array, times: pa.Array, known: dict[str, list[int]]) -> tuple[np.ndarray, np.ndarray]:
+def traits(word: str) -> list[int]:
+    """The numbers of one word."""
+    return [n for n in _numbers(pa.array([word]))[0].tolist() if n >= 0]
+
+
+def _matrix(word_lists: pa.Array, times: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """`_pairs` of any number of rows, some hundred at a time."""
-    parts = [(at, *_pairs(word_lists.slice(at, _ROWS), times.slice(at, _ROWS), known)) for at in range(0, len(word_lists), _ROWS)]
+    parts = [(at, *_pairs(word_lists.slice(at, _ROWS), times.slice(at, _ROWS))) for at in range(0, len(word_lists), _ROWS)]
     if not parts:
         return np.zeros(0, np.int32), np.zeros(0, np.int32)
     return np.concatenate([(at + r).astype(np.int32) for at, r, _ in parts]), np.concatenate([c.astype(np.int32) for _, _, c in parts])
 
 
-def _pairs(word_lists: pa.Array, times: pa.Array, known: dict[str, list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (row, trait), each once, of lists of words and of how often they occur. `known` keeps the traits of words."""
+def _pairs(word_lists: pa.Array, times: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (row, trait), each once, of lists of words and of how often they occur; a trait that occurs twice or more in
+    a row is there under its second number, too."""
     flat = word_lists.flatten().dictionary_encode()
-    table = np.full((len(flat.dictionary), 1 + len(BEGINNINGS)), -1, np.int64)
-    if len(known) > 500_000:
-        known.clear()
-    for i, word in enumerate(flat.dictionary.to_pylist()):
-        if (found := known.get(word)) is None:
-            known[word] = found = traits(word)
-        table[i, : len(found)] = found
-    row = np.repeat(np.arange(len(word_lists)), np.diff(word_lists.offsets.to_numpy()))
-    of_word = table[flat.indices.to_numpy()] if len(flat) else table
-    has = of_word >= 0
-    many = np.broadcast_to(times.flatten().to_numpy()[:, None] >= 2, has.shape)[has]
-    pairs = np.sort(((row[:, None] * SPACE + of_word) * 2 + 1)[has] - many)  # a word said twice comes first, as an even number
-    first = np.concatenate([[True], pairs[1:] >> 1 != pairs[:-1] >> 1]) if len(pairs) else np.zeros(0, bool)
-    at = np.flatnonzero(first)
-    sizes = np.diff(np.concatenate([at, [len(pairs)]]))
-    twice = (sizes > 1) | (pairs[at] % 2 == 0)
+    # a row, a trait and whether the word is said but once, in one number: what is said twice comes first
+    row = np.repeat(np.arange(len(word_lists), dtype=np.int32) * np.int32(2 * SPACE), np.diff(word_lists.offsets.to_numpy()))
+    row += times.flatten().to_numpy() < 2
+    of_word = _numbers(flat.dictionary)[flat.indices.to_numpy()]
+    pairs = (row[:, None] + 2 * of_word)[of_word >= 0]
+    pairs.sort()
+    at = np.flatnonzero(np.diff(pairs >> 1, prepend=np.int32(-1)))
+    twice = (np.diff(at, append=len(pairs)) > 1) | (pairs[at] % 2 == 0)
     rows, columns = np.divmod(pairs[at] >> 1, SPACE)
     return np.concatenate([rows, rows[twice]]), np.concatenate([columns, columns[twice] + SPACE])
 
@@ -205,20 +222,42 @@ def fit_text(counts: np.ndarray, n: np.ndarray, sample: tuple[np.ndarray, np.nda
     return columns, w, offset
 
 
+def _packed(counts: np.ndarray, sums: np.ndarray) -> bytes:
+    """Counts as whole numbers of four or eight bytes, and sums. The counts' first bytes come first, then their second
+    bytes, and so on: most but the first are zero."""
+    kind = "<i4" if counts.max() < 2**31 else "<i8"
+    planes = counts.astype(kind).reshape(-1, 1).view(np.uint8).T
+    return kind.encode() + zlib.compress(planes.tobytes() + sums.tobytes(), 1)
+
+
+def _unpacked(packed: bytes, shapes: tuple) -> tuple[np.ndarray, np.ndarray]:
+    data, kind, size = zlib.decompress(packed[3:]), np.dtype(packed[:3].decode()), int(np.prod(shapes[0]))
+    planes = np.frombuffer(data, np.uint8, size * kind.itemsize).reshape(kind.itemsize, size)
+    counts = np.ascontiguousarray(planes.T).view(kind).astype(float)
+    return counts.reshape(shapes[0]), np.frombuffer(data, float, offset=size * kind.itemsize).reshape(shapes[1])
+
+
 def round_sums(views: DataFrame, names: list[str], models: list[Model | None], confident: float = CONFIDENT) -> tuple[np.ndarray, np.ndarray]:
     """Over all documents that a view learns from, for each label: how many of class 0 and 1 have a trait, and in the last
-    row how many there are; and the metadata view's gradient (first row) and a bound of its Hessian, with which a step
+    place how many there are; and the metadata view's gradient (first row) and a bound of its Hessian, with which a step
     never goes too far. Tasks' sums are added up in a tree."""
-    shapes = (len(models), 2 * SPACE + 1, 2), (len(models), 1 + _SIZE, _SIZE)
+    shapes = (len(models), 2, 2 * SPACE + 1), (len(models), 1 + _SIZE, _SIZE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, list[int]] = {}
         weights = [None if m is None else m.dense() for m in models]
         counts, sums = map(np.zeros, shapes)
+        waiting = {(k, c): [] for k in range(len(models)) for c in (0, 1)}
+
+        def count(least: int) -> None:
+            for (k, c), found in waiting.items():
+                if sum(map(len, found)) > least:
+                    counts[k, c, :-1] += np.bincount(np.concatenate(found), minlength=2 * SPACE)
+                    found.clear()
+
         for whole in batches:
             for at in range(0, whole.num_rows, _ROWS):
                 batch = whole.slice(at, _ROWS)
-                rows, columns = _matrix(batch.column("words"), batch.column("times"), known)
+                rows, columns = _pairs(batch.column("words"), batch.column("times"))
                 x = _dense(batch.column("layout"), batch.column("source"), batch.column("lang"))
                 held = batch.column("held").to_numpy(zero_copy_only=False).astype(bool)
                 for k, model in enumerate(models):
@@ -233,22 +272,23 @@ def round_sums(views: DataFrame, names: list[str], models: list[Model | None], c
                         given.append(np.where(label < 0, sure, np.where(held, -1, label)))
                     for c in (0, 1):  # the text view learns from the metadata view's labels
                         mine = given[1] == c
-                        np.add.at(counts[k, :, c], columns[mine[rows]], 1)
-                        counts[k, -1, c] += mine.sum()
+                        waiting[k, c].append(columns[mine[rows]])
+                        counts[k, c, -1] += mine.sum()
                     use = given[0] >= 0
                     sums[k, 0] += x[use].T @ (_sigmoid(x[use] @ model.layout) - given[0][use])
                     sums[k, 1:] += x[use].T @ x[use] / 4
-        packed = zlib.compress(np.concatenate([counts.ravel(), sums.ravel()]).tobytes(), 1)
-        yield pa.RecordBatch.from_arrays([pa.array([packed], pa.binary())], names=["sums"])
+                count(2_000_000)
+        count(0)
+        yield pa.RecordBatch.from_arrays([pa.array([_packed(counts, sums)], pa.binary())], names=["sums"])
 
     columns = ["words", "times", "layout", "source", "lang", "held", *names]
     tasks = views.select(*columns).mapInArrow(run, "sums binary").rdd.map(lambda r: bytes(r.sums))
-    read = lambda packed: np.frombuffer(zlib.decompress(packed))
-    added = lambda a, b: zlib.compress((read(a) + read(b)).tobytes(), 1) if a and b else a or b
-    total = tasks.treeAggregate(b"", added, added, depth=3)
-    size = int(np.prod(shapes[0]))
-    flat = read(total) if total else np.zeros(size + int(np.prod(shapes[1])))
-    return flat[:size].reshape(shapes[0]), flat[size:].reshape(shapes[1])
+
+    def added(a: bytes, b: bytes) -> bytes:
+        return _packed(*(x + y for x, y in zip(_unpacked(a, shapes), _unpacked(b, shapes)))) if a and b else a or b
+
+    total = tasks.treeAggregate(b"", added, added)
+    return _unpacked(total, shapes) if total else tuple(map(np.zeros, shapes))
 
 
 def document_views(docs: DataFrame, labels: DataFrame, names: list[str], doc_id: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", in_place: bool = False) -> DataFrame:
@@ -270,15 +310,15 @@ def document_views(docs: DataFrame, labels: DataFrame, names: list[str], doc_id:
             found.append(words(content))
             sizes.append(layout(content))
         columns = [
-            pa.array([list(f) for f in found], pa.list_(pa.string())), pa.array([list(f.values()) for f in found], pa.list_(pa.int64())),
+            pa.array([list(f) for f in found], pa.list_(pa.string())), pa.array([list(f.values()) for f in found], pa.list_(pa.int32())),
             pa.array(sizes, pa.list_(pa.float64())), *[pa.array([_hashed(v) for v in batch.column(i).to_pylist()], pa.int64()) for i in (1, 2)],
         ]
         kept = batch.schema.names[3:]
         yield pa.RecordBatch.from_arrays([*columns, *[batch.column(c) for c in kept]], names=["words", "times", "layout", "source", "lang", *kept])
 
     kinds = dict(rows.dtypes)
-    schema = "words array<string>, times array<bigint>, layout array<double>, source bigint, lang bigint, " + ", ".join(f"`{c}` {kinds[c]}" for c in ["id", "h", *names])
-    return save(map_batches(rows, schema, seen, 1024).withColumn("held", F.pmod("h", F.lit(_HELD_OUT)) == 0), "views")
+    schema = "words array<string>, times array<int>, layout array<double>, source bigint, lang bigint, " + ", ".join(f"`{c}` {kinds[c]}" for c in ["id", "h", *names])
+    return save(map_batches(rows, schema, seen, 1024).withColumn("held", F.pmod("h", F.lit(_HELD_OUT)) == 0), "views", "zstd")
 
 
 def fit_views(views: DataFrame, names: list[str], labelled: int = LABELLED, rounds: int = ROUNDS, confident: float = CONFIDENT) -> dict[str, Model]:
@@ -286,7 +326,7 @@ def fit_views(views: DataFrame, names: list[str], labelled: int = LABELLED, roun
     some = views.filter(F.coalesce(*names).isNotNull()).orderBy("h").limit(labelled)
     sample = some.select("words", "times", "layout", "source", "lang", "held", *names).toArrow().combine_chunks()
     column = lambda c: sample.column(c).combine_chunks() if sample.num_rows else pa.array([], sample.schema.field(c).type)
-    pairs = _matrix(column("words"), column("times"), {})
+    pairs = _matrix(column("words"), column("times"))
     x = _dense(column("layout"), column("source"), column("lang"))
     held = column("held").to_numpy(zero_copy_only=False).astype(bool)
     y = [column(n).fill_null(-1).to_numpy() for n in names]
@@ -330,7 +370,7 @@ def fit_views(views: DataFrame, names: list[str], labelled: int = LABELLED, roun
         for k, model in enumerate(models):
             if model is None:
                 continue
-            counts, kinds = counted[k], y[k][train[k]].astype(float)
+            counts, kinds = counted[k].T, y[k][train[k]].astype(float)
             of_layout = _step(model.layout, summed[k, 0], summed[k, 1:], counts[-1].sum(), 1e-2)
             models[k] = calibrated(k, fit_text(counts[:-1], counts[-1], part(train[k]), kinds), of_layout)
     return {n: constant[k] if model is None else model for k, (n, model) in enumerate(zip(names, models))}
@@ -344,7 +384,6 @@ def fit(docs: DataFrame, labels: DataFrame, names: list[str], doc_id: str = "doc
 def _scorer(models: dict[str, Model]):
     """A function of the columns of views that gives a struct of each label's probability."""
     dense: list[np.ndarray] = []
-    known: dict[str, list[int]] = {}
 
     def of(word_lists, times, plain, source, lang) -> pa.Array:
         if not dense:
@@ -352,7 +391,7 @@ def _scorer(models: dict[str, Model]):
         found = [[] for _ in models]
         for at in range(0, len(plain), _ROWS):
             part = [c.slice(at, _ROWS) for c in (word_lists, times, plain, source, lang)]
-            rows, columns = _matrix(*part[:2], known)
+            rows, columns = _pairs(*part[:2])
             x = _dense(*part[2:])
             for k, m in enumerate(models.values()):
                 found[k].append(m.score(np.bincount(rows, dense[k][columns], len(x)) + m.offset, x @ m.layout))
@@ -381,6 +420,6 @@ def scores(models: dict[str, Model], text: str | Column, source: str | Column, l
             found.append(words(content))
             sizes.append(layout(content))
         numbers = [pa.array([_hashed(v) for v in c.to_pylist()], pa.int64()) for c in (sources, langs)]
-        return of(pa.array([list(f) for f in found], pa.list_(pa.string())), pa.array([list(f.values()) for f in found], pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.float64())), *numbers)
+        return of(pa.array([list(f) for f in found], pa.list_(pa.string())), pa.array([list(f.values()) for f in found], pa.list_(pa.int32())), pa.array(sizes, pa.list_(pa.float64())), *numbers)
 
     return F.arrow_udf(run, ", ".join(f"{n} double" for n in models))(text, source, lang)

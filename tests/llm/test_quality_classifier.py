@@ -72,7 +72,7 @@ def test_sums_of_a_round_equal_plain_sums(spark):
                 for j in np.flatnonzero(x):
                     add((1 + int(i), int(j)), x[i] * x[j] / 4)
     counts, sums = qc.round_sums(views, ["quality", "toxic"], [model, None], 0.7)
-    got = {int(f): counts[0, f] for f in np.flatnonzero(counts[0].any(1))} | {(int(i), int(j)): (sums[0, i, j], 0) for i, j in zip(*np.nonzero(sums[0]))}
+    got = {int(f): counts[0, :, f] for f in np.flatnonzero(counts[0].any(0))} | {(int(i), int(j)): (sums[0, i, j], 0) for i, j in zip(*np.nonzero(sums[0]))}
     assert not counts[1].any() and not sums[1].any()
     assert {k for k, v in want.items() if any(v)} >= set(got) and all(np.allclose(got.get(k, (0, 0)), v, atol=1e-9) for k, v in want.items())
     assert sum(r.quality is not None for r in views.collect()) == 20 and {r.id: r.quality for r in views.collect()}[0] == 1
