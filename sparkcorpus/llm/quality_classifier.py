@@ -323,7 +323,10 @@ def document_views(docs: DataFrame, labels: DataFrame, names: list[str], doc_id:
 
 def fit_views(views: DataFrame, names: list[str], labelled: int = LABELLED, rounds: int = ROUNDS, confident: float = CONFIDENT) -> dict[str, Model]:
     """Co-train a model for each label on `document_views`."""
-    some = views.filter(F.coalesce(*names).isNotNull()).orderBy("h").limit(labelled)
+    known = views.filter(F.coalesce(*names).isNotNull())
+    last = known.select("h").orderBy("h").limit(labelled).agg(F.max("h")).first()[0]  # only hashes are sorted
+    below = known.filter(F.col("h") < F.lit(last))
+    some = below.union(known.filter(F.col("h") == F.lit(last)).limit(max(1, labelled - below.count())))
     sample = some.select("words", "times", "layout", "source", "lang", "held", *names).toArrow().combine_chunks()
     column = lambda c: sample.column(c).combine_chunks() if sample.num_rows else pa.array([], sample.schema.field(c).type)
     pairs = _matrix(column("words"), column("times"))
