@@ -7,12 +7,13 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sparkcorpus.functions import bpe
 from sparkcorpus.functions.chat import SPECIAL_TOKENS
-from sparkcorpus.functions.text import byte_ids, pretokens
-from sparkcorpus.session import delete_path, fresh_path
+from sparkcorpus.functions.text import pretokens
+from sparkcorpus.session import bound_batches, delete_path, fresh_path
 
 # A vocabulary is a driver-side lookup table; a larger one than this is refused rather than broadcast.
 MAX_VOCABULARY = 1_048_576
@@ -53,8 +54,34 @@ def token_bytes_table(vocab: DataFrame) -> DataFrame:
     return vocab.select("token_id", F.when(F.col("is_special"), 0).otherwise(F.octet_length("token_bytes")).cast("int").alias("n_bytes"))
 
 
+def _byte_lists(texts: pa.Array) -> pa.Array:
+    """The UTF-8 bytes of each text as a list of ids, without a Python object for any of them."""
+    raw = texts.cast(pa.binary())
+    if not len(raw):
+        return pa.array([], pa.list_(pa.int32()))
+    _, offsets, data = raw.buffers()
+    ends = np.frombuffer(offsets, np.int32)[raw.offset : raw.offset + len(raw) + 1]
+    ids = np.frombuffer(data or b"", np.uint8)[ends[0] : ends[-1]].astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends - ends[0]), pa.array(ids), mask=texts.is_null() if texts.null_count else None)
+
+
 def encode_bytes(df: DataFrame, text: str = "text", ids: str = "ids") -> DataFrame:
-    return df.withColumn(ids, byte_ids(F.col(text)))
+    """One id per UTF-8 byte, as `functions.text.byte_ids` gives them, for whole columns of long texts. A null text has
+    null ids."""
+    bound_batches(df.sparkSession)
+    return df.withColumn(ids, F.arrow_udf(lambda texts: _byte_lists(texts), "array<int>")(text))
+
+
+def encode_segment_bytes(df: DataFrame, segments: str = "segments", encoded: str = "encoded") -> DataFrame:
+    """Byte ids of the text of every chat segment, for `functions.chat.rendered`."""
+
+    def encode(rows: pa.Array) -> pa.Array:
+        offsets = rows.offsets.to_numpy()
+        mask = rows.is_null() if rows.null_count else None
+        return pa.ListArray.from_arrays(pa.array(offsets - offsets[0]), _byte_lists(rows.flatten()), mask=mask)
+
+    texts = F.transform(segments, lambda s: F.coalesce(s["text"], F.lit("")))
+    return df.withColumn(encoded, F.arrow_udf(lambda rows: encode(rows), "array<array<int>>")(texts))
 
 
 def with_specials(ids: Column, prepend: int | None = None, append: int | None = None) -> Column:
@@ -232,27 +259,52 @@ def count_tokens(words: DataFrame, vocabularies: dict[str, DataFrame]) -> DataFr
 
 
 def decode_corpus(df: DataFrame, vocab: DataFrame, ids: str = "ids", text: str = "text") -> DataFrame:
-    """Ids to text; invalid byte sequences become the replacement character."""
+    """Ids to text; invalid byte sequences become the replacement character. Null ids have a null text. The bytes of a
+    batch are gathered at once, without a Python object for each id."""
     rows = vocab.select("token_id", "token_bytes").limit(MAX_VOCABULARY + 1).collect()
     if len(rows) > MAX_VOCABULARY:
         raise ValueError(f"vocabulary above {MAX_VOCABULARY}")
-    shared = df.sparkSession.sparkContext.broadcast({r["token_id"]: bytes(r["token_bytes"]) for r in rows})
-
-    @F.pandas_udf("string")
-    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for seqs in batches:
-            yield seqs.map(lambda seq: b"".join(map(shared.value.__getitem__, seq)).decode("utf-8", "replace"))
-
-    return df.withColumn(text, decode(ids))
-
-
-def roundtrip_audit(df: DataFrame, vocab: DataFrame, ids: str = "ids", text: str = "text", by: Sequence[str] = ()) -> DataFrame:
-    """Documents whose decoded ids differ from the text."""
+    bound_batches(df.sparkSession)
+    pieces = sorted({r["token_id"]: bytes(r["token_bytes"]) for r in rows}.items())
+    table = np.array([i for i, _ in pieces], np.int64), pa.array([p for _, p in pieces], pa.binary())
+    shared = df.sparkSession.sparkContext.broadcast(table)
+    return df.withColumn(text, F.arrow_udf(lambda lists: _joined(lists, *shared.value), "string")(ids))
+
+
+def _joined(lists: pa.Array, known: np.ndarray, pieces: pa.Array) -> pa.Array:
+    """The text of each list of ids, whose bytes are the `pieces` of the sorted `known` ids."""
+    ends = lists.offsets.to_numpy()
+    ids = lists.values.slice(ends[0], ends[-1] - ends[0])
+    if not len(ids):
+        return pa.array([None if null else "" for null in lists.is_null().to_pylist()], pa.string())
+    if ids.null_count or not len(known):
+        raise KeyError("an id is null, or the vocabulary is empty")
+    wanted = ids.to_numpy()
+    at = np.minimum(known.searchsorted(wanted), len(known) - 1)
+    if (lacking := known[at] != wanted).any():
+        raise KeyError(int(wanted[lacking][0]))
+    found = pieces.take(pa.array(at))
+    _, offsets, data = found.buffers()
+    offsets = np.frombuffer(offsets, np.int32)[found.offset : found.offset + len(found) + 1][ends - ends[0]]
+    raw = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(offsets.tobytes()), data])
+    if lists.null_count:
+        raw = pa.compute.if_else(lists.is_valid(), raw, None)
+    try:
+        return raw.cast(pa.string())
+    except pa.ArrowInvalid:  # a text is no UTF-8
+        return pa.array([None if b is None else b.decode("utf-8", "replace") for b in raw.to_pylist()], pa.string())
+
+
+def roundtrip_audit(
+    df: DataFrame, vocab: DataFrame, ids: str = "ids", text: str = "text", by: Sequence[str] = (), also: Sequence[Column] = ()
+) -> DataFrame:
+    """Documents whose decoded ids differ from the text; `also` adds totals of the same rows, which so are encoded once."""
     back = decode_corpus(df, vocab, ids, "_back")
     return back.groupBy(*by).agg(
         F.count("*").alias("documents"),
-        F.sum(F.when(F.col("_back") == F.col(text), 0).otherwise(1)).cast("long").alias("mismatches"),
+        F.sum(F.when(F.col("_back").eqNullSafe(F.col(text)), 0).otherwise(1)).cast("long").alias("mismatches"),
         F.sum(F.octet_length("_back")).cast("long").alias("decoded_bytes"),
+        *also,
     )
 
 

@@ -48,3 +48,14 @@ def test_running_totals_keep_their_state_in_few_parts(spark, tmp_path, set_conf)
     assert sorted(map(tuple, found.collect())) == [("a", 3, 3, 3), ("b", 3, 3, 6)]
     parts = [p for p in os.listdir(f"{tmp_path}/state/state/0") if p.isdigit()]
     assert len(parts) == 4 and spark.conf.get("spark.sql.shuffle.partitions") == "16"
+
+
+def test_decoding_holds_bounded_batches(spark, set_conf):
+    set_conf("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "i int, text string")
+    back = tok.decode_corpus(tok.encode_bytes(df), tok.vocab_table(tok.byte_ranks(spark)), text="back")
+    assert all(r.back == r.text for r in back.collect())
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
+    assert plan(back.select("i", "back")).count("ArrowEvalPython") == 1  # ids stay in the worker
+    with pytest.raises(Exception, match="KeyError"):
+        tok.decode_corpus(spark.createDataFrame([([1, 999],)], "ids array<int>"), tok.byte_ranks(spark).withColumnRenamed("rank", "token_id")).collect()
