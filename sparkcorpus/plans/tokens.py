@@ -199,10 +199,10 @@ def encode_corpus(spark, sf_dir):
     the sum of their ids on the encoded one."""
     ranks = trained(spark, sf_dir)
     encoded = tok.encode_corpus(table(spark, sf_dir, "documents"), ranks)
-    audit = tok.roundtrip_audit(encoded, tok.vocab_table(ranks), by=["lang"])
     id_sum = F.aggregate("ids", F.lit(0).cast("long"), lambda total, i: total + i)
-    totals = encoded.groupBy("lang").agg(F.sum(F.size("ids")).alias("n_tokens"), F.sum(id_sum).alias("id_sum"))
-    return audit.select("lang", "documents", F.col("decoded_bytes").alias("n_bytes"), "mismatches").join(totals, "lang")
+    totals = [F.sum(F.size("ids")).alias("n_tokens"), F.sum(id_sum).alias("id_sum")]
+    audit = tok.roundtrip_audit(encoded, tok.vocab_table(ranks), by=["lang"], also=totals).filter("lang is not null")
+    return audit.select("lang", "documents", F.col("decoded_bytes").alias("n_bytes"), "mismatches", "n_tokens", "id_sum")
 
 
 

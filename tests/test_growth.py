@@ -50,6 +50,15 @@ def test_running_totals_keep_their_state_in_few_parts(spark, tmp_path, set_conf)
     assert len(parts) == 4 and spark.conf.get("spark.sql.shuffle.partitions") == "16"
 
 
+def test_audit_counts_tokens_in_the_same_pass(spark):
+    ranks = tok.byte_ranks(spark)
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "i int, text string")
+    audit = tok.roundtrip_audit(tok.encode_corpus(df, ranks), tok.vocab_table(ranks), also=[F.sum(F.size("ids")).alias("n_tokens")])
+    want = sum(len(t.encode()) for t in TEXTS if t is not None)
+    assert tuple(audit.first()) == (len(TEXTS), 0, want, want)
+    assert plan(audit).count("Scan") == 1
+
+
 def test_decoding_holds_bounded_batches(spark, set_conf):
     set_conf("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
     df = spark.createDataFrame(list(enumerate(TEXTS)), "i int, text string")
