@@ -8,6 +8,7 @@ from sparkcorpus.functions.chat import SPECIAL_TOKENS, special_id
 from sparkcorpus.functions.text import byte_ids, pretokens
 from sparkcorpus.operators import tokenization as tok
 from sparkcorpus.plans.registry import query, table
+from sparkcorpus.session import fresh_path
 
 MERGES = 512
 
@@ -178,9 +179,12 @@ select lang, sum(c.n * strlen(word))::bigint as n_bytes, sum(c.n * length(w))::b
        round(sum(c.n * strlen(word)) / sum(c.n * length(w)), 6) as bytes_per_token
 from counts c join run using (word) where rank = {255 + MERGES} group by 1""")
 def compression_by_histogram(spark, sf_dir):
-    """Trained vocabulary against bytes, per language. Tokens are counted on distinct words times their frequency."""
-    ranks = trained(spark, sf_dir)
-    counts = tok.pretoken_counts(table(spark, sf_dir, "documents"), by=["lang"])
+    """Trained vocabulary against bytes, per language. Tokens are counted on distinct words times their frequency; the
+    texts are cut once, into a saved histogram that all steps read."""
+    path = fresh_path(spark, "pretoken-counts")
+    tok.pretoken_counts(table(spark, sf_dir, "documents"), by=["lang"]).write.parquet(path)
+    counts = spark.read.parquet(path)
+    ranks = tok.train_bpe(counts.groupBy("word").agg(F.sum("n").alias("n")), 256 + MERGES + len(SPECIAL_TOKENS))
     lengths = tok.encode_words(counts.select("word").distinct(), ranks).select("word", F.size("ids").alias("t"))
     rows = counts.join(lengths, "word")
     report = tok.compression_report(rows, ["lang"], F.col("n") * F.octet_length("word"), F.col("n") * F.col("t"))

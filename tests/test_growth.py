@@ -68,3 +68,12 @@ def test_decoding_holds_bounded_batches(spark, set_conf):
     assert plan(back.select("i", "back")).count("ArrowEvalPython") == 1  # ids stay in the worker
     with pytest.raises(Exception, match="KeyError"):
         tok.decode_corpus(spark.createDataFrame([([1, 999],)], "ids array<int>"), tok.byte_ranks(spark).withColumnRenamed("rank", "token_id")).collect()
+
+
+def test_compression_cuts_the_texts_once(spark, sf_dir, monkeypatch):
+    calls, real = [], tok.pretoken_counts
+    monkeypatch.setattr(tok, "pretoken_counts", lambda *a, **k: calls.append(a) or real(*a, **k))
+    found = tokens.compression_by_histogram(spark, sf_dir)
+    assert len(calls) == 1 and "/documents.parquet" not in "".join(found.inputFiles())
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    assert {r.lang: r.n_bytes for r in found.collect()} == {r.lang: r.n for r in docs.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n")).collect()}
