@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from sparkcorpus.functions.arrays import mask_padding, mask_targets as masked, shift_inputs, shift_targets as shifted
@@ -10,7 +12,7 @@ from sparkcorpus.functions.keys import width_bucket
 from sparkcorpus.functions.text import byte_ids
 from sparkcorpus.operators import conversations as conv
 from sparkcorpus.operators import packing
-from sparkcorpus.operators.tokenization import with_specials
+from sparkcorpus.operators.tokenization import encode_bytes, with_specials
 from sparkcorpus.plans.registry import query, table
 from sparkcorpus.session import fresh_path
 
@@ -223,14 +225,25 @@ rows as (select row_no, count(*) as n from placed group by 1)"""
 
 
 def concat_rows(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    tokens = docs.select(F.col("doc_id").alias("doc"), with_specials(byte_ids(F.col("text")), special_id("bos")).alias("ids"))
+    docs = encode_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    tokens = docs.select(F.col("doc_id").alias("doc"), with_specials(F.col("ids"), special_id("bos")).alias("ids"))
     return packing.fill_rows(concat_placements(spark, sf_dir), tokens, ["row_no"], CAPACITY, start="start")
 
 
 def weighted(ids):
-    """Sum of id * (index + 1): depends on order."""
-    return F.aggregate(F.transform(ids, lambda t, i: t.cast("long") * (i + 1)), F.lit(0).cast("long"), lambda a, v: a + v)
+    """Sum of id * (index + 1): depends on order. Null for null ids and where an id is null."""
+    return F.arrow_udf(lambda rows: _weighted(rows), "long")(ids)
+
+
+def _weighted(rows: pa.Array) -> pa.Array:
+    ends = rows.offsets.to_numpy()
+    ids = rows.values.slice(ends[0], ends[-1] - ends[0])
+    ends = ends - ends[0]
+    place = np.arange(len(ids)) - np.repeat(ends[:-1], np.diff(ends)) + 1
+    through = lambda numbers: np.concatenate([[0], np.cumsum(numbers)])
+    sums = np.diff(through(ids.fill_null(0).to_numpy().astype(np.int64) * place)[ends])
+    nulls = np.diff(through(ids.is_null().to_numpy(zero_copy_only=False))[ends]) > 0
+    return pa.array(sums, mask=nulls | rows.is_null().to_numpy(zero_copy_only=False))
 
 
 @query(TOKENS_SQL + """

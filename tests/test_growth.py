@@ -98,3 +98,10 @@ def test_compression_cuts_the_texts_once(spark, sf_dir, monkeypatch):
     assert len(calls) == 1 and "/documents.parquet" not in "".join(found.inputFiles())
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     assert {r.lang: r.n_bytes for r in found.collect()} == {r.lang: r.n for r in docs.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n")).collect()}
+
+
+def test_weighted_sums(spark):
+    df = spark.createDataFrame([(0, [3, 5]), (1, []), (2, None), (3, [1, None]), (4, [2**31 - 1, 7, 1])], "i int, ids array<int>")
+    found = df.select("i", packing.weighted(F.col("ids")).alias("w"))
+    assert {r.i: r.w for r in found.collect()} == {0: 13, 1: 0, 2: None, 3: None, 4: 2**31 - 1 + 17}
+    assert "lambda" not in plan(found).replace("<lambda>", "")
