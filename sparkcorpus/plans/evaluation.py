@@ -11,7 +11,7 @@ from sparkcorpus.functions.keys import width_bucket
 from sparkcorpus.functions.text import byte_ids
 from sparkcorpus.operators import conversations as conv
 from sparkcorpus.operators import ordering, prompts, rendering, rollouts, scoring
-from sparkcorpus.operators.tokenization import byte_ranks, token_bytes_table, vocab_table
+from sparkcorpus.operators.tokenization import byte_ranks, encode_bytes, token_bytes_table, vocab_table
 from sparkcorpus.plans.chats import EDGES, MATH_ANSWER, MATH_COLUMNS, MATH_KEY, PARTS_SQL, RESPONSE, math_rows
 from sparkcorpus.plans.packing import chat_sql, rendered_chats, weighted
 from sparkcorpus.plans.registry import query, table
@@ -326,8 +326,8 @@ losses as (
 
 
 def token_losses(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    tokens = docs.select("lang", "source", "doc_id", F.posexplode(byte_ids(F.col("text"))).alias("pos", "byte"))
+    docs = encode_bytes(table(spark, sf_dir, "documents").select("lang", "source", "doc_id", "text"))
+    tokens = docs.select("lang", "source", "doc_id", F.posexplode("ids").alias("pos", "byte"))
     return tokens.select(
         "lang", "source", F.expr(TOKEN_TARGET).alias("target_id"), F.expr(f"double({TOKEN_LOSS})").alias("loss"),
         F.expr(f"case when (pos + doc_id) % 1009 = 5 then double('NaN') else double({TOKEN_LOSS}) end").alias("bad_loss"),

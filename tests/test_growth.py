@@ -80,6 +80,13 @@ def test_tool_parts_are_cut_once(spark):
     assert plan(found).count("regexp_extract_all(") == 1 and "split(" not in plan(found)
 
 
+def test_byte_ids_of_whole_columns(spark, sf_dir):
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "i int, text string")
+    got = {r.i: r.ids for r in tok.encode_bytes(df).collect()}
+    assert got == {i: None if t is None else list(t.encode()) for i, t in enumerate(TEXTS)}
+    assert "split(" not in plan(evaluation.token_losses(spark, sf_dir)) and "split(" not in plan(packing.shift_targets(spark, sf_dir))
+
+
 def test_decoding_holds_bounded_batches(spark, set_conf):
     set_conf("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
     df = spark.createDataFrame(list(enumerate(TEXTS)), "i int, text string")
