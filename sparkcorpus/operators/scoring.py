@@ -181,10 +181,10 @@ def loss_summary(losses: DataFrame, token_bytes: DataFrame, by: Sequence[str] =
 
 
 def error_losses(losses: DataFrame, token_bytes: DataFrame) -> DataFrame:
-    """The rows that the summaries leave out, with the `reason`: an unknown target or a loss that is no number."""
-    rows = losses.filter("target_id >= 0").join(
-        token_bytes.select(F.col("token_id").alias("target_id"), F.lit(True).alias("_known")), "target_id", "left"
-    )
+    """The rows that the summaries leave out, with the `reason`: an unknown target or a loss that is no number. The
+    vocabulary is broadcast, so tokens are looked up where they are."""
+    known = token_bytes.select(F.col("token_id").alias("target_id"), F.lit(True).alias("_known"))
+    rows = losses.filter("target_id >= 0").join(F.broadcast(known), "target_id", "left")
     bad = F.isnan("loss") | (F.abs("loss") == float("inf")) | F.col("loss").isNull()
     reason = F.when(F.col("_known").isNull(), "unknown_target").when(bad, "loss_not_finite")
     return rows.withColumn("reason", reason).filter("reason is not null").drop("_known")

@@ -80,6 +80,14 @@ def test_tool_parts_are_cut_once(spark):
     assert plan(found).count("regexp_extract_all(") == 1 and "split(" not in plan(found)
 
 
+def test_broken_losses_are_looked_up_in_place(spark, set_conf):
+    set_conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    losses = spark.createDataFrame([(0, 1.0), (9, 4.0), (1, float("nan")), (-1, 1.0)], "target_id int, loss double")
+    found = scoring.error_losses(losses, spark.createDataFrame([(0, 1), (1, 1)], "token_id int, n_bytes int"))
+    assert sorted((r.target_id, r.reason) for r in found.collect()) == [(1, "loss_not_finite"), (9, "unknown_target")]
+    assert "BroadcastHashJoin" in plan(found) and "SortMergeJoin" not in plan(found)
+
+
 def test_byte_ids_of_whole_columns(spark, sf_dir):
     df = spark.createDataFrame(list(enumerate(TEXTS)), "i int, text string")
     got = {r.i: r.ids for r in tok.encode_bytes(df).collect()}
