@@ -175,10 +175,10 @@ def rendered(segments: Column, max_tokens: int, encoded: Column | None = None, o
         ids = _ids_of(F.substring(_byte_string(segments), 1, max_tokens))
         cut = F.substring(F.array_join(flags, ""), 1, max_tokens)
         return F.struct(ids.alias("ids"), F.transform(F.split(cut, ""), lambda f: f.cast("int")).alias("mask"))
-    per_segment = segment_ids(segments, encoded, ordinary_size)
-    mask = F.zip_with(per_segment, segments, lambda ids, s: F.array_repeat(s["supervised"], F.size(ids)))
+    size = lambda s, ids: F.when(s["special"].isNotNull(), 1).otherwise(F.size(ids))
+    mask = F.zip_with(segments, encoded, lambda s, ids: F.array_repeat(s["supervised"], size(s, ids)))
     return F.struct(
-        F.slice(F.flatten(per_segment), 1, max_tokens).alias("ids"),
+        F.slice(F.flatten(segment_ids(segments, encoded, ordinary_size)), 1, max_tokens).alias("ids"),
         F.slice(F.flatten(mask), 1, max_tokens).alias("mask"),
     )
 

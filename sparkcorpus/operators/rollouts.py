@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sparkcorpus.functions.arrays import mask_targets, shift_inputs, shift_targets
@@ -75,36 +77,64 @@ def truncate_completions(df: DataFrame, ids: str, ordinary_size: int = 256) -> D
     )
 
 
+_SPAN_KINDS = {"python": ("python_start", "python_end"), "output": ("output_start", "output_end")}
+
+
 def extract_tool_spans(df: DataFrame, keep: Sequence[str], ids: str, mask: str, ordinary_size: int = 256) -> DataFrame:
     """Tool calls of each sequence: the tokens between python_start and python_end, the same for tool output, and how
     many of the tokens were sampled (mask 1) or forced (mask 0). Among the markers of one kind a span is a start directly
-    followed by an end; an earlier start that was opened again does not count. A sequence stays one row."""
-    kinds = {"python": ("python_start", "python_end"), "output": ("output_start", "output_end")}
-    marker = lambda name: F.lit(special_id(name, ordinary_size))
-    positions = F.transform(ids, lambda t, i: F.struct(i.alias("i"), t.alias("t")))
-    forced = F.size(F.filter(mask, lambda m: m == 0))
-    rows = df.select(
-        *keep, ids, mask, forced.alias("forced_tokens"), F.size(ids).alias("n_tokens"),
-        F.filter(positions, lambda p: p["t"].between(marker("python_start"), marker("output_end"))).alias("_marks"),
+    followed by an end; an earlier start that was opened again does not count. A batch of sequences is searched at once,
+    without an object for each token."""
+    markers = {kind: [special_id(name, ordinary_size) for name in names] for kind, names in _SPAN_KINDS.items()}
+    kept = df.select(ids).schema[0].dataType.elementType.simpleString()
+    span = f"struct<kind:string,start:int,end:int,span_ids:array<{kept}>,sampled:int>"
+    found = F.arrow_udf(lambda rows, flags: _tool_spans(rows, flags, markers), f"struct<forced_tokens:int,n_tokens:int,spans:array<{span}>>")
+    rows = df.select(*keep, found(ids, mask).alias("_found"))
+    rows = rows.select(*keep, "_found.forced_tokens", "_found.n_tokens", F.explode("_found.spans").alias("s"))
+    return rows.select(*keep, "forced_tokens", "n_tokens", "s.kind", "s.start", "s.end", "s.span_ids", "s.sampled")
+
+
+def _tool_spans(rows: pa.Array, flags: pa.Array, markers: dict[str, list[int]]) -> pa.Array:
+    begins, flag_begins = rows.offsets.to_numpy(), flags.offsets.to_numpy()
+    values = rows.values.slice(begins[0], begins[-1] - begins[0])
+    tokens = values.fill_null(-1).to_numpy()
+    begins = begins - begins[0]
+    marked = flags.values.slice(flag_begins[0], flag_begins[-1] - flag_begins[0]).fill_null(-1).to_numpy()
+    flag_begins = flag_begins - flag_begins[0]
+    before = lambda value: np.concatenate([[0], np.cumsum(marked == value)])
+    ones, zeros = before(1), before(0)
+
+    first, last, kinds = [], [], []
+    for kind, (start, end) in markers.items():
+        at = np.flatnonzero((tokens == start) | (tokens == end))
+        row = begins[1:].searchsorted(at, "right")
+        opens = np.flatnonzero((tokens[at[:-1]] == start) & (tokens[at[1:]] == end) & (row[:-1] == row[1:]))
+        first.append(at[opens])
+        last.append(at[opens + 1])
+        kinds += [kind] * len(opens)
+    first, last = np.concatenate(first), np.concatenate(last)
+    row = begins[1:].searchsorted(first, "right")
+    order = np.argsort(row, kind="stable")
+    first, last, row = first[order], last[order], row[order]
+
+    sizes = last - first - 1
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    inside = np.arange(ends[-1]) + np.repeat(first + 1 - ends[:-1], sizes)
+    flag_at = lambda place: np.minimum(flag_begins[row] + place - begins[row], flag_begins[row + 1])
+    int32 = lambda numbers, mask=None: pa.array(numbers.astype(np.int32), mask=mask)
+    no_flags = flags.is_null().to_numpy(zero_copy_only=False)
+    spans = pa.StructArray.from_arrays(
+        [
+            pa.array(kinds, pa.string()).take(pa.array(order)), int32(first - begins[row]), int32(last - begins[row]),
+            pa.ListArray.from_arrays(int32(ends), values.take(pa.array(inside))),
+            int32(ones[flag_at(last)] - ones[flag_at(first + 1)], no_flags[row]),
+        ],
+        ["kind", "start", "end", "span_ids", "sampled"],
     )
-    rows = rows.select("*", *[
-        F.filter("_marks", lambda p: (p["t"] == marker(start)) | (p["t"] == marker(end))).alias(f"_{kind}")
-        for kind, (start, end) in kinds.items()
-    ])
-
-    def spans(kind: str, start: str, end: str) -> Column:
-        pairs = F.zip_with(
-            f"_{kind}", F.slice(f"_{kind}", F.lit(2), F.size(f"_{kind}")),
-            lambda a, z: F.when((a["t"] == marker(start)) & (z["t"] == marker(end)), F.struct(F.lit(kind).alias("kind"), a["i"].alias("start"), z["i"].alias("end"))),
-        )
-        return F.filter(pairs, lambda p: p.isNotNull())
-
-    both = F.concat(*[spans(kind, *names) for kind, names in kinds.items()])
-    found = rows.select(*keep, ids, mask, "forced_tokens", "n_tokens", F.explode(both).alias("s"))
-    inside = lambda column: F.slice(column, F.col("s.start") + 2, F.col("s.end") - F.col("s.start") - 1)
-    return found.select(
-        *keep, "forced_tokens", "n_tokens", "s.kind", "s.start", "s.end", inside(ids).alias("span_ids"),
-        F.size(F.filter(inside(mask), lambda m: m == 1)).alias("sampled"),
+    per_row = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(rows)))])
+    forced = int32(zeros[flag_begins[1:]] - zeros[flag_begins[:-1]], no_flags)
+    return pa.StructArray.from_arrays(
+        [forced, int32(np.diff(begins)), pa.ListArray.from_arrays(int32(per_row), spans)], ["forced_tokens", "n_tokens", "spans"]
     )
 
 

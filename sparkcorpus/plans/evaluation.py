@@ -11,7 +11,7 @@ from sparkcorpus.functions.keys import width_bucket
 from sparkcorpus.functions.text import byte_ids
 from sparkcorpus.operators import conversations as conv
 from sparkcorpus.operators import ordering, prompts, rendering, rollouts, scoring
-from sparkcorpus.operators.tokenization import byte_ranks, encode_bytes, token_bytes_table, vocab_table
+from sparkcorpus.operators.tokenization import byte_ranks, encode_bytes, encode_segment_bytes, token_bytes_table, vocab_table
 from sparkcorpus.plans.chats import EDGES, MATH_ANSWER, MATH_COLUMNS, MATH_KEY, PARTS_SQL, RESPONSE, math_rows
 from sparkcorpus.plans.packing import chat_sql, rendered_chats, weighted
 from sparkcorpus.plans.registry import query, table
@@ -506,7 +506,9 @@ select {MATH_KEY}, forced_tokens::int as forced_tokens, n_tokens::int as n_token
 from placed where type <> 'text'""")
 def extract_tool_spans(spark, sf_dir):
     built = conv.adapt("math", math_rows(spark, sf_dir))
-    rows = built.select(*MATH_COLUMNS, chat.rendered(chat.render_segments(F.col("messages")), 2**30).alias("r")).select(*MATH_COLUMNS, "r.ids", "r.mask")
+    segments = encode_segment_bytes(built.select(*MATH_COLUMNS, chat.render_segments(F.col("messages")).alias("segments")))
+    r = chat.rendered(F.col("segments"), 2**30, F.col("encoded")).alias("r")
+    rows = segments.select(*MATH_COLUMNS, r).select(*MATH_COLUMNS, "r.ids", "r.mask")
     out = rollouts.extract_tool_spans(rows, MATH_COLUMNS, "ids", "mask")
     text = F.array_join(F.transform("span_ids", lambda i: F.char(i)), "")
     return out.select(*MATH_COLUMNS, "forced_tokens", "n_tokens", "kind", "start", F.col("end").alias("stop"), text.alias("span"), "sampled")

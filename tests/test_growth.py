@@ -59,6 +59,31 @@ def test_audit_counts_tokens_in_the_same_pass(spark):
     assert plan(audit).count("Scan") == 1
 
 
+def _plain_spans(ids, mask):
+    found = []
+    for kind, (start, end) in {"python": ("python_start", "python_end"), "output": ("output_start", "output_end")}.items():
+        start, end = special_id(start), special_id(end)
+        marks = [(i, t) for i, t in enumerate(ids) if t in (start, end)]
+        for (i, a), (j, z) in zip(marks, marks[1:]):
+            if (a, z) == (start, end):
+                found.append((kind, i, j, tuple(ids[i + 1 : j]), None if mask is None else sum(m == 1 for m in mask[i + 1 : j])))
+    return found
+
+
+def test_tool_spans_of_many_sequences(spark):
+    rng = random.Random(7)
+    rows = []
+    for i in range(300):
+        ids = [rng.choice([1, 2, None, *range(259, 266)]) for _ in range(rng.randint(0, 14))]
+        rows.append((i, ids, None if i % 9 == 0 else [rng.choice([0, 1, None]) for _ in ids]))
+    df = spark.createDataFrame([*rows, (300, None, None)], "i int, ids array<int>, mask array<int>")
+    found = rollouts.extract_tool_spans(df, ["i"], "ids", "mask")
+    want = [(i, None if mask is None else mask.count(0), len(ids), *s) for i, ids, mask in rows for s in _plain_spans(ids, mask)]
+    got = [(r.i, r.forced_tokens, r.n_tokens, r.kind, r.start, r.end, tuple(r.span_ids), r.sampled) for r in found.collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr) and got
+    assert "lambda" not in plan(found).replace("<lambda>", "")
+
+
 def _plain_parts(answer):
     parts = []
     for piece in re.split(r"(?=<<[^>]+>>)|(?<=>>)", answer):
