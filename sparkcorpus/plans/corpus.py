@@ -93,7 +93,7 @@ def replay_epochs(spark, sf_dir):
 @query("select lang, count(*) as documents, sum(length(text))::bigint as characters, min(doc_id) as first_doc from documents group by 1")
 def read_manifested(spark, sf_dir):
     path, manifest = fresh_path(spark, "hub"), fresh_path(spark, "manifest")
-    table(spark, sf_dir, "documents").repartition(4, "doc_id").write.parquet(path)
+    table(spark, sf_dir, "documents").hint("rebalance").write.parquet(path)  # files of bounded size, however many
     corpus.write_list_manifest(spark, path, manifest)
     return corpus.read_manifested(spark, manifest).groupBy("lang").agg(
         F.count("*").alias("documents"), F.sum(F.length("text")).cast("long").alias("characters"), F.min("doc_id").alias("first_doc")

@@ -131,6 +131,15 @@ def test_decoding_holds_bounded_batches(spark, set_conf):
         tok.decode_corpus(spark.createDataFrame([([1, 999],)], "ids array<int>"), tok.byte_ranks(spark).withColumnRenamed("rank", "token_id")).collect()
 
 
+def test_manifested_files_grow_in_number(spark, sf_dir, set_conf):
+    set_conf("spark.sql.shuffle.partitions", "16")
+    set_conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1k")
+    set_conf("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1k")
+    found = corpus_plans.read_manifested(spark, sf_dir)
+    assert {r.lang: r.documents for r in found.collect()} == {"de": 20, "en": 40}
+    assert len([f for f in found.inputFiles() if "/hub-" in f]) > 4
+
+
 def test_compression_cuts_the_texts_once(spark, sf_dir, monkeypatch):
     calls, real = [], tok.pretoken_counts
     monkeypatch.setattr(tok, "pretoken_counts", lambda *a, **k: calls.append(a) or real(*a, **k))
