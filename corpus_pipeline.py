@@ -32,20 +32,13 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     are shorter than 400 bytes, hardly any is shorter than 200. A character cut in half goes too, as does a document of which
     nothing is left; `n_chars`, where there is such a column, is counted anew for texts that were cut."""
     bound_batches(spark)
-    found = suffix_dedup.remove_repeats(docs, length=PASSAGE_BYTES, span=PASSAGE_SPAN, in_place=True)
-    whole = F.arrow_udf(lambda kept: _readable(kept), "string")("kept")
+    found = suffix_dedup.remove_repeats(docs, length=PASSAGE_BYTES, span=PASSAGE_SPAN, in_place=True, as_text=True)
     cut = F.col("kept").isNotNull()
-    text = F.when(cut, whole).otherwise(F.col("row.text"))
+    text = F.when(cut, F.col("kept")).otherwise(F.col("row.text"))
     columns = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in ("text", "n_chars")]
-    chars = [F.when(cut, F.length("text").cast("long")).otherwise(F.col("row.n_chars")).alias("n_chars")] if "n_chars" in docs.columns else []
-    kept = found.filter(~cut | (F.length("kept") > 0)).select("row", "kept", text.alias("text"))
-    return kept.filter(~cut | (F.length("text") > 0)).select(*columns, "text", *chars).select(*docs.columns)
-
-
-def _readable(kept):
-    import pyarrow as pa
-
-    return pa.array([None if k is None else k.decode("utf-8", "ignore") for k in kept.to_pylist()], pa.string())
+    chars = [F.when(cut, F.length("kept").cast("long")).otherwise(F.col("row.n_chars")).alias("n_chars")] if "n_chars" in docs.columns else []
+    kept = found.filter(~cut | (F.length("kept") > 0))
+    return kept.select(*columns, text.alias("text"), *chars).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

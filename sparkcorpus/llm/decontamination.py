@@ -107,8 +107,10 @@ def find_items(
 ) -> DataFrame:
     """One row per distinct text with an occurrence: `_text_md5`, `spans` (word spans, sorted), `items` (names)."""
     texts = docs.select(F.unhex(F.md5(F.col(text))).alias(_KEY), F.col(text).alias("_text"))
-    schema = f"{_KEY} binary, spans array<struct<start:bigint,stop:bigint>>, items array<string>"
-    found = docs.sparkSession.createDataFrame([], schema)
+    columns = {_KEY: "binary", "spans": "array<struct<start:bigint,stop:bigint>>", "items": "array<string>"}
+    schema = ", ".join(f"{name} {kind}" for name, kind in columns.items())
+    # not createDataFrame: rows from the driver pass through Python workers of another kind, which stay on the executors
+    found = docs.sparkSession.range(0).select(*[F.lit(None).cast(kind).alias(name) for name, kind in columns.items()])
     for items in _blocks(benchmark, item_id, item_text, block_words):
         patterns = docs.sparkSession.sparkContext.broadcast(Patterns(items, window))
 

@@ -110,3 +110,20 @@ def test_documents_with_repeated_rows_stay_once(spark):
     text = F.concat_ws(" ", *[F.lit(f"word{i}") for i in range(40)])
     docs = spark.range(6).select((F.col("id") % 1).alias("doc_id"), text.alias("text"))
     assert pipeline.drop_near_duplicates(spark, docs, SF).count() == 1
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_texts_are_cut_once(spark):
+    """Each place of a Python function in a plan takes a worker of its own in every task."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    assert plan_of(pipeline.cut_repeats(spark, docs, SF)).count("ArrowEvalPython") == 1
+
+
+def test_search_starts_no_other_workers(spark, monkeypatch):
+    """Rows handed over by the driver go through workers of a second kind, beside those of the search."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda *a, **b: pytest.fail("rows from the driver"))
+    assert 0 < pipeline.drop_contaminated(spark, docs, SF).count() < docs.count()
