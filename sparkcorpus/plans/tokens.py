@@ -79,11 +79,12 @@ BYTE_LIST = "list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda
 select doc_id, len(ids) as n_tokens, list_sum(ids)::bigint as id_sum, ids[1] as first_id, ids[-1] as last_id
 from (select doc_id, {BYTE_LIST} as ids from documents)""")
 def encode_bytes(spark, sf_dir):
+    """Byte ids of each document. An empty text has no ids, so neither a sum nor a first or last one."""
     docs = tok.encode_bytes(table(spark, sf_dir, "documents"))
+    total = F.aggregate("ids", F.lit(0).cast("long"), lambda a, i: a + i)
     return docs.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.aggregate("ids", F.lit(0).cast("long"), lambda a, i: a + i).alias("id_sum"),
-        F.get("ids", F.lit(0)).alias("first_id"), F.element_at("ids", -1).alias("last_id"),
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.when(F.size("ids") > 0, total).alias("id_sum"),
+        F.get("ids", F.lit(0)).alias("first_id"), F.try_element_at("ids", F.lit(-1)).alias("last_id"),
     )
 
 

@@ -4,6 +4,7 @@ import os
 import random
 import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +13,9 @@ from sparkcorpus.functions.chat import special_id
 from sparkcorpus.operators import rollouts, scoring
 from sparkcorpus.operators import tokenization as tok
 from sparkcorpus.plans import corpus as corpus_plans, evaluation, packing, tokens
+from sparkcorpus.plans.registry import ORACLES
 from sparkcorpus.streaming import streams
+from tests.oracle import compare
 from tests.test_plans import plan
 
 TEXTS = ["aé🙂 b", "", None, "x" * 300, "two words", "\x00\x7f"]
@@ -120,6 +123,17 @@ def test_byte_ids_of_whole_columns(spark, sf_dir):
     assert "split(" not in plan(evaluation.token_losses(spark, sf_dir)) and "split(" not in plan(packing.shift_targets(spark, sf_dir))
 
 
+@pytest.mark.parametrize("texts", [TEXTS, ["", ""], [None, ""]])
+def test_byte_totals_of_empty_texts(spark, tmp_path, texts):
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    ok, message = compare(spark, con, str(tmp_path), tokens.encode_bytes, ORACLES["encode_bytes"])
+    assert ok, message
+    empty = [tuple(r) for r in tokens.encode_bytes(spark, str(tmp_path)).filter("n_tokens = 0").collect()]
+    assert empty == [(i, 0, None, None, None) for i, t in enumerate(texts) if t == ""]
+
+
 def test_decoding_holds_bounded_batches(spark, set_conf):
     set_conf("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
     df = spark.createDataFrame(list(enumerate(TEXTS)), "i int, text string")
